@@ -37,8 +37,11 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
     3. count rows per partition (one row per partition, bounded by the
        partition count), prefix-sum the counts, broadcast the offsets back.
 
-    The range exchange appears twice in one plan and is reused, so the input
-    is shuffled once.
+    Range bounds come from sampling, and sampling a shuffled input depends on
+    the order rows arrive in, so two evaluations of the range exchange may
+    partition differently. The positioned rows are therefore written once
+    with a reliable ``checkpoint()`` (to ``spark.checkpoint.dir``); counts and
+    ids both come from that one copy, which also survives executor loss.
     """
     order_cols = _cols(order)
     spark = df.sparkSession
@@ -52,7 +55,9 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
               .sortWithinPartitions(*keys)
               .withColumn("__mid", F.monotonically_increasing_id())
               .withColumn("__pid", F.shiftright(F.col("__mid"), 33))
-              .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit(_LOW_BITS))))
+              .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)))
+              .drop("__mid", "__tie")
+              .checkpoint(eager=True))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # The counts table has one row per range partition: bounded by n.
     offsets = counts.select(

@@ -1,0 +1,8 @@
+"""Sinks (inventory K1-K4): table writes, delimited exports, rule output."""
+
+from starloom.sinks.tables import (  # noqa: F401
+    read_warehouse,
+    write_csv,
+    write_rules,
+    write_warehouse,
+)
