@@ -50,13 +50,20 @@ class Conformed:
 
 def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
                     drop: tuple[str, ...] = (DROPPED_DUPLICATE,), upper: tuple[str, ...] = (STATE,),
-                    null_safe: bool = True) -> Conformed:
+                    null_safe: bool = True, materialize: bool = True) -> Conformed:
     """B1: fatality LEFT JOIN crash on the key (fatalities drive the join; a
     crash without a fatality is lost), clean header newlines, resolve labels
     that collide after cleaning, report and resolve ``_x``/``_y`` overlaps with
     the crash (right) copy winning even when null, drop the case-colliding
-    duplicate, upper-case the state code."""
+    duplicate, upper-case the state code.
+
+    With ``materialize`` the joined frame is written once (reliable
+    ``checkpoint()`` to ``spark.checkpoint.dir``), the way the reference
+    exports it: the duplicate-label decision and every table built downstream
+    then read that copy instead of re-running the join."""
     merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe)
+    if materialize:
+        merged = cf.LabeledFrame(merged.df.checkpoint(eager=True), merged.labels)
     cleaned = cf.clean_labels(merged)
     decisions = cf.duplicate_label_differences(cleaned)
     deduped = cf.resolve_duplicate_labels(cleaned, differences=decisions)
