@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import conform as cf
 from starloom.operators import keys, quality, rules
-from starloom.plans import analog, reports
+from starloom.plans import analog, reports, sql_text
 from starloom.plans import warehouse as wh
 from starloom.sinks.tables import read_warehouse, write_warehouse
 
@@ -183,6 +183,14 @@ def q6_dwelling_rate(spark, base):
     return reports.q6_rate_per_dwellings(stored_warehouse(spark, base))
 
 
+def _sql(name):
+    def run(spark, base):
+        return sql_text.run(spark, stored_warehouse(spark, base), name, year=Q2_YEAR, after=Q5_AFTER)
+    run.__name__ = f"s5_sql_{name}"
+    run.__doc__ = f"S5/U2/U3: report {name} as SQL text over the warehouse views."
+    return run
+
+
 def k5_primary_keys(spark, base):
     """K5: primary-key offenders over all eleven loaded tables."""
     return quality.check_primary_keys(stored_warehouse(spark, base))
@@ -246,6 +254,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q5_vehicle_types": q5_vehicle_types,
         "u1_union_all": u1_union_all,
         "q6_dwelling_rate": q6_dwelling_rate,
+        **{f"s5_sql_{n}": _sql(n) for n in sql_text.STATEMENTS},
         "m1_transactions": m1_transactions,
         "m3_frequent_itemsets": m3_frequent_itemsets,
         "m4_rules": m4_rules,

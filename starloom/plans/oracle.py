@@ -420,6 +420,8 @@ def oracle_sql() -> dict[str, str]:
         "q5_vehicle_types": _Q5,
         "u1_union_all": _Q5,
         "q6_dwelling_rate": _Q6,
+        "s5_sql_q1": _Q1, "s5_sql_q2": _Q2, "s5_sql_q3": _Q3, "s5_sql_q4": _Q4, "s5_sql_q5": _Q5,
+        "s5_sql_q6": _Q6,
         "m1_transactions": ('SELECT i1 AS "Road User", i2 AS "Age Group", i3 AS "Gender", i4 AS "Speed Category", '
                             'i5 AS "Time of Day", i6 AS "National Road Type" FROM txc'),
         "m3_frequent_itemsets": f"SELECT {_txt('items')}, count, support, size FROM itemsets",

@@ -39,14 +39,16 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key
     ``multi_line`` allows quoted newlines inside cells but makes each file
     one task; keep it off for large files.
     """
+    st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    labels = [f.name for f in st.fields]
+    internal = StructType([f.__class__(f"_c{i}", f.dataType, f.nullable) for i, f in enumerate(st.fields)])
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if multi_line:
         reader = reader.option("multiLine", True)
-    df = reader.schema(schema).csv(path)
-    df = with_file_order(df)
+    df = with_file_order(reader.schema(internal).csv(path))
     if key is not None:
-        df = df.where(F.col(key).isNotNull())
-    return df
+        df = df.where(F.col(f"_c{labels.index(key)}").isNotNull())
+    return df.toDF(*labels, ROW)
 
 
 # A data line of the dwellings file is a quoted name, a count,
