@@ -9,6 +9,7 @@ per-column decision of the duplicate-label step (P3).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from starloom.functions.scalar import (
 )
 from starloom.operators import conform as cf
 from starloom.operators.keys import dense_ids, keep_first
+from starloom.session import scratch_path
 
 ROW = cf.ROW
 
@@ -57,13 +59,18 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
     the crash (right) copy winning even when null, drop the case-colliding
     duplicate, upper-case the state code.
 
-    With ``materialize`` the joined frame is written once (reliable
-    ``checkpoint()`` to ``spark.checkpoint.dir``), the way the reference
-    exports it: the duplicate-label decision and every table built downstream
-    then read that copy instead of re-running the join."""
+    With ``materialize`` the joined frame is written once as Parquet under
+    ``spark.checkpoint.dir`` (the reference exports it too): the
+    duplicate-label decision and every table built downstream then read that
+    copy, each scanning only its own columns, instead of re-running the join.
+    Physical column names are positional, so labels with spaces, newlines or
+    case collisions need no escaping."""
     merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe)
     if materialize:
-        merged = cf.LabeledFrame(merged.df.checkpoint(eager=True), merged.labels)
+        spark = merged.df.sparkSession
+        path = scratch_path(spark, "conformed")
+        merged.df.write.mode("overwrite").parquet(path)
+        merged = cf.LabeledFrame(spark.read.parquet(path), merged.labels)
     cleaned = cf.clean_labels(merged)
     decisions = cf.duplicate_label_differences(cleaned)
     deduped = cf.resolve_duplicate_labels(cleaned, differences=decisions)
@@ -223,10 +230,17 @@ TABLES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_pe
           "dim_event", "dim_road", "fact_fatalities", "fact_crashes", "fact_number")
 
 
-def build_warehouse(conformed: DataFrame, counts: DataFrame, dwellings: DataFrame | None) -> dict[str, DataFrame]:
-    """All eleven tables as lazy plans over the conformed frames."""
+def build_warehouse(conformed: DataFrame, counts: DataFrame, dwellings: DataFrame | None,
+                    parallel: int = 3) -> dict[str, DataFrame]:
+    """All eleven tables as plans over the conformed frames. The three tables
+    with dense ids each run one checkpoint job while being built; those jobs
+    are independent and are submitted together."""
     states = dim_state(conformed)
-    lgas = dim_lga(conformed, states, dwellings)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        f_lga = pool.submit(dim_lga, conformed, states, dwellings)
+        f_fat = pool.submit(fact_fatalities, conformed)
+        f_num = pool.submit(fact_number, counts)
+        lgas, fatalities, numbers = f_lga.result(), f_fat.result(), f_num.result()
     return {
         "dim_date": dim_date(counts),
         "dim_state": states,
@@ -236,7 +250,7 @@ def build_warehouse(conformed: DataFrame, counts: DataFrame, dwellings: DataFram
         "dim_person": dim_person(conformed),
         "dim_event": dim_event(conformed),
         "dim_road": dim_road(conformed),
-        "fact_fatalities": fact_fatalities(conformed),
+        "fact_fatalities": fatalities,
         "fact_crashes": fact_crashes(conformed, lgas),
-        "fact_number": fact_number(counts),
+        "fact_number": numbers,
     }
