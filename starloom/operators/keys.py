@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starloom.session import ensure_checkpoint_dir
+
 _LOW_BITS = (1 << 33) - 1
 
 
@@ -45,6 +47,7 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
     """
     order_cols = _cols(order)
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     work = df
     keys = list(order_cols)

@@ -46,7 +46,11 @@ _stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def _key(spark: SparkSession, base: str) -> tuple[str, str]:
-    return (spark.sparkContext.applicationId, base.rstrip("/"))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        app = spark.conf.get("spark.app.id", None) or str(id(spark))
+    return (app, base.rstrip("/"))
 
 
 def fresh_build(spark: SparkSession, base: str) -> Build:

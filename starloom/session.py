@@ -42,12 +42,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     it is unset (local tests) is a fresh scratch folder created and set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="starloom-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    path = current or tempfile.mkdtemp(prefix="starloom-ckpt-")
+    if not current:
+        spark.conf.set("spark.checkpoint.dir", path)
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
+    except Exception:  # sessions without a local SparkContext use the conf
+        pass
     return path
 
 

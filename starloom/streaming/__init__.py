@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming sources, watermarks, windows or stateful
+operators; every job is a batch over whole tables. Nothing is added here so
+as not to build operators the reference does not have.
+"""
