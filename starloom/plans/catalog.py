@@ -21,7 +21,9 @@ from starloom.operators import conform as cf
 from starloom.operators import keys, quality, rules
 from starloom.plans import analog, reports, sql_text
 from starloom.plans import warehouse as wh
-from starloom.sinks.tables import read_warehouse, write_warehouse
+from starloom.session import scratch_path
+from starloom.sinks.tables import read_warehouse, write_csv, write_rules, write_warehouse
+from starloom.sources.delimited import read_sheet_csv, read_trimmed_csv
 
 # Analog parameters: the driver data spans 1995-2001, so 1998 stands in for
 # the reference's 2023 (Q2) and 2010 (Q5).
@@ -236,6 +238,46 @@ def m7_sample_itemsets(spark, base):
     return rules.sample_itemsets(_itemsets(spark, base), 10).select(_text("items"), "count", "support", "size")
 
 
+def s2_trimmed_csv(spark, base):
+    """Dwelling counts written as a delimited file with a preamble, a
+    total line and a footer, spread over several files, then read back with
+    the content predicate (no line positions needed)."""
+    dw = build(spark, base).sheets.dwellings
+    data = dw.select(F.format_string('"%s",%d,', "lga_name", "dwelling_count").alias("value"),
+                     F.lit(1).alias("part"))
+    total = dw.agg(F.format_string('"Total",%d,', F.sum("dwelling_count")).alias("value")).withColumn("part", F.lit(2))
+    banner = spark.createDataFrame(
+        [('"Dwelling counts by area"', 0), ("", 0), ('"Default Summation",', 0), ('"Area (EN)",', 0),
+         ('"Data source: derived from customer counts"', 3), ('"INFO","cells are exact"', 3)], "value string, part int")
+    path = scratch_path(spark, "dwellings-text")
+    banner.unionByName(data).unionByName(total).repartition("part").select("value").write.text(path)
+    return read_trimmed_csv(spark, path).drop("_row")
+
+
+def s4_reload_processed(spark, base):
+    """K1 + S1/S4: the conformed frame exported as CSV with a header (as the
+    reference exports it for the rule job) and read back with its schema."""
+    frame = _no_row(build(spark, base).conformed.frame)
+    path = scratch_path(spark, "processed-csv")
+    write_csv(frame, path)
+    return read_sheet_csv(spark, path, frame.schema, key="Crash ID").drop("_row")
+
+
+def k4_rules_output(spark, base):
+    """K4: the road-user rules written (only if any) and read back."""
+    path = scratch_path(spark, "rules")
+    write_rules(rules.road_user_rules(_rules(spark, base)), path)
+    return _rules_text(spark.read.parquet(path))
+
+
+def m2_one_hot(spark, base):
+    """M2: one boolean column per item, one row per transaction. The item
+    list is a bounded distinct (the attributes' values)."""
+    tx = _tx(spark, base)
+    items = [r[0] for r in tx.select(F.explode("items")).distinct().collect()]
+    return rules.one_hot(tx, items)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {
         "b1_conform_records": b1_conform_records,
@@ -259,7 +301,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "u1_union_all": u1_union_all,
         "q6_dwelling_rate": q6_dwelling_rate,
         **{f"s5_sql_{n}": _sql(n) for n in sql_text.STATEMENTS},
+        "s2_trimmed_csv": s2_trimmed_csv,
+        "s4_reload_processed": s4_reload_processed,
+        "k4_rules_output": k4_rules_output,
         "m1_transactions": m1_transactions,
+        "m2_one_hot": m2_one_hot,
         "m3_frequent_itemsets": m3_frequent_itemsets,
         "m4_rules": m4_rules,
         "m5_road_user_rules": m5_road_user_rules,

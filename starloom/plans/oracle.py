@@ -388,6 +388,19 @@ SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS BIGINT)
 """
 
 
+# Every item of the derived transactions (attribute=value).
+ONE_HOT_ITEMS = (
+    [f"Road User={v}" for v in ("Driver", "Motorcycle rider", "Pedestrian")]
+    + [f"Age Group={v}" for v in ("0_to_16", "17_to_25", "26_to_39", "40_to_64")]
+    + [f"Gender={v}" for v in ("Female", "Male")]
+    + [f"Speed Category={v}" for v in ("High", "Low", "Medium", "Very High")]
+    + [f"Time of Day={v}" for v in ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")]
+    + [f"National Road Type={v}" for v in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")]
+)
+_ONE_HOT = ("SELECT " + ", ".join(
+    f"list_contains([i1, i2, i3, i4, i5, i6], '{it}') AS \"{it}\"" for it in sorted(ONE_HOT_ITEMS)) + " FROM txc")
+
+
 def oracle_sql() -> dict[str, str]:
     wh = {
         "d1_dim_date": "SELECT * FROM dim_date",
@@ -422,6 +435,10 @@ def oracle_sql() -> dict[str, str]:
         "q6_dwelling_rate": _Q6,
         "s5_sql_q1": _Q1, "s5_sql_q2": _Q2, "s5_sql_q3": _Q3, "s5_sql_q4": _Q4, "s5_sql_q5": _Q5,
         "s5_sql_q6": _Q6,
+        "s2_trimmed_csv": "SELECT lga_name, dwelling_count FROM dw",
+        "s4_reload_processed": _CONFORMED,
+        "k4_rules_output": _RULE_SELECT + " FROM road_rules",
+        "m2_one_hot": _ONE_HOT,
         "m1_transactions": ('SELECT i1 AS "Road User", i2 AS "Age Group", i3 AS "Gender", i4 AS "Speed Category", '
                             'i5 AS "Time of Day", i6 AS "National Road Type" FROM txc'),
         "m3_frequent_itemsets": f"SELECT {_txt('items')}, count, support, size FROM itemsets",

@@ -79,3 +79,14 @@ def test_dim_date_and_fact_number(built):
     assert (dt.date(2023, 5, 6), "Saturday", True) in d and (dt.date(2022, 4, 1), "Friday", False) in d
     fn = rows(built["fact_number"], "number_date_id", "date_id", "total_crashes")
     assert fn[-1] == (3, dt.date(2023, 5, 6), None)
+
+
+def test_dim_lga_without_dwellings_input(spark):
+    fat = spark.createDataFrame([(1, "Male", 30, "26_to_39", "Driver", 0)], FAT)
+    crash = spark.createDataFrame([(1, "nsw", 2023, 5, "08:00", "Day", "Albury", "Inner Regional", "No", "No",
+                                    "No", "80", "Highway", "No", "No")], CRASH)
+    c = wh.conform_records(fat, crash, materialize=False)
+    lga = wh.dim_lga(c.frame, wh.dim_state(c.frame), None)
+    r = lga.first()
+    assert (r.lga_id, r.lga_name, r.dwelling_count) == (0, "Albury", None)
+    assert dict(lga.dtypes)["dwelling_count"] == "bigint"
