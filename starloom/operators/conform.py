@@ -90,8 +90,15 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     rlabs = [lab for lab in rf.labels if lab != ROW and not (lab == rkey and lkey == rkey)]
     overlap = set(llabs) & set(rlabs)
     lk, rk = lf.col(lkey), rf.col(rkey)
-    cond = lk.eqNullSafe(rk) if null_safe else lk == rk
-    joined = lf.df.join(rf.df, cond, how)
+    if null_safe:
+        # Non-null keys join with a plain equi-join, which keeps an existing
+        # partitioning on the key (a ``<=>`` join re-shuffles both sides on
+        # rewritten keys). Null-key rows join among themselves; their scans
+        # carry ``IS NULL`` filters, so this branch is empty in the usual case.
+        joined = (lf.df.where(lk.isNotNull()).join(rf.df.where(rk.isNotNull()), lk == rk, how)
+                  .unionByName(lf.df.where(lk.isNull()).join(rf.df.where(rk.isNull()), lk.eqNullSafe(rk), how)))
+    else:
+        joined = lf.df.join(rf.df, lk == rk, how)
 
     cols: list[Column] = []
     labels: list[str] = []
