@@ -43,7 +43,9 @@ def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path:
         target = f"{root.rstrip('/')}/{name}"
         if name in CRASH_GRAIN:
             table = f"starloom_{tag}_{name}"
-            (df.write.mode("overwrite").format("parquet").option("path", target)
+            # Same hash as bucketing, so task i holds exactly bucket i: one
+            # file per bucket instead of one per (task, bucket).
+            (df.repartition(n, BUCKET_KEY).write.mode("overwrite").format("parquet").option("path", target)
              .bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(table))
             return name, "table:" + table
         df.write.mode("overwrite").parquet(target)

@@ -28,7 +28,7 @@ def with_file_order(df: DataFrame) -> DataFrame:
 
 
 def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key: str | None = None,
-                   multi_line: bool = False) -> DataFrame:
+                   multi_line: bool = False, options: dict[str, str] | None = None) -> DataFrame:
     """One exported sheet with an explicit schema (no inference pass).
 
     Labels come from the schema *by position*, so headers that differ only in
@@ -42,7 +42,7 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     labels = [f.name for f in st.fields]
     internal = StructType([f.__class__(f"_c{i}", f.dataType, f.nullable) for i, f in enumerate(st.fields)])
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**(options or {}))
     if multi_line:
         reader = reader.option("multiLine", True)
     df = with_file_order(reader.schema(internal).csv(path))
