@@ -48,13 +48,15 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
     order_cols = _cols(order)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     work = df
     keys = list(order_cols)
     if break_ties:
         work = work.withColumn("__tie", F.monotonically_increasing_id())
         keys.append(F.col("__tie"))
-    ranged = (work.repartitionByRange(n, *keys)
+    # Without an explicit count the range exchange starts from the session's
+    # shuffle partition count and AQE may merge adjacent ranges, which keeps
+    # the global order; the ids are stamped once, in the checkpoint job.
+    ranged = (work.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
               .sortWithinPartitions(*keys)
               .withColumn("__mid", F.monotonically_increasing_id())
               .withColumn("__pid", F.shiftright(F.col("__mid"), 33))

@@ -56,3 +56,11 @@ def test_keep_first_with_struct_order(spark):
                                "name string, val int, _row struct<file:string, block:int, pos:int>")
     got = {r.name: r.val for r in keep_first(df, "name").collect()}
     assert got == {"a": 2, "b": 3}
+
+
+def test_dense_ids_default_partitioning_on_shuffled_input(spark):
+    df = (spark.range(0, 20000).select((F.col("id") * 7 % 20011).alias("k"), (F.col("id") % 5).alias("g"))
+          .repartition(13, "g"))
+    out = dense_ids(df, ["k", "g"], "rid")
+    joined = out.join(_global(df, ["k", "g"]), ["k", "g"])
+    assert joined.where("rid != gid").count() == 0 and out.count() == 20000
