@@ -32,7 +32,10 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
 
     1. range-partition on the order (Spark samples the key distribution); a
        per-row tie-breaker makes even a third of all rows being exact copies of
-       one row spread over many partitions, since copies are interchangeable;
+       one row spread over many partitions, since copies are interchangeable.
+       The tie-breaker depends on arrival order, so pass ``break_ties=False``
+       when the order is already unique (a source position): the stage is then
+       fully deterministic if a lost task is recomputed;
     2. sort within each partition and take each row's position from
        ``monotonically_increasing_id`` (documented layout: partition index in
        the upper 31 bits, position within the partition in the lower 33);

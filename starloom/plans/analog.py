@@ -75,7 +75,10 @@ class Sheets:
 
 
 def fatality_sheet(spark: SparkSession, base: str) -> DataFrame:
-    li = read_table(spark, base, "lineitem", LINEITEM_ORDER)
+    # The source position (file, row index) ends the order key: it breaks
+    # ties between identical lines deterministically, so ``_row`` is unique.
+    li = spark.read.parquet(f"{base.rstrip('/')}/lineitem.parquet").select(
+        *LINEITEM_ORDER, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__pos"))
     part = read_table(spark, base, "part", ("p_partkey", "p_type", "p_size"))
     orders = read_table(spark, base, "orders", ("o_orderkey", "o_orderdate"))
     j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
@@ -92,7 +95,7 @@ def fatality_sheet(spark: SparkSession, base: str) -> DataFrame:
         F.when(F.col("l_linenumber") % 2 == 1, "Day").otherwise("Night").alias("Time of day"),
         F.col("p_type").alias("National Road Type"),
         christmas(F.col("o_orderdate")).alias("Christmas \nPeriod"),
-        F.struct(*[F.col(c) for c in LINEITEM_ORDER]).alias(ROW),
+        F.struct(*[F.col(c) for c in (*LINEITEM_ORDER, "__file", "__pos")]).alias(ROW),
     )
 
 

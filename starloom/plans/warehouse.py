@@ -2,7 +2,9 @@
 three facts (inventory B1, B2, D1-D8, T1-T3).
 
 Inputs are plain DataFrames with the source labels (``Crash ID``, ``State``,
-...) and an order column ``_row`` (see :mod:`starloom.sources`). Every
+...) and an order column ``_row`` (see :mod:`starloom.sources`): a source
+position, so unique, which keeps dense numbering free of tie-breaking and
+deterministic when a lost task is recomputed. Every
 function returns a lazy DataFrame; nothing is collected except the bounded
 per-column decision of the duplicate-label step (P3).
 """
@@ -136,7 +138,7 @@ def dim_lga(conformed: DataFrame, states: DataFrame, dwellings: DataFrame | None
         lga = lga.withColumn("dwelling_count", F.lit(None).cast("bigint"))
     lga = lga.where(F.col("lga_name").isNotNull())
     first = keep_first(lga, "lga_name", ROW)
-    ided = dense_ids(first, F.col(ROW), "lga_id")
+    ided = dense_ids(first, F.col(ROW), "lga_id", break_ties=False)
     return ided.select(
         F.col("lga_id").cast("bigint"), "lga_name", "national_remoteness_area",
         F.col("dwelling_count").cast("bigint").alias("dwelling_count"), "state_id")
@@ -198,7 +200,7 @@ def fact_fatalities(conformed: DataFrame) -> DataFrame:
         F.col(CRASH_ID).alias("crash_id"),
         person_key(F.col(CRASH_ID), F.col("Age"), F.col("Gender"), F.col("Road User")).alias("person_id"),
         F.col(ROW))
-    ided = dense_ids(base, F.col(ROW), "fatality_id")
+    ided = dense_ids(base, F.col(ROW), "fatality_id", break_ties=False)
     return ided.select(F.col("fatality_id").cast("bigint"), "person_id", F.col("crash_id"))
 
 
@@ -222,7 +224,7 @@ def fact_number(counts: DataFrame) -> DataFrame:
         F.col("Number Fatalities").cast("bigint").alias("total_fatalities"),
         F.col("Number of fatal crashes").cast("bigint").alias("total_crashes"),
         F.col(ROW))
-    ided = dense_ids(base, F.col(ROW), "number_date_id")
+    ided = dense_ids(base, F.col(ROW), "number_date_id", break_ties=False)
     return ided.select(F.col("number_date_id").cast("bigint"), "date_id", "total_fatalities", "total_crashes")
 
 
