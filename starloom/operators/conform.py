@@ -146,13 +146,11 @@ def duplicate_label_differences(frame: LabeledFrame) -> dict[tuple[int, int], bo
         return {}
     phys = frame.physical
     types = dict(frame.df.dtypes)
-    exprs, kinds = [], []
+    exprs = []
     for a, b in pairs:
         if types[phys[a]] != types[phys[b]]:
-            kinds.append(True)  # different types never compare equal (pandas dtype rule)
-            exprs.append(F.lit(True))
+            exprs.append(F.lit(True))  # different types never compare equal (pandas dtype rule)
         else:
-            kinds.append(None)
             exprs.append(F.max((~F.col(phys[a]).eqNullSafe(F.col(phys[b]))).cast("int")) > 0)
     row = frame.df.agg(*[F.coalesce(e, F.lit(False)).alias(f"d{i}")
                          for i, e in enumerate(exprs)]).first()

@@ -2,7 +2,6 @@
 traps 1, 2, 14, 18 and P2-P7."""
 
 import pytest
-from pyspark.sql import Row
 
 from starloom.operators import conform as cf
 from starloom.plans import warehouse as wh

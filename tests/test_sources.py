@@ -1,10 +1,6 @@
 """Sources on synthetic files: preamble/footer trim by content (S2/S3),
 sheet with banner lines, newline and case-colliding headers (S1), file order."""
 
-import os
-
-from pyspark.sql import functions as F
-
 from starloom.sources import read_sheet_csv, read_trimmed_csv
 
 
