@@ -96,8 +96,26 @@ def check_primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str]
 
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
-    return _union([foreign_key_violations(tables[f.child], f.child_key, tables[f.parent], f.parent_key,
-                                          f"{f.child}.{f.child_key}->{f.parent}.{f.parent_key}") for f in fks])
+    """All foreign keys, one anti-join per distinct parent key: the child keys
+    of every check on that parent are tagged, unioned and pre-aggregated per
+    (check, key), so a large parent (e.g. the crash fact, referenced five
+    times) is reduced to distinct keys and joined once."""
+    by_parent: dict[tuple[str, str], list[ForeignKey]] = {}
+    for f in fks:
+        by_parent.setdefault((f.parent, f.parent_key), []).append(f)
+    parts = []
+    for (parent, pkey), group in by_parent.items():
+        children = _union([
+            tables[f.child].where(F.col(f.child_key).isNotNull()).select(
+                F.lit(f"{f.child}.{f.child_key}->{f.parent}.{f.parent_key}").alias("check"),
+                F.col(f.child_key).alias("__k"))
+            for f in group])
+        keys = children.groupBy("check", "__k").agg(F.count(F.lit(1)).alias("n_rows"))
+        parents = tables[parent].select(F.col(pkey).alias("__k")).where(F.col("__k").isNotNull()).distinct()
+        orphans = keys.join(parents, "__k", "left_anti")
+        parts.append(orphans.select("check", F.col("__k").cast("string").alias("key"),
+                                    F.col("n_rows").cast("bigint")))
+    return _union(parts)
 
 
 class IntegrityError(Exception):
