@@ -121,8 +121,10 @@ def dim_lga(conformed: DataFrame, states: DataFrame, dwellings: DataFrame | None
     """
     combos = (conformed.groupBy(LGA_NAME, STATE, REMOTENESS)
               .agg(F.min(ROW).alias(ROW)))  # distinct, remembering first occurrence
-    # Join with the state dimension to take state_id (pandas: null matches null).
-    with_state = combos.join(states, combos[STATE].eqNullSafe(states["state_id"]), "left")
+    # Join with the state dimension to take state_id. pandas would also match a
+    # null State to a null state_id, but the only column taken is the key
+    # itself, so plain equality gives the same rows and a simpler join.
+    with_state = combos.join(states, combos[STATE] == states["state_id"], "left")
     lga = with_state.select(
         F.col(LGA_NAME).alias("lga_name"), F.col(REMOTENESS).alias("national_remoteness_area"),
         "state_id", F.col(ROW))
@@ -130,7 +132,8 @@ def dim_lga(conformed: DataFrame, states: DataFrame, dwellings: DataFrame | None
         dw = dwellings.select(F.col("lga_name").alias("__dw_name"),
                               F.col("dwelling_count").alias("__dw_count"),
                               F.col(ROW).alias("__dw_row") if ROW in dwellings.columns else F.lit(0).alias("__dw_row"))
-        lga = (lga.join(dw, lga["lga_name"].eqNullSafe(dw["__dw_name"]), "left")
+        # Null names are dropped just below, so null-matching cannot matter.
+        lga = (lga.join(dw, lga["lga_name"] == dw["__dw_name"], "left")
                .select("lga_name", "national_remoteness_area", "state_id",
                        F.col("__dw_count").alias("dwelling_count"),
                        F.struct(F.col(ROW).alias("a"), F.col("__dw_row").alias("b")).alias(ROW)))
@@ -212,7 +215,8 @@ def fact_crashes(conformed: DataFrame, lgas: DataFrame) -> DataFrame:
         F.col(LGA_NAME).alias("lga_name"), F.col(STATE).alias("state_id")).distinct()
     dated = base.select("crash_id", month_start("year", "month").alias("date_id"), "lga_name", "state_id")
     lk = lgas.select(F.col("lga_id"), F.col("lga_name").alias("__lga_name"))
-    joined = dated.join(lk, dated["lga_name"].eqNullSafe(lk["__lga_name"]), "left")
+    # The LGA dimension holds no null name, so null-matching cannot matter.
+    joined = dated.join(lk, dated["lga_name"] == lk["__lga_name"], "left")
     return joined.select("crash_id", "date_id", F.col("lga_id").cast("bigint"), "state_id")
 
 
