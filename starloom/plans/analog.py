@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.sources.tables import read_table
+from starloom.sources.tables import table_path
 
 ROW = "_row"
 
@@ -65,6 +65,20 @@ def _lookup(col: Column, mapping: dict[str, str]) -> Column:
     return expr
 
 
+class Tables:
+    """Each driver table read once per build (one listing and footer read);
+    every use selects its own columns, so scans stay pruned."""
+
+    def __init__(self, spark: SparkSession, base: str):
+        self.spark, self.base, self._dfs = spark, base, {}
+
+    def __call__(self, name: str, columns=None) -> DataFrame:
+        if name not in self._dfs:
+            self._dfs[name] = self.spark.read.parquet(table_path(self.base, name))
+        df = self._dfs[name]
+        return df.select(*columns) if columns else df
+
+
 @dataclass
 class Sheets:
     fatality: DataFrame
@@ -74,13 +88,13 @@ class Sheets:
     dwellings: DataFrame
 
 
-def fatality_sheet(spark: SparkSession, base: str) -> DataFrame:
+def fatality_sheet(t: Tables) -> DataFrame:
     # The source position (file, row index) ends the order key: it breaks
     # ties between identical lines deterministically, so ``_row`` is unique.
-    li = spark.read.parquet(f"{base.rstrip('/')}/lineitem.parquet").select(
+    li = t("lineitem").select(
         *LINEITEM_ORDER, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__pos"))
-    part = read_table(spark, base, "part", ("p_partkey", "p_type", "p_size"))
-    orders = read_table(spark, base, "orders", ("o_orderkey", "o_orderdate"))
+    part = t("part", ("p_partkey", "p_type", "p_size"))
+    orders = t("orders", ("o_orderkey", "o_orderdate"))
     j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
     ship = F.col("l_shipdate")
     return j.select(
@@ -99,14 +113,13 @@ def fatality_sheet(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def crash_sheet(spark: SparkSession, base: str) -> DataFrame:
-    orders = read_table(spark, base, "orders", ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-                                                "o_orderpriority"))
-    cust = read_table(spark, base, "customer", ("c_custkey", "c_nationkey", "c_mktsegment"))
-    nation = read_table(spark, base, "nation", ("n_nationkey", "n_name", "n_regionkey"))
-    region = read_table(spark, base, "region", ("r_regionkey", "r_name"))
-    li = read_table(spark, base, "lineitem", ("l_orderkey", "l_partkey", "l_quantity"))
-    part = read_table(spark, base, "part", ("p_partkey", "p_type"))
+def crash_sheet(t: Tables) -> DataFrame:
+    orders = t("orders", ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"))
+    cust = t("customer", ("c_custkey", "c_nationkey", "c_mktsegment"))
+    nation = t("nation", ("n_nationkey", "n_name", "n_regionkey"))
+    region = t("region", ("r_regionkey", "r_name"))
+    li = t("lineitem", ("l_orderkey", "l_partkey", "l_quantity"))
+    part = t("part", ("p_partkey", "p_type"))
     # Per-order line facts; partial aggregation runs before the shuffle.
     lines = (li.join(part, li.l_partkey == part.p_partkey).groupBy("l_orderkey").agg(
         F.max("l_quantity").alias("max_q"), F.max("p_type").alias("max_type"),
@@ -146,24 +159,24 @@ def crash_sheet(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def fatality_count_sheet(spark: SparkSession, base: str) -> DataFrame:
-    li = read_table(spark, base, "lineitem", ("l_shipdate",))
+def fatality_count_sheet(t: Tables) -> DataFrame:
+    li = t("lineitem", ("l_shipdate",))
     d = F.to_date("l_shipdate")
     return (li.groupBy(d.alias("Date")).agg(F.count(F.lit(1)).alias("Number Fatalities"))
             .select("Date", F.date_format("Date", "EEEE").alias("Dayweek"), "Number Fatalities",
                     F.col("Date").alias(ROW)))
 
 
-def crash_count_sheet(spark: SparkSession, base: str) -> DataFrame:
-    orders = read_table(spark, base, "orders", ("o_orderdate",))
+def crash_count_sheet(t: Tables) -> DataFrame:
+    orders = t("orders", ("o_orderdate",))
     d = F.to_date("o_orderdate")
     return (orders.groupBy(d.alias("Date")).agg(F.count(F.lit(1)).alias("Number of fatal crashes"))
             .select("Date", F.date_format("Date", "EEEE").alias("Dayweek"), "Number of fatal crashes"))
 
 
-def dwellings_sheet(spark: SparkSession, base: str) -> DataFrame:
-    cust = read_table(spark, base, "customer", ("c_custkey", "c_nationkey"))
-    nation = read_table(spark, base, "nation", ("n_nationkey", "n_name"))
+def dwellings_sheet(t: Tables) -> DataFrame:
+    cust = t("customer", ("c_custkey", "c_nationkey"))
+    nation = t("nation", ("n_nationkey", "n_name"))
     per = cust.groupBy("c_nationkey").agg(F.count("c_custkey").alias("dwelling_count"))
     return (per.join(nation, per.c_nationkey == nation.n_nationkey)
             .select(F.col("n_name").alias("lga_name"), F.col("dwelling_count").cast("bigint"),
@@ -171,5 +184,6 @@ def dwellings_sheet(spark: SparkSession, base: str) -> DataFrame:
 
 
 def sheets(spark: SparkSession, base: str) -> Sheets:
-    return Sheets(fatality_sheet(spark, base), crash_sheet(spark, base), fatality_count_sheet(spark, base),
-                  crash_count_sheet(spark, base), dwellings_sheet(spark, base))
+    t = Tables(spark, base)
+    return Sheets(fatality_sheet(t), crash_sheet(t), fatality_count_sheet(t), crash_count_sheet(t),
+                  dwellings_sheet(t))

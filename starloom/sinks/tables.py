@@ -28,7 +28,7 @@ BUCKET_KEY = "crash_id"
 
 
 def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path: str | None = None,
-                    buckets: int | None = None, parallel: int = 4) -> dict[str, str]:
+                    buckets: int | None = None, parallel: int = 8) -> dict[str, str]:
     """K2/K3: write every table (overwrite); returns table name -> catalog
     name (bucketed tables) or path (plain Parquet).
 
