@@ -120,3 +120,23 @@ def run(spark: SparkSession, tables: Mapping[str, DataFrame], name: str, year: i
     """Register the tables as views and run one statement."""
     register_views(tables)
     return spark.sql(STATEMENTS[name].format(year=year, after=after))
+
+
+def run_statement(spark: SparkSession, tables: Mapping[str, DataFrame], statement: str,
+                  double_quoted_identifiers: bool = True) -> DataFrame:
+    """Run one SQL statement as written for a PostgreSQL-style warehouse:
+    ``"Christmas Period"`` is read as a column name (ANSI
+    ``doubleQuotedIdentifiers``, set only while the statement is parsed and
+    analysed) and a trailing semicolon is accepted. Run statements one at a
+    time."""
+    register_views(tables)
+    key = "spark.sql.ansi.doubleQuotedIdentifiers"
+    previous = spark.conf.get(key, None)
+    spark.conf.set(key, str(double_quoted_identifiers).lower())
+    try:
+        return spark.sql(statement.strip().rstrip(";"))
+    finally:
+        if previous is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, previous)
