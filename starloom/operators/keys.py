@@ -90,8 +90,3 @@ def keep_first(df: DataFrame, key: str | Sequence[str], row_col: str = "_row") -
     agg = df.groupBy(*keys).agg(F.min_by(packed, F.col(row_col)).alias("__first"))
     return agg.select(*keys, *[F.col("__first")[c].alias(c) for c in others]).select(*df.columns)
 
-
-def first_occurrence_order(df: DataFrame, key: str | Sequence[str], row_col: str = "_row") -> DataFrame:
-    """Distinct ``key`` values with the ``row_col`` of their first occurrence."""
-    keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.min(row_col).alias(row_col))
