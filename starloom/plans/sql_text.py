@@ -12,10 +12,16 @@ the types match the DataFrame versions in :mod:`starloom.plans.reports`.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Registering the views and analysing a statement happen under one lock, so
+# concurrent callers with different tables cannot see each other's views
+# (analysis is eager: the returned DataFrame is bound to the right tables).
+_views_lock = threading.RLock()
+
 
 def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
     for name, df in tables.items():
@@ -118,8 +124,9 @@ STATEMENTS = {"q1": Q1, "q2": Q2, "q3": Q3, "q4": Q4, "q5": Q5, "q6": Q6}
 def run(spark: SparkSession, tables: Mapping[str, DataFrame], name: str, year: int = 2023,
         after: int = 2010) -> DataFrame:
     """Register the tables as views and run one statement."""
-    register_views(tables)
-    return spark.sql(STATEMENTS[name].format(year=year, after=after))
+    with _views_lock:
+        register_views(tables)
+        return spark.sql(STATEMENTS[name].format(year=year, after=after))
 
 
 def run_statement(spark: SparkSession, tables: Mapping[str, DataFrame], statement: str,
@@ -129,14 +136,15 @@ def run_statement(spark: SparkSession, tables: Mapping[str, DataFrame], statemen
     ``doubleQuotedIdentifiers``, set only while the statement is parsed and
     analysed) and a trailing semicolon is accepted. Run statements one at a
     time."""
-    register_views(tables)
     key = "spark.sql.ansi.doubleQuotedIdentifiers"
-    previous = spark.conf.get(key, None)
-    spark.conf.set(key, str(double_quoted_identifiers).lower())
-    try:
-        return spark.sql(statement.strip().rstrip(";"))
-    finally:
-        if previous is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, previous)
+    with _views_lock:
+        register_views(tables)
+        previous = spark.conf.get(key, None)
+        spark.conf.set(key, str(double_quoted_identifiers).lower())
+        try:
+            return spark.sql(statement.strip().rstrip(";"))
+        finally:
+            if previous is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, previous)
