@@ -47,11 +47,18 @@ def header_labels(spark: SparkSession, path: str, banner_lines: int, max_lines:
 
 
 def read_exported_sheet(spark: SparkSession, path: str, banner_lines: int, types: Mapping[str, str],
-                        key: str, date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """One exported sheet with header labels from the file itself."""
+                        key: str, date_format: str = "yyyy-MM-dd", dense_order: bool = False) -> DataFrame:
+    """One exported sheet with header labels from the file itself;
+    ``_row`` is the file position (or a dense ordinal, ``dense_order``)."""
     labels = header_labels(spark, path, banner_lines)
     ddl = ", ".join(f"`{lab.replace('`', '``')}` {types.get(lab, 'string')}" for lab in labels)
-    return read_sheet_csv(spark, path, ddl, key=key, options={"dateFormat": date_format})
+    return read_sheet_csv(spark, path, ddl, key=key, options={"dateFormat": date_format}, dense_order=dense_order)
+
+
+def key_is_unique(df: DataFrame, key: str) -> bool:
+    """True if no key value (null included) occurs twice: one aggregate over
+    the keys, at most one row returned."""
+    return df.groupBy(key).count().where("count > 1").limit(1).count() == 0
 
 
 @dataclass
@@ -73,8 +80,16 @@ class EtlResult:
 
 def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None = None,
         enforce_keys: bool = True) -> EtlResult:
-    fat = read_exported_sheet(spark, paths.fatalities, BANNERS["fatalities"], RECORD_TYPES, "Crash ID")
+    # The fatality sheet's row order is its file order: number the rows at the
+    # scan (no shuffle). If every crash key is unique the merge keeps one row
+    # per fatality, so that number is the fatality id and the build skips
+    # sorting the largest table; otherwise the general numbering runs.
+    fat = read_exported_sheet(spark, paths.fatalities, BANNERS["fatalities"], RECORD_TYPES, "Crash ID",
+                              dense_order=True)
     crash = read_exported_sheet(spark, paths.crashes, BANNERS["crashes"], RECORD_TYPES, "Crash ID")
+    one_to_one = key_is_unique(crash, "Crash ID")
+    if one_to_one:
+        crash = crash.drop("_row")
     fcount = read_exported_sheet(spark, paths.fatality_counts, BANNERS["fatality_counts"], COUNT_TYPES, "Date")
     ccount = read_exported_sheet(spark, paths.crash_counts, BANNERS["crash_counts"], COUNT_TYPES, "Date")
     dwell = read_trimmed_csv(spark, paths.dwellings) if paths.dwellings else None
@@ -85,7 +100,7 @@ def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None =
                  "crashxfatality_count": f"{out.rstrip('/')}/processed/crashxfatality_count"}
     write_csv(conformed.frame.drop(wh.ROW), processed["crashxfatality"])
     write_csv(counts.drop(wh.ROW), processed["crashxfatality_count"])
-    tables = wh.build_warehouse(conformed.frame, counts, dwell)
+    tables = wh.build_warehouse(conformed.frame, counts, dwell, fatality_ids_from_row=one_to_one)
     locations = write_warehouse(spark, tables, path=f"{out.rstrip('/')}/warehouse", buckets=buckets)
     if enforce_keys:
         from starloom.sinks.tables import read_warehouse

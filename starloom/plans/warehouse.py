@@ -197,12 +197,18 @@ def dim_road(conformed: DataFrame, sentinel: int = -9, undetermined: str = "Unde
 
 # --- facts ------------------------------------------------------------------
 
-def fact_fatalities(conformed: DataFrame) -> DataFrame:
-    """One row per fatality, dense 0-based ``fatality_id`` in source order."""
+def fact_fatalities(conformed: DataFrame, ids_from_row: bool = False) -> DataFrame:
+    """One row per fatality, dense 0-based ``fatality_id`` in source order.
+
+    With ``ids_from_row`` the caller guarantees that ``_row`` already is that
+    number (a dense ordinal of the fatality sheet, and a merge that kept one
+    row per fatality), so no sort of the largest table is needed."""
     base = conformed.select(
         F.col(CRASH_ID).alias("crash_id"),
         person_key(F.col(CRASH_ID), F.col("Age"), F.col("Gender"), F.col("Road User")).alias("person_id"),
         F.col(ROW))
+    if ids_from_row:
+        return base.select(F.col(ROW).cast("bigint").alias("fatality_id"), "person_id", "crash_id")
     ided = dense_ids(base, F.col(ROW), "fatality_id", break_ties=False)
     return ided.select(F.col("fatality_id").cast("bigint"), "person_id", F.col("crash_id"))
 
@@ -237,14 +243,15 @@ TABLES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_pe
 
 
 def build_warehouse(conformed: DataFrame, counts: DataFrame, dwellings: DataFrame | None,
-                    parallel: int = 3) -> dict[str, DataFrame]:
-    """All eleven tables as plans over the conformed frames. The three tables
-    with dense ids each run one checkpoint job while being built; those jobs
-    are independent and are submitted together."""
+                    parallel: int = 3, fatality_ids_from_row: bool = False) -> dict[str, DataFrame]:
+    """All eleven tables as plans over the conformed frames. The tables with
+    dense ids each run one checkpoint job while being built; those jobs are
+    independent and are submitted together. ``fatality_ids_from_row``: see
+    :func:`fact_fatalities`."""
     states = dim_state(conformed)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         f_lga = pool.submit(dim_lga, conformed, states, dwellings)
-        f_fat = pool.submit(fact_fatalities, conformed)
+        f_fat = pool.submit(fact_fatalities, conformed, fatality_ids_from_row)
         f_num = pool.submit(fact_number, counts)
         lgas, fatalities, numbers = f_lga.result(), f_fat.result(), f_num.result()
     return {

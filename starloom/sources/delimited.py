@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,12 +27,39 @@ def with_file_order(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("pos")))
 
 
+def file_ordinal(df: DataFrame, col: str = ROW) -> DataFrame:
+    """Dense 0-based ordinal in file order for a DataFrame read straight from
+    files (row-local filters allowed), without any shuffle or sort.
+
+    Within one file split, rows keep file order and their task assigns
+    ``monotonically_increasing_id`` in sequence; so per split (file path,
+    split start) the rows are ``min id .. min id + count - 1``. A table of one
+    row per split (bounded by the number of splits) gives each split's
+    offset by a prefix sum in (file, split) order; it is broadcast back. Scan
+    partitions are fixed by the file listing, so both passes see the same ids
+    and a recomputed task reproduces them.
+    """
+    meta = F.col("_metadata")
+    stamped = (df.withColumn("__file", meta.getField("file_path"))
+               .withColumn("__split", meta.getField("file_block_start"))
+               .withColumn("__mid", F.monotonically_increasing_id()))
+    splits = stamped.groupBy("__file", "__split").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
+    w = Window.orderBy("__file", "__split").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("__file", "__split", "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    out = stamped.join(F.broadcast(offsets), ["__file", "__split"])
+    return (out.withColumn(col, F.col("__off") + F.col("__mid") - F.col("__first"))
+            .drop("__file", "__split", "__mid", "__first", "__off"))
+
+
 def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key: str | None = None,
-                   multi_line: bool = False, options: dict[str, str] | None = None) -> DataFrame:
+                   multi_line: bool = False, options: dict[str, str] | None = None,
+                   dense_order: bool = False) -> DataFrame:
     """One exported sheet with an explicit schema (no inference pass).
 
     Labels come from the schema *by position*, so headers that differ only in
-    case or hold newlines survive. Banner lines above the header: the first
+    case or hold newlines survive. ``_row`` is the file position, or with
+    ``dense_order`` a dense 0-based ordinal (:func:`file_ordinal`). Banner
+    lines above the header: the first
     line of each file is skipped as the header; any further banner or header
     line fails the typed parse of ``key`` (give a non-string key column) and
     is dropped, so the rows kept do not depend on line positions.
@@ -45,9 +72,10 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key
     reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**(options or {}))
     if multi_line:
         reader = reader.option("multiLine", True)
-    df = with_file_order(reader.schema(internal).csv(path))
+    df = reader.schema(internal).csv(path)
     if key is not None:
         df = df.where(F.col(f"_c{labels.index(key)}").isNotNull())
+    df = file_ordinal(df) if dense_order else with_file_order(df)
     return df.toDF(*labels, ROW)
 
 

@@ -28,3 +28,26 @@ def test_sheet_with_banner_and_odd_headers(spark, tmp_path):
     assert df.columns[:4] == ["Crash ID", "Bus \nInvolvement", "Time of day", "Time of Day"]
     rows = [(r[0], r[1]) for r in df.orderBy("_row").collect()]
     assert rows == [(1, "Yes"), (2, "No")]
+
+
+def test_file_ordinal_dense_in_file_order(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from starloom.sources.delimited import file_ordinal
+    d = tmp_path / "many"
+    d.mkdir()
+    expected = []
+    for f in range(3):
+        rows = [f"{f},{i}" for i in range(500 + 37 * f)]
+        (d / f"part-{f}.csv").write_text("\n".join(rows) + "\n")
+        expected += [(f, i) for i in range(500 + 37 * f)]
+    # small splits: every file is cut into several scan partitions
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        df = spark.read.schema("f int, i int").csv(str(d)).where(F.col("i") % 7 != 3)
+        got = sorted((r._row, r.f, r.i) for r in file_ordinal(df).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    kept = [(f, i) for f, i in expected if i % 7 != 3]
+    assert [g[0] for g in got] == list(range(len(kept)))
+    assert [(g[1], g[2]) for g in got] == kept
