@@ -63,6 +63,18 @@ def read_warehouse(spark: SparkSession, locations: Mapping[str, str]) -> dict[st
     return out
 
 
+# The warehouse's tables.
+TABLE_NAMES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_person", "dim_event",
+               "dim_road", "fact_fatalities", "fact_crashes", "fact_number")
+
+
+def open_warehouse(spark: SparkSession, root: str, names=TABLE_NAMES) -> dict[str, DataFrame]:
+    """Open a warehouse written earlier, from any session: each table folder
+    is plain Parquet. (Within the writing session, or with a persistent
+    catalog, :func:`read_warehouse` also keeps the bucket layout.)"""
+    return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """K1: delimited export with a header, replacing what was there."""
     df.write.mode("overwrite").option("header", True).csv(path)

@@ -100,3 +100,17 @@ def test_fatality_ids_same_on_both_paths(spark, exported, tmp_path):
     fast = wh.fact_fatalities(wh.conform_records(fat_fast, crash).frame, ids_from_row=True)
     slow = wh.fact_fatalities(wh.conform_records(fat_slow, crash).frame)
     assert sorted(map(tuple, fast.collect())) == sorted(map(tuple, slow.collect()))
+
+
+def test_open_warehouse_from_folder_and_sql(spark, exported, tmp_path):
+    from starloom.plans import sql_text
+    from starloom.sinks.tables import open_warehouse
+    d = exported
+    paths = etl.SheetPaths(str(d / "fat.csv"), str(d / "crash.csv"), str(d / "fcount.csv"), str(d / "ccount.csv"),
+                           str(d / "dw.csv"))
+    out = tmp_path / "wh"
+    etl.run(spark, paths, str(out), enforce_keys=False)
+    t = open_warehouse(spark, str(out / "warehouse"))
+    n = sql_text.run_statement(spark, t, 'SELECT COUNT(*) AS n FROM fact_fatalities f '
+                                         'JOIN dim_event e ON f.crash_id = e.crash_id WHERE e."Easter Period" = \'No\';')
+    assert n.first().n == t["fact_fatalities"].count()
