@@ -108,6 +108,11 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     for lab in rlabs:
         cols.append(rf.col(lab))
         labels.append(lab + suffixes[1] if lab in overlap else lab)
+    suffixed = {lab + sfx for lab in overlap for sfx in suffixes}
+    clashes = sorted(lab for lab in suffixed if labels.count(lab) > 1)
+    if clashes:
+        # pandas refuses such a merge too
+        raise ValueError(f"suffixes would duplicate labels {clashes}")
     if ROW in lf.labels and ROW in rf.labels:
         cols.append(F.struct(lf.col(ROW).alias("l"), rf.col(ROW).alias("r")))
         labels.append(ROW)

@@ -76,3 +76,37 @@ def test_coerce_parse_matches_to_numeric(spark, ss):
     df = spark.createDataFrame([(s,) for s in ss], "s string")
     got = [r[0] for r in df.select(safe_double(F.col("s"))).collect()]
     assert [_norm(g) for g in got] == [_norm(w) for w in want]
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.integers(0, 3), vals, vals), min_size=1, max_size=6),
+       right=st.lists(st.tuples(st.integers(0, 3), vals, vals), min_size=0, max_size=6),
+       names=st.sampled_from([("a_x", "c"), ("a", "c_y"), ("a", "c"), ("max_x", "a")]))
+def test_keep_left_matches_pandas_relabel(spark, left, right, names):
+    ln = ["k", names[0], "b"]
+    rn = ["k", names[1], "b"]
+    lp = pd.DataFrame(left, columns=ln)
+    rp = pd.DataFrame(right, columns=rn)
+    merged = lp.merge(rp, on="k", how="left")
+    merged.columns = merged.columns.str.replace("_x", "").str.replace("_y", "")
+    want = merged.loc[:, ~merged.columns.duplicated()]
+    ls = spark.createDataFrame(left, f"k bigint, `{ln[1]}` string, b string")
+    rs = spark.createDataFrame(right, f"k bigint, `{rn[1]}` string, b string")
+    got = cf.keep_left(cf.merge(ls, rs, "k"))
+    assert list(got.labels) == list(want.columns)
+    rows = sorted((tuple(_norm(v) for v in r) for r in got.to_df().collect()), key=repr)
+    exp = sorted((tuple(_norm(v) for v in r) for r in want.itertuples(index=False)), key=repr)
+    assert rows == exp
+
+
+def test_merge_refuses_suffix_clash_like_pandas(spark):
+    import pytest
+
+    lp = pd.DataFrame([(1, "u")], columns=["k", "b"])
+    rp = pd.DataFrame([(1, "v", "w")], columns=["k", "b", "b_y"])
+    with pytest.raises(pd.errors.MergeError):
+        lp.merge(rp, on="k", how="left")
+    ls = spark.createDataFrame([(1, "u")], "k bigint, b string")
+    rs = spark.createDataFrame([(1, "v", "w")], "k bigint, b string, b_y string")
+    with pytest.raises(ValueError):
+        cf.merge(ls, rs, "k")
