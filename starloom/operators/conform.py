@@ -74,8 +74,37 @@ class LabeledFrame:
         return self.df.select(*[F.col(p).alias(lab) for p, lab in zip(self.physical, self.labels)])
 
 
+def salted_join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str, buckets: int,
+                spread: Column) -> DataFrame:
+    """Equi-join ``left.lk == right.rk`` that splits hot left keys.
+
+    A key is hot when it holds more than 1/``buckets`` of the left rows, so
+    there are at most ``buckets`` hot keys: that bounded table (found by one
+    aggregate, total as a scalar subquery) is broadcast to both sides. A hot
+    left row gets salt ``pmod(hash(spread), buckets)`` - ``spread`` should be
+    deterministic per row (e.g. its source position), so a recomputed task
+    salts identically - and every right row of a hot key is repeated once per
+    salt. Cold rows keep salt 0. Each left row meets each right row of its key
+    exactly once, so the result equals the plain join; only the work of a hot
+    key is spread over ``buckets`` tasks. Null keys never match here.
+    """
+    counts = left.where(F.col(lk).isNotNull()).groupBy(F.col(lk).alias("__hk")).agg(F.count(F.lit(1)).alias("__c"))
+    total = left.agg(F.count(F.lit(1))).scalar()
+    hot = F.broadcast(counts.where(F.col("__c") * buckets > total).select("__hk", F.lit(True).alias("__hot")))
+    ls = (left.join(hot, F.col(lk) == F.col("__hk"), "left")
+          .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(buckets))).otherwise(0))
+          .drop("__hk", "__hot"))
+    rs = (right.join(hot, F.col(rk) == F.col("__hk"), "left")
+          .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+          .drop("__hk", "__hot"))
+    cond = (F.col(lk) == F.col(rk)) & (ls["__salt"] == rs["__salt"])
+    return ls.join(rs, cond, how).drop(ls["__salt"]).drop(rs["__salt"])
+
+
 def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str = "left",
-          suffixes: tuple[str, str] = ("_x", "_y"), null_safe: bool = True) -> LabeledFrame:
+          suffixes: tuple[str, str] = ("_x", "_y"), null_safe: bool = True,
+          salt_buckets: int | None = None) -> LabeledFrame:
     """``left.merge(right, on=..., how=...)`` with pandas labelling.
 
     Output labels: all left labels, then the right labels except the key;
@@ -83,6 +112,10 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     ``null_safe`` a null key matches a null key, as pandas does. If both
     inputs carry ``_row``, the result's ``_row`` orders by left then right,
     the order pandas produces; otherwise the left ``_row`` is kept.
+
+    ``salt_buckets`` splits keys that hold a large share of the left rows over
+    that many tasks (:func:`salted_join`, for ``how='left'`` or ``'inner'``);
+    without it, skewed partitions are left to AQE's skew-join handling.
     """
     lkey, rkey = (on, on) if isinstance(on, str) else on
     lf, rf = LabeledFrame.of(left, "l"), LabeledFrame.of(right, "r")
@@ -90,7 +123,17 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     rlabs = [lab for lab in rf.labels if lab != ROW and not (lab == rkey and lkey == rkey)]
     overlap = set(llabs) & set(rlabs)
     lk, rk = lf.col(lkey), rf.col(rkey)
-    if null_safe:
+    if salt_buckets and salt_buckets > 1:
+        if how not in ("left", "inner"):
+            raise ValueError("salted merge supports how='left' or 'inner'")
+        lname, rname = lf.physical[lf.labels.index(lkey)], rf.physical[rf.labels.index(rkey)]
+        spread = lf.col(ROW) if ROW in lf.labels else F.struct(*[F.col(c) for c in lf.physical])
+        joined = salted_join(lf.df.where(lk.isNotNull()), rf.df.where(rk.isNotNull()), lname, rname, how,
+                             salt_buckets, spread)
+        null_part = lf.df.where(lk.isNull()).join(rf.df.where(rk.isNull()), lk.eqNullSafe(rk), how) \
+            if null_safe else lf.df.where(lk.isNull()).join(rf.df.where(F.lit(False)), lk == rk, how)
+        joined = joined.unionByName(null_part)
+    elif null_safe:
         # Non-null keys join with a plain equi-join, which keeps an existing
         # partitioning on the key (a ``<=>`` join re-shuffles both sides on
         # rewritten keys). Null-key rows join among themselves; their scans

@@ -79,7 +79,7 @@ class EtlResult:
 
 
 def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None = None,
-        enforce_keys: bool = True) -> EtlResult:
+        enforce_keys: bool = True, salt_buckets: int | None = None) -> EtlResult:
     # The fatality sheet's row order is its file order: number the rows at the
     # scan (no shuffle). If every crash key is unique the merge keeps one row
     # per fatality, so that number is the fatality id and the build skips
@@ -94,7 +94,7 @@ def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None =
     ccount = read_exported_sheet(spark, paths.crash_counts, BANNERS["crash_counts"], COUNT_TYPES, "Date")
     dwell = read_trimmed_csv(spark, paths.dwellings) if paths.dwellings else None
 
-    conformed = wh.conform_records(fat, crash)
+    conformed = wh.conform_records(fat, crash, salt_buckets=salt_buckets)
     counts = wh.conform_counts(fcount, ccount)
     processed = {"crashxfatality": f"{out.rstrip('/')}/processed/crashxfatality",
                  "crashxfatality_count": f"{out.rstrip('/')}/processed/crashxfatality_count"}
@@ -118,10 +118,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--dwellings")
     ap.add_argument("--out", required=True)
     ap.add_argument("--no-key-check", action="store_true")
+    ap.add_argument("--salt-buckets", type=int, help="split crash keys holding over 1/N of the fatalities")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     res = run(spark, SheetPaths(a.fatalities, a.crashes, a.fatality_counts, a.crash_counts, a.dwellings), a.out,
-              enforce_keys=not a.no_key_check)
+              enforce_keys=not a.no_key_check, salt_buckets=a.salt_buckets)
     for name, loc in res.tables.items():
         print(f"{name}: {loc}")
 

@@ -54,7 +54,8 @@ class Conformed:
 
 def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
                     drop: tuple[str, ...] = (DROPPED_DUPLICATE,), upper: tuple[str, ...] = (STATE,),
-                    null_safe: bool = True, materialize: bool = True) -> Conformed:
+                    null_safe: bool = True, materialize: bool = True,
+                    salt_buckets: int | None = None) -> Conformed:
     """B1: fatality LEFT JOIN crash on the key (fatalities drive the join; a
     crash without a fatality is lost), clean header newlines, resolve labels
     that collide after cleaning, report and resolve ``_x``/``_y`` overlaps with
@@ -67,7 +68,7 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
     copy, each scanning only its own columns, instead of re-running the join.
     Physical column names are positional, so labels with spaces, newlines or
     case collisions need no escaping."""
-    merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe)
+    merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe, salt_buckets=salt_buckets)
     if materialize:
         spark = merged.df.sparkSession
         path = scratch_path(spark, "conformed")

@@ -108,3 +108,32 @@ def test_conform_counts_first_copy_wins(spark):
     assert out.columns == ["Date", "Dayweek", "Number Fatalities", "Number of fatal crashes", "_row"]
     got = sorted(tuple(r)[:4] for r in out.collect())
     assert got == [(1, "Mon", 3, 2), (2, "Tue", 4, None)]
+
+
+def test_salted_merge_equals_plain_and_spreads_hot_key(spark):
+    from pyspark.sql import functions as F
+    # one crash holds a third of the fatalities
+    fat = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 400 + 100).cast("bigint").alias("Crash ID"),
+        (F.col("id") % 2).cast("string").alias("Gender"), F.col("id").alias("_row"))
+    fat = fat.unionByName(spark.createDataFrame([(None, "1", 99999)], "`Crash ID` bigint, Gender string, _row bigint"))
+    crash = spark.range(0, 500).select(F.col("id").alias("Crash ID"), (F.col("id") % 5).cast("string").alias("State"))
+    crash = crash.unionByName(spark.createDataFrame([(None, "nullstate")], "`Crash ID` bigint, State string"))
+    plain = cf.merge(fat, crash, "Crash ID").to_df()
+    salted_frame = cf.merge(fat, crash, "Crash ID", salt_buckets=8)
+    salted = salted_frame.to_df()
+    assert sorted(map(tuple, plain.collect()), key=repr) == sorted(map(tuple, salted.collect()), key=repr)
+    assert salted_frame.labels == cf.merge(fat, crash, "Crash ID").labels
+    # with a shuffled join (no broadcast, no partition coalescing) the hot
+    # key's rows are joined in several tasks
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        again = cf.merge(fat, crash, "Crash ID", salt_buckets=8).to_df()
+        tasks = again.where(F.col("Crash ID") == 7).select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert tasks > 1
