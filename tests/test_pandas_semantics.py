@@ -110,3 +110,19 @@ def test_merge_refuses_suffix_clash_like_pandas(spark):
     rs = spark.createDataFrame([(1, "v", "w")], "k bigint, b string, b_y string")
     with pytest.raises(ValueError):
         cf.merge(ls, rs, "k")
+
+
+@SETTINGS
+@given(left=st.lists(st.tuples(st.integers(0, 3), vals), min_size=1, max_size=8),
+       right=st.lists(st.tuples(st.integers(0, 3), vals), min_size=0, max_size=4, unique_by=lambda t: t[0]))
+def test_conflict_report_matches_pandas_ne(spark, left, right):
+    lp = pd.DataFrame(left, columns=["k", "x"])
+    rp = pd.DataFrame(right, columns=["k", "x"]).astype({"k": "int64"})
+    m = lp.merge(rp, on="k", how="left")
+    diff = m[m["x_x"] != m["x_y"]]
+    want = sorted(((int(r.k), _norm(r.x_x), _norm(r.x_y)) for r in diff.itertuples(index=False)), key=repr)
+    ls = spark.createDataFrame(left, "k bigint, x string")
+    rs = spark.createDataFrame(right, "k bigint, x string")
+    rep = cf.conflict_report(cf.merge(ls, rs, "k"), "k")
+    got = sorted(((r.key, r.left_value, r.right_value) for r in rep.collect()), key=repr)
+    assert got == want
