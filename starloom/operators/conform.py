@@ -185,24 +185,36 @@ def _pairs_by_label(frame: LabeledFrame) -> list[tuple[int, int]]:
     return pairs
 
 
-def duplicate_label_differences(frame: LabeledFrame) -> dict[tuple[int, int], bool]:
-    """For each later copy of a label: does it differ from the first copy on
-    any row (null equals null)? One aggregate pass over the data, returning
-    one boolean per pair (bounded by the number of columns)."""
+def duplicate_label_checks(frame: LabeledFrame) -> tuple[list[tuple[int, int]], list[Column]]:
+    """The (first, later) index pairs of repeated labels and, per pair, an
+    aggregate that is true when the two copies differ on any row (null equals
+    null; different types never compare equal, as with pandas dtypes)."""
     pairs = _pairs_by_label(frame)
-    if not pairs:
-        return {}
     phys = frame.physical
     types = dict(frame.df.dtypes)
     exprs = []
-    for a, b in pairs:
+    for i, (a, b) in enumerate(pairs):
         if types[phys[a]] != types[phys[b]]:
-            exprs.append(F.lit(True))  # different types never compare equal (pandas dtype rule)
+            e = F.lit(True)
         else:
-            exprs.append(F.max((~F.col(phys[a]).eqNullSafe(F.col(phys[b]))).cast("int")) > 0)
-    row = frame.df.agg(*[F.coalesce(e, F.lit(False)).alias(f"d{i}")
-                         for i, e in enumerate(exprs)]).first()
-    return {pair: bool(row[f"d{i}"]) for i, pair in enumerate(pairs)}
+            e = F.coalesce(F.max((~F.col(phys[a]).eqNullSafe(F.col(phys[b]))).cast("int")) > 0, F.lit(False))
+        exprs.append(e.alias(f"d{i}"))
+    return pairs, exprs
+
+
+def decisions_from(pairs: list[tuple[int, int]], values) -> dict[tuple[int, int], bool]:
+    return {pair: bool(values[f"d{i}"]) for i, pair in enumerate(pairs)}
+
+
+def duplicate_label_differences(frame: LabeledFrame) -> dict[tuple[int, int], bool]:
+    """For each later copy of a label: does it differ from the first copy on
+    any row? One aggregate pass, one boolean per pair (bounded by the number
+    of columns). See :func:`starloom.plans.warehouse.conform_records` for the
+    same check folded into a write with ``DataFrame.observe``."""
+    pairs, exprs = duplicate_label_checks(frame)
+    if not pairs:
+        return {}
+    return decisions_from(pairs, frame.df.agg(*exprs).first())
 
 
 def resolve_duplicate_labels(frame: LabeledFrame, dup_suffix: str = "_dup",

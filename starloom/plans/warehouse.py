@@ -14,7 +14,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import (
@@ -63,19 +63,31 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
     duplicate, upper-case the state code.
 
     With ``materialize`` the joined frame is written once as Parquet under
-    ``spark.checkpoint.dir`` (the reference exports it too): the
-    duplicate-label decision and every table built downstream then read that
-    copy, each scanning only its own columns, instead of re-running the join.
+    ``spark.checkpoint.dir`` (the reference exports it too); the
+    duplicate-label decision is computed during that write, and every table
+    built downstream reads the copy, each scanning only its own columns,
+    instead of re-running the join.
     Physical column names are positional, so labels with spaces, newlines or
     case collisions need no escaping."""
     merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe, salt_buckets=salt_buckets)
     if materialize:
+        # The duplicate-label checks ride along with the write as observed
+        # metrics (DataFrame.observe): no separate pass over the data.
         spark = merged.df.sparkSession
         path = scratch_path(spark, "conformed")
-        merged.df.write.mode("overwrite").parquet(path)
+        pairs, checks = cf.duplicate_label_checks(cf.clean_labels(merged))
+        if pairs:
+            obs = Observation("duplicate_labels")
+            merged.df.observe(obs, *checks).write.mode("overwrite").parquet(path)
+            decisions = cf.decisions_from(pairs, obs.get)
+        else:
+            merged.df.write.mode("overwrite").parquet(path)
+            decisions = {}
         merged = cf.LabeledFrame(spark.read.parquet(path), merged.labels)
-    cleaned = cf.clean_labels(merged)
-    decisions = cf.duplicate_label_differences(cleaned)
+        cleaned = cf.clean_labels(merged)
+    else:
+        cleaned = cf.clean_labels(merged)
+        decisions = cf.duplicate_label_differences(cleaned)
     deduped = cf.resolve_duplicate_labels(cleaned, differences=decisions)
     conflicts = cf.conflict_report(deduped, key)
     resolved = cf.drop_labels(cf.keep_right(deduped), drop)
