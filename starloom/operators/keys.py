@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import ensure_checkpoint_dir
+from starloom.session import scratch_path
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -44,13 +44,12 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
 
     Range bounds come from sampling, and sampling a shuffled input depends on
     the order rows arrive in, so two evaluations of the range exchange may
-    partition differently. The positioned rows are therefore written once
-    with a reliable ``checkpoint()`` (to ``spark.checkpoint.dir``); counts and
-    ids both come from that one copy, which also survives executor loss.
+    partition differently. The positioned rows are therefore written once (as
+    Parquet under ``spark.checkpoint.dir``); counts and ids both come from
+    that one copy, which also survives executor loss.
     """
     order_cols = _cols(order)
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     work = df
     keys = list(order_cols)
     if break_ties:
@@ -58,14 +57,18 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
         keys.append(F.col("__tie"))
     # Without an explicit count the range exchange starts from the session's
     # shuffle partition count and AQE may merge adjacent ranges, which keeps
-    # the global order; the ids are stamped once, in the checkpoint job.
+    # the global order; the ids are stamped once, in the job writing the copy.
     ranged = (work.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
               .sortWithinPartitions(*keys)
               .withColumn("__mid", F.monotonically_increasing_id())
               .withColumn("__pid", F.shiftright(F.col("__mid"), 33))
               .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)))
-              .drop("__mid", "__tie")
-              .checkpoint(eager=True))
+              .drop("__mid", "__tie"))
+    # One written copy (Parquet under spark.checkpoint.dir): counts and ids
+    # both read it, the count pass only its partition-id column.
+    path = scratch_path(spark, "dense-ids")
+    ranged.write.mode("overwrite").parquet(path)
+    ranged = spark.read.parquet(path)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # The counts table has one row per range partition: bounded by n.
     offsets = counts.select(
