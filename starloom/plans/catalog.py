@@ -278,6 +278,41 @@ def m2_one_hot(spark, base):
     return rules.one_hot(tx, items)
 
 
+def w1_rank_all(spark, base):
+    """Every (year, LGA) with its rank in the year."""
+    return reports.rank_lga_per_year(stored_warehouse(spark, base))
+
+
+def p3_duplicate_columns(spark, base):
+    """For each label that repeats after header cleaning, whether the
+    later copy was dropped (equal values) or renamed ``_dup`` - decided by
+    the data in the conform step."""
+    b = build(spark, base)
+    merged_labels = cf.clean_labels(cf.merge(b.sheets.fatality, b.sheets.crash, "Crash ID")).labels
+    rows = [(merged_labels[later], "renamed" if differs else "dropped")
+            for (_, later), differs in sorted(b.conformed.decisions.items())]
+    return spark.createDataFrame(rows, "label string, action string")
+
+
+def j4_no_dwellings(spark, base):
+    """The LGA dimension built without the optional dwellings input: the
+    count column is present and null."""
+    b = build(spark, base)
+    frame = b.conformed.frame
+    return wh.dim_lga(frame, wh.dim_state(frame), None)
+
+
+def k2_loaded_counts(spark, base):
+    """Rows in each of the eleven loaded tables."""
+    stored = stored_warehouse(spark, base)
+    parts = [stored[t].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+             for t in wh.TABLES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {
         "b1_conform_records": b1_conform_records,
@@ -290,8 +325,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out.update({
         "a6_keep_first": a6_keep_first,
         "w3_dense_ids": w3_dense_ids,
+        "k2_loaded_counts": k2_loaded_counts,
         "k5_primary_keys": k5_primary_keys,
         "k6_foreign_keys": k6_foreign_keys,
+        "w1_rank_all": w1_rank_all,
+        "p3_duplicate_columns": p3_duplicate_columns,
+        "j4_no_dwellings": j4_no_dwellings,
         "q1_top_lga": q1_top_lga,
         "q2_state_crashes": q2_state_crashes,
         "q3_weekday_time": q3_weekday_time,

@@ -72,7 +72,8 @@ crash AS (
          CASE WHEN ln.max_q IS NULL THEN NULL WHEN o.o_orderstatus = 'P' THEN '-9'
               WHEN ln.max_q < 5 THEN '<40' ELSE CAST(CAST(ln.max_q * 4 AS BIGINT) AS VARCHAR) END AS speed,
          CASE WHEN ln.max_type = 'STANDARD' THEN 'Undetermined' ELSE ln.max_type END AS road_type,
-         CASE WHEN month(o.o_orderdate) = 4 THEN 'Yes' ELSE 'No' END AS easter
+         CASE WHEN month(o.o_orderdate) = 4 THEN 'Yes' ELSE 'No' END AS easter,
+         {_xmas('o.o_orderdate')} AS c_christmas
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
   LEFT JOIN lines ln ON o.o_orderkey = ln.l_orderkey
@@ -81,7 +82,7 @@ cf AS (
   SELECT f.crash_id, f.dayweek, f.gender, f.age, f.age_group, f.road_user, f.christmas,
          c.state, c.year, c.month, c.dayweek_dup, c.crash_time, c.time_of_day, c.lga_name, c.remoteness,
          c.bus, c.heavy, c.artic, c.speed, c.road_type, c.easter, f.rn,
-         f.f_year, f.f_month, f.f_road_type
+         f.f_year, f.f_month, f.f_road_type, c.c_christmas
   FROM fat f LEFT JOIN crash c ON f.crash_id IS NOT DISTINCT FROM c.crash_id
 ),
 fcnt AS (SELECT CAST(l_shipdate AS DATE) AS d, count(*) AS nf FROM lineitem GROUP BY 1),
@@ -361,6 +362,36 @@ FROM (
   GROUP BY 1, 2)
 """
 
+_RANK_ALL = """
+SELECT year, lga_name, total_fatalities,
+       CAST(rank() OVER (PARTITION BY year ORDER BY total_fatalities DESC) AS INTEGER) AS rank_num
+FROM (
+  SELECT CAST(dd.year AS INTEGER) AS year, lg.lga_name, CAST(count(ff.fatality_id) AS BIGINT) AS total_fatalities
+  FROM fact_fatalities ff, fact_crashes fc, dim_date dd, dim_lga lg
+  WHERE ff.crash_id = fc.crash_id AND fc.date_id = dd.date_id AND fc.lga_id = lg.lga_id
+    AND lg.lga_name <> 'Unknown'
+  GROUP BY 1, 2)
+"""
+
+# The two labels that repeat after header cleaning, and whether their copies
+# differ anywhere (null equals null) - decided from the data here as well.
+_DUP_COLUMNS = """
+SELECT 'Dayweek' AS label,
+       CASE WHEN bool_or(dayweek IS DISTINCT FROM dayweek_dup) THEN 'renamed' ELSE 'dropped' END AS action FROM cf
+UNION ALL
+SELECT 'Christmas Period',
+       CASE WHEN bool_or(christmas IS DISTINCT FROM c_christmas) THEN 'renamed' ELSE 'dropped' END FROM cf
+"""
+
+_NO_DWELLINGS = """
+SELECT lga_id, lga_name, national_remoteness_area, CAST(NULL AS BIGINT) AS dwelling_count, state_id FROM dim_lga
+"""
+
+_LOADED = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM {t}"
+    for t in ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_person", "dim_event", "dim_road",
+              "fact_fatalities", "fact_crashes", "fact_number"))
+
 _KEEP_FIRST = """
 SELECT crash_id, road_user, age FROM (
   SELECT crash_id, road_user, age, row_number() OVER (PARTITION BY crash_id ORDER BY rn) AS k FROM fat
@@ -407,6 +438,10 @@ def oracle_sql() -> dict[str, str]:
         **wh,
         "a6_keep_first": _KEEP_FIRST,
         "w3_dense_ids": _DENSE,
+        "k2_loaded_counts": _LOADED,
+        "w1_rank_all": _RANK_ALL,
+        "p3_duplicate_columns": _DUP_COLUMNS,
+        "j4_no_dwellings": _NO_DWELLINGS,
         "k5_primary_keys": _PK,
         "k6_foreign_keys": _FK,
         "q1_top_lga": _Q1,

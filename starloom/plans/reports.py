@@ -34,9 +34,9 @@ def _fatalities_per_crash(tables: Tables, count_col: str | None = "fatality_id")
     return ff.groupBy("crash_id").agg(counter.alias("n"))
 
 
-def q1_top_lga_per_year(tables: Tables, exclude: str = "Unknown") -> DataFrame:
-    """Q1: LGA(s) with the most fatalities in each year; ties all kept
-    (``RANK() ... = 1``)."""
+def rank_lga_per_year(tables: Tables, exclude: str = "Unknown") -> DataFrame:
+    """Fatalities per (year, LGA) with ``RANK()`` within the year, most
+    first; ties share a rank."""
     per_crash = _fatalities_per_crash(tables)
     fc = tables["fact_crashes"].select("crash_id", "date_id", "lga_id")
     dd = tables["dim_date"].select("date_id", "year")
@@ -44,9 +44,15 @@ def q1_top_lga_per_year(tables: Tables, exclude: str = "Unknown") -> DataFrame:
     grouped = (per_crash.join(fc, "crash_id").join(dd, "date_id").join(lga, "lga_id")
                .groupBy("year", "lga_name").agg(F.sum("n").cast("bigint").alias("total_fatalities")))
     w = Window.partitionBy("year").orderBy(F.desc("total_fatalities"))
-    return (grouped.withColumn("rank_num", F.rank().over(w)).where(F.col("rank_num") == 1)
-            .select(F.col("year").cast("int").alias("year"), "lga_name", "total_fatalities")
-            .orderBy("year"))
+    return grouped.select(F.col("year").cast("int").alias("year"), "lga_name", "total_fatalities",
+                          F.rank().over(w).alias("rank_num"))
+
+
+def q1_top_lga_per_year(tables: Tables, exclude: str = "Unknown") -> DataFrame:
+    """Q1: LGA(s) with the most fatalities in each year; ties all kept
+    (``RANK() ... = 1``, planned as a per-year group limit)."""
+    return (rank_lga_per_year(tables, exclude).where(F.col("rank_num") == 1)
+            .select("year", "lga_name", "total_fatalities").orderBy("year"))
 
 
 def q2_crashes_by_state(tables: Tables, year: int = 2023) -> DataFrame:
