@@ -10,5 +10,6 @@ from starloom.functions.scalar import (  # noqa: F401
     month_start,
     null_if_in,
     safe_bigint,
+    safe_double,
     weekday_name,
 )
