@@ -58,7 +58,7 @@ def test_entry_smoke(spark):
 def test_query_matches_oracle_without_broadcasts(spark, con, name):
     """The plans used at scale (no automatic broadcasts) give the same rows."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
+    old = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
@@ -66,7 +66,10 @@ def test_query_matches_oracle_without_broadcasts(spark, con, name):
         srows = [tuple(r) for r in df.collect()]
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     cur = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     order = sorted(ocols)
