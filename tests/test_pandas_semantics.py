@@ -126,3 +126,14 @@ def test_conflict_report_matches_pandas_ne(spark, left, right):
     rep = cf.conflict_report(cf.merge(ls, rs, "k"), "k")
     got = sorted(((r.key, r.left_value, r.right_value) for r in rep.collect()), key=repr)
     assert got == want
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["a", "b"])), min_size=1, max_size=40),
+       parts=st.integers(1, 7))
+def test_dense_ids_match_enumeration(spark, rows, parts):
+    from starloom.operators.keys import dense_ids
+    want = sorted((i, k, v) for i, (k, v) in enumerate(sorted(rows)))
+    df = spark.createDataFrame(rows, "k int, v string").repartition(parts)
+    got = sorted((r.rid, r.k, r.v) for r in dense_ids(df, ["k", "v"], "rid").collect())
+    assert got == want   # copies of one row are interchangeable, so the lists agree

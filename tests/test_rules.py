@@ -54,14 +54,15 @@ def fixture_tx(spark):
     return data, df.withColumn("items", F.array_sort(F.array(*ATTRS)))
 
 
-def test_itemsets_and_rules_match_brute_force(fixture_tx):
+@pytest.mark.parametrize("min_support,max_len", [(0.05, 3), (0.1, 2), (0.02, 4)])
+def test_itemsets_and_rules_match_brute_force(fixture_tx, min_support, max_len):
     data, tx = fixture_tx
-    freq, expected = brute(data, 0.05, 3)
-    its = rules.frequent_itemsets(tx, ATTRS, 0.05, 3)
+    freq, expected = brute(data, min_support, max_len)
+    its = rules.frequent_itemsets(tx, ATTRS, min_support, max_len)
     got_sets = {tuple(r["items"]): r["count"] for r in its.collect()}
     assert got_sets == freq
-    assert len(got_sets) <= rules.itemset_bound(len(ATTRS), 0.05, 3)
-    rl = rules.association_rules(its, bound=rules.itemset_bound(len(ATTRS), 0.05, 3))
+    assert len(got_sets) <= rules.itemset_bound(len(ATTRS), min_support, max_len)
+    rl = rules.association_rules(its, bound=rules.itemset_bound(len(ATTRS), min_support, max_len))
     got = {(tuple(r.antecedents), tuple(r.consequents)): (
         r["antecedent support"], r["consequent support"], r.support, r.confidence, r.lift, r.leverage,
         r.conviction, r.zhangs_metric) for r in rl.collect()}
