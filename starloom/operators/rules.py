@@ -80,11 +80,23 @@ def itemset_bound(n_attributes: int, min_support: float, max_len: int) -> int:
     return sum(floor(comb(n_attributes, k) / min_support) for k in range(1, max_len + 1))
 
 
+MAX_PROJECTIONS = 256
+
+
 def frequent_itemsets(tx: DataFrame, attributes: Sequence[str] = ATTRIBUTES, min_support: float = 0.05,
-                      max_len: int = 3) -> DataFrame:
+                      max_len: int = 3, method: str = "auto") -> DataFrame:
     """M3: itemsets (sorted array ``items``) with ``count``, ``support``,
-    ``size``; support >= ``min_support``, size <= ``max_len``."""
+    ``size``; support >= ``min_support``, size <= ``max_len``.
+
+    ``method='subsets'`` counts every attribute subset of each pre-aggregated
+    combination (see module doc); ``'fpgrowth'`` runs MLlib's distributed
+    FP-Growth on the ``items`` arrays and keeps itemsets up to ``max_len``,
+    for transactions too wide to enumerate subsets; ``'auto'`` picks
+    FP-Growth above :data:`MAX_PROJECTIONS` subsets per row."""
     attrs = list(attributes)
+    n_proj = sum(comb(len(attrs), k) for k in range(1, max_len + 1))
+    if method == "fpgrowth" or (method == "auto" and n_proj > MAX_PROJECTIONS):
+        return _fpgrowth_itemsets(tx, min_support, max_len)
     combos = tx.groupBy(*attrs).agg(F.count(F.lit(1)).alias("__cnt"))
     subsets = [s for k in range(1, max_len + 1) for s in combinations(attrs, k)]
     projections = F.array(*[F.array_sort(F.array(*[F.col(a) for a in s])) for s in subsets])
@@ -97,6 +109,17 @@ def frequent_itemsets(tx: DataFrame, attributes: Sequence[str] = ATTRIBUTES, min
             .where(F.col("support") >= F.lit(min_support)))
 
 
+def _fpgrowth_itemsets(tx: DataFrame, min_support: float, max_len: int) -> DataFrame:
+    from pyspark.ml.fpm import FPGrowth
+
+    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(tx.select("items"))
+    total = tx.agg(F.count(F.lit(1))).scalar()
+    found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("count"))
+    return (found.where(F.size("items") <= max_len)
+            .select("items", "count", (F.col("count") / total).alias("support"), F.size("items").alias("size"))
+            .where(F.col("support") >= F.lit(min_support)))
+
+
 def _subset(items: Column, mask: Column, inside: bool) -> Column:
     bit = lambda i: F.call_function("shiftright", mask, i).bitwiseAND(F.lit(1))
     return F.filter(items, lambda x, i: (bit(i) == 1) if inside else (bit(i) == 0))

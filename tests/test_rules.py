@@ -104,3 +104,15 @@ def test_road_user_filter_and_top(fixture_tx, spark):
     top = rules.top_rules(only_b, 5).collect()
     lifts = [r.lift for r in top]
     assert len(top) == min(5, only_b.count()) and lifts == sorted(lifts, reverse=True)
+
+
+def test_fpgrowth_method_equals_subsets(fixture_tx):
+    _, tx = fixture_tx
+    a = rules.frequent_itemsets(tx, ATTRS, 0.05, 3, method="subsets")
+    b = rules.frequent_itemsets(tx, ATTRS, 0.05, 3, method="fpgrowth")
+    rows = lambda d: sorted((tuple(r["items"]), r["count"], r["support"], r["size"]) for r in d.collect())
+    assert rows(a) == rows(b)
+    ra = rules.association_rules(a)
+    rb = rules.association_rules(b)
+    key = lambda d: sorted((tuple(r.antecedents), tuple(r.consequents), r.lift) for r in d.collect())
+    assert key(ra) == key(rb)
