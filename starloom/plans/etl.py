@@ -123,8 +123,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     res = run(spark, SheetPaths(a.fatalities, a.crashes, a.fatality_counts, a.crash_counts, a.dwellings), a.out,
               enforce_keys=not a.no_key_check, salt_buckets=a.salt_buckets)
-    for name, loc in res.tables.items():
-        print(f"{name}: {loc}")
+    for name in res.tables:
+        print(f"{name}: {a.out.rstrip('/')}/warehouse/{name}")
+    for name, path in res.processed.items():
+        print(f"processed {name}: {path}")
 
 
 if __name__ == "__main__":
