@@ -36,22 +36,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 128 << 20,
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20,
                  scan_split_bytes: int = 512 << 20) -> dict[str, str]:
     """Session settings sized from the input volume, for a cluster session.
 
     Shuffles start with about one partition per ``target_partition_bytes`` of
     input (the widest shuffle here moves at most about the input volume), so
-    a partition fits comfortably in executor memory and spills little; AQE
-    then merges small partitions toward the same size and splits skewed join
-    partitions. Scans read ``scan_split_bytes`` per task.
+    a partition fits in executor memory with little spill while the number of
+    reducers stays manageable for map-output tracking; AQE then merges small
+    partitions toward half that size and splits skewed join partitions. Scans
+    read ``scan_split_bytes`` per task.
     """
     partitions = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
