@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators import quality
 from starloom.plans import warehouse as wh
-from starloom.sinks.tables import write_csv, write_warehouse
+from starloom.sinks.tables import BUCKETS_KEY, read_warehouse, write_csv, write_warehouse
 from starloom.sources.delimited import read_sheet_csv, read_trimmed_csv
 
 # Banner lines above the header of each exported sheet, and the
@@ -72,10 +72,19 @@ class SheetPaths:
 
 @dataclass
 class EtlResult:
-    tables: dict[str, str]
+    tables: dict[str, str]        # table name -> location (see sinks.read_warehouse)
     processed: dict[str, str]
     conflicts: DataFrame
     decisions: dict
+    buckets: int | None = None
+
+    @property
+    def locations(self) -> dict[str, str]:
+        """Locations including the bucket count, for ``read_warehouse``."""
+        out = dict(self.tables)
+        if self.buckets:
+            out[BUCKETS_KEY] = str(self.buckets)
+        return out
 
 
 def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None = None,
@@ -103,10 +112,10 @@ def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None =
     tables = wh.build_warehouse(conformed.frame, counts, dwell, fatality_ids_from_row=one_to_one)
     locations = write_warehouse(spark, tables, path=f"{out.rstrip('/')}/warehouse", buckets=buckets)
     if enforce_keys:
-        from starloom.sinks.tables import read_warehouse
         loaded = read_warehouse(spark, locations)
         quality.enforce(quality.check_primary_keys(loaded).unionByName(quality.check_foreign_keys(loaded)))
-    return EtlResult(locations, processed, conformed.conflicts, conformed.decisions)
+    buckets = int(locations.pop(BUCKETS_KEY)) if BUCKETS_KEY in locations else None
+    return EtlResult(locations, processed, conformed.conflicts, conformed.decisions, buckets)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -28,10 +28,21 @@ Tables = Mapping[str, DataFrame]
 
 def _fatalities_per_crash(tables: Tables, count_col: str | None = "fatality_id") -> DataFrame:
     """Fatality rows per crash: ``COUNT(fatality_id)`` (non-null) or, with
-    ``count_col=None``, ``COUNT(*)``."""
+    ``count_col=None``, ``COUNT(*)``.
+
+    Partial aggregation runs before the shuffle, so a crash holding a third
+    of all fatalities is one row per task. When the crash-grain tables are
+    bucketed with a count other than the session's shuffle partition count,
+    the (narrow) per-crash counts are hash-partitioned into the bucket count,
+    so the crash-grain tables are joined where they lie instead of being
+    shuffled themselves."""
     ff = tables["fact_fatalities"]
     counter = F.count(F.col(count_col)) if count_col else F.count(F.lit(1))
-    return ff.groupBy("crash_id").agg(counter.alias("n"))
+    per_crash = ff.groupBy("crash_id").agg(counter.alias("n"))
+    buckets = getattr(tables, "buckets", None)
+    if buckets and buckets != int(per_crash.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        per_crash = per_crash.repartition(buckets, "crash_id")
+    return per_crash
 
 
 def rank_lga_per_year(tables: Tables, exclude: str = "Unknown") -> DataFrame:

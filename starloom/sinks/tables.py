@@ -26,17 +26,22 @@ from starloom.session import scratch_path
 # Tables keyed by crash that share one bucketing.
 CRASH_GRAIN = ("fact_crashes", "dim_time", "dim_vehicle", "dim_event", "dim_road")
 BUCKET_KEY = "crash_id"
+MAX_BUCKETS = 4096
+BUCKETS_KEY = "__buckets__"
 
 
 def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path: str | None = None,
                     buckets: int | None = None, parallel: int = 8) -> dict[str, str]:
     """K2/K3: write every table (overwrite); returns table name -> catalog
-    name (bucketed tables) or path (plain Parquet).
+    name (bucketed tables) or path (plain Parquet), plus the bucket count
+    under ``__buckets__``.
 
-    The writes are independent jobs; ``parallel`` of them are submitted at
-    once from a thread pool so small tables do not leave the cluster idle."""
+    The bucket count defaults to the session's shuffle partition count, at
+    most :data:`MAX_BUCKETS`. The writes are independent jobs; ``parallel``
+    of them are submitted at once from a thread pool so small tables do not
+    leave the cluster idle."""
     root = path or scratch_path(spark, "warehouse")
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     tag = uuid.uuid4().hex[:10]
 
     def write_one(name: str) -> tuple[str, str]:
@@ -56,14 +61,29 @@ def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path:
         return name, "path:" + target
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        return dict(pool.map(write_one, list(tables)))
+        out = dict(pool.map(write_one, list(tables)))
+    out[BUCKETS_KEY] = str(n)
+    return out
+
+
+class Warehouse(dict):
+    """Table name -> DataFrame, with the bucket count of the crash-grain
+    tables (``None`` when they are not bucketed)."""
+
+    buckets: int | None = None
 
 
-def read_warehouse(spark: SparkSession, locations: Mapping[str, str]) -> dict[str, DataFrame]:
-    out = {}
+def read_warehouse(spark: SparkSession, locations: Mapping[str, str]) -> Warehouse:
+    out = Warehouse()
+    bucketed = False
     for name, loc in locations.items():
+        if name == BUCKETS_KEY:
+            continue
         kind, where = loc.split(":", 1)
         out[name] = spark.table(where) if kind == "table" else spark.read.parquet(where)
+        bucketed = bucketed or kind == "table"
+    if bucketed and BUCKETS_KEY in locations:
+        out.buckets = int(locations[BUCKETS_KEY])
     return out
 
 
@@ -72,11 +92,11 @@ TABLE_NAMES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "d
                "dim_road", "fact_fatalities", "fact_crashes", "fact_number")
 
 
-def open_warehouse(spark: SparkSession, root: str, names=TABLE_NAMES) -> dict[str, DataFrame]:
+def open_warehouse(spark: SparkSession, root: str, names=TABLE_NAMES) -> Warehouse:
     """Open a warehouse written earlier, from any session: each table folder
     is plain Parquet. (Within the writing session, or with a persistent
     catalog, :func:`read_warehouse` also keeps the bucket layout.)"""
-    return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names}
+    return Warehouse({name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names})
 
 
 def write_csv(df: DataFrame, path: str) -> None:

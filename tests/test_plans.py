@@ -69,3 +69,22 @@ def test_scans_pruned_and_filters_pushed(spark):
     q2 = plan_text(entry.queries()["q2_state_crashes"](spark, BASE))
     crash_schema = [l for l in q2.splitlines() if "ReadSchema" in l and "crash_id" in l]
     assert crash_schema and all("lga_id" not in l for l in crash_schema)
+
+
+def test_colocated_when_session_partitions_differ_from_buckets(spark):
+    from starloom.plans import catalog, reports
+    from starloom.sinks.tables import read_warehouse, write_warehouse
+    b = catalog.build(spark, BASE)
+    t = read_warehouse(spark, write_warehouse(spark, b.tables, buckets=4))
+    assert t.buckets == 4
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        with no_broadcast(spark):
+            text = plan_text(reports.q3_weekday_time_of_day(t), mode="simple")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    # the crash-grain tables are read bucketed and not shuffled; only the
+    # narrow per-crash counts move (aggregate, then into the bucket count)
+    assert text.count("Bucketed: true") == 2
+    assert re.findall(r"Exchange hashpartitioning\(crash_id#\d+L, (\d+)\)", text) == ["4", "13"]
