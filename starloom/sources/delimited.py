@@ -59,17 +59,20 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key
     Labels come from the schema *by position*, so headers that differ only in
     case or hold newlines survive. ``_row`` is the file position, or with
     ``dense_order`` a dense 0-based ordinal (:func:`file_ordinal`). Banner
-    lines above the header: the first
-    line of each file is skipped as the header; any further banner or header
-    line fails the typed parse of ``key`` (give a non-string key column) and
-    is dropped, so the rows kept do not depend on line positions.
+    and header lines fail the typed parse of ``key`` (give a non-string key
+    column) and are dropped, so the rows kept do not depend on line
+    positions; without a key the first line of each file is the header.
     ``multi_line`` allows quoted newlines inside cells but makes each file
     one task; keep it off for large files.
     """
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     labels = [f.name for f in st.fields]
     internal = StructType([f.__class__(f"_c{i}", f.dataType, f.nullable) for i, f in enumerate(st.fields)])
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**(options or {}))
+    # With a typed key, header and banner lines are all dropped by the key
+    # filter below, so no line is treated specially; without one, the first
+    # line of each file is the header.
+    reader = (spark.read.option("header", key is None).option("mode", "PERMISSIVE")
+              .options(**(options or {})))
     if multi_line:
         reader = reader.option("multiLine", True)
     df = reader.schema(internal).csv(path)
