@@ -137,3 +137,35 @@ def test_dense_ids_match_enumeration(spark, rows, parts):
     df = spark.createDataFrame(rows, "k int, v string").repartition(parts)
     got = sorted((r.rid, r.k, r.v) for r in dense_ids(df, ["k", "v"], "rid").collect())
     assert got == want   # copies of one row are interchangeable, so the lists agree
+
+
+names = st.text(alphabet="ABCDEFGHIJabcdefghij -()'&.", min_size=1, max_size=12).filter(
+    lambda t: t.strip() != "" and t != "Total")
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(names, st.integers(0, 10**7)), min_size=0, max_size=12, unique_by=lambda r: r[0]))
+def test_trimmed_csv_keeps_exactly_the_data_lines(spark, tmp_path_factory, rows):
+    from starloom.sources import read_trimmed_csv
+    d = tmp_path_factory.mktemp("dw")
+    lines = (['"Banner"', "", "", "", "", "", "", '"Default Summation",', "", "", '"Area (EN)",']
+             + [f'"{n}",{c},' for n, c in rows] + [f'"Total",{sum(c for _, c in rows)},', "", '"Source: test"',
+                                                   "", '"INFO","x"', "", '"c1"', '"c2"'])
+    (d / "f.csv").write_text("\n".join(lines) + "\n")
+    got = [(r.lga_name, r.dwelling_count) for r in read_trimmed_csv(spark, str(d / "f.csv")).orderBy("_row").collect()]
+    assert got == rows
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.integers(0, 10**9), st.one_of(st.none(), st.integers(-9, 99)),
+                               st.one_of(st.none(), st.sampled_from(["Male", "Female"])),
+                               st.one_of(st.none(), st.sampled_from(["Driver", "Motorcycle rider", "Pedal cyclist"]))),
+                     min_size=1, max_size=10))
+def test_composite_key_matches_fstring(spark, rows):
+    from starloom.functions.scalar import composite_key
+
+    def py(v):
+        return "nan" if v is None else str(v)
+    want = [f"{py(c)}_{py(a)}_{py(g)}_{py(u)}".replace(" ", "_") for c, a, g, u in rows]
+    df = spark.createDataFrame(rows, "c bigint, a int, g string, u string")
+    assert [r[0] for r in df.select(composite_key("c", "a", "g", "u")).collect()] == want
