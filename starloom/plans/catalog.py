@@ -66,8 +66,13 @@ def fresh_build(spark: SparkSession, base: str) -> Build:
 
 
 def run_etl(spark: SparkSession, base: str) -> dict[str, str]:
-    """The whole ETL end to end: derive sheets, conform, build, write."""
-    return write_warehouse(spark, fresh_build(spark, base).tables)
+    """The whole ETL end to end: derive sheets, conform, build, write. The
+    tables are handed to the writer as builders, so tables without numbering
+    are written while the numbering jobs run."""
+    sh = analog.sheets(spark, base)
+    conformed = wh.conform_records(sh.fatality, sh.crash)
+    counts = wh.conform_counts(sh.fatality_counts, sh.crash_counts)
+    return write_warehouse(spark, wh.build_warehouse(conformed.frame, counts, sh.dwellings, deferred=True))
 
 
 def build(spark: SparkSession, base: str) -> Build:

@@ -109,7 +109,7 @@ def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None =
                  "crashxfatality_count": f"{out.rstrip('/')}/processed/crashxfatality_count"}
     write_csv(conformed.frame.drop(wh.ROW), processed["crashxfatality"])
     write_csv(counts.drop(wh.ROW), processed["crashxfatality_count"])
-    tables = wh.build_warehouse(conformed.frame, counts, dwell, fatality_ids_from_row=one_to_one)
+    tables = wh.build_warehouse(conformed.frame, counts, dwell, fatality_ids_from_row=one_to_one, deferred=True)
     locations = write_warehouse(spark, tables, path=f"{out.rstrip('/')}/warehouse", buckets=buckets)
     if enforce_keys:
         loaded = read_warehouse(spark, locations)

@@ -11,6 +11,7 @@ per-column decision of the duplicate-label step (P3).
 
 from __future__ import annotations
 
+import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -255,28 +256,51 @@ TABLES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_pe
           "dim_event", "dim_road", "fact_fatalities", "fact_crashes", "fact_number")
 
 
+
+def _once(fn):
+    """Call ``fn`` at most once (thread-safe); later calls return its result."""
+    lock, box = threading.Lock(), []
+
+    def get():
+        with lock:
+            if not box:
+                box.append(fn())
+            return box[0]
+    return get
+
+
 def build_warehouse(conformed: DataFrame, counts: DataFrame, dwellings: DataFrame | None,
-                    parallel: int = 3, fatality_ids_from_row: bool = False) -> dict[str, DataFrame]:
-    """All eleven tables as plans over the conformed frames. The tables with
-    dense ids each run one checkpoint job while being built; those jobs are
-    independent and are submitted together. ``fatality_ids_from_row``: see
-    :func:`fact_fatalities`."""
+                    parallel: int = 3, fatality_ids_from_row: bool = False, deferred: bool = False) -> dict:
+    """All eleven tables as plans over the conformed frames.
+
+    Three tables carry dense ids and run one job each while being built
+    (``fact_crashes`` also needs the LGA ids). By default those jobs are
+    submitted together and plain DataFrames are returned. With ``deferred``
+    each table is returned as a builder (a no-argument callable) instead, so
+    a loader can start writing the tables that need no numbering while the
+    numbering jobs still run (see ``sinks.write_warehouse``).
+    ``fatality_ids_from_row``: see :func:`fact_fatalities`."""
     states = dim_state(conformed)
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        f_lga = pool.submit(dim_lga, conformed, states, dwellings)
-        f_fat = pool.submit(fact_fatalities, conformed, fatality_ids_from_row)
-        f_num = pool.submit(fact_number, counts)
-        lgas, fatalities, numbers = f_lga.result(), f_fat.result(), f_num.result()
-    return {
-        "dim_date": dim_date(counts),
-        "dim_state": states,
-        "dim_lga": lgas,
-        "dim_time": dim_time(conformed),
-        "dim_vehicle": dim_vehicle(conformed),
-        "dim_person": dim_person(conformed),
-        "dim_event": dim_event(conformed),
-        "dim_road": dim_road(conformed),
+    lga = _once(lambda: dim_lga(conformed, states, dwellings))
+    fatalities = _once(lambda: fact_fatalities(conformed, fatality_ids_from_row))
+    numbers = _once(lambda: fact_number(counts))
+    crashes = _once(lambda: fact_crashes(conformed, lga()))
+    builders = {
+        "dim_date": lambda: dim_date(counts),
+        "dim_state": lambda: states,
+        "dim_lga": lga,
+        "dim_time": lambda: dim_time(conformed),
+        "dim_vehicle": lambda: dim_vehicle(conformed),
+        "dim_person": lambda: dim_person(conformed),
+        "dim_event": lambda: dim_event(conformed),
+        "dim_road": lambda: dim_road(conformed),
         "fact_fatalities": fatalities,
-        "fact_crashes": fact_crashes(conformed, lgas),
+        "fact_crashes": crashes,
         "fact_number": numbers,
     }
+    if deferred:
+        return builders
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for f in [pool.submit(b) for b in (lga, fatalities, numbers)]:
+            f.result()
+    return {name: build() for name, build in builders.items()}

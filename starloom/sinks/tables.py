@@ -39,13 +39,17 @@ def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path:
     The bucket count defaults to the session's shuffle partition count, at
     most :data:`MAX_BUCKETS`. The writes are independent jobs; ``parallel``
     of them are submitted at once from a thread pool so small tables do not
-    leave the cluster idle."""
+    leave the cluster idle. A table may be given as a no-argument builder; it
+    is then built in its writer thread, so tables that are ready start
+    writing while others are still being built."""
     root = path or scratch_path(spark, "warehouse")
     n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     tag = uuid.uuid4().hex[:10]
 
     def write_one(name: str) -> tuple[str, str]:
         df = tables[name]
+        if callable(df):  # a deferred builder: build inside this writer thread
+            df = df()
         target = f"{root.rstrip('/')}/{name}"
         if name in CRASH_GRAIN:
             table = f"starloom_{tag}_{name}"
