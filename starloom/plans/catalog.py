@@ -56,8 +56,9 @@ def _key(spark: SparkSession, base: str) -> tuple[str, str]:
 
 
 def fresh_build(spark: SparkSession, base: str) -> Build:
-    """Plans for the whole ETL, uncached. Eager steps: P3's decision (one
-    aggregate) and the checkpoints inside dense numbering."""
+    """Plans for the whole ETL, uncached. Eager steps: the write of the joined
+    frame (with P3's decision observed during it) and the one written copy
+    inside each dense numbering."""
     sh = analog.sheets(spark, base)
     conformed = wh.conform_records(sh.fatality, sh.crash)
     counts = wh.conform_counts(sh.fatality_counts, sh.crash_counts)
