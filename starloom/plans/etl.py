@@ -52,7 +52,9 @@ def read_exported_sheet(spark: SparkSession, path: str, banner_lines: int, types
     ``_row`` is the file position (or a dense ordinal, ``dense_order``)."""
     labels = header_labels(spark, path, banner_lines)
     ddl = ", ".join(f"`{lab.replace('`', '``')}` {types.get(lab, 'string')}" for lab in labels)
-    return read_sheet_csv(spark, path, ddl, key=key, options={"dateFormat": date_format}, dense_order=dense_order)
+    integers = tuple(lab for lab in labels if types.get(lab) in ("int", "bigint"))
+    return read_sheet_csv(spark, path, ddl, key=key, options={"dateFormat": date_format}, dense_order=dense_order,
+                          integers=integers)
 
 
 def key_is_unique(df: DataFrame, key: str) -> bool:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 ROW = "_row"
 
@@ -51,9 +51,16 @@ def file_ordinal(df: DataFrame, col: str = ROW) -> DataFrame:
             .drop("__file", "__split", "__mid", "__first", "__off"))
 
 
+def _integer(col, dtype: str):
+    """Integer text to ``dtype``: exact integer parse first (large keys keep
+    full precision), else through double so ``2023.0`` or ``1e3`` parse too,
+    as pandas' numeric parsing does; anything else is null."""
+    return F.coalesce(col.try_cast(dtype), col.try_cast("double").try_cast(dtype))
+
+
 def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key: str | None = None,
                    multi_line: bool = False, options: dict[str, str] | None = None,
-                   dense_order: bool = False) -> DataFrame:
+                   dense_order: bool = False, integers: tuple[str, ...] = ()) -> DataFrame:
     """One exported sheet with an explicit schema (no inference pass).
 
     Labels come from the schema *by position*, so headers that differ only in
@@ -67,7 +74,9 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key
     """
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     labels = [f.name for f in st.fields]
-    internal = StructType([f.__class__(f"_c{i}", f.dataType, f.nullable) for i, f in enumerate(st.fields)])
+    # ``integers``: labels read as text and converted by :func:`_integer`.
+    internal = StructType([f.__class__(f"_c{i}", StringType() if f.name in integers else f.dataType, f.nullable)
+                           for i, f in enumerate(st.fields)])
     # With a typed key, header and banner lines are all dropped by the key
     # filter below, so no line is treated specially; without one, the first
     # line of each file is the header.
@@ -76,6 +85,9 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key
     if multi_line:
         reader = reader.option("multiLine", True)
     df = reader.schema(internal).csv(path)
+    for i, f in enumerate(st.fields):
+        if f.name in integers:
+            df = df.withColumn(f"_c{i}", _integer(F.col(f"_c{i}"), f.dataType.simpleString()))
     if key is not None:
         df = df.where(F.col(f"_c{labels.index(key)}").isNotNull())
     df = file_ordinal(df) if dense_order else with_file_order(df)

@@ -51,3 +51,14 @@ def test_file_ordinal_dense_in_file_order(spark, tmp_path):
     kept = [(f, i) for f, i in expected if i % 7 != 3]
     assert [g[0] for g in got] == list(range(len(kept)))
     assert [(g[1], g[2]) for g in got] == kept
+
+
+def test_integer_columns_parse_like_pandas(spark, tmp_path):
+    text = ("Banner,,\nCrash ID,Year,Age\n"
+            "20231234567890123,2023,35\n2,2023.0,-9\n3,1e3,\n4,x,7\n")
+    p = tmp_path / "s.csv"
+    p.write_text(text)
+    df = read_sheet_csv(spark, str(p), "`Crash ID` bigint, Year int, Age int", key="Crash ID",
+                        integers=("Crash ID", "Year", "Age"))
+    got = [(r["Crash ID"], r["Year"], r["Age"]) for r in df.orderBy("_row").collect()]
+    assert got == [(20231234567890123, 2023, 35), (2, 2023, -9), (3, 1000, None), (4, None, 7)]
