@@ -155,9 +155,11 @@ def a6_keep_first(spark, base):
 
 
 def w3_dense_ids(spark, base):
-    """Dense 0-based ids over the orders in (order date, order key) order."""
+    """Dense 0-based ids over the orders in (order date, order key) order.
+    The order key is unique, so no tie-breaking is needed (and none is used:
+    the numbering stays deterministic when a lost task is recomputed)."""
     orders = spark.read.parquet(f"{base.rstrip('/')}/orders.parquet").select("o_orderkey", "o_orderdate")
-    return keys.dense_ids(orders, ["o_orderdate", "o_orderkey"], "order_seq").select(
+    return keys.dense_ids(orders, ["o_orderdate", "o_orderkey"], "order_seq", break_ties=False).select(
         F.col("order_seq").cast("bigint"), "o_orderkey")
 
 
