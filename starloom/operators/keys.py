@@ -25,17 +25,19 @@ def _cols(order: str | Column | Sequence[str | Column]) -> list[Column]:
 
 
 def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_col: str,
-              num_partitions: int | None = None, break_ties: bool = True) -> DataFrame:
+              num_partitions: int | None = None, break_ties: bool = False) -> DataFrame:
     """``range(0, len(df))`` in the order given by ``order``.
 
     Distributed, with no single-task window:
 
-    1. range-partition on the order (Spark samples the key distribution); a
-       per-row tie-breaker makes even a third of all rows being exact copies of
-       one row spread over many partitions, since copies are interchangeable.
-       The tie-breaker depends on arrival order, so pass ``break_ties=False``
-       when the order is already unique (a source position): the stage is then
-       fully deterministic if a lost task is recomputed;
+    1. range-partition on the order (Spark samples the key distribution).
+       With a unique order (a source position) this spreads evenly and is
+       fully deterministic if a lost task is recomputed. ``break_ties=True``
+       adds a per-row tie-breaker so that even a third of all rows being exact
+       copies of one row spread over many partitions (copies are
+       interchangeable); its values follow arrival order, so use it where the
+       input order is fixed (rows straight from files) or a recompute cannot
+       move a copy across a range bound;
     2. sort within each partition and take each row's position from
        ``monotonically_increasing_id`` (documented layout: partition index in
        the upper 31 bits, position within the partition in the lower 33);

@@ -33,7 +33,7 @@ def test_dense_ids_split_a_hot_group_of_copies(spark):
     hot = spark.range(0, 3000).select(F.lit(42).alias("k"))
     rest = spark.range(0, 6000).select((F.col("id") + 100).alias("k"))
     df = hot.unionByName(rest)
-    out = dense_ids(df, "k", "rid", num_partitions=8)
+    out = dense_ids(df, "k", "rid", num_partitions=8, break_ties=True)
     ids = out.where("k = 42").select("rid")
     r = ids.agg(F.min("rid"), F.max("rid"), F.count("*")).first()
     assert tuple(r) == (0, 2999, 3000)
