@@ -5,10 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import ngram_join
+from starloom.llm import bpe, ngram_join, shards
 from starloom.llm.common import table
+from starloom.session import scratch_path
+
+VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +21,21 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as byte tokens in fixed-stride shards; one row per sequence."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return shards.write_shards(docs, scratch_path(spark, "shards"), from_files=True)[1]
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every text and of the bytes they decode to."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = bpe.encode(docs, VOCABULARY, decoded_col="decoded")
+    return coded.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE tokens AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
@@ -41,6 +61,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The numbered operators by query name."""
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
+        "op2_training_order": op2_training_order,
+        "op9_byte_bpe": op9_byte_bpe,
     }
 
 
