@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, ngram_join, shards
+from starloom.llm import bpe, mixing, ngram_join, shards
 from starloom.llm.common import table
 from starloom.session import scratch_path
 
@@ -27,6 +27,12 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.write_shards(docs, scratch_path(spark, "shards"), from_files=True)[1]
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all documents takes of each."""
+    mixed = mixing.taken_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every text and of the bytes they decode to."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -62,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_training_order": op2_training_order,
+        "op4_source_mix": op4_source_mix,
         "op9_byte_bpe": op9_byte_bpe,
     }
 
