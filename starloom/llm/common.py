@@ -39,3 +39,14 @@ def bounded_sample(rows: DataFrame, key: str, limit: int) -> DataFrame:
         return rows
     cut = int(limit / total * (1 << 30))
     return rows.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < cut)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` (id, text) of about ``limit`` labelled rows at most, with ``label``.
+
+    ``labels`` has the id and ``label``; null ids and null labels are left out, and of
+    several labels of an id the largest counts. The ids are drawn from the labels
+    alone, so no more than the sample (``limit`` ids) is broadcast."""
+    known = (labels.where(F.col(id_col).isNotNull() & F.col("label").isNotNull())
+             .groupBy(id_col).agg(F.max("label").alias("label")))
+    return docs.join(F.broadcast(bounded_sample(known, id_col, limit)), id_col)

@@ -9,10 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, mixing, ngram_join, shards
-from starloom.llm.common import table
+from starloom.llm import bpe, langid, mixing, ngram_join, quality, shards, toxicity
+from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
+#: Score from which a label is predicted.
+THRESHOLD = 0.3
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -33,6 +35,36 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _labels(spark: SparkSession, sf_dir: str, column: str, folds: int, held: int) -> DataFrame:
+    """Ids and labels that may train: those outside the held-out fold."""
+    rows = table(spark, sf_dir, "labels", "doc_id", column)
+    return rows.where(crc_fold("doc_id", folds) != held).select("doc_id", F.col(column).alias("label"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from three of four folds of the labels."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _labels(spark, sf_dir, "toxic", 4, 2)))
+    return scored.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from four of five folds of the labels."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, _labels(spark, sf_dir, "quality", 5, 0)))
+    return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from three of four folds of the documents."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.fit(docs.where(crc_fold("doc_id", 4) != 2))
+    return langid.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every text and of the bytes they decode to."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -69,7 +101,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_training_order": op2_training_order,
         "op4_source_mix": op4_source_mix,
+        "op5_toxicity": op5_toxicity,
+        "op8_quality": op8_quality,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_language": op10_language,
     }
 
 
