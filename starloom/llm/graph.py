@@ -1,7 +1,12 @@
-"""Connected components of a distributed edge table (alternating stars)."""
+"""Connected components of a distributed edge table (alternating stars), and
+helpers to compare the members of groups in block pairs of bounded size."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,3 +49,53 @@ def connected_components(edges: DataFrame) -> DataFrame:
         seen = state
     return (now.select(F.col("v").alias("node"), F.col("u").alias("component"))
             .unionByName(now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()))
+
+
+def block_pairs(members: DataFrame, keys: list[str], blocks: str) -> DataFrame:
+    """Each member once for every block pair (a <= b) that holds its block."""
+    other = F.explode(F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int")))
+    return (members.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), F.col(blocks)).cast("int"))
+            .withColumn("other", other)
+            .withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other"))
+            .drop("other", blocks)
+            .repartition(*keys, "a", "b").sortWithinPartitions(*keys, "a", "b"))
+
+
+def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Batches cut at group borders: rows of a group lie next to each other and
+    come together (a group has bounded size)."""
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        cut = _tail(held, keys)
+        if cut:
+            yield held.iloc[:cut]
+            held = held.iloc[cut:]
+    if held is not None and len(held):
+        yield held
+
+
+def _tail(rows: pd.DataFrame, keys: list[str]) -> int:
+    """Where the last group of ``rows`` begins."""
+    differs = np.zeros(len(rows), bool)
+    for key in keys:
+        values = rows[key].to_numpy()
+        differs |= values != values[-1]
+    at = np.flatnonzero(differs)
+    return int(at[-1]) + 1 if len(at) else 0
+
+
+def spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least index each of n nodes reaches over the links (i, j)."""
+    label = np.arange(n)
+    while len(i):
+        before = label.copy()
+        low = np.minimum(label[i], label[j])
+        np.minimum.at(label, i, low)
+        np.minimum.at(label, j, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import written
-from starloom.llm.graph import connected_components
+from starloom.llm.graph import block_pairs, connected_components, grouped, spanning
 from starloom.llm.wordhash import shingle_sets
 
 HASHES, ROWS, STEP = 128, 4, 16
@@ -85,32 +85,6 @@ def _sketches(width: int):
     return run
 
 
-def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Batches cut at group borders: rows of a group lie next to each other and
-    come together (a group has bounded size)."""
-    held = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
-        cut = _tail(held, keys)
-        if cut:
-            yield held.iloc[:cut]
-            held = held.iloc[cut:]
-    if held is not None and len(held):
-        yield held
-
-
-def _tail(rows: pd.DataFrame, keys: list[str]) -> int:
-    """Where the last group of ``rows`` begins."""
-    differs = np.zeros(len(rows), bool)
-    for key in keys:
-        values = rows[key].to_numpy()
-        differs |= values != values[-1]
-    at = np.flatnonzero(differs)
-    return int(at[-1]) + 1 if len(at) else 0
-
-
 def _pairs(first: np.ndarray, last: np.ndarray, side: np.ndarray, both: np.ndarray) -> Iterator[tuple]:
     """Index pairs i < j within each group [first, last), in slices. If ``both``
     (two different blocks meet in the group) only pairs across its two sides."""
@@ -129,25 +103,11 @@ def _pairs(first: np.ndarray, last: np.ndarray, side: np.ndarray, both: np.ndarr
         at = to
 
 
-def _spanning(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least index each of n nodes reaches over the links (i, j)."""
-    label = np.arange(n)
-    while len(i):
-        before = label.copy()
-        low = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, low)
-        np.minimum.at(label, j, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 def _prune(need: dict[int, int]):
     """Spanning edges (u, v) of the pairs of each bucket that survive."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _groups(batches, ["band", "bucket", "a", "b"]):
+        for rows in grouped(batches, ["band", "bucket", "a", "b"]):
             sig = np.frombuffer(b"".join(rows["sig"]), np.uint16).reshape(-1, HASHES)
             bands = sig.view(np.uint64)
             band = rows["band"].to_numpy()
@@ -168,7 +128,7 @@ def _prune(need: dict[int, int]):
                     i, j, matches = i[ok], j[ok], matches[ok]
                 left.append(i)
                 right.append(j)
-            label = _spanning(len(rows), np.concatenate(left), np.concatenate(right))
+            label = spanning(len(rows), np.concatenate(left), np.concatenate(right))
             moved = np.flatnonzero(label != np.arange(len(rows)))
             ids = rows["rep"].to_numpy()
             yield pd.DataFrame({"u": ids[label[moved]], "v": ids[moved]})
@@ -203,7 +163,7 @@ def _verify(width: int, threshold: tuple[int, int]):
     num, den = threshold
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _groups(batches, ["component", "a", "b"]):
+        for rows in grouped(batches, ["component", "a", "b"]):
             for (_, a, b), group in rows.groupby(["component", "a", "b"], sort=False):
                 sets = list(shingle_sets(group["text"].tolist(), width))
                 size = np.array([len(s) for s in sets], np.float64)
@@ -215,22 +175,12 @@ def _verify(width: int, threshold: tuple[int, int]):
                     linked &= block[:, None] != block[None, :]
                 copies = group["copies"].to_numpy()
                 ids = group["rep"].to_numpy()
-                label = _spanning(len(ids), *np.nonzero(linked))
+                label = spanning(len(ids), *np.nonzero(linked))
                 yield pd.DataFrame({"rep": ids, "links": linked @ copies, "low": ids[label]})
 
     return run
 
 
-def _blocked(members: DataFrame, keys: list[str], blocks: str) -> DataFrame:
-    """Each member once for every block pair (a <= b) that holds its block."""
-    other = F.explode(F.sequence(F.lit(0), (F.col(blocks) - 1).cast("int")))
-    return (members.withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rep"), F.col(blocks)).cast("int"))
-            .withColumn("other", other)
-            .withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other"))
-            .drop("other", blocks)
-            .repartition(*keys, "a", "b").sortWithinPartitions(*keys, "a", "b"))
-
-
 def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int] = (4, 5),
                     tolerance: float = 1e-5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (smallest id among the
@@ -265,7 +215,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     shared = written(keyed.join(full, ["band", "bucket"]), "buckets")
     members = (shared.join(reps, "rep")
                .withColumn("blocks", F.ceil(F.col("held") / BLOCK).cast("int")).drop("held"))
-    survivors = (_blocked(members, ["band", "bucket"], "blocks")
+    survivors = (block_pairs(members, ["band", "bucket"], "blocks")
                  .mapInPandas(_prune(need), "u long, v long"))
     groups = connected_components(survivors)
     sized = (groups.withColumnRenamed("node", "rep")
@@ -276,7 +226,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, threshold: tuple[int, int]
     wanted = written(sized.join(weight, "component").drop("n"), "groups")
     few = wanted.count() <= BROADCAST_ROWS
     found = texts.join(F.broadcast(wanted) if few else wanted, texts["doc_id"] == wanted["rep"]).drop("doc_id")
-    checked = written(_blocked(found, ["component"], "blocks")
+    checked = written(block_pairs(found, ["component"], "blocks")
                       .mapInPandas(_verify(width, threshold), "rep long, links long, low long"), "verified")
     linked = checked.groupBy("rep").agg(F.sum("links").alias("links"))
     final = connected_components(checked.where("low <> rep").select(F.col("low").alias("u"), F.col("rep").alias("v")))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, langid, mixing, ngram_join, quality, shards, toxicity
+from starloom.llm import bpe, langid, mixing, ngram_join, nn_descent, quality, shards, toxicity
 from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
@@ -29,6 +29,11 @@ def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.write_shards(docs, scratch_path(spark, "shards"), from_files=True)[1]
 
 
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine 0.9 and more among all embeddings, and their groups."""
+    return nn_descent.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))[0]
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a mix of all documents takes of each."""
     mixed = mixing.taken_words(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
@@ -94,12 +99,39 @@ SELECT d.doc_id, least(d.doc_id, coalesce(c.least, d.doc_id)) AS class_id, coale
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN classes c USING (doc_id) LEFT JOIN degree USING (doc_id) LEFT JOIN lowest USING (doc_id)
 """
 
+OP3_SQL = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+          WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
+reach(vec_id, other) AS (SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+degree AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a),
+lowest AS (SELECT vec_id, min(other) AS low FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, least(e.vec_id, coalesce(low, e.vec_id)) AS component_id,
+       least(e.vec_id, coalesce(low, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degree USING (vec_id) LEFT JOIN lowest USING (vec_id)
+"""
+
+OP6_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The numbered operators by query name."""
     return {
         "op1_ngram_jaccard": op1_ngram_jaccard,
         "op2_training_order": op2_training_order,
+        "op3_nn_descent": op3_nn_descent,
         "op4_source_mix": op4_source_mix,
         "op5_toxicity": op5_toxicity,
         "op8_quality": op8_quality,
@@ -112,4 +144,5 @@ def oracle_sql() -> dict[str, str]:
     """DuckDB SQL by query name, where SQL can express the operator."""
     return {
         "op1_ngram_jaccard": OP1_SQL,
+        "op3_nn_descent": OP3_SQL,
     }
