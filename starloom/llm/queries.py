@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, langid, mixing, ngram_join, nn_descent, quality, shards, toxicity
+from starloom.llm import bpe, langid, maxscore, mixing, ngram_join, nn_descent, quality, shards, toxicity
 from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
@@ -54,6 +54,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors by integer inner product for every twentieth id."""
+    return maxscore.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text, learned from four of five folds of the labels."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -134,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_nn_descent": op3_nn_descent,
         "op4_source_mix": op4_source_mix,
         "op5_toxicity": op5_toxicity,
+        "op6_maxscore": op6_maxscore,
         "op8_quality": op8_quality,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
@@ -145,4 +151,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_ngram_jaccard": OP1_SQL,
         "op3_nn_descent": OP3_SQL,
+        "op6_maxscore": OP6_SQL,
     }
