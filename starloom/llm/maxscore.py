@@ -35,7 +35,7 @@ class Settings:
 
     shard: int = 4_096
     batch: int = 256
-    share: float = 0.35
+    share: float = 0.1
     probe: int = 4
 
 

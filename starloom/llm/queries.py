@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, langid, maxscore, mixing, ngram_join, nn_descent, quality, shards, toxicity
+from starloom.llm import bpe, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity
 from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
@@ -40,7 +40,7 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
-def _labels(spark: SparkSession, sf_dir: str, column: str, folds: int, held: int) -> DataFrame:
+def training_labels(spark: SparkSession, sf_dir: str, column: str, folds: int, held: int) -> DataFrame:
     """Ids and labels that may train: those outside the held-out fold."""
     rows = table(spark, sf_dir, "labels", "doc_id", column)
     return rows.where(crc_fold("doc_id", folds) != held).select("doc_id", F.col(column).alias("label"))
@@ -49,7 +49,7 @@ def _labels(spark: SparkSession, sf_dir: str, column: str, folds: int, held: int
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learned from three of four folds of the labels."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    scored = toxicity.score(docs, toxicity.fit(docs, _labels(spark, sf_dir, "toxic", 4, 2)))
+    scored = toxicity.score(docs, toxicity.fit(docs, training_labels(spark, sf_dir, "toxic", 4, 2)))
     return scored.select("doc_id", (crc_fold("doc_id", 4) == 2).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -59,10 +59,15 @@ def op6_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxscore.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with pseudonyms for personal data, and how many each got."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents", "doc_id", "text"), count_col="replaced")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every text, learned from four of five folds of the labels."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    scored = quality.score(docs, quality.fit(docs, _labels(spark, sf_dir, "quality", 5, 0)))
+    scored = quality.score(docs, quality.fit(docs, training_labels(spark, sf_dir, "quality", 5, 0)))
     return scored.select("doc_id", (crc_fold("doc_id", 5) == 0).alias("held_out"), "score",
                          (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -140,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_source_mix": op4_source_mix,
         "op5_toxicity": op5_toxicity,
         "op6_maxscore": op6_maxscore,
+        "op7_pseudonyms": op7_pseudonyms,
         "op8_quality": op8_quality,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
