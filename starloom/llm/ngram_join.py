@@ -78,9 +78,10 @@ def _sketches(width: int):
                                  int(s.sum(dtype=np.uint64).view(np.int64)), len(s), signature(s).tobytes()))
                 else:
                     rows.append((None, None, 0, None))
-            out = pd.DataFrame(rows, columns=["set_a", "set_b", "n", "sig"])
+            # object columns: with a null beside them 64-bit numbers would turn into floats
+            out = pd.DataFrame(rows, columns=["set_a", "set_b", "n", "sig"], dtype=object)
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out.astype({"set_a": "Int64", "set_b": "Int64"})
+            yield out.astype({"set_a": "Int64", "set_b": "Int64", "n": "int32"})
 
     return run
 

@@ -61,7 +61,8 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             unit = v / np.abs(v).max() / norm
             name = hashlib.blake2b(unit.tobytes(), digest_size=16).digest()
             rows.append((*np.frombuffer(name, np.int64).tolist(), len(v), unit.tobytes(), unit.astype(np.float32).tobytes()))
-        out = pd.DataFrame(rows, columns=["name_a", "name_b", "dim", "v64", "v32"])
+        # object columns: with a null beside them 64-bit numbers would turn into floats
+        out = pd.DataFrame(rows, columns=["name_a", "name_b", "dim", "v64", "v32"], dtype=object)
         out.insert(0, "vec_id", batch["vec_id"].to_numpy())
         yield out.astype({"name_a": "Int64", "name_b": "Int64", "dim": "Int32"})
 

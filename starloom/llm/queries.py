@@ -92,8 +92,8 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH RECURSIVE tokens AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
-places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS at FROM tokens WHERE len(w) > 0),
-runs AS (SELECT DISTINCT doc_id, array_to_string(w[at:at + 4], ' ') AS s FROM places),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM tokens WHERE len(w) > 0),
+runs AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s FROM places),
 sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
 shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM runs x JOIN runs y USING (s)
            WHERE x.doc_id <> y.doc_id GROUP BY ALL),
@@ -111,9 +111,9 @@ FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN classes c USING (doc_id
 
 OP3_SQL = """
 WITH RECURSIVE usable AS (
-  SELECT vec_id, list_transform(embedding, x -> x::DOUBLE) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+  SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
 links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
           WHERE list_cosine_similarity(x.v, y.v) >= 0.9),
 reach(vec_id, other) AS (SELECT a, b FROM links UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.other),
@@ -126,11 +126,11 @@ FROM embeddings e LEFT JOIN degree USING (vec_id) LEFT JOIN lowest USING (vec_id
 
 OP6_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score
-  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
