@@ -125,6 +125,8 @@ def _plan(rows: DataFrame, block_words: int, per_shard: int, weights: Sequence[f
                        F.lit(0))
     ranges = (drawn.withColumn("first", first).withColumnRenamed("count", "count_")
               .join(sources.select("source_no", "blocks"), "source_no"))
+    # few short rows stand for many slots: adaptive execution must not merge their tasks
+    ranges = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "source_no")
     chosen = ranges.mapInPandas(_blocks(seed), "source_no int, block long, turn int, shard long")
     return sources, segments.join(chosen, ["source_no", "block"]).select("uid", "turn", "first", "words")
 
