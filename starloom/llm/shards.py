@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +63,7 @@ def _sequences(layout: Layout, end: int, pad: int):
     """Cuts the tokens of each split into sequences and gives them their slots."""
     dtype, stride = np.dtype(layout.dtype), layout.stride
     filler = np.array([pad], dtype).tobytes()
+    pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_dict_id=False).compress
 
     def rows(buffer: bytes, ids: list, ends: list[int], ordinal: int) -> pa.RecordBatch:
         n = -(-len(buffer) // stride)
@@ -74,7 +76,7 @@ def _sequences(layout: Layout, end: int, pad: int):
             pa.array(permute(ordinal + np.arange(n), layout.sequences, layout.key)),
             pa.array(((stops - starts) // dtype.itemsize).astype(np.int32)),
             pa.array([ids[a:b + 1] for a, b in zip(first, last)], pa.list_(pa.int64())),
-            pa.array([data[a:a + stride] for a in starts.tolist()], pa.binary()),
+            pa.array([pack(data[a:a + stride]) for a in starts.tolist()], pa.binary()),  # smaller on its way
         ], ["slot", "n_tokens", "doc_ids", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +114,7 @@ def _writer(layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(layout.path)
         out, shard, draft = None, None, ""
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def close():
             out.close()
@@ -129,7 +132,7 @@ def _writer(layout: Layout):
                     shard = int(shards[at])
                     draft = f"{root}/.draft-{uuid.uuid4().hex}"
                     out = store.open_output_stream(draft)
-                out.write(b"".join(payload[at:to]))
+                out.write(b"".join(map(unpack, payload[at:to])))
             yield pa.RecordBatch.from_arrays([
                 batch.column("slot"), pa.array(shards), pa.array(slots % layout.per_shard * layout.stride),
                 batch.column("n_tokens"), batch.column("doc_ids"),
