@@ -21,15 +21,14 @@ def _sql(argv: list[str]) -> None:
     ap = argparse.ArgumentParser(prog="starloom sql")
     ap.add_argument("--warehouse", required=True, help="folder holding the eleven table folders")
     ap.add_argument("--statement", help="SQL text; read from stdin when absent")
-    ap.add_argument("--out", help="write the result as CSV here instead of printing")
-    ap.add_argument("--rows", type=int, default=50, help="rows to print")
+    ap.add_argument("--out", required=True, help="folder for the whole result (CSV)")
+    ap.add_argument("--show", type=int, default=0, help="also print this many of its rows")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     result = run_statement(spark, open_warehouse(spark, a.warehouse), a.statement or sys.stdin.read())
-    if a.out:
-        result.write.mode("overwrite").option("header", True).csv(a.out)
-    else:
-        result.show(a.rows, truncate=False)
+    result.write.mode("overwrite").option("header", True).csv(a.out)
+    if a.show:
+        spark.read.schema(result.schema).option("header", True).csv(a.out).show(a.show, truncate=False)
 
 
 def main(argv: list[str] | None = None) -> None:

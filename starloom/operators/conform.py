@@ -74,32 +74,44 @@ class LabeledFrame:
         return self.df.select(*[F.col(p).alias(lab) for p, lab in zip(self.physical, self.labels)])
 
 
+#: Parts that a hot key's rows are dealt to.
+SALT_BUCKETS = 16
+
+
+def hot_keys(df: DataFrame, key: str, buckets: int) -> list:
+    """Keys (null included) that hold more than 1/``buckets`` of the rows, so fewer than
+    ``buckets`` of them: one aggregate over the key column alone. They come to the
+    driver as literals of the plan."""
+    counts = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
+    total = df.agg(F.count(F.lit(1))).scalar()
+    return [r["k"] for r in counts.where(F.col("c") * buckets > total).select("k").collect()]
+
+
 def salted_join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str, buckets: int,
-                spread: Column) -> DataFrame:
-    """Equi-join ``left.lk == right.rk`` that splits hot left keys.
+                spread: Column, hot: Sequence, null_safe: bool = False) -> DataFrame:
+    """Equi-join ``left.lk == right.rk`` (``<=>`` with ``null_safe``) that splits the
+    ``hot`` left keys (:func:`hot_keys`).
 
-    A key is hot when it holds more than 1/``buckets`` of the left rows, so
-    there are at most ``buckets`` hot keys: that bounded table (found by one
-    aggregate, total as a scalar subquery) is broadcast to both sides. A hot
-    left row gets salt ``pmod(hash(spread), buckets)`` - ``spread`` should be
+    A hot left row gets salt ``pmod(hash(spread), buckets)`` - ``spread`` should be
     deterministic per row (e.g. its source position), so a recomputed task
     salts identically - and every right row of a hot key is repeated once per
     salt. Cold rows keep salt 0. Each left row meets each right row of its key
     exactly once, so the result equals the plain join; only the work of a hot
-    key is spread over ``buckets`` tasks. Null keys never match here.
+    key is spread over ``buckets`` tasks. Without hot keys it is the plain join.
     """
-    counts = left.where(F.col(lk).isNotNull()).groupBy(F.col(lk).alias("__hk")).agg(F.count(F.lit(1)).alias("__c"))
-    total = left.agg(F.count(F.lit(1))).scalar()
-    hot = F.broadcast(counts.where(F.col("__c") * buckets > total).select("__hk", F.lit(True).alias("__hot")))
-    ls = (left.join(hot, F.col(lk) == F.col("__hk"), "left")
-          .withColumn("__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(buckets))).otherwise(0))
-          .drop("__hk", "__hot"))
-    rs = (right.join(hot, F.col(rk) == F.col("__hk"), "left")
-          .withColumn("__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-          .drop("__hk", "__hot"))
-    cond = (F.col(lk) == F.col(rk)) & (ls["__salt"] == rs["__salt"])
-    return ls.join(rs, cond, how).drop(ls["__salt"]).drop(rs["__salt"])
+    same = F.col(lk).eqNullSafe(F.col(rk)) if null_safe else F.col(lk) == F.col(rk)
+    if not hot:
+        return left.join(right, same, how)
+    values = [k for k in hot if k is not None]
+
+    def is_hot(key: str) -> Column:
+        known = F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
+        return known | F.col(key).isNull() if None in hot else known
+
+    ls = left.withColumn("__lsalt", F.when(is_hot(lk), F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int")).otherwise(0))
+    rs = right.withColumn("__rsalt", F.explode(F.when(is_hot(rk), F.sequence(F.lit(0), F.lit(buckets - 1)))
+                                               .otherwise(F.array(F.lit(0)))))
+    return ls.join(rs, same & (F.col("__lsalt") == F.col("__rsalt")), how).drop("__lsalt", "__rsalt")
 
 
 def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str = "left",
@@ -109,39 +121,28 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
 
     Output labels: all left labels, then the right labels except the key;
     labels present on both sides (case-sensitive) get ``suffixes``. With
-    ``null_safe`` a null key matches a null key, as pandas does. If both
+    ``null_safe`` a null key matches a null key, as pandas does; without it (keys that
+    cannot be null) the join keeps a partitioning that the inputs have on the key.
+    Either way it is one join of one plan of each side. If both
     inputs carry ``_row``, the result's ``_row`` orders by left then right,
     the order pandas produces; otherwise the left ``_row`` is kept.
 
-    ``salt_buckets`` splits keys that hold a large share of the left rows over
-    that many tasks (:func:`salted_join`, for ``how='left'`` or ``'inner'``);
-    without it, skewed partitions are left to AQE's skew-join handling.
+    ``salt_buckets`` deals the rows of left keys that hold more than one part in so many
+    out to that many tasks (:func:`salted_join`, for ``how='left'`` or ``'inner'``).
     """
     lkey, rkey = (on, on) if isinstance(on, str) else on
     lf, rf = LabeledFrame.of(left, "l"), LabeledFrame.of(right, "r")
     llabs = [lab for lab in lf.labels if lab != ROW]
     rlabs = [lab for lab in rf.labels if lab != ROW and not (lab == rkey and lkey == rkey)]
     overlap = set(llabs) & set(rlabs)
-    lk, rk = lf.col(lkey), rf.col(rkey)
+    lname, rname = lf.physical[lf.labels.index(lkey)], rf.physical[rf.labels.index(rkey)]
+    hot = []
     if salt_buckets and salt_buckets > 1:
         if how not in ("left", "inner"):
             raise ValueError("salted merge supports how='left' or 'inner'")
-        lname, rname = lf.physical[lf.labels.index(lkey)], rf.physical[rf.labels.index(rkey)]
-        spread = lf.col(ROW) if ROW in lf.labels else F.struct(*[F.col(c) for c in lf.physical])
-        joined = salted_join(lf.df.where(lk.isNotNull()), rf.df.where(rk.isNotNull()), lname, rname, how,
-                             salt_buckets, spread)
-        null_part = lf.df.where(lk.isNull()).join(rf.df.where(rk.isNull()), lk.eqNullSafe(rk), how) \
-            if null_safe else lf.df.where(lk.isNull()).join(rf.df.where(F.lit(False)), lk == rk, how)
-        joined = joined.unionByName(null_part)
-    elif null_safe:
-        # Non-null keys join with a plain equi-join, which keeps an existing
-        # partitioning on the key (a ``<=>`` join re-shuffles both sides on
-        # rewritten keys). Null-key rows join among themselves; their scans
-        # carry ``IS NULL`` filters, so this branch is empty in the usual case.
-        joined = (lf.df.where(lk.isNotNull()).join(rf.df.where(rk.isNotNull()), lk == rk, how)
-                  .unionByName(lf.df.where(lk.isNull()).join(rf.df.where(rk.isNull()), lk.eqNullSafe(rk), how)))
-    else:
-        joined = lf.df.join(rf.df, lk == rk, how)
+        hot = hot_keys(lf.df, lname, salt_buckets)
+    spread = lf.col(ROW) if ROW in lf.labels else F.struct(*[F.col(c) for c in lf.physical])
+    joined = salted_join(lf.df, rf.df, lname, rname, how, salt_buckets or 1, spread, hot, null_safe)
 
     cols: list[Column] = []
     labels: list[str] = []
@@ -247,23 +248,19 @@ def conflict_report(frame: LabeledFrame, key: str, suffixes: tuple[str, str] = (
     against null. Long form: ``key, column, left_value, right_value`` (values
     as text so all columns share one schema)."""
     sx, sy = suffixes
-    parts = []
+    copies = []
     for lab in frame.labels:
-        if lab.endswith(sx):
-            base = lab[: -len(sx)]
-            if frame.has(base + sy):
-                x, y = frame.col(lab), frame.col(base + sy)
-                differs = F.coalesce(x != y, F.lit(True))
-                parts.append(frame.df.where(differs).select(
-                    frame.col(key).alias("key"), F.lit(base).alias("column"),
-                    x.cast("string").alias("left_value"), y.cast("string").alias("right_value")))
-    if not parts:
+        base = lab[: -len(sx)]
+        if lab.endswith(sx) and frame.has(base + sy):
+            x, y = frame.col(lab), frame.col(base + sy)
+            copies.append(F.struct(F.coalesce(x != y, F.lit(True)).alias("differs"), F.lit(base).alias("column"),
+                                   x.cast("string").alias("left_value"), y.cast("string").alias("right_value")))
+    if not copies:
         spark = frame.df.sparkSession
         return spark.createDataFrame([], "key string, column string, left_value string, right_value string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    # one scan: the differing copies of a row come out of one array
+    each = frame.df.select(frame.col(key).alias("key"), F.explode(F.filter(F.array(*copies), lambda c: c["differs"])).alias("c"))
+    return each.select("key", "c.column", "c.left_value", "c.right_value")
 
 
 def keep_right(frame: LabeledFrame, suffixes: tuple[str, str] = ("_x", "_y")) -> LabeledFrame:

@@ -97,24 +97,24 @@ def check_primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str]
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
     """All foreign keys, one anti-join per distinct parent key: the child keys
-    of every check on that parent are tagged, unioned and pre-aggregated per
-    (check, key), so a large parent (e.g. the crash fact, referenced five
-    times) is reduced to distinct keys and joined once."""
+    of every check on that parent are united and grouped by the key alone, with one
+    conditional count for each check; the anti-join uses the same partitioning, so child
+    keys are shuffled once. The checks' counts are then unpivoted."""
     by_parent: dict[tuple[str, str], list[ForeignKey]] = {}
     for f in fks:
         by_parent.setdefault((f.parent, f.parent_key), []).append(f)
     parts = []
     for (parent, pkey), group in by_parent.items():
         children = _union([
-            tables[f.child].where(F.col(f.child_key).isNotNull()).select(
-                F.lit(f"{f.child}.{f.child_key}->{f.parent}.{f.parent_key}").alias("check"),
-                F.col(f.child_key).alias("__k"))
-            for f in group])
-        keys = children.groupBy("check", "__k").agg(F.count(F.lit(1)).alias("n_rows"))
-        parents = tables[parent].select(F.col(pkey).alias("__k")).where(F.col("__k").isNotNull()).distinct()
+            tables[f.child].where(F.col(f.child_key).isNotNull()).select(F.lit(i).alias("__i"), F.col(f.child_key).alias("__k"))
+            for i, f in enumerate(group)])
+        keys = children.groupBy("__k").agg(*[F.count_if(F.col("__i") == i).alias(f"n{i}") for i in range(len(group))])
+        parents = tables[parent].select(F.col(pkey).alias("__k")).where(F.col("__k").isNotNull())
         orphans = keys.join(parents, "__k", "left_anti")
-        parts.append(orphans.select("check", F.col("__k").cast("string").alias("key"),
-                                    F.col("n_rows").cast("bigint")))
+        counts = F.explode(F.array(*[F.struct(F.lit(f"{f.child}.{f.child_key}->{f.parent}.{f.parent_key}").alias("check"),
+                                              F.col(f"n{i}").alias("n")) for i, f in enumerate(group)]))
+        parts.append(orphans.select("__k", counts.alias("c")).where("c.n > 0").select(
+            "c.check", F.col("__k").cast("string").alias("key"), F.col("c.n").cast("bigint").alias("n_rows")))
     return _union(parts)
 
 

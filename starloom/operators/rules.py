@@ -13,22 +13,19 @@ is therefore a grouping over every subset of the attribute columns:
 3. keep itemsets with ``count / N >= min_support`` where N is a scalar
    subquery (no collect, no cross join).
 
-The frequent itemsets are provably few: with one item per attribute, the
-size-k itemsets of a transaction are C(m, k) of them, so at most
-``C(m, k) / min_support`` itemsets of size k reach the support. That bound is
-checked and makes broadcasting them safe. Rules are generated by exploding
-subset masks of each itemset and two equi-joins for the antecedent and
-consequent supports.
-
-MLlib's ``FPGrowth.associationRules`` only yields single-item consequents, so
-it cannot produce these rules.
+This is the one counting method, whatever the number of attributes, so the
+answer never depends on their number. Rules are generated by exploding subset
+masks of each itemset and two equi-joins for the antecedent and consequent
+supports; Spark picks the join strategy from the sizes it measures.
+
+MLlib's FP-Growth is not used: it rounds the support to a count (an itemset
+exactly at the border can be lost) and its rules have single-item consequents.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
-from math import comb, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,48 +72,21 @@ def transactions(records: DataFrame, attributes: Sequence[str] = ATTRIBUTES,
     return complete.withColumn("items", F.array_sort(F.array(*[F.col(a) for a in attributes])))
 
 
-def itemset_bound(n_attributes: int, min_support: float, max_len: int) -> int:
-    """Upper bound on the number of frequent itemsets (see module doc)."""
-    return sum(floor(comb(n_attributes, k) / min_support) for k in range(1, max_len + 1))
-
-
-MAX_PROJECTIONS = 256
-
-
 def frequent_itemsets(tx: DataFrame, attributes: Sequence[str] = ATTRIBUTES, min_support: float = 0.05,
-                      max_len: int = 3, method: str = "auto") -> DataFrame:
-    """M3: itemsets (sorted array ``items``) with ``count``, ``support``,
-    ``size``; support >= ``min_support``, size <= ``max_len``.
-
-    ``method='subsets'`` counts every attribute subset of each pre-aggregated
-    combination (see module doc); ``'fpgrowth'`` runs MLlib's distributed
-    FP-Growth on the ``items`` arrays and keeps itemsets up to ``max_len``,
-    for transactions too wide to enumerate subsets; ``'auto'`` picks
-    FP-Growth above :data:`MAX_PROJECTIONS` subsets per row."""
+                      max_len: int = 3) -> DataFrame:
+    """M3: itemsets (sorted array ``items``) with ``count``, ``total`` (the number
+    of transactions), ``support``, ``size``; support >= ``min_support`` (compared as
+    the double ``count / total``), size <= ``max_len``."""
     attrs = list(attributes)
-    n_proj = sum(comb(len(attrs), k) for k in range(1, max_len + 1))
-    if method == "fpgrowth" or (method == "auto" and n_proj > MAX_PROJECTIONS):
-        return _fpgrowth_itemsets(tx, min_support, max_len)
     combos = tx.groupBy(*attrs).agg(F.count(F.lit(1)).alias("__cnt"))
     subsets = [s for k in range(1, max_len + 1) for s in combinations(attrs, k)]
     projections = F.array(*[F.array_sort(F.array(*[F.col(a) for a in s])) for s in subsets])
     counted = (combos.select(F.explode(projections).alias("items"), "__cnt")
                .groupBy("items").agg(F.sum("__cnt").alias("count")))
     total = combos.agg(F.sum("__cnt")).scalar()
-    support = F.col("count") / total
-    return (counted.select("items", F.col("count").cast("bigint").alias("count"),
-                           support.alias("support"), F.size("items").alias("size"))
-            .where(F.col("support") >= F.lit(min_support)))
-
-
-def _fpgrowth_itemsets(tx: DataFrame, min_support: float, max_len: int) -> DataFrame:
-    from pyspark.ml.fpm import FPGrowth
-
-    model = FPGrowth(itemsCol="items", minSupport=min_support).fit(tx.select("items"))
-    total = tx.agg(F.count(F.lit(1))).scalar()
-    found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("bigint").alias("count"))
-    return (found.where(F.size("items") <= max_len)
-            .select("items", "count", (F.col("count") / total).alias("support"), F.size("items").alias("size"))
+    support = F.col("count") / F.col("total")
+    return (counted.select("items", F.col("count").cast("bigint").alias("count"), total.cast("bigint").alias("total"))
+            .select("items", "count", "total", support.alias("support"), F.size("items").alias("size"))
             .where(F.col("support") >= F.lit(min_support)))
 
 
@@ -125,28 +95,24 @@ def _subset(items: Column, mask: Column, inside: bool) -> Column:
     return F.filter(items, lambda x, i: (bit(i) == 1) if inside else (bit(i) == 0))
 
 
-def association_rules(itemsets: DataFrame, min_lift: float = 1.0, bound: int | None = None) -> DataFrame:
+def association_rules(itemsets: DataFrame, min_lift: float = 1.0) -> DataFrame:
     """M4: every split of a frequent itemset (size >= 2) into a non-empty
     antecedent and consequent, with the eight metrics, kept when
     ``lift >= min_lift``.
 
     With ``min_lift == 1`` the test is exact on integer counts
-    (``count * N >= count_a * count_c``); other thresholds compare the double
-    lift. ``bound`` (from :func:`itemset_bound`) asserts the itemset table is
-    small enough to broadcast; without it Spark's own size checks decide.
+    (``count * N >= count_a * count_c``, N being the ``total`` that the itemsets
+    carry); other thresholds compare the double lift.
     """
-    sets = itemsets.select("items", "count", "support", "size")
+    sets = itemsets.select("items", "count", "total", "support", "size")
     multi = sets.where(F.col("size") >= 2)
     masks = F.sequence(F.lit(1), F.call_function("shiftleft", F.lit(1), F.col("size")) - 2)
-    splits = multi.select("items", F.col("count").alias("c"), F.col("support").alias("s"),
+    splits = multi.select("items", F.col("count").alias("c"), F.col("total").alias("n"), F.col("support").alias("s"),
                           F.explode(masks).alias("mask"))
-    splits = splits.select("c", "s", _subset(F.col("items"), F.col("mask"), True).alias("antecedents"),
+    splits = splits.select("c", "n", "s", _subset(F.col("items"), F.col("mask"), True).alias("antecedents"),
                            _subset(F.col("items"), F.col("mask"), False).alias("consequents"))
-    side = F.broadcast if bound is not None else (lambda d: d)
-    ante = side(sets.select(F.col("items").alias("antecedents"), F.col("count").alias("ca"),
-                            F.col("support").alias("sa")))
-    cons = side(sets.select(F.col("items").alias("consequents"), F.col("count").alias("cc"),
-                            F.col("support").alias("sc")))
+    ante = sets.select(F.col("items").alias("antecedents"), F.col("count").alias("ca"), F.col("support").alias("sa"))
+    cons = sets.select(F.col("items").alias("consequents"), F.col("count").alias("cc"), F.col("support").alias("sc"))
     r = splits.join(ante, "antecedents").join(cons, "consequents")
     conf = F.col("s") / F.col("sa")
     lift = conf / F.col("sc")
@@ -158,17 +124,15 @@ def association_rules(itemsets: DataFrame, min_lift: float = 1.0, bound: int | N
         "antecedents", "consequents", F.col("sa").alias("antecedent support"),
         F.col("sc").alias("consequent support"), F.col("s").alias("support"), conf.alias("confidence"),
         lift.alias("lift"), leverage.alias("leverage"), conviction.alias("conviction"),
-        zhang.alias("zhangs_metric"), "c", "ca", "cc")
+        zhang.alias("zhangs_metric"), "c", "n", "ca", "cc")
     if min_lift == 1.0:
-        # support = count / N for all three, so lift >= 1 <=> c * N >= ca * cc;
-        # N = c / s is exact because s was computed as c / N from integers.
+        # support = count / N for all three, so lift >= 1 <=> c * N >= ca * cc.
         # decimal(38,0) products cannot overflow at any realistic row count.
         dec = "decimal(38,0)"
-        n_total = F.round(F.col("c") / F.col("support")).cast(dec)
-        keep = (F.col("c").cast(dec) * n_total) >= (F.col("ca").cast(dec) * F.col("cc").cast(dec))
+        keep = (F.col("c").cast(dec) * F.col("n").cast(dec)) >= (F.col("ca").cast(dec) * F.col("cc").cast(dec))
     else:
         keep = F.col("lift") >= F.lit(min_lift)
-    return out.where(keep).drop("c", "ca", "cc")
+    return out.where(keep).drop("c", "n", "ca", "cc")
 
 
 def consequent_mentions(rules: DataFrame, text: str = "Road User=") -> DataFrame:
@@ -206,6 +170,12 @@ def sample_itemsets(itemsets: DataFrame, k: int = 10) -> DataFrame:
 
 
 def one_hot(tx: DataFrame, items: Sequence[str]) -> DataFrame:
-    """M2: boolean column per item (``items`` from a bounded distinct, e.g.
-    the frequent singletons); one row per transaction."""
-    return tx.select(*[F.array_contains("items", it).alias(it) for it in sorted(items)])
+    """M2: boolean column per item of the given domain; one row per transaction.
+
+    The domain is an argument, so the schema is known before any data is read. An
+    item outside it fails the job: none is dropped without a word."""
+    domain = F.array(*[F.lit(it) for it in items])
+    outside = F.array_except("items", domain)
+    checked = tx.select(F.when(F.size(outside) == 0, F.col("items")).otherwise(
+        F.raise_error(F.concat(F.lit("items outside the domain: "), F.array_join(outside, ", ")))).alias("items"))
+    return checked.select(*[F.array_contains("items", it).alias(it) for it in sorted(items)])

@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators import conform as cf
 from starloom.sources.tables import table_path
 
 ROW = "_row"
@@ -95,7 +96,11 @@ def fatality_sheet(t: Tables) -> DataFrame:
         *LINEITEM_ORDER, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__pos"))
     part = t("part", ("p_partkey", "p_type", "p_size"))
     orders = t("orders", ("o_orderkey", "o_orderdate"))
-    j = li.join(part, li.l_partkey == part.p_partkey).join(orders, li.l_orderkey == orders.o_orderkey)
+    # A hot order is split before the first join on its key (see conform.salted_join).
+    hot = cf.hot_keys(t("lineitem", ("l_orderkey",)), "l_orderkey", cf.SALT_BUCKETS)
+    spread = F.struct("__file", "__pos")
+    j = cf.salted_join(li.join(part, li.l_partkey == part.p_partkey), orders, "l_orderkey", "o_orderkey", "inner",
+                       cf.SALT_BUCKETS, spread, hot)
     ship = F.col("l_shipdate")
     return j.select(
         F.col("l_orderkey").alias("Crash ID"),

@@ -12,18 +12,20 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import conform as cf
 from starloom.operators import keys, quality, rules
-from starloom.plans import analog, reports, sql_text
+from starloom.plans import analog, etl, reports, rule_job, sql_text
 from starloom.plans import warehouse as wh
+from starloom.plans.oracle import ONE_HOT_ITEMS
 from starloom.session import scratch_path
-from starloom.sinks.tables import read_warehouse, write_csv, write_rules, write_warehouse
+from starloom.sinks.tables import (Warehouse, open_warehouse, read_warehouse, table_name, write_csv, write_rules,
+                                   write_warehouse)
 from starloom.sources.delimited import read_sheet_csv, read_trimmed_csv
+from starloom.sources.tables import table_path
 
 # Analog parameters: the driver data spans 1995-2001, so 1998 stands in for
 # the reference's 2023 (Q2) and 2010 (Q5).
@@ -34,64 +36,70 @@ MAX_LEN = 3
 ITEM_SEP = " | "
 
 
-@dataclass
 class Build:
-    sheets: analog.Sheets
-    conformed: wh.Conformed
-    counts: DataFrame
-    tables: dict[str, DataFrame]
+    """The ETL over the derived sheets, each part made on first use: a table that needs
+    only the daily counts writes no joined frame."""
 
+    def __init__(self, spark: SparkSession, base: str):
+        self.sheets = analog.sheets(spark, base)
+        # the derived sheets' keys come from inner joins: none is null
+        self._conformed = wh.once(lambda: wh.conform_records(self.sheets.fatality, self.sheets.crash, null_safe=False))
+        self._counts = wh.once(lambda: wh.conform_counts(self.sheets.fatality_counts, self.sheets.crash_counts))
+        self.builders = wh.build_warehouse(lambda: self.conformed.frame, lambda: self.counts, self.sheets.dwellings,
+                                           deferred=True)
 
-_lock = threading.Lock()
-_builds: dict[tuple[str, str], Build] = {}
-_stored: dict[tuple[str, str], dict[str, DataFrame]] = {}
+    @property
+    def conformed(self) -> wh.Conformed:
+        return self._conformed()
+
+    @property
+    def counts(self) -> DataFrame:
+        return self._counts()
 
+    def table(self, name: str) -> DataFrame:
+        return self.builders[name]()
 
-def _key(spark: SparkSession, base: str) -> tuple[str, str]:
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext
-        app = spark.conf.get("spark.app.id", None) or str(id(spark))
-    return (app, base.rstrip("/"))
+
+_lock = threading.Lock()
+_builds: dict[tuple, Build] = {}
+_stored: dict[tuple, Warehouse] = {}
 
 
-def fresh_build(spark: SparkSession, base: str) -> Build:
-    """Plans for the whole ETL, uncached. Eager steps: the write of the joined
-    frame (with P3's decision observed during it) and the one written copy
-    inside each dense numbering."""
-    sh = analog.sheets(spark, base)
-    conformed = wh.conform_records(sh.fatality, sh.crash)
-    counts = wh.conform_counts(sh.fatality_counts, sh.crash_counts)
-    tables = wh.build_warehouse(conformed.frame, counts, sh.dwellings)
-    return Build(sh, conformed, counts, tables)
+def _key(spark: SparkSession, base: str) -> tuple:
+    """Session, folder and the state of its files: data rewritten under the same path
+    is built anew."""
+    base = base.rstrip("/")
+    files = []
+    for name in ("lineitem", "orders", "part", "customer", "nation", "region"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_path(base, name))
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        files.append((status.getModificationTime(), status.getLen()))
+    return (spark.sparkContext.applicationId, base, tuple(files))
 
 
 def run_etl(spark: SparkSession, base: str) -> dict[str, str]:
     """The whole ETL end to end: derive sheets, conform, build, write. The
     tables are handed to the writer as builders, so tables without numbering
     are written while the numbering jobs run."""
-    sh = analog.sheets(spark, base)
-    conformed = wh.conform_records(sh.fatality, sh.crash)
-    counts = wh.conform_counts(sh.fatality_counts, sh.crash_counts)
-    return write_warehouse(spark, wh.build_warehouse(conformed.frame, counts, sh.dwellings, deferred=True))
+    return write_warehouse(spark, Build(spark, base).builders)
 
 
 def build(spark: SparkSession, base: str) -> Build:
-    """:func:`fresh_build`, once per session and data folder."""
+    """A :class:`Build`, once per session and state of the data folder."""
     k = _key(spark, base)
     with _lock:
         if k not in _builds:
-            _builds[k] = fresh_build(spark, base)
+            _builds[k] = Build(spark, base)
         return _builds[k]
 
 
-def stored_warehouse(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+def stored_warehouse(spark: SparkSession, base: str) -> Warehouse:
     """The eleven tables written once to the shared checkpoint folder, read back."""
     k = _key(spark, base)
     b = build(spark, base)
     with _lock:
         if k not in _stored:
-            _stored[k] = read_warehouse(spark, write_warehouse(spark, b.tables))
+            _stored[k] = read_warehouse(spark, write_warehouse(spark, b.builders))
         return _stored[k]
 
 
@@ -113,8 +121,7 @@ def _itemsets(spark, base):
 
 
 def _rules(spark, base):
-    bound = rules.itemset_bound(len(rules.ATTRIBUTES), MIN_SUPPORT, MAX_LEN)
-    return rules.association_rules(_itemsets(spark, base), bound=bound)
+    return rules.association_rules(_itemsets(spark, base))
 
 
 def _no_row(df: DataFrame) -> DataFrame:
@@ -140,7 +147,7 @@ def b2_conform_counts(spark, base):
 
 def _table(name):
     def run(spark, base):
-        return build(spark, base).tables[name]
+        return build(spark, base).table(name)
     run.__name__ = name
     run.__doc__ = f"The {name} table as built by the ETL plan."
     return run
@@ -247,28 +254,49 @@ def m7_sample_itemsets(spark, base):
 
 
 def s2_trimmed_csv(spark, base):
-    """Dwelling counts written as a delimited file with a preamble, a
-    total line and a footer, spread over several files, then read back with
-    the content predicate (no line positions needed)."""
+    """Dwelling counts written as a delimited text over several files, with a preamble,
+    blank lines, two lead records and five tail records, and read back by place. Names are
+    quoted or not and hold quotes and commas, some counts are blank, some lines have no last comma."""
     dw = build(spark, base).sheets.dwellings
-    data = dw.select(F.format_string('"%s",%d,', "lga_name", "dwelling_count").alias("value"),
-                     F.lit(1).alias("part"))
-    total = dw.agg(F.format_string('"Total",%d,', F.sum("dwelling_count")).alias("value")).withColumn("part", F.lit(2))
-    banner = spark.createDataFrame(
-        [('"Dwelling counts by area"', 0), ("", 0), ('"Default Summation",', 0), ('"Area (EN)",', 0),
-         ('"Data source: derived from customer counts"', 3), ('"INFO","cells are exact"', 3)], "value string, part int")
+    name, n = F.col("lga_name"), F.col("dwelling_count")
+    odd = F.pmod(F.length(name), F.lit(4))
+    line = (F.when(odd == 0, F.format_string('"%s",%d,', name, n)).when(odd == 1, F.format_string("%s,%d", name, n))
+            .when(odd == 2, F.format_string('"%s, ""of"" old",%d,', name, n)).otherwise(F.format_string("%s,,", name)))
+    lines = dw.select(F.lit(1).alias("part"), name.alias("at"), line.alias("value"))
+    around = [(0, t) for t in ("Dwellings by area", "", "", "", "", "", "", '"Default Summation",', "", '"Area (EN)",')] \
+        + [(2, t) for t in ('"Total",1,', "", '"Data source: derived"', "", '"INFO","cells are exact"', '"c1"', '"c2"')]
+    frame = spark.createDataFrame([(p, f"{i:02d}", t) for i, (p, t) in enumerate(around)], "part int, at string, value string")
     path = scratch_path(spark, "dwellings-text")
-    banner.unionByName(data).unionByName(total).repartition("part").select("value").write.text(path)
+    # ranges keep the file order; rows of one part spread over several files
+    (frame.unionByName(lines).repartitionByRange(6, "part", "at").sortWithinPartitions("part", "at")
+     .select("value").write.text(path))
     return read_trimmed_csv(spark, path).drop("_row")
 
 
+def s1_sheet_header(spark, base):
+    """An exported sheet with four banner lines, labels with a line break or differing in
+    case alone, and keys that are blank or no number, read back with every record kept."""
+    orders = spark.read.parquet(f"{base.rstrip('/')}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    key = F.when(F.col("o_orderkey") % 50 == 0, "").when(F.col("o_orderkey") % 51 == 0, "n/a").otherwise(
+        F.col("o_orderkey").cast("string"))
+    lines = orders.select(F.lit(1).alias("part"), F.col("o_orderkey").alias("at"), F.concat(
+        key, F.lit(',"'), "o_orderpriority", F.lit('",'), "o_orderstatus", F.lit(","), F.lower("o_orderstatus")).alias("value"))
+    top = ("Orders, exported", "one line an order", "", "columns below", '"Crash ID","Priority \nclass",Status,STATUS')
+    head = spark.createDataFrame([(0, i, t) for i, t in enumerate("\n".join(top).split("\n"))],
+                                 "part int, at bigint, value string")
+    path = scratch_path(spark, "sheet-text")
+    (head.unionByName(lines).repartitionByRange(5, "part", "at").sortWithinPartitions("part", "at").select("value").write.text(path))
+    sheet = etl.read_exported_sheet(spark, path, {"Crash ID": "bigint"}, "Crash ID", dense_order=True)
+    return sheet.toDF("crash_id", "priority", "status", "status_again", "row_no")
+
+
 def s4_reload_processed(spark, base):
     """K1 + S1/S4: the conformed frame exported as CSV with a header (as the
     reference exports it for the rule job) and read back with its schema."""
     frame = _no_row(build(spark, base).conformed.frame)
     path = scratch_path(spark, "processed-csv")
     write_csv(frame, path)
-    return read_sheet_csv(spark, path, frame.schema, key="Crash ID").drop("_row")
+    return read_sheet_csv(spark, path, frame.schema).drop("_row")
 
 
 def k4_rules_output(spark, base):
@@ -279,11 +307,18 @@ def k4_rules_output(spark, base):
 
 
 def m2_one_hot(spark, base):
-    """M2: one boolean column per item, one row per transaction. The item
-    list is a bounded distinct (the attributes' values)."""
-    tx = _tx(spark, base)
-    items = [r[0] for r in tx.select(F.explode("items")).distinct().collect()]
-    return rules.one_hot(tx, items)
+    """M2: one boolean column per item of the derived sheets' domain, one row per
+    transaction."""
+    return rules.one_hot(_tx(spark, base), ONE_HOT_ITEMS)
+
+
+def m3_border_support(spark, base):
+    """M3 at the border: a support that an itemset has exactly, as the double count / total
+    (the fifth most frequent pair's), keeps that itemset."""
+    pairs = _itemsets(spark, base).where("size = 2").orderBy(F.desc("support"), F.array_join("items", ITEM_SEP)).limit(5)
+    support = pairs.agg(F.min("support")).first()[0]
+    found = rules.frequent_itemsets(_tx(spark, base), min_support=support, max_len=MAX_LEN)
+    return found.select(_text("items"), "count", "support", "size")
 
 
 def w1_rank_all(spark, base):
@@ -305,15 +340,11 @@ def p3_duplicate_columns(spark, base):
 def j4_no_dwellings(spark, base):
     """The LGA dimension built without the optional dwellings input: the
     count column is present and null."""
-    b = build(spark, base)
-    frame = b.conformed.frame
-    return wh.dim_lga(frame, wh.dim_state(frame), None)
+    return wh.dim_lga(build(spark, base).conformed.frame, None)
 
 
-def k2_loaded_counts(spark, base):
-    """Rows in each of the eleven loaded tables."""
-    stored = stored_warehouse(spark, base)
-    parts = [stored[t].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+def _counted(tables) -> DataFrame:
+    parts = [tables[t].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
              for t in wh.TABLES]
     out = parts[0]
     for p in parts[1:]:
@@ -321,6 +352,76 @@ def k2_loaded_counts(spark, base):
     return out
 
 
+def k2_loaded_counts(spark, base):
+    """Rows in each of the eleven loaded tables."""
+    return _counted(stored_warehouse(spark, base))
+
+
+def k3_reload(spark, base):
+    """K3: the warehouse loaded twice into one folder and opened from there: rows of each
+    table, and the tables that the loads left in the catalog."""
+    root = scratch_path(spark, "reload")
+    for _ in range(2):
+        write_warehouse(spark, build(spark, base).builders, path=root)
+    loaded = open_warehouse(spark, root)
+    prefix = table_name(root, "")
+    kept = sum(t.name.startswith(prefix) for t in spark.catalog.listTables())
+    return _counted(loaded).withColumn("catalog_tables", F.lit(kept).cast("bigint"))
+
+
+def d2_mapped_states(spark, base):
+    """The state dimension of the nations' first letters mapped to state codes, so
+    mapped and unmapped codes both occur."""
+    nation = spark.read.parquet(table_path(base, "nation")).select("n_nationkey", "n_name")
+    codes = F.array(*[F.lit(c) for c in ("NSW", "VIC", "QLD", "SA", "WA", "TAS", "NT", "ACT", "OT")])
+    coded = nation.select(F.element_at(codes, (F.col("n_nationkey") % 9 + 1).cast("int")).alias(wh.STATE))
+    return wh.dim_state(coded)
+
+
+def k5_seeded_keys(spark, base):
+    """K5 with offenders: lines checked as if their order were a primary key, and orders
+    whose key is null for every hundredth order."""
+    lines = spark.read.parquet(table_path(base, "lineitem")).select("l_orderkey")
+    orders = spark.read.parquet(table_path(base, "orders")).select(
+        F.when(F.col("o_orderkey") % 100 != 0, F.col("o_orderkey")).alias("o_orderkey"))
+    return quality.check_primary_keys({"lines": lines, "orders": orders}, {"lines": "l_orderkey", "orders": "o_orderkey"})
+
+
+def _exported(spark, base) -> etl.SheetPaths:
+    """The derived sheets as exported CSV folders."""
+    sheets = build(spark, base).sheets
+    out = scratch_path(spark, "exported")
+
+    def export(df: DataFrame, name: str, by: str) -> str:
+        # The fatality sheet's place is its order; every file has its own header line.
+        labels = [c for c in df.columns if c != cf.ROW]
+        flat = df.select(*[F.col(f"`{c}`").alias(c.replace("\n", "")) for c in labels])
+        flat.write.option("header", True).csv(f"{out}/{name}")
+        return f"{out}/{name}"
+
+    fatality = sheets.fatality.drop("Time of day")
+    return etl.SheetPaths(export(fatality, "fatalities", "Crash ID"), export(sheets.crash, "crashes", "Crash ID"),
+                          export(sheets.fatality_counts, "fatality_counts", "Date"),
+                          export(sheets.crash_counts, "crash_counts", "Date"))
+
+
+def _etl_job(spark, base) -> etl.EtlResult:
+    return etl.run(spark, _exported(spark, base), scratch_path(spark, "etl-out"), enforce_keys=False)
+
+
+def etl_job(spark, base):
+    """The user's ETL job on exported sheets: rows in each loaded table."""
+    return _counted(read_warehouse(spark, _etl_job(spark, base).locations))
+
+
+def r1_rule_job(spark, base):
+    """The user's rule job on the processed export of the ETL job."""
+    done = _etl_job(spark, base)
+    out = scratch_path(spark, "rule-job")
+    rule_job.run(rule_job.read_processed(spark, done.processed["records"]), out)
+    return _rules_text(spark.read.parquet(out))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable] = {
         "b1_conform_records": b1_conform_records,
@@ -334,6 +435,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "a6_keep_first": a6_keep_first,
         "w3_dense_ids": w3_dense_ids,
         "k2_loaded_counts": k2_loaded_counts,
+        "k3_reload": k3_reload,
+        "k5_seeded_keys": k5_seeded_keys,
+        "d2_mapped_states": d2_mapped_states,
+        "etl_job": etl_job,
+        "r1_rule_job": r1_rule_job,
         "k5_primary_keys": k5_primary_keys,
         "k6_foreign_keys": k6_foreign_keys,
         "w1_rank_all": w1_rank_all,
@@ -348,12 +454,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "u1_union_all": u1_union_all,
         "q6_dwelling_rate": q6_dwelling_rate,
         **{f"s5_sql_{n}": _sql(n) for n in sql_text.STATEMENTS},
+        "s1_sheet_header": s1_sheet_header,
         "s2_trimmed_csv": s2_trimmed_csv,
         "s4_reload_processed": s4_reload_processed,
         "k4_rules_output": k4_rules_output,
         "m1_transactions": m1_transactions,
         "m2_one_hot": m2_one_hot,
         "m3_frequent_itemsets": m3_frequent_itemsets,
+        "m3_border_support": m3_border_support,
         "m4_rules": m4_rules,
         "m5_road_user_rules": m5_road_user_rules,
         "m6_top_rules": m6_top_rules,

@@ -5,7 +5,7 @@ Sheets arrive as delimited exports (one folder or file per sheet). Their
 labels are taken from the file's own header record, by position, so labels
 that differ only in case or contain newlines are kept exactly; every column is
 read as text except the few the build needs typed (a failed parse is null,
-never an error, and drops banner and header lines by the key).
+never an error, and never a lost row).
 
     python -m starloom.plans.etl --fatalities F --crashes C \\
         --fatality-counts FC --crash-counts CC [--dwellings D] --out OUT
@@ -22,38 +22,32 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators import quality
+from starloom.operators.conform import SALT_BUCKETS
 from starloom.plans import warehouse as wh
+from starloom.session import scratch_scope
 from starloom.sinks.tables import BUCKETS_KEY, read_warehouse, write_csv, write_warehouse
-from starloom.sources.delimited import read_sheet_csv, read_trimmed_csv
+from starloom.sources.delimited import header_record, read_sheet_csv, read_trimmed_csv
 
-# Banner lines above the header of each exported sheet, and the
-# columns read with a type (everything else is text).
-BANNERS = {"fatalities": 4, "fatality_counts": 2, "crashes": 4, "crash_counts": 2}
+# The columns read with a type (everything else is text).
 RECORD_TYPES = {"Crash ID": "bigint", "Year": "int", "Month": "int", "Age": "int"}
 COUNT_TYPES = {"Date": "date", "Number Fatalities": "bigint", "Number of fatal crashes": "bigint"}
 
 
-def header_labels(spark: SparkSession, path: str, banner_lines: int, max_lines: int = 200) -> list[str]:
-    """Labels from the header record after ``banner_lines`` records of the
-    first file. Reads at most ``max_lines`` lines to the driver."""
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        raise FileNotFoundError(path)
-    lines = [r[0] for r in spark.read.text(files[0]).limit(max_lines).collect()]
-    records = list(csv.reader(io.StringIO("\n".join(lines))))
-    if len(records) <= banner_lines:
-        raise ValueError(f"{path}: no header after {banner_lines} banner lines")
-    return records[banner_lines]
-
-
-def read_exported_sheet(spark: SparkSession, path: str, banner_lines: int, types: Mapping[str, str],
-                        key: str, date_format: str = "yyyy-MM-dd", dense_order: bool = False) -> DataFrame:
-    """One exported sheet with header labels from the file itself;
-    ``_row`` is the file position (or a dense ordinal, ``dense_order``)."""
-    labels = header_labels(spark, path, banner_lines)
+def header_labels(record: str) -> list[str]:
+    """The labels of a raw header record."""
+    return next(csv.reader(io.StringIO(record)))
+
+
+def read_exported_sheet(spark: SparkSession, path: str, types: Mapping[str, str], key: str,
+                        date_format: str = "yyyy-MM-dd", dense_order: bool = False) -> DataFrame:
+    """One exported sheet; its labels come from its header record, the one with a
+    cell ``key``, and every record below is kept. ``_row`` is the file position, or a dense ordinal
+    (``dense_order``)."""
+    record = header_record(spark, path, key)
+    labels = header_labels(record)
     ddl = ", ".join(f"`{lab.replace('`', '``')}` {types.get(lab, 'string')}" for lab in labels)
     integers = tuple(lab for lab in labels if types.get(lab) in ("int", "bigint"))
-    return read_sheet_csv(spark, path, ddl, key=key, options={"dateFormat": date_format}, dense_order=dense_order,
+    return read_sheet_csv(spark, path, ddl, header=record, options={"dateFormat": date_format}, dense_order=dense_order,
                           integers=integers)
 
 
@@ -90,34 +84,41 @@ class EtlResult:
 
 
 def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None = None,
-        enforce_keys: bool = True, salt_buckets: int | None = None) -> EtlResult:
+        enforce_keys: bool = True, salt_buckets: int | None = SALT_BUCKETS) -> EtlResult:
+    """The whole job. Everything it returns lies under ``out``; its intermediate tables are
+    removed at the end."""
+    with scratch_scope(spark):
+        return _run(spark, paths, out.rstrip("/"), buckets, enforce_keys, salt_buckets)
+
+
+def _run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None, enforce_keys: bool,
+         salt_buckets: int | None) -> EtlResult:
     # The fatality sheet's row order is its file order: number the rows at the
     # scan (no shuffle). If every crash key is unique the merge keeps one row
     # per fatality, so that number is the fatality id and the build skips
     # sorting the largest table; otherwise the general numbering runs.
-    fat = read_exported_sheet(spark, paths.fatalities, BANNERS["fatalities"], RECORD_TYPES, "Crash ID",
-                              dense_order=True)
-    crash = read_exported_sheet(spark, paths.crashes, BANNERS["crashes"], RECORD_TYPES, "Crash ID")
+    fat = read_exported_sheet(spark, paths.fatalities, RECORD_TYPES, "Crash ID", dense_order=True)
+    crash = read_exported_sheet(spark, paths.crashes, RECORD_TYPES, "Crash ID")
     one_to_one = key_is_unique(crash, "Crash ID")
     if one_to_one:
         crash = crash.drop("_row")
-    fcount = read_exported_sheet(spark, paths.fatality_counts, BANNERS["fatality_counts"], COUNT_TYPES, "Date")
-    ccount = read_exported_sheet(spark, paths.crash_counts, BANNERS["crash_counts"], COUNT_TYPES, "Date")
+    fcount = read_exported_sheet(spark, paths.fatality_counts, COUNT_TYPES, "Date")
+    ccount = read_exported_sheet(spark, paths.crash_counts, COUNT_TYPES, "Date")
     dwell = read_trimmed_csv(spark, paths.dwellings) if paths.dwellings else None
 
     conformed = wh.conform_records(fat, crash, salt_buckets=salt_buckets)
     counts = wh.conform_counts(fcount, ccount)
-    processed = {"crashxfatality": f"{out.rstrip('/')}/processed/crashxfatality",
-                 "crashxfatality_count": f"{out.rstrip('/')}/processed/crashxfatality_count"}
-    write_csv(conformed.frame.drop(wh.ROW), processed["crashxfatality"])
-    write_csv(counts.drop(wh.ROW), processed["crashxfatality_count"])
+    processed = {name: f"{out}/processed/{name}" for name in ("records", "daily_counts", "conflicts")}
+    write_csv(conformed.frame.drop(wh.ROW), processed["records"])
+    write_csv(counts.drop(wh.ROW), processed["daily_counts"])
+    conformed.conflicts.write.mode("overwrite").parquet(processed["conflicts"])
     tables = wh.build_warehouse(conformed.frame, counts, dwell, fatality_ids_from_row=one_to_one, deferred=True)
-    locations = write_warehouse(spark, tables, path=f"{out.rstrip('/')}/warehouse", buckets=buckets)
+    locations = write_warehouse(spark, tables, path=f"{out}/warehouse", buckets=buckets)
     if enforce_keys:
         loaded = read_warehouse(spark, locations)
         quality.enforce(quality.check_primary_keys(loaded).unionByName(quality.check_foreign_keys(loaded)))
     buckets = int(locations.pop(BUCKETS_KEY)) if BUCKETS_KEY in locations else None
-    return EtlResult(locations, processed, conformed.conflicts, conformed.decisions, buckets)
+    return EtlResult(locations, processed, spark.read.parquet(processed["conflicts"]), conformed.decisions, buckets)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -129,7 +130,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--dwellings")
     ap.add_argument("--out", required=True)
     ap.add_argument("--no-key-check", action="store_true")
-    ap.add_argument("--salt-buckets", type=int, help="split crash keys holding over 1/N of the fatalities")
+    ap.add_argument("--salt-buckets", type=int, default=SALT_BUCKETS, help="split crash keys holding over 1/N of the fatalities")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     res = run(spark, SheetPaths(a.fatalities, a.crashes, a.fatality_counts, a.crash_counts, a.dwellings), a.out,

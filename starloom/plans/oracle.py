@@ -225,7 +225,10 @@ road_rules AS (SELECT * FROM rules WHERE len(list_filter(consequents, lambda x:
 
 
 def _with(select: str) -> str:
-    return "WITH " + BASE.strip() + "\n" + select.strip()
+    select = select.strip()
+    if select.startswith("WITH "):  # further tables of the statement's own
+        return "WITH " + BASE.strip() + ",\n" + select.removeprefix("WITH ")
+    return "WITH " + BASE.strip() + "\n" + select
 
 
 def _txt(col: str) -> str:
@@ -317,25 +320,29 @@ SELECT year, lga_name, total_fatalities FROM (
 WHERE total_fatalities = best
 """
 
+# Q2 to Q4 straight from the source sheets: a crash counts where a fatality names it, its
+# day is the first of its month, and that day must be among the days with counts.
+_MONTHS = "(SELECT DISTINCT make_date(year(d), month(d), 1) AS first_day FROM fcnt WHERE day(d) = 1)"
 _Q2 = f"""
-SELECT st.state_name, CAST(count(fc.crash_id) AS BIGINT) AS total_crashes
-FROM fact_crashes fc, dim_date dd, dim_state st
-WHERE fc.date_id = dd.date_id AND fc.state_id = st.state_id AND dd.year = {Q2_YEAR}
-GROUP BY st.state_name
+SELECT coalesce(s.state_name, c.state) AS state_name, CAST(count(*) AS BIGINT) AS total_crashes
+FROM crash c LEFT JOIN dim_state s ON s.state_id = c.state
+WHERE c.year = {Q2_YEAR} AND c.crash_id IN (SELECT crash_id FROM fat)
+  AND make_date(c.year, c.month, 1) IN (SELECT first_day FROM {_MONTHS})
+GROUP BY 1
 """
 
-_Q3 = """
-SELECT dd.day_of_week, tm.time_of_day, CAST(count(ff.fatality_id) AS BIGINT) AS total_fatalities
-FROM fact_fatalities ff, fact_crashes fc, dim_date dd, dim_time tm
-WHERE ff.crash_id = fc.crash_id AND fc.date_id = dd.date_id AND tm.crash_id = ff.crash_id
-  AND dd.day_of_week IS NOT NULL AND tm.time_of_day IS NOT NULL AND tm.time_of_day <> 'Unknown'
-GROUP BY 1, 2
+_Q3 = f"""
+SELECT strftime(first_day, '%A') AS day_of_week, time_of_day, CAST(sum(n) AS BIGINT) AS total_fatalities FROM (
+  SELECT make_date(c.year, c.month, 1) AS first_day, c.time_of_day, n
+  FROM crash c JOIN (SELECT crash_id, count(*) AS n FROM fat GROUP BY crash_id) USING (crash_id))
+JOIN {_MONTHS} USING (first_day)
+WHERE coalesce(time_of_day, 'Unknown') <> 'Unknown' GROUP BY ALL
 """
 
 _Q4 = """
-SELECT CAST(sum(CASE WHEN ev."Christmas Period" = 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS christmas_fatalities,
-       CAST(sum(CASE WHEN ev."Easter Period" = 'Yes' THEN 1 ELSE 0 END) AS BIGINT) AS easter_fatalities
-FROM fact_fatalities ff JOIN dim_event ev USING (crash_id)
+SELECT CAST(count(*) FILTER (f.christmas = 'Yes') AS BIGINT) AS christmas_fatalities,
+       CAST(count(*) FILTER (c.easter = 'Yes') AS BIGINT) AS easter_fatalities
+FROM fat f LEFT JOIN crash c USING (crash_id)
 """
 
 _Q5 = f"""
@@ -362,6 +369,29 @@ FROM (
   GROUP BY 1, 2)
 """
 
+_CUBE = """
+WITH placed AS (
+  SELECT st.state_name AS s, CASE WHEN dd.is_weekend THEN 'true' ELSE 'false' END AS w
+  FROM fact_crashes fc JOIN dim_state st USING (state_id) JOIN dim_date dd USING (date_id))
+SELECT s AS state_name, w AS is_weekend, count(*) AS crashes FROM placed GROUP BY s, w
+UNION ALL SELECT s, 'all', count(*) FROM placed GROUP BY s
+UNION ALL SELECT 'all', w, count(*) FROM placed GROUP BY w
+UNION ALL SELECT 'all', 'all', count(*) FROM placed
+"""
+
+_DETAILS = """
+SELECT unnest(['time', 'vehicle', 'event', 'road']) AS detail,
+       unnest([(SELECT count(*) FROM dim_time), (SELECT count(*) FROM dim_vehicle),
+               (SELECT count(*) FROM dim_event), (SELECT count(*) FROM dim_road)]) AS n
+"""
+
+# half up, from whole numbers
+_SHARES = """
+SELECT gender, n, CAST((n * 200000 + total) // (2 * total) AS DOUBLE) / 1000 AS percent
+FROM (SELECT coalesce(gender, 'unknown') AS gender, count(*) AS n, CAST(sum(count(*)) OVER () AS BIGINT) AS total
+      FROM dim_person GROUP BY 1)
+"""
+
 _RANK_ALL = """
 SELECT year, lga_name, total_fatalities,
        CAST(rank() OVER (PARTITION BY year ORDER BY total_fatalities DESC) AS INTEGER) AS rank_num
@@ -454,7 +484,31 @@ def oracle_sql() -> dict[str, str]:
         "q6_dwelling_rate": _Q6,
         "s5_sql_q1": _Q1, "s5_sql_q2": _Q2, "s5_sql_q3": _Q3, "s5_sql_q4": _Q4, "s5_sql_q5": _Q5,
         "s5_sql_q6": _Q6,
-        "s2_trimmed_csv": "SELECT lga_name, dwelling_count FROM dw",
+        "s5_sql_rank": _RANK_ALL, "s5_sql_cube": _CUBE, "s5_sql_union": _DETAILS, "s5_sql_numeric": _SHARES,
+        "s1_sheet_header": """
+SELECT CASE WHEN o_orderkey % 50 <> 0 AND o_orderkey % 51 <> 0 THEN o_orderkey END AS crash_id, o_orderpriority AS priority,
+       o_orderstatus AS status, lower(o_orderstatus) AS status_again,
+       CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_no FROM orders""",
+        "s2_trimmed_csv": """
+SELECT CASE WHEN length(lga_name) % 4 = 2 THEN lga_name || ', "of" old' ELSE lga_name END AS lga_name,
+       CASE WHEN length(lga_name) % 4 <> 3 THEN dwelling_count END AS dwelling_count FROM dw""",
+        "m3_border_support": f"""
+SELECT {_txt('items')}, CAST(cnt AS BIGINT) AS count, cnt / (SELECT n FROM txn) AS support, CAST(len(items) AS INTEGER) AS size
+FROM cand WHERE cnt / (SELECT n FROM txn) >= (SELECT min(support) FROM (
+  SELECT support FROM itemsets WHERE size = 2 ORDER BY support DESC, array_to_string(items, '{SEP}') LIMIT 5))""",
+        "k3_reload": f"SELECT *, CAST(5 AS BIGINT) AS catalog_tables FROM ({_LOADED})",
+        "k5_seeded_keys": """
+SELECT 'lines.l_orderkey' AS "check", CAST(l_orderkey AS VARCHAR) AS key, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey HAVING count(*) > 1
+UNION ALL SELECT 'orders.o_orderkey', NULL, count(*) FROM orders WHERE o_orderkey % 100 = 0 HAVING count(*) > 0""",
+        "d2_mapped_states": """
+SELECT DISTINCT state_id, CASE state_id
+    WHEN 'NSW' THEN 'New South Wales' WHEN 'VIC' THEN 'Victoria' WHEN 'QLD' THEN 'Queensland'
+    WHEN 'SA' THEN 'South Australia' WHEN 'WA' THEN 'Western Australia' WHEN 'TAS' THEN 'Tasmania'
+    WHEN 'NT' THEN 'Northern Territory' WHEN 'ACT' THEN 'Australian Capital Territory' ELSE state_id END AS state_name
+FROM (SELECT ['NSW', 'VIC', 'QLD', 'SA', 'WA', 'TAS', 'NT', 'ACT', 'OT'][CAST(n_nationkey % 9 + 1 AS INTEGER)] AS state_id FROM nation)""",
+        "etl_job": _LOADED,
+        "r1_rule_job": _RULE_SELECT + " FROM road_rules",
         "s4_reload_processed": _CONFORMED,
         "k4_rules_output": _RULE_SELECT + " FROM road_rules",
         "m2_one_hot": _ONE_HOT,

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators import rules
+from starloom.session import scratch_path
 from starloom.sinks.tables import write_rules
 
 # The reference's mining parameters.
@@ -36,18 +37,24 @@ class RuleJobResult:
 
 def run(records: DataFrame, out: str, fmt: str = "parquet", min_support: float = MIN_SUPPORT,
         max_len: int = MAX_LEN, min_lift: float = MIN_LIFT) -> RuleJobResult:
-    tx = rules.transactions(records)
-    itemsets = rules.frequent_itemsets(tx, min_support=min_support, max_len=max_len)
-    bound = rules.itemset_bound(len(rules.ATTRIBUTES), min_support, max_len)
-    all_rules = rules.association_rules(itemsets, min_lift=min_lift, bound=bound)
+    """The records are read once: itemsets and rules are written to the shared
+    checkpoint folder and every further step reads these small tables."""
+    spark = records.sparkSession
+    itemsets = _stored(rules.frequent_itemsets(rules.transactions(records), min_support=min_support, max_len=max_len),
+                       scratch_path(spark, "itemsets"))
+    all_rules = _stored(rules.association_rules(itemsets, min_lift=min_lift), scratch_path(spark, "all-rules"))
     road = rules.road_user_rules(all_rules)
-    written = write_rules(road, out, fmt=fmt)
-    if written:
+    if write_rules(road, out, fmt=fmt):
         return RuleJobResult(True, road, rules.top_rules(road, TOP), None, None)
     return RuleJobResult(False, road, None, rules.consequent_items(all_rules),
                          rules.sample_itemsets(itemsets, SAMPLE))
 
 
+def _stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """The processed export (CSV with a header); every cell is read as
     text, as the reference's cleaning does."""
@@ -63,13 +70,14 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     res = run(read_processed(spark, a.processed), a.out, fmt=a.format)
     if res.written:
-        for r in res.top.collect():   # five rows
-            print(f"If {set(r.antecedents)}, then {set(r.consequents)}")
-            print(f"Support: {r.support:.3f}, Confidence: {r.confidence:.3f}, Lift: {r.lift:.3f}")
+        print(f"rules written to {a.out}; the strongest:")
+        for r in res.top.collect():  # five rows
+            print(f"  {' & '.join(r.antecedents)} => {' & '.join(r.consequents)} "
+                  f"[support {r.support:.3f}, confidence {r.confidence:.3f}, lift {r.lift:.3f}]")
     else:
-        print("No road user rules found.")
-        res.consequent_items.show(truncate=False)
-        res.sample_itemsets.show(truncate=False)
+        print(f"no rule mentions a road user; all consequent items: {a.out}-consequents, itemsets: {a.out}-itemsets")
+        res.consequent_items.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}-consequents")
+        res.sample_itemsets.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}-itemsets")
 
 
 if __name__ == "__main__":

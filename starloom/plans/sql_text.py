@@ -1,19 +1,18 @@
-"""The six report statements as SQL text, run with ``spark.sql`` over the
-warehouse tables registered as temporary views (inventory S5, U2, U3).
-
-The statements use the constructs the reports are defined with (CTE,
-``RANK``, ``CUBE`` + ``HAVING``, three-branch ``UNION ALL``, ``NUMERIC``
-division). Column names with spaces are written with backticks (Spark reads
-``"..."`` as a string literal unless ``doubleQuotedIdentifiers`` is on; see
-:func:`run_statement` for statements written that way), and each statement
-runs on its own.
-Year constants are parameters. Counts are cast to BIGINT and years to INT so
-the types match the DataFrame versions in :mod:`starloom.plans.reports`.
+"""Report questions as SQL text, run with ``spark.sql`` over the warehouse
+tables as temporary views (inventory S5, U2, U3).
+
+Each statement first counts the fatalities of every crash and joins these counts
+to the crash-grain tables, as the DataFrame reports do. Six statements answer the
+report questions; four more have a question of their own for ``RANK``, ``CUBE``,
+``UNION ALL`` and exact ``NUMERIC`` division. Column names with spaces are written
+with backticks (see :func:`run_statement` for statements that quote them).
+Year constants are parameters.
 """
 
 from __future__ import annotations
 
 import threading
+from contextlib import contextmanager
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,101 +23,133 @@ from pyspark.sql import DataFrame, SparkSession
 _views_lock = threading.RLock()
 
 
-def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
-    for name, df in tables.items():
-        df.createOrReplaceTempView(prefix + name)
-
-
-# The statements below keep the constructs the reports are defined with (a
-# CTE with RANK, CUBE with HAVING, a three-branch UNION ALL, NUMERIC
-# division), written with table aliases.
-
-Q1 = """
-WITH per_area AS (
-    SELECT d.year AS yr, g.lga_name AS area, COUNT(f.fatality_id) AS n,
-           RANK() OVER (PARTITION BY d.year ORDER BY COUNT(f.fatality_id) DESC) AS pos
-    FROM fact_fatalities f
-    JOIN fact_crashes c ON c.crash_id = f.crash_id
-    JOIN dim_date d ON d.date_id = c.date_id
-    JOIN dim_lga g ON g.lga_id = c.lga_id
-    WHERE g.lga_name <> 'Unknown'
-    GROUP BY d.year, g.lga_name
-)
-SELECT CAST(yr AS INT) AS year, area AS lga_name, CAST(n AS BIGINT) AS total_fatalities
-FROM per_area WHERE pos = 1 ORDER BY year
+@contextmanager
+def _views(spark: SparkSession, tables: Mapping[str, DataFrame]):
+    """The tables as temporary views while a statement is analysed; a view that the
+    caller has under one of the names is put back, no other is left behind."""
+    with _views_lock:
+        before = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in tables}
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        try:
+            yield
+        finally:
+            for name in tables:
+                if name in before:
+                    before[name].createOrReplaceTempView(name)
+                else:
+                    spark.catalog.dropTempView(name)
+
+
+_DEATHS = "deaths AS (SELECT crash_id, count(fatality_id) AS n FROM fact_fatalities GROUP BY crash_id)"
+_INVOLVED = ("stack(3, 'Bus', `Bus Involvement`, 'Heavy Rigid Truck', `Heavy Rigid Truck Involvement`, "
+             "'Articulated Truck', `Articulated Truck Involvement`)")
+
+# Which areas had the most fatalities of each year?
+TOP_AREAS = f"""
+WITH {_DEATHS},
+yearly AS (
+  SELECT cal.year, area.lga_name, sum(n) AS total
+  FROM deaths NATURAL JOIN fact_crashes
+    INNER JOIN dim_lga AS area USING (lga_id) INNER JOIN dim_date AS cal USING (date_id)
+  WHERE NOT area.lga_name <=> 'Unknown' AND area.lga_name IS NOT NULL
+  GROUP BY cal.year, area.lga_name),
+most AS (SELECT year, max(total) AS total FROM yearly GROUP BY year)
+SELECT int(year) AS year, lga_name, bigint(total) AS total_fatalities FROM yearly NATURAL JOIN most ORDER BY 1, 2
 """
 
-Q2 = """
-SELECT s.state_name, CAST(COUNT(c.crash_id) AS BIGINT) AS total_crashes
-FROM fact_crashes c
-JOIN dim_date d ON d.date_id = c.date_id
-JOIN dim_state s ON s.state_id = c.state_id
-WHERE d.year = {year}
-GROUP BY s.state_name
-ORDER BY total_crashes DESC
+# How many crashes did each state have in a year?
+STATE_CRASHES = """
+WITH days AS (SELECT date_id FROM dim_date WHERE year = {year}),
+per_state AS (SELECT state_id, count(crash_id) AS n FROM fact_crashes LEFT SEMI JOIN days USING (date_id) GROUP BY state_id)
+SELECT state_name, bigint(sum(n)) AS total_crashes
+FROM per_state NATURAL JOIN dim_state GROUP BY state_name ORDER BY 2 DESC, 1
 """
 
-Q3 = """
-SELECT d.day_of_week, t.time_of_day, CAST(COUNT(f.fatality_id) AS BIGINT) AS total_fatalities
-FROM fact_fatalities f
-JOIN fact_crashes c ON c.crash_id = f.crash_id
-JOIN dim_date d ON d.date_id = c.date_id
-JOIN dim_time t ON t.crash_id = f.crash_id
-GROUP BY CUBE (d.day_of_week, t.time_of_day)
-HAVING d.day_of_week IS NOT NULL AND t.time_of_day IS NOT NULL AND t.time_of_day != 'Unknown'
-ORDER BY total_fatalities DESC
+# When in the week do people die?
+WEEK_PATTERN = f"""
+WITH {_DEATHS},
+slots AS (SELECT crash_id, time_of_day FROM dim_time WHERE NOT time_of_day <=> 'Unknown' AND time_of_day IS NOT NULL),
+known AS (SELECT date_id, day_of_week FROM dim_date WHERE day_of_week IS NOT NULL)
+SELECT day_of_week, time_of_day, bigint(sum(n)) AS total_fatalities
+FROM deaths NATURAL JOIN slots NATURAL JOIN (SELECT crash_id, date_id FROM fact_crashes) NATURAL JOIN known
+GROUP BY day_of_week, time_of_day ORDER BY 3 DESC, 1, 2
 """
 
-Q4 = """
-SELECT CAST(SUM(IF(e.`Christmas Period` = 'Yes', 1, 0)) AS BIGINT) AS christmas_fatalities,
-       CAST(SUM(IF(e.`Easter Period` = 'Yes', 1, 0)) AS BIGINT) AS easter_fatalities
-FROM fact_fatalities f JOIN dim_event e ON e.crash_id = f.crash_id
+# How many people die around holidays?
+HOLIDAYS = f"""
+WITH {_DEATHS}
+SELECT bigint(sum(n * int(`Christmas Period` <=> 'Yes'))) AS christmas_fatalities,
+       bigint(sum(n * int(`Easter Period` <=> 'Yes'))) AS easter_fatalities
+FROM deaths NATURAL JOIN dim_event
 """
 
-_Q5_BRANCH = """
-    SELECT d.year AS yr, '{label}' AS kind, v.crash_id
-    FROM dim_vehicle v
-    JOIN fact_fatalities f ON f.crash_id = v.crash_id
-    JOIN fact_crashes c ON c.crash_id = v.crash_id
-    JOIN dim_date d ON d.date_id = c.date_id
-    WHERE v.`{flag}` = 'Yes' AND d.year > {{after}}
+# How often were buses and trucks involved after a year?
+VEHICLES = f"""
+WITH {_DEATHS},
+involved AS (
+  SELECT crash_id, vehicle_type FROM dim_vehicle LATERAL VIEW {_INVOLVED} AS vehicle_type, flag WHERE flag = 'Yes'),
+late AS (SELECT date_id, year FROM dim_date WHERE year > {{after}}),
+rows_per_crash AS (SELECT crash_id, count(*) AS m FROM fact_fatalities GROUP BY crash_id)
+SELECT int(year) AS year, vehicle_type, bigint(sum(m)) AS total_fatal_crashes
+FROM involved NATURAL JOIN rows_per_crash NATURAL JOIN (SELECT crash_id, date_id FROM fact_crashes) NATURAL JOIN late
+GROUP BY year, vehicle_type ORDER BY 1, 3 DESC, 2
 """
 
-Q5 = """
-SELECT CAST(yr AS INT) AS year, kind AS vehicle_type, CAST(COUNT(*) AS BIGINT) AS total_fatal_crashes
-FROM ({b1} UNION ALL {b2} UNION ALL {b3}) AS involved
-GROUP BY CUBE (yr, kind)
-HAVING yr IS NOT NULL AND kind IS NOT NULL
-ORDER BY year, total_fatal_crashes DESC
-""".format(
-    b1=_Q5_BRANCH.format(label="Bus", flag="Bus Involvement"),
-    b2=_Q5_BRANCH.format(label="Heavy Rigid Truck", flag="Heavy Rigid Truck Involvement"),
-    b3=_Q5_BRANCH.format(label="Articulated Truck", flag="Articulated Truck Involvement"),
-)
-
-# NUMERIC division as the report defines it; the DECIMAL result is cast to
-# DOUBLE for one output type with the DataFrame version (half-up rounding
-# happens on the exact decimal first).
-Q6 = """
-SELECT g.lga_name, g.dwelling_count, CAST(COUNT(f.fatality_id) AS BIGINT) AS total_fatalities,
-       CAST(ROUND(COUNT(f.fatality_id) * 1000.0 / CAST(g.dwelling_count AS NUMERIC(20, 0)), 2) AS DOUBLE)
-         AS avg_fatalities_per_1000_dwellings
-FROM fact_fatalities f
-JOIN fact_crashes c ON c.crash_id = f.crash_id
-JOIN dim_lga g ON g.lga_id = c.lga_id
-WHERE g.dwelling_count IS NOT NULL
-GROUP BY g.lga_name, g.dwelling_count
-ORDER BY avg_fatalities_per_1000_dwellings DESC
+# How do fatalities compare with the dwellings of an area? (half up, from whole numbers)
+RATES = f"""
+WITH {_DEATHS},
+per_area AS (SELECT lga_id, sum(n) AS total FROM deaths NATURAL JOIN (SELECT crash_id, lga_id FROM fact_crashes) GROUP BY lga_id),
+named AS (SELECT lga_name, dwelling_count, sum(total) AS total FROM per_area NATURAL JOIN dim_lga
+          WHERE dwelling_count IS NOT NULL GROUP BY lga_name, dwelling_count)
+SELECT lga_name, dwelling_count, bigint(total) AS total_fatalities,
+       double((total * 200000 + dwelling_count) div (2 * dwelling_count)) / 100 AS avg_fatalities_per_1000_dwellings
+FROM named ORDER BY 4 DESC, 1
 """
 
-STATEMENTS = {"q1": Q1, "q2": Q2, "q3": Q3, "q4": Q4, "q5": Q5, "q6": Q6}
+# RANK: the place of every area in its year.
+AREA_RANKS = f"""
+WITH {_DEATHS},
+yearly AS (
+  SELECT cal.year, area.lga_name, sum(n) AS total
+  FROM deaths NATURAL JOIN fact_crashes
+    INNER JOIN dim_lga AS area USING (lga_id) INNER JOIN dim_date AS cal USING (date_id)
+  WHERE area.lga_name <> 'Unknown' GROUP BY cal.year, area.lga_name)
+SELECT int(year) AS year, lga_name, bigint(total) AS total_fatalities,
+       RANK() OVER (PARTITION BY year ORDER BY total DESC) AS rank_num
+FROM yearly ORDER BY 1, 4, 2
+"""
+
+# CUBE: crashes by state and weekend, with all subtotals.
+CRASH_CUBE = """
+SELECT coalesce(state_name, 'all') AS state_name, coalesce(string(is_weekend), 'all') AS is_weekend, count(*) AS crashes
+FROM fact_crashes NATURAL JOIN dim_state NATURAL JOIN (SELECT date_id, is_weekend FROM dim_date)
+GROUP BY CUBE (state_name, is_weekend) ORDER BY 1, 2
+"""
+
+# UNION ALL: rows of each dimension that describe crashes, one branch a dimension.
+DETAIL_ROWS = """
+SELECT 'time' AS detail, count(*) AS n FROM dim_time
+UNION ALL SELECT 'vehicle', count(*) FROM dim_vehicle
+UNION ALL SELECT 'event', count(*) FROM dim_event
+UNION ALL SELECT 'road', count(*) FROM dim_road
+"""
+
+# NUMERIC division: each gender's share of the people, in exact decimals.
+GENDER_SHARES = """
+WITH people AS (SELECT coalesce(gender, 'unknown') AS gender, count(*) AS n FROM dim_person GROUP BY 1)
+SELECT gender, n, double(round(CAST(n AS NUMERIC(20, 0)) * 100 / CAST(sum(n) OVER () AS NUMERIC(20, 0)), 3)) AS percent
+FROM people ORDER BY 1
+"""
+
+STATEMENTS = {"q1": TOP_AREAS, "q2": STATE_CRASHES, "q3": WEEK_PATTERN, "q4": HOLIDAYS, "q5": VEHICLES, "q6": RATES,
+              "rank": AREA_RANKS, "cube": CRASH_CUBE, "union": DETAIL_ROWS, "numeric": GENDER_SHARES}
 
 
 def run(spark: SparkSession, tables: Mapping[str, DataFrame], name: str, year: int = 2023,
         after: int = 2010) -> DataFrame:
-    """Register the tables as views and run one statement."""
-    with _views_lock:
-        register_views(tables)
+    """Run one statement over the tables."""
+    with _views(spark, tables):
         return spark.sql(STATEMENTS[name].format(year=year, after=after))
 
 
@@ -130,8 +161,7 @@ def run_statement(spark: SparkSession, tables: Mapping[str, DataFrame], statemen
     analysed) and a trailing semicolon is accepted. Run statements one at a
     time."""
     key = "spark.sql.ansi.doubleQuotedIdentifiers"
-    with _views_lock:
-        register_views(tables)
+    with _views(spark, tables):
         previous = spark.conf.get(key, None)
         spark.conf.set(key, str(double_quoted_identifiers).lower())
         try:

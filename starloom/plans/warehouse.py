@@ -56,7 +56,7 @@ class Conformed:
 def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
                     drop: tuple[str, ...] = (DROPPED_DUPLICATE,), upper: tuple[str, ...] = (STATE,),
                     null_safe: bool = True, materialize: bool = True,
-                    salt_buckets: int | None = None) -> Conformed:
+                    salt_buckets: int | None = cf.SALT_BUCKETS) -> Conformed:
     """B1: fatality LEFT JOIN crash on the key (fatalities drive the join; a
     crash without a fatality is lost), clean header newlines, resolve labels
     that collide after cleaning, report and resolve ``_x``/``_y`` overlaps with
@@ -99,11 +99,18 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
 
 
 def conform_counts(fatality_counts: DataFrame, crash_counts: DataFrame, key: str = "Date",
-                   null_safe: bool = True) -> DataFrame:
+                   null_safe: bool = True, materialize: bool = True) -> DataFrame:
     """B2: daily fatality counts LEFT JOIN daily crash counts on the date; the
-    first (fatality) copy of every shared column wins (P5)."""
+    first (fatality) copy of every shared column wins (P5). With ``materialize`` the
+    day-grain result is written once, since several tables and the export read it."""
     merged = cf.merge(fatality_counts, crash_counts, key, how="left", null_safe=null_safe)
-    return cf.keep_left(merged).to_df()
+    daily = cf.keep_left(merged).to_df()
+    if not materialize:
+        return daily
+    spark = daily.sparkSession
+    path = scratch_path(spark, "daily-counts")
+    daily.write.parquet(path)
+    return spark.read.schema(daily.schema).parquet(path)
 
 
 # --- dimensions -------------------------------------------------------------
@@ -128,20 +135,18 @@ def dim_state(conformed: DataFrame, mapping: dict[str, str] = STATE_NAMES) -> Da
             .select("state_id", map_with_passthrough("state_id", mapping).alias("state_name")))
 
 
-def dim_lga(conformed: DataFrame, states: DataFrame, dwellings: DataFrame | None) -> DataFrame:
+def dim_lga(conformed: DataFrame, dwellings: DataFrame | None) -> DataFrame:
     """D3: one row per LGA *name*, first occurrence wins (same-named LGAs of
     two states collapse to the first seen), dense 0-based ``lga_id`` in order
     of first occurrence, dwelling count by name (null if no dwellings input).
-    """
+
+    The state's id is its code, so the column itself serves: the state dimension holds
+    every code of the frame, and a lookup would return the key it was given."""
     combos = (conformed.groupBy(LGA_NAME, STATE, REMOTENESS)
               .agg(F.min(ROW).alias(ROW)))  # distinct, remembering first occurrence
-    # Join with the state dimension to take state_id. pandas would also match a
-    # null State to a null state_id, but the only column taken is the key
-    # itself, so plain equality gives the same rows and a simpler join.
-    with_state = combos.join(states, combos[STATE] == states["state_id"], "left")
-    lga = with_state.select(
+    lga = combos.select(
         F.col(LGA_NAME).alias("lga_name"), F.col(REMOTENESS).alias("national_remoteness_area"),
-        "state_id", F.col(ROW))
+        F.col(STATE).alias("state_id"), F.col(ROW))
     if dwellings is not None:
         dw = dwellings.select(F.col("lga_name").alias("__dw_name"),
                               F.col("dwelling_count").alias("__dw_count"),
@@ -257,7 +262,7 @@ TABLES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_pe
 
 
 
-def _once(fn):
+def once(fn):
     """Call ``fn`` at most once (thread-safe); later calls return its result."""
     lock, box = threading.Lock(), []
 
@@ -269,38 +274,53 @@ def _once(fn):
     return get
 
 
-def build_warehouse(conformed: DataFrame, counts: DataFrame, dwellings: DataFrame | None,
-                    parallel: int = 3, fatality_ids_from_row: bool = False, deferred: bool = False) -> dict:
+#: The columns that the crash-grain tables take from the conformed frame.
+CRASH_COLUMNS = (CRASH_ID, "Time", "Time of Day", *VEHICLE_FLAGS, *EVENT_FLAGS, "Speed Limit", "National Road Type",
+                 "Year", "Month", LGA_NAME, STATE)
+
+
+def crash_grain(conformed: DataFrame) -> DataFrame:
+    """The distinct crash descriptions, written once: five tables are distinct
+    projections of them and need not read the fatality grain."""
+    spark = conformed.sparkSession
+    path = scratch_path(spark, "crash-grain")
+    conformed.select(*[F.col(c) for c in CRASH_COLUMNS]).distinct().write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def build_warehouse(conformed, counts, dwellings: DataFrame | None, parallel: int = 3,
+                    fatality_ids_from_row: bool = False, deferred: bool = False) -> dict:
     """All eleven tables as plans over the conformed frames.
 
+    ``conformed`` and ``counts`` are DataFrames, or functions that make them on first use.
     Three tables carry dense ids and run one job each while being built
-    (``fact_crashes`` also needs the LGA ids). By default those jobs are
-    submitted together and plain DataFrames are returned. With ``deferred``
-    each table is returned as a builder (a no-argument callable) instead, so
-    a loader can start writing the tables that need no numbering while the
-    numbering jobs still run (see ``sinks.write_warehouse``).
-    ``fatality_ids_from_row``: see :func:`fact_fatalities`."""
-    states = dim_state(conformed)
-    lga = _once(lambda: dim_lga(conformed, states, dwellings))
-    fatalities = _once(lambda: fact_fatalities(conformed, fatality_ids_from_row))
-    numbers = _once(lambda: fact_number(counts))
-    crashes = _once(lambda: fact_crashes(conformed, lga()))
+    (``fact_crashes`` also needs the LGA ids), and the crash-grain tables share one written
+    copy. By default those jobs are submitted together and plain DataFrames are
+    returned. With ``deferred`` each table is returned as a builder (a no-argument
+    callable) instead: a table's inputs are made when it is built, and a loader can start
+    writing the tables that need no numbering while the numbering jobs still run
+    (see ``sinks.write_warehouse``). ``fatality_ids_from_row``: see
+    :func:`fact_fatalities`."""
+    frame = once(conformed) if callable(conformed) else lambda: conformed
+    days = once(counts) if callable(counts) else lambda: counts
+    crashes_of = once(lambda: crash_grain(frame()))
+    lga = once(lambda: dim_lga(frame(), dwellings))
     builders = {
-        "dim_date": lambda: dim_date(counts),
-        "dim_state": lambda: states,
+        "dim_date": lambda: dim_date(days()),
+        "dim_state": lambda: dim_state(frame()),
         "dim_lga": lga,
-        "dim_time": lambda: dim_time(conformed),
-        "dim_vehicle": lambda: dim_vehicle(conformed),
-        "dim_person": lambda: dim_person(conformed),
-        "dim_event": lambda: dim_event(conformed),
-        "dim_road": lambda: dim_road(conformed),
-        "fact_fatalities": fatalities,
-        "fact_crashes": crashes,
-        "fact_number": numbers,
+        "dim_time": lambda: dim_time(crashes_of()),
+        "dim_vehicle": lambda: dim_vehicle(crashes_of()),
+        "dim_person": lambda: dim_person(frame()),
+        "dim_event": lambda: dim_event(crashes_of()),
+        "dim_road": lambda: dim_road(crashes_of()),
+        "fact_fatalities": once(lambda: fact_fatalities(frame(), fatality_ids_from_row)),
+        "fact_crashes": once(lambda: fact_crashes(crashes_of(), lga())),
+        "fact_number": once(lambda: fact_number(days())),
     }
     if deferred:
         return builders
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        for f in [pool.submit(b) for b in (lga, fatalities, numbers)]:
+        for f in [pool.submit(builders[b]) for b in ("dim_lga", "fact_fatalities", "fact_number", "dim_time")]:
             f.result()
     return {name: build() for name, build in builders.items()}

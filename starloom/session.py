@@ -5,15 +5,18 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "starloom") -> SparkSession:
-    """Session for tests and the bench. On a cluster, use the cluster's own
-    session; the library never creates one itself."""
+    """Local session for tests and the bench, with a folder of this machine for
+    intermediate tables. On a cluster, use the cluster's own session; the library
+    never creates one itself."""
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(os.environ.get("STARLOOM_SHUFFLE_PARTITIONS", "8"))
@@ -31,7 +34,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if not spark.conf.get("spark.checkpoint.dir", None):  # one machine: its own folder is shared
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="starloom-ckpt-"))
     return spark
 
 
@@ -59,25 +63,41 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 512 << 20,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting names shared storage and is used as is. Only when
-    it is unset (local tests) is a fresh scratch folder created and set.
-    """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    path = current or tempfile.mkdtemp(prefix="starloom-ckpt-")
-    if not current:
-        spark.conf.set("spark.checkpoint.dir", path)
-    try:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(path)
-    except Exception:  # sessions without a local SparkContext use the conf
-        pass
+    """The shared folder named by ``spark.checkpoint.dir``. Intermediate tables must
+    lie where every executor sees them, so an unset folder is an error: no folder
+    of the driver's machine is taken instead."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     return path
 
 
+_scopes, _made, _lock = 0, [], threading.Lock()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    with _lock:
+        if _scopes:
+            _made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Removes the scratch tables made inside when the last open scope ends."""
+    global _scopes
+    with _lock:
+        _scopes += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _scopes -= 1
+            done = [] if _scopes else _made[:]
+            if not _scopes:
+                _made.clear()
+        for path in done:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

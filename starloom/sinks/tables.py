@@ -13,11 +13,10 @@ into the same partitioning.
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,8 +25,9 @@ from starloom.session import scratch_path
 # Tables keyed by crash that share one bucketing.
 CRASH_GRAIN = ("fact_crashes", "dim_time", "dim_vehicle", "dim_event", "dim_road")
 BUCKET_KEY = "crash_id"
-MAX_BUCKETS = 4096
 BUCKETS_KEY = "__buckets__"
+#: Folder beside the tables that holds the bucket count.
+LAYOUT = "_layout"
 
 
 def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path: str | None = None,
@@ -36,40 +36,45 @@ def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path:
     name (bucketed tables) or path (plain Parquet), plus the bucket count
     under ``__buckets__``.
 
-    The bucket count defaults to the session's shuffle partition count, at
-    most :data:`MAX_BUCKETS`. The writes are independent jobs; ``parallel``
+    The bucket count defaults to the session's shuffle partition count; 0 writes
+    plain files. Bucketed tables have names that follow from the folder, and a
+    reload drops the tables of these names first, so loading a folder again
+    replaces what it registered. The writes are independent jobs; ``parallel``
     of them are submitted at once from a thread pool so small tables do not
     leave the cluster idle. A table may be given as a no-argument builder; it
     is then built in its writer thread, so tables that are ready start
     writing while others are still being built."""
-    root = path or scratch_path(spark, "warehouse")
-    n = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-    tag = uuid.uuid4().hex[:10]
+    root = (path or scratch_path(spark, "warehouse")).rstrip("/")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
 
     def write_one(name: str) -> tuple[str, str]:
         df = tables[name]
         if callable(df):  # a deferred builder: build inside this writer thread
             df = df()
-        target = f"{root.rstrip('/')}/{name}"
-        if name in CRASH_GRAIN:
-            table = f"starloom_{tag}_{name}"
-            try:
-                # Same hash as bucketing, so task i holds exactly bucket i: one
-                # file per bucket instead of one per (task, bucket).
-                (df.repartition(n, BUCKET_KEY).write.mode("overwrite").format("parquet").option("path", target)
-                 .bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(table))
-                return name, "table:" + table
-            except AnalysisException:
-                pass  # a catalog that takes no tables: plain files, same rows, no bucket layout
+        target = f"{root}/{name}"
+        if name in CRASH_GRAIN and n:
+            table = table_name(root, name)
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            # Same hash as bucketing, so task i holds exactly bucket i: one
+            # file per bucket instead of one per (task, bucket).
+            (df.repartition(n, BUCKET_KEY).write.mode("overwrite").format("parquet").option("path", target)
+             .bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(table))
+            return name, "table:" + table
         df.write.mode("overwrite").parquet(target)
         return name, "path:" + target
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         out = dict(pool.map(write_one, list(tables)))
+    spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").parquet(f"{root}/{LAYOUT}")
     out[BUCKETS_KEY] = str(n)
     return out
 
 
+def table_name(root: str, name: str) -> str:
+    """Catalog name of a bucketed table of the warehouse in folder ``root``."""
+    return f"starloom_{hashlib.sha256(root.rstrip('/').encode()).hexdigest()[:10]}_{name}"
+
+
 class Warehouse(dict):
     """Table name -> DataFrame, with the bucket count of the crash-grain
     tables (``None`` when they are not bucketed)."""
@@ -97,10 +102,20 @@ TABLE_NAMES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "d
 
 
 def open_warehouse(spark: SparkSession, root: str, names=TABLE_NAMES) -> Warehouse:
-    """Open a warehouse written earlier, from any session: each table folder
-    is plain Parquet. (Within the writing session, or with a persistent
-    catalog, :func:`read_warehouse` also keeps the bucket layout.)"""
-    return Warehouse({name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in names})
+    """Open a warehouse written earlier, from any session. The bucketed tables are
+    registered again with their layout, so reports join them where they lie."""
+    root = root.rstrip("/")
+    buckets = spark.read.parquet(f"{root}/{LAYOUT}").first()["buckets"]
+    out = Warehouse()
+    for name in names:
+        out[name] = spark.read.parquet(f"{root}/{name}")
+        if buckets and name in CRASH_GRAIN:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out[name].schema.fields)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(root, name)} ({columns}) USING parquet "
+                      f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{root}/{name}'")
+            out[name] = spark.table(table_name(root, name))
+            out.buckets = buckets
+    return out
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -112,8 +127,15 @@ def write_rules(rules: DataFrame, path: str, fmt: str = "parquet") -> bool:
     """K4: replace the rule output; written only if there is at least one rule
     (as the reference does). Parquet keeps the item sets as arrays; CSV joins
     them as text, since CSV cannot hold arrays."""
-    if not rules.limit(1).count():
+    spark = rules.sparkSession
+    staged = scratch_path(spark, "rules-staged")
+    rules.write.parquet(staged)  # computed once: what follows reads the written rules
+    # the order within the result is that of the given rows
+    order = [F.desc(c) for c in ("lift", "confidence") if c in rules.columns]
+    rules = spark.read.schema(rules.schema).parquet(staged)
+    if rules.isEmpty():
         return False
+    rules = rules.orderBy(*order, *[c for c in ("antecedents", "consequents") if c in rules.columns])
     if fmt == "csv":
         flat = rules.select(*[F.array_join(F.array_sort(c), ", ").alias(c) if c in ("antecedents", "consequents")
                               else F.col(c) for c in rules.columns])

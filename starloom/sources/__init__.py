@@ -1,7 +1,8 @@
 """Sources: driver tables, delimited files with preambles, order capture."""
 
-from starloom.sources.tables import read_table, TABLE_COLUMNS  # noqa: F401
+from starloom.sources.tables import table_path  # noqa: F401
 from starloom.sources.delimited import (  # noqa: F401
+    header_record,
     read_sheet_csv,
     read_trimmed_csv,
     with_file_order,

@@ -43,9 +43,15 @@ def file_ordinal(df: DataFrame, col: str = ROW) -> DataFrame:
     stamped = (df.withColumn("__file", meta.getField("file_path"))
                .withColumn("__split", meta.getField("file_block_start"))
                .withColumn("__mid", F.monotonically_increasing_id()))
+    return _numbered(stamped, col)
+
+
+def _numbered(stamped: DataFrame, col: str) -> DataFrame:
+    """``col`` from (``__file``, ``__split``, ``__mid``): see :func:`file_ordinal`."""
     splits = stamped.groupBy("__file", "__split").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     w = Window.orderBy("__file", "__split").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("__file", "__split", "__first", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"))
+    # one row per input split: the input's size over the split size bounds them
     out = stamped.join(F.broadcast(offsets), ["__file", "__split"])
     return (out.withColumn(col, F.col("__off") + F.col("__mid") - F.col("__first"))
             .drop("__file", "__split", "__mid", "__first", "__off"))
@@ -58,61 +64,101 @@ def _integer(col, dtype: str):
     return F.coalesce(col.try_cast(dtype), col.try_cast("double").try_cast(dtype))
 
 
-def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, key: str | None = None,
-                   multi_line: bool = False, options: dict[str, str] | None = None,
-                   dense_order: bool = False, integers: tuple[str, ...] = ()) -> DataFrame:
+def header_record(spark: SparkSession, path: str, key: str) -> str:
+    """The raw text of the record that holds the labels, from the first file under
+    ``path``: the first record with a cell that is exactly ``key``, however many banner
+    lines stand above it and however many lines it spans. Executors look for it; this
+    one record comes to the driver."""
+    files = sorted(spark.read.text(path).inputFiles())
+    if not files:
+        raise FileNotFoundError(path)
+    # one declared column: the text of any record with more cells is kept as a whole
+    records = (spark.read.schema("first string, whole string").option("columnNameOfCorruptRecord", "whole")
+               .option("mode", "PERMISSIVE").option("multiLine", True).csv(files[0]))
+    text = F.coalesce("whole", "first")
+    cell = "(?s)(^|.*[,\\n])\"?" + _quoted(key) + "\"?([,\\r\\n].*|$)"
+    found = records.select(text.alias("record")).where(F.col("record").rlike("^" + cell)).limit(1).collect()
+    if not found:
+        raise ValueError(f"{path}: no record has a cell {key!r}")
+    return found[0][0].rstrip("\r\n")
+
+
+def _quoted(text: str) -> str:
+    """``text`` as a literal of a regular expression."""
+    return "\\Q" + text + "\\E"
+
+
+def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, header: str | None = None,
+                   options: dict[str, str] | None = None, dense_order: bool = False,
+                   integers: tuple[str, ...] = ()) -> DataFrame:
     """One exported sheet with an explicit schema (no inference pass).
 
     Labels come from the schema *by position*, so headers that differ only in
-    case or hold newlines survive. ``_row`` is the file position, or with
-    ``dense_order`` a dense 0-based ordinal (:func:`file_ordinal`). Banner
-    and header lines fail the typed parse of ``key`` (give a non-string key
-    column) and are dropped, so the rows kept do not depend on line
-    positions; without a key the first line of each file is the header.
-    ``multi_line`` allows quoted newlines inside cells but makes each file
-    one task; keep it off for large files.
+    case or hold newlines survive. Without ``header`` the first line of every file
+    is its header. With ``header``, the raw header record (:func:`header_record`), every
+    line of a file up to the header's last line is banner or header and goes by its
+    place; a file without a header keeps all its lines. Every other record is kept, also
+    one whose key is empty or cannot be parsed (that cell is null); only blank lines
+    are no records. ``_row`` is the file position, or with ``dense_order`` a dense
+    0-based ordinal (:func:`file_ordinal`).
     """
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     labels = [f.name for f in st.fields]
     # ``integers``: labels read as text and converted by :func:`_integer`.
     internal = StructType([f.__class__(f"_c{i}", StringType() if f.name in integers else f.dataType, f.nullable)
                            for i, f in enumerate(st.fields)])
-    # With a typed key, header and banner lines are all dropped by the key
-    # filter below, so no line is treated specially; without one, the first
-    # line of each file is the header.
-    reader = (spark.read.option("header", key is None).option("mode", "PERMISSIVE")
-              .options(**(options or {})))
-    if multi_line:
-        reader = reader.option("multiLine", True)
-    df = reader.schema(internal).csv(path)
+    options = {"mode": "PERMISSIVE", **(options or {})}
+    meta = F.col("_metadata")
+    if header is None:
+        df = spark.read.options(header=True, **options).schema(internal).csv(path)
+        df = file_ordinal(df) if dense_order else with_file_order(df)
+    else:
+        last = header.split("\n")[-1].rstrip("\r")
+        lines = (spark.read.text(path).withColumn("__file", meta.getField("file_path"))
+                 .withColumn("__at", F.struct(meta.getField("file_block_start").alias("block"),
+                                              F.monotonically_increasing_id().alias("pos"))))
+        # the first line equal to the header's last one: one row per file
+        heads = (lines.where(F.rtrim("value") == last.rstrip()).groupBy("__file").agg(F.min("__at").alias("__head")))
+        body = lines.join(F.broadcast(heads), "__file", "left").where(
+            F.col("__head").isNull() | (F.col("__at") > F.col("__head"))).where(F.trim("value") != "")
+        cells = F.from_csv("value", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in internal.fields), options)
+        df = body.select(cells.alias("__r"), "__file", F.col("__at.block").alias("__split"),
+                         F.monotonically_increasing_id().alias("__mid")).select("__r.*", "__file", "__split", "__mid")
+        if dense_order:
+            df = _numbered(df, ROW)
+        else:
+            df = df.withColumn(ROW, F.struct(F.col("__file").alias("file"), F.col("__split").alias("block"),
+                                             F.col("__mid").alias("pos"))).drop("__file", "__split", "__mid")
     for i, f in enumerate(st.fields):
         if f.name in integers:
             df = df.withColumn(f"_c{i}", _integer(F.col(f"_c{i}"), f.dataType.simpleString()))
-    if key is not None:
-        df = df.where(F.col(f"_c{labels.index(key)}").isNotNull())
-    df = file_ordinal(df) if dense_order else with_file_order(df)
     return df.toDF(*labels, ROW)
 
 
-# A data line of the dwellings file is a quoted name, a count,
-# and an empty trailing field; the total line is excluded by name.
-DWELLING_LINE = r'^"([^"]+)",([0-9]+),$'
-DWELLING_TOTAL = "Total"
+# Where the records of the dwellings file lie, and its columns.
+DWELLING_PREAMBLE, DWELLING_FIRST, DWELLING_LAST = 7, 2, 5
+DWELLING_COLUMNS = ("lga_name", "dwelling_count")
 
 
-def read_trimmed_csv(spark: SparkSession, path: str, names: Sequence[str] = ("lga_name", "dwelling_count"),
-                     line_pattern: str = DWELLING_LINE, exclude_first: Sequence[str] = (DWELLING_TOTAL,)) -> DataFrame:
-    """S2+S3: a delimited file with a preamble and a footer.
+def read_trimmed_csv(spark: SparkSession, path: str, names: Sequence[str] = DWELLING_COLUMNS,
+                     skip_lines: int = DWELLING_PREAMBLE, drop_first: int = DWELLING_FIRST,
+                     drop_last: int = DWELLING_LAST) -> DataFrame:
+    """S2+S3: a delimited file with a preamble and a footer, trimmed by place.
 
-    The reference skips 7 lines, then drops the first 2 and the last 5 parsed
-    rows by position. Positions need a global order; the same rows are picked
-    by a content predicate instead (a data line matches ``line_pattern`` and
-    its name is not a total), which needs no ordering and runs per split.
+    The first ``skip_lines`` lines go, blank lines are no records, then the first
+    ``drop_first`` and the last ``drop_last`` records go; every other record is
+    kept, whatever its spelling: a name may be quoted or not and hold quotes or commas,
+    further cells are ignored, a count that is no whole number is null. Places over all
+    files, in path order, come from ordinals (:func:`file_ordinal`), without a shuffle.
     """
-    text = spark.read.text(path)
-    groups = [F.regexp_extract("value", line_pattern, i + 1) for i in range(len(names))]
-    parsed = text.where(F.col("value").rlike(line_pattern)).select(
-        *[g.alias(n) for g, n in zip(groups, names)], F.col("_metadata").alias("_metadata"))
-    parsed = parsed.where(~F.col(names[0]).isin(list(exclude_first)))
-    typed = parsed.select(F.col(names[0]), F.col(names[1]).cast("bigint").alias(names[1]), "_metadata")
-    return with_file_order(typed).drop("_metadata")
+    text = file_ordinal(spark.read.text(path), "__line").where(F.col("__line") >= skip_lines).where(F.trim("value") != "")
+    first = text.orderBy("__line").limit(drop_first).agg(F.max("__line")).scalar()
+    last = text.orderBy(F.desc("__line")).limit(drop_last).agg(F.min("__line")).scalar()
+    kept = text
+    if drop_first:
+        kept = kept.where(F.col("__line") > first)
+    if drop_last:
+        kept = kept.where(F.col("__line") < last)
+    cells = F.from_csv("value", ", ".join(f"`{n}` string" for n in names), {"mode": "PERMISSIVE", "escape": '"'})
+    out = kept.select(cells.alias("__r"), F.col("__line").alias(ROW)).select("__r.*", ROW)
+    return out.withColumn(names[1], _integer(F.trim(names[1]), "bigint"))

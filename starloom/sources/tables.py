@@ -1,29 +1,7 @@
-"""Warehouse / driver table scans (Parquet), with explicit column lists so
-the scan's ``ReadSchema`` only carries what the plan uses."""
+"""Paths of the driver's Parquet tables; scans select their own columns."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
-
-# Columns of the driver tables this library reads.
-TABLE_COLUMNS = {
-    "region": ("r_regionkey", "r_name"),
-    "nation": ("n_nationkey", "n_name", "n_regionkey"),
-    "customer": ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
-    "part": ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"),
-    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
-    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"),
-}
-
 
 def table_path(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}.parquet"
-
-
-def read_table(spark: SparkSession, base: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Read one table; ``columns`` prunes the scan up front."""
-    df = spark.read.parquet(table_path(base, name))
-    return df.select(*columns) if columns else df

@@ -10,8 +10,8 @@ BASE = "/root/testdata/sf0.001"
 def _snapshot(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        b = catalog.fresh_build(spark, BASE)
-        return {name: sorted(map(tuple, df.collect())) for name, df in b.tables.items()}
+        b = catalog.Build(spark, BASE)
+        return {name: sorted(map(tuple, df.collect())) for name, df in ((n, make()) for n, make in b.builders.items())}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 

@@ -70,7 +70,7 @@ def test_etl_job_end_to_end(spark, exported, tmp_path):
     assert t["fact_number"].count() == 731 and t["dim_date"].count() == 731
     # "Bus \nInvolvement" (fatality copy) collides with the crash copy after cleaning and differs at crash 7
     assert res.decisions and any(res.decisions.values())
-    processed = rule_job.read_processed(spark, res.processed["crashxfatality"])
+    processed = rule_job.read_processed(spark, res.processed["records"])
     assert "Bus Involvement_dup" in processed.columns and "Time of day" not in processed.columns
 
 
@@ -78,7 +78,7 @@ def test_rule_job_on_processed_export(spark, exported, tmp_path):
     d = exported
     paths = etl.SheetPaths(str(d / "fat.csv"), str(d / "crash.csv"), str(d / "fcount.csv"), str(d / "ccount.csv"))
     res = etl.run(spark, paths, str(tmp_path / "out2"), enforce_keys=False)
-    records = rule_job.read_processed(spark, res.processed["crashxfatality"])
+    records = rule_job.read_processed(spark, res.processed["records"])
     out = rule_job.run(records, str(tmp_path / "rules"), min_support=0.2)
     if out.written:
         written = spark.read.parquet(str(tmp_path / "rules"))
@@ -93,9 +93,9 @@ def test_fatality_ids_same_on_both_paths(spark, exported, tmp_path):
     general numbering by source position."""
     from starloom.plans import warehouse as wh
     d = exported
-    fat_fast = etl.read_exported_sheet(spark, str(d / "fat.csv"), 4, etl.RECORD_TYPES, "Crash ID", dense_order=True)
-    fat_slow = etl.read_exported_sheet(spark, str(d / "fat.csv"), 4, etl.RECORD_TYPES, "Crash ID")
-    crash = etl.read_exported_sheet(spark, str(d / "crash.csv"), 4, etl.RECORD_TYPES, "Crash ID").drop("_row")
+    fat_fast = etl.read_exported_sheet(spark, str(d / "fat.csv"), etl.RECORD_TYPES, "Crash ID", dense_order=True)
+    fat_slow = etl.read_exported_sheet(spark, str(d / "fat.csv"), etl.RECORD_TYPES, "Crash ID")
+    crash = etl.read_exported_sheet(spark, str(d / "crash.csv"), etl.RECORD_TYPES, "Crash ID").drop("_row")
     assert etl.key_is_unique(crash, "Crash ID")
     fast = wh.fact_fatalities(wh.conform_records(fat_fast, crash).frame, ids_from_row=True)
     slow = wh.fact_fatalities(wh.conform_records(fat_slow, crash).frame)

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from starloom.plans import catalog, oracle
 
 BASE = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -31,7 +32,7 @@ def _bag(rows, cols, order):
     return sorted(tuple(_norm(r[i]) for i in idx) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, BASE)
     srows = [tuple(r) for r in df.collect()]
@@ -44,7 +45,23 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.queries()) == set(oracle.oracle_sql())
+    assert set(catalog.queries()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+#: Statements whose oracle names a total order of the rows.
+ORDERED = {"m6_top_rules": None, "m7_sample_itemsets": None, "s5_sql_rank": ["year", "rank_num", "lga_name"],
+           "s5_sql_cube": ["state_name", "is_weekend"], "s5_sql_numeric": ["gender"]}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_ordered_results_come_in_order(spark, con, name):
+    df = entry.queries()[name](spark, BASE)
+    got = [tuple(map(_norm, r)) for r in df.collect()]
+    cur = con.execute(entry.oracle_sql()[name] + (f" ORDER BY {', '.join(ORDERED[name])}" if ORDERED[name] else ""))
+    at = [[d[0] for d in cur.description].index(c) for c in df.columns]
+    assert got == [tuple(_norm(r[i]) for i in at) for r in cur.fetchall()]
 
 
 def test_entry_smoke(spark):

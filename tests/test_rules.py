@@ -61,8 +61,7 @@ def test_itemsets_and_rules_match_brute_force(fixture_tx, min_support, max_len):
     its = rules.frequent_itemsets(tx, ATTRS, min_support, max_len)
     got_sets = {tuple(r["items"]): r["count"] for r in its.collect()}
     assert got_sets == freq
-    assert len(got_sets) <= rules.itemset_bound(len(ATTRS), min_support, max_len)
-    rl = rules.association_rules(its, bound=rules.itemset_bound(len(ATTRS), min_support, max_len))
+    rl = rules.association_rules(its)
     got = {(tuple(r.antecedents), tuple(r.consequents)): (
         r["antecedent support"], r["consequent support"], r.support, r.confidence, r.lift, r.leverage,
         r.conviction, r.zhangs_metric) for r in rl.collect()}
@@ -106,13 +105,30 @@ def test_road_user_filter_and_top(fixture_tx, spark):
     assert len(top) == min(5, only_b.count()) and lifts == sorted(lifts, reverse=True)
 
 
-def test_fpgrowth_method_equals_subsets(fixture_tx):
-    _, tx = fixture_tx
-    a = rules.frequent_itemsets(tx, ATTRS, 0.05, 3, method="subsets")
-    b = rules.frequent_itemsets(tx, ATTRS, 0.05, 3, method="fpgrowth")
-    rows = lambda d: sorted((tuple(r["items"]), r["count"], r["support"], r["size"]) for r in d.collect())
-    assert rows(a) == rows(b)
-    ra = rules.association_rules(a)
-    rb = rules.association_rules(b)
-    key = lambda d: sorted((tuple(r.antecedents), tuple(r.consequents), r.lift) for r in d.collect())
-    assert key(ra) == key(rb)
+def test_itemset_exactly_at_the_support_is_kept(spark):
+    """7 of 100 at support 0.07: 0.07 * 100 is above 7 as a double, 7 / 100 is not below 0.07."""
+    rows = [("a=x" if i < 7 else f"a={i}",) for i in range(100)]
+    tx = spark.createDataFrame(rows, "a string").selectExpr("a", "array(a) AS items")
+    got = rules.frequent_itemsets(tx, ("a",), 0.07, 1).collect()
+    assert [(r["items"], r["count"], r["total"], r["size"]) for r in got] == [(["a=x"], 7, 100, 1)]
+
+
+def test_many_attributes_are_counted_exactly(spark):
+    names = [f"a{i}" for i in range(14)]  # 469 subsets of up to three
+    df = spark.range(40).select(*[F.concat(F.lit(f"{n}="), (F.col("id") % (i + 2)).cast("string")).alias(n)
+                                  for i, n in enumerate(names)])
+    tx = df.withColumn("items", F.array_sort(F.array(*names)))
+    got = {tuple(r["items"]): r["count"] for r in rules.frequent_itemsets(tx, names, 0.25, 3).collect()}
+    want = {}
+    for r in tx.select("items").collect():
+        for k in (1, 2, 3):
+            for s in itertools.combinations(r[0], k):
+                want[s] = want.get(s, 0) + 1
+    assert got == {s: c for s, c in want.items() if c / 40 >= 0.25}
+
+
+def test_one_hot_refuses_items_outside_the_domain(spark):
+    tx = spark.createDataFrame([(["a=1", "b=2"],)], "items array<string>")
+    assert rules.one_hot(tx, ["b=2", "a=1", "c=3"]).first().asDict() == {"a=1": True, "b=2": True, "c=3": False}
+    with pytest.raises(Exception, match="outside the domain: b=2"):
+        rules.one_hot(tx, ["a=1"]).collect()

@@ -1,7 +1,9 @@
 """Sources on synthetic files: preamble/footer trim by content (S2/S3),
 sheet with banner lines, newline and case-colliding headers (S1), file order."""
 
-from starloom.sources import read_sheet_csv, read_trimmed_csv
+import pytest
+
+from starloom.sources import header_record, read_sheet_csv, read_trimmed_csv
 
 
 def test_trimmed_csv(spark, tmp_path):
@@ -17,17 +19,39 @@ def test_trimmed_csv(spark, tmp_path):
     assert got == [("Alpha Vale", 120), ("Beta Ridge (B)", 0), ("Gamma", 7)]
 
 
+def test_trimmed_csv_keeps_every_record_in_between(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text("p\n" * 3 + "h1\nh2\n" + 'Plain,5\n"In ""quotes"", with comma",6,\nNo count,,\nOdd,x\n\n"Last",7,more\n' + "f1\nf2\n")
+    df = read_trimmed_csv(spark, str(p), skip_lines=3, drop_first=2, drop_last=2)
+    got = [(r.lga_name, r.dwelling_count) for r in df.orderBy("_row").collect()]
+    assert got == [("Plain", 5), ('In "quotes", with comma', 6), ("No count", None), ("Odd", None), ("Last", 7)]
+    p.write_text("p\n" * 3 + "a,1\n")
+    assert read_trimmed_csv(spark, str(p), skip_lines=3, drop_first=2, drop_last=2).collect() == []
+
+
 def test_sheet_with_banner_and_odd_headers(spark, tmp_path):
-    text = ("Banner one,,\nBanner two,,\nBanner three,,\nBanner four,,\n"
+    text = ("Banner one,,\nBanner two,,\n\nBanner four, about Crash ID,\n"
             'Crash ID,"Bus \nInvolvement",Time of day,Time of Day\n'
-            "1,Yes,Day,Night\n2,No,Night,Day\n")
+            '1,Yes,Day,Night\n,No,Night,Day\n"x,1",Yes,Day,Day\n\n2,No,Night,Day\n')
     p = tmp_path / "sheet.csv"
     p.write_text(text)
     schema = "`Crash ID` bigint, `Bus \nInvolvement` string, `Time of day` string, `Time of Day` string"
-    df = read_sheet_csv(spark, str(p), schema, key="Crash ID")
-    assert df.columns[:4] == ["Crash ID", "Bus \nInvolvement", "Time of day", "Time of Day"]
-    rows = [(r[0], r[1]) for r in df.orderBy("_row").collect()]
-    assert rows == [(1, "Yes"), (2, "No")]
+    header = header_record(spark, str(p), "Crash ID")
+    assert header.splitlines() == ['Crash ID,"Bus ', 'Involvement",Time of day,Time of Day']
+    for dense in (False, True):
+        df = read_sheet_csv(spark, str(p), schema, header=header, integers=("Crash ID",), dense_order=dense)
+        assert df.columns[:4] == ["Crash ID", "Bus \nInvolvement", "Time of day", "Time of Day"]
+        rows = [(r[0], r[1]) for r in df.orderBy("_row").collect()]
+        assert rows == [(1, "Yes"), (None, "No"), (None, "Yes"), (2, "No")]
+    assert [r._row for r in df.orderBy("_row").collect()] == [0, 1, 2, 3]
+
+
+def test_header_far_below(spark, tmp_path):
+    p = tmp_path / "late.csv"
+    p.write_text("note\n" * 500 + "Key,v\n1,a\n")
+    assert header_record(spark, str(p), "Key") == "Key,v"
+    with pytest.raises(ValueError):
+        header_record(spark, str(p), "Other")
 
 
 def test_file_ordinal_dense_in_file_order(spark, tmp_path):
@@ -58,7 +82,7 @@ def test_integer_columns_parse_like_pandas(spark, tmp_path):
             "20231234567890123,2023,35\n2,2023.0,-9\n3,1e3,\n4,x,7\n")
     p = tmp_path / "s.csv"
     p.write_text(text)
-    df = read_sheet_csv(spark, str(p), "`Crash ID` bigint, Year int, Age int", key="Crash ID",
+    df = read_sheet_csv(spark, str(p), "`Crash ID` bigint, Year int, Age int", header="Crash ID,Year,Age",
                         integers=("Crash ID", "Year", "Age"))
     got = [(r["Crash ID"], r["Year"], r["Age"]) for r in df.orderBy("_row").collect()]
     assert got == [(20231234567890123, 2023, 35), (2, 2023, -9), (3, 1000, None), (4, None, 7)]
