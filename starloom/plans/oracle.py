@@ -500,7 +500,7 @@ FROM cand WHERE cnt / (SELECT n FROM txn) >= (SELECT min(support) FROM (
         "k5_seeded_keys": """
 SELECT 'lines.l_orderkey' AS "check", CAST(l_orderkey AS VARCHAR) AS key, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey HAVING count(*) > 1
-UNION ALL SELECT 'orders.o_orderkey', NULL, count(*) FROM orders WHERE o_orderkey % 100 = 0 HAVING count(*) > 0""",
+UNION ALL SELECT 'orders.o_orderkey', 'NULL', count(*) FROM orders WHERE o_orderkey % 100 = 0 HAVING count(*) > 0""",
         "d2_mapped_states": """
 SELECT DISTINCT state_id, CASE state_id
     WHEN 'NSW' THEN 'New South Wales' WHEN 'VIC' THEN 'Victoria' WHEN 'QLD' THEN 'Queensland'
