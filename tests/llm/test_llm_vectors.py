@@ -14,6 +14,7 @@ def brute_links(vectors, threshold=0.9):
     for i, v in vectors.items():
         if v and all(x is not None and np.isfinite(x) for x in v) and any(v):
             u = np.array(v, float)
+            u = u / np.abs(u).max()
             units[i] = u / np.linalg.norm(u)
     links = {i: [j for j in units if j != i and len(units[i]) == len(units[j]) and units[i] @ units[j] >= threshold]
              if i in units else [] for i in vectors}
