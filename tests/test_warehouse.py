@@ -86,7 +86,7 @@ def test_dim_lga_without_dwellings_input(spark):
     crash = spark.createDataFrame([(1, "nsw", 2023, 5, "08:00", "Day", "Albury", "Inner Regional", "No", "No",
                                     "No", "80", "Highway", "No", "No")], CRASH)
     c = wh.conform_records(fat, crash, materialize=False)
-    lga = wh.dim_lga(c.frame, wh.dim_state(c.frame), None)
+    lga = wh.dim_lga(c.frame, None)
     r = lga.first()
     assert (r.lga_id, r.lga_name, r.dwelling_count) == (0, "Albury", None)
     assert dict(lga.dtypes)["dwelling_count"] == "bigint"
