@@ -26,9 +26,9 @@ from pyspark.sql import types as T
 from starloom.llm.wordhash import mix, span_hashes
 
 #: Characters handled at once.
-CHUNK = 1 << 21
+CHUNK = 800_000
 #: Merged pre-tokens that a Python worker keeps in each of two generations.
-CACHE = 1 << 18
+CACHE = 1 << 17
 _SEED = np.uint64(0xA0761D6478BD642F)
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
@@ -305,11 +305,13 @@ _codecs: dict[int, Codec] = {}
 
 
 def codec_of(vocabulary) -> Codec:
-    """The codec of a broadcast vocabulary, built once for each Python worker."""
-    key = vocabulary.id if hasattr(vocabulary, "id") else id(vocabulary)
+    """The codec of a broadcast vocabulary; a Python worker keeps the last one, told
+    apart by its tokens and ids."""
+    tokens, ids, find = vocabulary.value
+    key = hash((b"\0".join(tokens), tuple(ids)))
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(*vocabulary.value)
+        _codecs[key] = Codec(tokens, ids, find)
     return _codecs[key]
 
 
@@ -319,6 +321,17 @@ def broadcast_vocabulary(docs: DataFrame, path: str):
     return docs.sparkSession.sparkContext.broadcast(prepared(path))
 
 
+def _encoded(codec: Codec, batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[tuple]:
+    """Consecutive parts of the batches with their ids; few rows are Python strings at a
+    time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, 1024):
+            rows, at = batch.slice(first, 1024), 0
+            for n, ids, offsets in codec.encode(rows.column(text_col).to_pylist()):
+                yield rows.slice(at, n), ids, offsets
+                at += n
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids",
            decoded_col: str | None = None) -> DataFrame:
     """``docs`` with the ids of each whole text (array of int). With
@@ -335,16 +348,11 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(vocabulary)
-        for batch in batches:
-            at = 0
-            for n, ids, offsets in codec.encode(batch.column(text_col).to_pylist()):
-                part = batch.slice(at, n)
-                at += n
-                columns = [*part.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))]
-                if decoded_col:
-                    columns.append(pa.array([codec.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])],
-                                            pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
+        for part, ids, offsets in _encoded(codec, batches, text_col):
+            columns = [*part.columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids))]
+            if decoded_col:
+                columns.append(pa.array([codec.decode(ids[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema])
 
     return docs.mapInArrow(run, schema)
 

@@ -16,14 +16,14 @@ from starloom.llm.common import written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every neighbour above a node to the least of its neighbourhood."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("m").alias("u"), "v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link every neighbour below a node, and the node, to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = down.join(least, "u").where("v <> m").select(F.col("m").alias("u"), "v")
     return moved.unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v"))).distinct()
 
@@ -33,16 +33,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     its smallest node. Null ends and loops are ignored; no edges, no rows.
 
     Alternating large-star and small-star steps reach a forest of stars in
-    about log^2 of the component size rounds. Every round is one written
+    about log^2 of the component size rounds. Every round is a written
     table, so a lost executor costs one round at most. A node's minimum is a
-    partial aggregate, and the join that follows is a plain sort-merge join
-    whose hot keys adaptive execution splits.
+    partial aggregate. The minima are written too: so the edges and they meet in a plain
+    join of two shuffled scans, and adaptive execution can split a node that holds a
+    large share of all edges.
     """
     now = written(edges.where("u is not null and v is not null and u <> v")
                   .select(F.greatest("u", "v").alias("v"), F.least("u", "v").alias("u")).distinct(), "edges")
     seen = None
     while True:
-        now = written(_small_star(_large_star(now)), "stars")
+        now = written(_small_star(written(_large_star(now), "stars")), "stars")
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break

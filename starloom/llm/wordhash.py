@@ -20,8 +20,9 @@ for _lo, _hi in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B)):
     _IS_WORD[_lo:_hi] = 1
 _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
-#: Bytes of text handled at once.
-CHUNK = 1 << 21
+#: Bytes of text handled at once; with a separator a text they stay below 2^20 in most
+#: chunks, so that the tables of powers need no more entries.
+CHUNK = 1_000_000
 
 
 def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:

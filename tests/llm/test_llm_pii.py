@@ -4,8 +4,6 @@ import datetime
 import hashlib
 import re
 
-import pytest
-
 from starloom.llm import pii, queries
 
 KEY = "k1"
@@ -112,11 +110,13 @@ def test_values(spark):
     assert run(spark, [c[0] for c in cases]) == [(c[1], c[2]) for c in cases]
 
 
-@pytest.mark.parametrize("clean", ["in 2024 we sold 12,345 units at 3.14", "v1.2.3 build 20240229", "4041894974608796",
-                                   "300.1.2.3", "2024-13-01", "000-12-3456", "a@b", "1234567890123456789012", "x" * 3000, "7" * 3000,
-                                   "token of thanks 12345678", "DE89370400440532013001"])
-def test_clean_texts_stay(spark, clean):
-    assert run(spark, [clean]) == [(clean, 0)]
+CLEAN = ["in 2024 we sold 12,345 units at 3.14", "v1.2.3 build 20240229", "4041894974608796", "300.1.2.3", "2024-13-01",
+         "000-12-3456", "a@b", "1234567890123456789012", "x" * 3000, "7" * 3000, "token of thanks 12345678",
+         "DE89370400440532013001", None, "", "\n"]
+
+
+def test_clean_texts_nulls_and_empty_texts_stay(spark):
+    assert run(spark, CLEAN) == [(t, 0) for t in CLEAN]
 
 
 def test_iban_and_distinct_values(spark):
@@ -128,8 +128,7 @@ def test_iban_and_distinct_values(spark):
     assert len(set(made)) == 600
 
 
-def test_nulls_empty_and_native_plan(spark):
-    assert run(spark, [None, "", "\n"]) == [(None, 0), ("", 0), ("\n", 0)]
+def test_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pseudonymise(df).collect() == []
     plan = queries.queries()["op7_pseudonyms"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
