@@ -116,7 +116,7 @@ def salted_join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str, b
 
 def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str = "left",
           suffixes: tuple[str, str] = ("_x", "_y"), null_safe: bool = True,
-          salt_buckets: int | None = None) -> LabeledFrame:
+          salt_buckets: int | None = None, hot: Sequence | None = None) -> LabeledFrame:
     """``left.merge(right, on=..., how=...)`` with pandas labelling.
 
     Output labels: all left labels, then the right labels except the key;
@@ -128,7 +128,8 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     the order pandas produces; otherwise the left ``_row`` is kept.
 
     ``salt_buckets`` deals the rows of left keys that hold more than one part in so many
-    out to that many tasks (:func:`salted_join`, for ``how='left'`` or ``'inner'``).
+    out to that many tasks (:func:`salted_join`, for ``how='left'`` or ``'inner'``); ``hot``
+    names these keys where they are known, else one aggregate finds them.
     """
     lkey, rkey = (on, on) if isinstance(on, str) else on
     lf, rf = LabeledFrame.of(left, "l"), LabeledFrame.of(right, "r")
@@ -136,13 +137,12 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     rlabs = [lab for lab in rf.labels if lab != ROW and not (lab == rkey and lkey == rkey)]
     overlap = set(llabs) & set(rlabs)
     lname, rname = lf.physical[lf.labels.index(lkey)], rf.physical[rf.labels.index(rkey)]
-    hot = []
     if salt_buckets and salt_buckets > 1:
         if how not in ("left", "inner"):
             raise ValueError("salted merge supports how='left' or 'inner'")
-        hot = hot_keys(lf.df, lname, salt_buckets)
+        hot = hot_keys(lf.df, lname, salt_buckets) if hot is None else hot
     spread = lf.col(ROW) if ROW in lf.labels else F.struct(*[F.col(c) for c in lf.physical])
-    joined = salted_join(lf.df, rf.df, lname, rname, how, salt_buckets or 1, spread, hot, null_safe)
+    joined = salted_join(lf.df, rf.df, lname, rname, how, salt_buckets or 1, spread, hot or [], null_safe)
 
     cols: list[Column] = []
     labels: list[str] = []

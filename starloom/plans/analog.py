@@ -87,9 +87,10 @@ class Sheets:
     fatality_counts: DataFrame
     crash_counts: DataFrame
     dwellings: DataFrame
+    hot: list  # crash keys that hold a large share of the fatalities
 
 
-def fatality_sheet(t: Tables) -> DataFrame:
+def fatality_sheet(t: Tables, hot: list) -> DataFrame:
     # The source position (file, row index) ends the order key: it breaks
     # ties between identical lines deterministically, so ``_row`` is unique.
     li = t("lineitem").select(
@@ -97,7 +98,6 @@ def fatality_sheet(t: Tables) -> DataFrame:
     part = t("part", ("p_partkey", "p_type", "p_size"))
     orders = t("orders", ("o_orderkey", "o_orderdate"))
     # A hot order is split before the first join on its key (see conform.salted_join).
-    hot = cf.hot_keys(t("lineitem", ("l_orderkey",)), "l_orderkey", cf.SALT_BUCKETS)
     spread = F.struct("__file", "__pos")
     j = cf.salted_join(li.join(part, li.l_partkey == part.p_partkey), orders, "l_orderkey", "o_orderkey", "inner",
                        cf.SALT_BUCKETS, spread, hot)
@@ -190,5 +190,7 @@ def dwellings_sheet(t: Tables) -> DataFrame:
 
 def sheets(spark: SparkSession, base: str) -> Sheets:
     t = Tables(spark, base)
-    return Sheets(fatality_sheet(t), crash_sheet(t), fatality_count_sheet(t), crash_count_sheet(t),
-                  dwellings_sheet(t))
+    # every line has its part and order, so the lines' keys are the fatality sheet's
+    hot = cf.hot_keys(t("lineitem", ("l_orderkey",)), "l_orderkey", cf.SALT_BUCKETS)
+    return Sheets(fatality_sheet(t, hot), crash_sheet(t), fatality_count_sheet(t), crash_count_sheet(t),
+                  dwellings_sheet(t), hot)

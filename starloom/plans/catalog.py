@@ -43,7 +43,8 @@ class Build:
     def __init__(self, spark: SparkSession, base: str):
         self.sheets = analog.sheets(spark, base)
         # the derived sheets' keys come from inner joins: none is null
-        self._conformed = wh.once(lambda: wh.conform_records(self.sheets.fatality, self.sheets.crash, null_safe=False))
+        self._conformed = wh.once(lambda: wh.conform_records(self.sheets.fatality, self.sheets.crash, null_safe=False,
+                                                             hot=self.sheets.hot))
         self._counts = wh.once(lambda: wh.conform_counts(self.sheets.fatality_counts, self.sheets.crash_counts))
         self.builders = wh.build_warehouse(lambda: self.conformed.frame, lambda: self.counts, self.sheets.dwellings,
                                            deferred=True)

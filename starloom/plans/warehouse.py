@@ -56,7 +56,7 @@ class Conformed:
 def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
                     drop: tuple[str, ...] = (DROPPED_DUPLICATE,), upper: tuple[str, ...] = (STATE,),
                     null_safe: bool = True, materialize: bool = True,
-                    salt_buckets: int | None = cf.SALT_BUCKETS) -> Conformed:
+                    salt_buckets: int | None = cf.SALT_BUCKETS, hot: list | None = None) -> Conformed:
     """B1: fatality LEFT JOIN crash on the key (fatalities drive the join; a
     crash without a fatality is lost), clean header newlines, resolve labels
     that collide after cleaning, report and resolve ``_x``/``_y`` overlaps with
@@ -70,7 +70,7 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
     instead of re-running the join.
     Physical column names are positional, so labels with spaces, newlines or
     case collisions need no escaping."""
-    merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe, salt_buckets=salt_buckets)
+    merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe, salt_buckets=salt_buckets, hot=hot)
     if materialize:
         # The duplicate-label checks ride along with the write as observed
         # metrics (DataFrame.observe): no separate pass over the data.
