@@ -1,0 +1,42 @@
+"""Connected components against union-find."""
+
+import random
+
+import pytest
+
+from starloom.llm.graph import connected_components
+
+
+def find(edges):
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for u, v in edges:
+        a, b = root(u), root(v)
+        parent[max(a, b)] = min(a, b)
+    return {x: root(x) for x in list(parent)}
+
+
+RND = random.Random(6)
+CASES = {
+    "empty": [],
+    "stars": [(1, 5), (1, 6), (2, 9)],
+    "chain": [(i, i + 1) for i in range(60)],
+    "shuffled chain": list(zip(p := RND.sample(range(80), 80), p[1:])),
+    "hub in the middle": [(50, i) for i in range(100) if i != 50],
+    "hub at the top": [(999, i) for i in range(100)],
+    "random": [(RND.randrange(300), RND.randrange(300)) for _ in range(220)],
+    "loops and nulls": [(3, 3), (None, 4), (5, None), (7, 8), (8, 7)],
+}
+
+
+@pytest.mark.parametrize("name", CASES)
+def test_components(spark, name):
+    df = spark.createDataFrame(CASES[name], "u long, v long")
+    want = find([e for e in CASES[name] if None not in e and e[0] != e[1]])
+    rows = [tuple(r) for r in connected_components(df).collect()]
+    assert len(rows) == len(want) and dict(rows) == want
