@@ -63,9 +63,8 @@ def _sequences(layout: Layout, end: int, pad: int):
     """Cuts the tokens of each split into sequences and gives them their slots."""
     dtype, stride = np.dtype(layout.dtype), layout.stride
     filler = np.array([pad], dtype).tobytes()
-    pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_dict_id=False).compress
 
-    def rows(buffer: bytes, ids: list, ends: list[int], ordinal: int) -> pa.RecordBatch:
+    def rows(pack, buffer: bytes, ids: list, ends: list[int], ordinal: int) -> pa.RecordBatch:
         n = -(-len(buffer) // stride)
         starts = np.arange(n) * stride
         stops = np.minimum(starts + stride, len(buffer))
@@ -80,6 +79,7 @@ def _sequences(layout: Layout, end: int, pad: int):
         ], ["slot", "n_tokens", "doc_ids", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3, write_checksum=False, write_dict_id=False).compress
         split, ordinal, held, ids, ends, size = None, 0, [], [], [], 0
         for batch in batches:
             base = batch.column("base").to_pylist()
@@ -88,7 +88,7 @@ def _sequences(layout: Layout, end: int, pad: int):
                                           _flat(batch.column("tokens"), dtype, end)):
                 if key != split:
                     if held:
-                        yield rows(b"".join(held), ids, ends, ordinal)
+                        yield rows(pack, b"".join(held), ids, ends, ordinal)
                     split, ordinal, held, ids, ends, size = key, at, [], [], [], 0
                 held.append(data)
                 size += len(data)
@@ -97,12 +97,12 @@ def _sequences(layout: Layout, end: int, pad: int):
                 if size >= max(1 << 21, stride):
                     buffer = b"".join(held)
                     whole = size // stride * stride
-                    yield rows(buffer[:whole], ids, ends, ordinal)
+                    yield rows(pack, buffer[:whole], ids, ends, ordinal)
                     ordinal += whole // stride
                     held, size = [buffer[whole:]], size - whole
                     ids, ends = ([doc], [size]) if size else ([], [])
         if held and size:
-            yield rows(b"".join(held), ids, ends, ordinal)
+            yield rows(pack, b"".join(held), ids, ends, ordinal)
 
     return run
 
