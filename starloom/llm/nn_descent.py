@@ -5,8 +5,11 @@ Lists start from buckets of random hyperplane codes. In each round the neighbour
 reverse neighbours of a vector meet (neighbours of neighbours) and improve their
 lists; only vectors whose surroundings changed take part again. A list that holds
 nothing but links is saturated: it is enlarged to all of its group, in blocks, so
-that every link inside a group is counted. A sample compared with all vectors
-audits the recall; while it is too low the lists grow and descent goes on.
+that every link inside a group is counted, and to the saturated vectors of all groups
+near enough (two full lists may leave out a link between them; a list that ends below
+the threshold leaves out none). A sample compared with all vectors audits the recall;
+while it is too low, lists and tables grow and descent goes on, and if that does not
+suffice all pairs are compared.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from starloom.llm.common import written
 from starloom.llm.graph import block_pairs, connected_components, grouped, spanning
 
 _SLACK = 1e-4  # the descent compares in single precision
+_CHECKED = "rep long, links long, low long"
 
 
 @dataclass(frozen=True)
@@ -32,8 +36,8 @@ class Settings:
     ``bucket``: members compared at once in a bucket or around a vector; ``rounds``:
     of descent before an audit; ``quiet``: share of list entries that must change for
     another round; ``audit``: vectors compared with all; ``recall``: wanted share of
-    their links; ``extra``: times that the lists are doubled at most; ``block``: members
-    of a block of a group."""
+    their links; ``extra``: times that the lists are doubled, and as many tables added,
+    before all pairs are compared; ``block``: members of a block of a group."""
 
     neighbours: int = 8
     tables: int = 12
@@ -67,14 +71,14 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out.astype({"name_a": "Int64", "name_b": "Int64", "dim": "Int32"})
 
 
-def _codes(tables: int, bits: int):
+def _codes(tables: int, bits: int, attempt: int):
     """The bucket of each vector in every table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for dim, rows in batch.groupby("dim"):
                 x = np.frombuffer(b"".join(rows["v32"]), np.float32).reshape(-1, dim)
-                planes = np.random.default_rng([7, int(dim)]).standard_normal((dim, tables * bits)).astype(np.float32)
+                planes = np.random.default_rng([7 + attempt, int(dim)]).standard_normal((dim, tables * bits)).astype(np.float32)
                 signs = (x @ planes > 0).reshape(-1, tables, bits)
                 code = signs @ (1 << np.arange(bits, dtype=np.int64))
                 ids = np.repeat(rows["rep"].to_numpy(), tables)
@@ -134,6 +138,41 @@ def _exact(threshold: float):
     return run
 
 
+def _balls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A centre for each part of a group, and the widest angle of a member to it."""
+    for rows in grouped(batches, ["component", "part"]):
+        out = []
+        for (component, part), group in rows.groupby(["component", "part"], sort=False):
+            x = np.frombuffer(b"".join(group["v64"]), np.float64).reshape(len(group), -1)
+            centre = x.sum(axis=0)
+            norm = np.linalg.norm(centre)
+            centre = centre / norm if norm > 0 else x[0]
+            out.append((component, part, x.shape[1], centre.tobytes(), float(np.arccos(np.clip(x @ centre, -1, 1)).max())))
+        yield pd.DataFrame(out, columns=["component", "part", "dim", "centre", "angle"])
+
+
+def _close(threshold: float):
+    """The pairs of balls of different groups that may hold a link (angles obey the
+    triangle inequality)."""
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + _SLACK
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in grouped(batches, ["dim", "a", "b"]):
+            for (_, a, b), group in rows.groupby(["dim", "a", "b"], sort=False):
+                x = np.frombuffer(b"".join(group["centre"]), np.float64).reshape(len(group), -1)
+                angle, component = group["angle"].to_numpy(), group["component"].to_numpy()
+                near = np.arccos(np.clip(x @ x.T, -1, 1)) <= angle[:, None] + angle[None, :] + reach
+                near &= np.triu(component[:, None] != component[None, :])
+                if a != b:
+                    block = group["block"].to_numpy()
+                    near &= block[:, None] != block[None, :]
+                i, j = np.nonzero(near)
+                part = group["part"].to_numpy()
+                yield pd.DataFrame({"c0": component[i], "p0": part[i], "c1": component[j], "p1": part[j]})
+
+    return run
+
+
 def _audited(sample: dict[int, tuple[np.ndarray, np.ndarray]], threshold: float):
     """Links of the sampled vectors to the rows of a task."""
 
@@ -196,13 +235,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, settings: Settings
     reps = written(classes.join(usable.select(F.col("vec_id").alias("rep"), "dim", "v64", "v32"), "rep"), "vectors")
     size = reps.count()
     bits = int(np.clip(np.log2(max(size, 2) / (settings.bucket / 3)), 1, 40))
-    buckets = written(reps.select("rep", "dim", "v32").mapInPandas(_codes(settings.tables, bits), "rep long, pivot long"),
-                      "codes")
-    shared = F.count(F.lit(1)).alias("held")
-    full = buckets.groupBy("pivot").agg(shared).where("held > 1").drop("held")
     neighbours, turn = settings.neighbours, 0
-    graph = _improve(_split(buckets.join(full, "pivot"), settings.bucket, 0), reps, None, neighbours, 0)
-    recall = 1.0
+    graph = _improve(_split(_buckets(reps, settings, bits, 0), settings.bucket, 0), reps, None, neighbours, 0)
     for attempt in range(settings.extra + 1):
         for _ in range(settings.rounds):
             turn += 1
@@ -215,12 +249,18 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, settings: Settings
             graph = _improve(members.unionByName(own), reps, graph, neighbours, turn)
             if graph.where(F.col("born") == turn).count() <= settings.quiet * neighbours * size:
                 break
-        result = _linked(graph, reps, threshold, settings)
+        result = _linked(graph, reps, neighbours, threshold, settings)
         recall = _recall(result, reps, threshold, settings, size)
         if recall >= settings.recall:
             break
-        neighbours *= 2
-        graph = graph.withColumn("born", F.lit(turn))
+        if attempt < settings.extra:
+            neighbours *= 2
+            members = _split(_buckets(reps, settings, bits, attempt + 1), settings.bucket, turn)
+            graph = _improve(members, reps, graph.withColumn("born", F.lit(turn)), neighbours, turn)
+    else:
+        result = _joined(_inside(reps.select("rep", F.col("dim").cast("long").alias("component")), reps, threshold,
+                                 4 * settings.block))
+        recall = 1.0  # all pairs are compared
     by_class = reps.select("name_a", "name_b", "rep", "copies").join(result, "rep", "left").select(
         "name_a", "name_b", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id"))
@@ -231,28 +271,71 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, settings: Settings
     return out, recall
 
 
-def _linked(graph: DataFrame, reps: DataFrame, threshold: float, settings: Settings) -> DataFrame:
-    """(rep, links, component): the exact links inside each group that the lists' links
-    connect."""
-    near = graph.where(F.col("s") >= threshold - _SLACK).select("u", F.col("w").alias("v"))
-    groups = connected_components(near).withColumnRenamed("node", "rep")
-    blocks = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / settings.block).cast("int").alias("blocks"))
+def _buckets(reps: DataFrame, settings: Settings, bits: int, attempt: int) -> DataFrame:
+    """(rep, pivot): the vectors that share a bucket with another, in each table of an attempt."""
+    buckets = written(reps.select("rep", "dim", "v32").mapInPandas(_codes(settings.tables, bits, attempt),
+                                                                   "rep long, pivot long"), "codes")
+    full = buckets.groupBy("pivot").agg(F.count(F.lit(1)).alias("held")).where("held > 1").drop("held")
+    return buckets.join(full, "pivot")
+
+
+def _inside(groups: DataFrame, reps: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(rep, links, low) of the block pairs inside each group of (rep, component)."""
+    blocks = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     members = groups.join(blocks, "component").join(reps.select("rep", "v64", "copies"), "rep")
-    checked = written(block_pairs(members, ["component"], "blocks")
-                      .mapInPandas(_exact(threshold), "rep long, links long, low long"), "links")
+    return block_pairs(members, ["component"], "blocks").mapInPandas(_exact(threshold), _CHECKED)
+
+
+def _across(full: DataFrame, reps: DataFrame, threshold: float, block: int) -> DataFrame:
+    """(rep, links, low) between the groups of (rep, component): the members of a group
+    in parts, each a ball, and the parts compared whose balls are near enough."""
+    parts = full.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    part = F.pmod(F.xxhash64(F.lit("part"), "rep"), F.col("parts")).cast("int")
+    held = written(full.join(parts, "component").join(reps.select("rep", "v64", "copies"), "rep")
+                   .select("component", part.alias("part"), "rep", "v64", "copies"), "saturated")
+    balls = written(held.repartition("component", "part").sortWithinPartitions("component", "part").mapInPandas(
+        _balls, "component long, part int, dim int, centre binary, angle double"), "balls")
+    tiles = balls.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("tiles"))
+    placed = balls.join(tiles, "dim").withColumn("rep", F.xxhash64("component", "part"))
+    pairs = written(block_pairs(placed, ["dim"], "tiles").mapInPandas(
+        _close(threshold), "c0 long, p0 int, c1 long, p1 int").withColumn("pair", F.monotonically_increasing_id()), "pairs")
+    sides = pairs.select("pair", F.explode(F.array(*[F.struct(
+        F.col(f"c{n}").alias("component"), F.col(f"p{n}").alias("part"), F.lit(n).alias("block")) for n in (0, 1)])).alias("side"))
+    members = (sides.select("pair", "side.*").join(held, ["component", "part"])
+               .select(F.col("pair").alias("component"), F.lit(0).alias("a"), F.lit(1).alias("b"), "block", "rep", "v64", "copies"))
+    return (members.repartition("component").sortWithinPartitions("component")
+            .mapInPandas(_exact(threshold), _CHECKED))
+
+
+def _joined(links: DataFrame) -> DataFrame:
+    """(rep, links, component) of rows (rep, links, low)."""
+    checked = written(links, "links")
     final = connected_components(checked.where("low <> rep").select(F.col("low").alias("u"), F.col("rep").alias("v")))
     return written(checked.groupBy("rep").agg(F.sum("links").alias("links"))
                    .join(final.withColumnRenamed("node", "rep"), "rep", "left"), "linked")
 
 
+def _linked(graph: DataFrame, reps: DataFrame, neighbours: int, threshold: float, settings: Settings) -> DataFrame:
+    """(rep, links, component): the exact links inside each group that the lists' links
+    connect, and between the saturated vectors of different groups."""
+    near = graph.where(F.col("s") >= threshold - _SLACK).select("u", F.col("w").alias("v"))
+    groups = written(connected_components(near).withColumnRenamed("node", "rep"), "groups")
+    full = (graph.groupBy(F.col("u").alias("rep")).agg(F.min("s").alias("worst"), F.count(F.lit(1)).alias("held"))
+            .where((F.col("held") >= neighbours) & (F.col("worst") >= threshold - _SLACK)).select("rep"))
+    return _joined(_inside(groups, reps, threshold, settings.block).unionByName(
+        _across(groups.join(full, "rep"), reps, threshold, settings.block)))
+
+
 def _recall(result: DataFrame, reps: DataFrame, threshold: float, settings: Settings, size: int) -> float:
     """Share of the links of a bounded sample, compared with every vector, that were
-    found."""
+    found: the mean over the vectors of a group, then over the groups, so that a
+    large group does not hide what others lack."""
     chosen = reps.where(F.pmod(F.xxhash64(F.lit("audit"), "rep"), F.lit(1 << 30))
                         < int(min(1.0, settings.audit / max(size, 1)) * (1 << 30))).select("rep", "dim", "v64").toPandas()
     probes = {int(dim): (rows["rep"].to_numpy(), np.frombuffer(b"".join(rows["v64"]), np.float64).reshape(len(rows), -1))
               for dim, rows in chosen.groupby("dim")}
     true = (reps.select("rep", "dim", "v64", "copies").mapInPandas(_audited(probes, threshold), "rep long, true long")
-            .groupBy("rep").agg(F.sum("true").alias("true")))
-    seen = true.join(result, "rep", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not seen[0] else float(seen[1]) / float(seen[0])
+            .groupBy("rep").agg(F.sum("true").alias("true")).where(F.col("true") > 0))
+    seen = (true.join(result, "rep", "left").groupBy(F.coalesce("component", "rep").alias("group"))
+            .agg(F.avg(F.coalesce("links", F.lit(0)) / F.col("true")).alias("share")).agg(F.avg("share")).first()[0])
+    return 1.0 if seen is None else float(seen)

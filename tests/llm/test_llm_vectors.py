@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from starloom.llm import maxscore, nn_descent, queries
@@ -44,6 +45,36 @@ def test_near_vectors_edge_cases(spark):
     assert recall == 1.0
 
 
+def test_links_between_tight_groups(spark):
+    rng = np.random.default_rng(3)
+    base = np.zeros((2, 16))
+    base[0, 0], base[1, 0], base[1, 1] = 1, np.cos(0.35), np.sin(0.35)
+    vectors = {i: (base[i % 2] + 0.008 * rng.standard_normal(16)).tolist() for i in range(200)}
+    vectors |= {300 + i: rng.standard_normal(16).tolist() for i in range(50)}
+    want = brute_links(vectors)
+    assert all(want[i][:2] == (199, 0) for i in range(200))  # more links than any list, the own group nearest
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got, recall = nn_descent.near_vectors(df)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got.collect()} == want and recall == 1.0
+
+
+def test_low_recall_is_seen_beside_a_hot_group_and_compared_in_full(spark):
+    rng = np.random.default_rng(4)
+    vectors = {i: (np.ones(8) + 0.05 * rng.standard_normal(8)).tolist() for i in range(60)}
+    for i in range(100, 140, 2):
+        vectors[i] = (5 * rng.standard_normal(8)).tolist()
+        vectors[i + 1] = (np.array(vectors[i]) + 0.01).tolist()
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    units = pd.concat(nn_descent._units(iter([pd.DataFrame(vectors.items(), columns=["vec_id", "embedding"])])))
+    reps = spark.createDataFrame([(r.vec_id, int(r.dim), bytearray(r.v64), 1) for r in units.itertuples()],
+                                 "rep long, dim int, v64 binary, copies long")
+    hot = spark.createDataFrame([(i, 59, 0) for i in range(60)], "rep long, links long, component long")
+    assert nn_descent._recall(hot, reps, 0.9, nn_descent.Settings(), 100) < 0.5
+    poor = nn_descent.Settings(neighbours=1, tables=1, bucket=3, rounds=0, extra=1, recall=1.1, block=16)
+    got, recall = nn_descent.near_vectors(df, settings=poor)
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got.collect()} == brute_links(vectors) and recall == 1.0
+
+
 def test_near_vectors_empty_and_repeated(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert nn_descent.near_vectors(empty)[0].collect() == []
