@@ -24,14 +24,28 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A
 SECRET = (r"(?<=(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Ss]ecret|[Aa]pi[_-]?[Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?)"
           r"(?=[^\s\"']{0,200}[0-9])[A-Za-z0-9_+/-]{8,200}+")
 KEY = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Length of the account numbers of each country; others may have any length.
+IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK",
+                21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL",
+                24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM",
+                28: "AL|AZ|BY|CY|DO|GT|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC",
+                32: "LC", 33: "RU"}
+IBAN = (r"(?<![A-Za-z0-9])(?:"
+        + "|".join(rf"(?:{names})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, names in IBAN_LENGTHS.items())
+        + rf"|(?!{'|'.join(IBAN_LENGTHS.values())})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)"
+        + r"(?![A-Za-z0-9])")
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
         r"(?![0-9]|[./-][0-9])")
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])"
 ABROAD = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]\(?[0-9]{1,8}\)?){1,5}(?![0-9])"
-CARD = r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|[.-][0-9])"
+# a run of groups of digits, which may hold cards beside other numbers
+CARD = (r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12}[0-9]*+"
+        r"(?:(?: (?![0-9]{3}[ -][0-9]{3}[ -][0-9]{4}(?![0-9]))[0-9]++){0,63}|(?:-[0-9]++){1,63})(?![0-9A-Za-z]|[.-][0-9])")
+# the groups of one card: unbroken, of four, or 4-6-4 and 4-6-5
+GROUPED = (r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1(?:[0-9]{1,4}|[0-9]{4}\1[0-9]{1,3})"
+           r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$")
 SHAPES = (EMAIL, SECRET, KEY, IBAN, ADDRESS, DATE, SOCIAL, PHONE, ABROAD, CARD)
 PATTERN = "|".join(SHAPES)
 #: Days that dates are permuted among: 184 * 397 days from 1900-01-01 on.
@@ -138,11 +152,43 @@ def _mod97(text: Column) -> Column:
         lambda c: F.when(c >= 65, (s * 100 + c - 55) % 97).otherwise((s * 10 + c - 48) % 97)))
 
 
-def _card(m: Column, key: str) -> Column:
+def _payload(m: Column) -> Column:
     d = _digits(m)
-    payload = F.substring(d, F.lit(1), F.length(d) - 1)
-    new = _let(permute_digits(key + "card", payload), lambda p: F.concat(p, _luhn(p)))
-    return F.when(_luhn(payload) == F.substring(d, -1, 1), _filled(m, new)).otherwise(m)
+    return F.substring(d, F.lit(1), F.length(d) - 1)
+
+
+def _one_card(m: Column, key: str) -> Column:
+    new = _let(permute_digits(key + "card", _payload(m)), lambda p: F.concat(p, _luhn(p)))
+    return _filled(m, new)
+
+
+def _card(m: Column, key: str) -> Column:
+    """The run ``m`` with its cards replaced. From left to right the longest stretch of
+    groups with a valid check digit counts; it must be grouped as cards are, unless it
+    begins the run."""
+    groups = F.regexp_extract_all(m, F.lit("[0-9]+[ -]?"), F.lit(0))
+    pair = lambda done, out: F.struct(done.cast("int").alias("done"), out.alias("out"))
+
+    def run(g: Column) -> Column:
+        def stretch(i: Column, n: Column) -> Column:
+            return F.regexp_replace(F.array_join(F.slice(g, i, n), ""), "[ -]$", "")
+
+        def is_card(i: Column, n: Column) -> Column:
+            return _let(stretch(i, n), lambda c: F.when(
+                F.length(_digits(c)).between(13, 19) & ((i == 1) | c.rlike(GROUPED)),
+                _luhn(_payload(c)) == F.substring(c, -1, 1)).otherwise(False))
+
+        def step(x: Column, i: Column) -> Column:
+            counts = F.sequence(F.least(F.lit(19), F.size(g) - i + 1), F.lit(1), F.lit(-1))
+            found = F.try_element_at(F.filter(counts, lambda n: is_card(i, n)), F.lit(1))
+            chosen = _let(found, lambda n: F.when(n.isNull(), pair(i, F.concat(x["out"], F.element_at(g, i)))).otherwise(
+                _let(stretch(i, n), lambda c: pair(i + n - 1, F.concat(x["out"], _one_card(c, key), F.substring(
+                    F.array_join(F.slice(g, i, n), ""), F.length(c) + 1, F.lit(1)))))))
+            return F.when(i <= x["done"], x).otherwise(chosen)
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(g)), pair(F.lit(0), F.lit("")), step)["out"]
+
+    return _let(groups, run)
 
 
 def _iban(m: Column, key: str) -> Column:

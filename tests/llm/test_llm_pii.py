@@ -128,6 +128,23 @@ def test_iban_and_distinct_values(spark):
     assert len(set(made)) == 600
 
 
+def test_cards_and_accounts_beside_other_numbers(spark):
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    new = digits(KEY + "card", card[:-1])
+    new += luhn(new)
+    apart = " ".join(new[i:i + 4] for i in range(0, 16, 4))
+    cases = [f"{card} 12/25", f"{spaced} 123", f"12 {card}", f"3 {card}", f"1234 {spaced} 5", f"{card} 12.50",
+             f"{card} 555 1234 {spaced}", f"{card} 1234567"]
+    want = [c.replace(card, new).replace(spaced, apart) for c in cases]
+    assert [t for t, _ in run(spark, cases)] == want
+    (out, n), = run(spark, [f"{card} 078-05-1120 {spaced} 415 555 2671"])
+    assert n == 4 and not re.search("078-05-1120|415 555 2671|4111", out)
+    for text_, size in (("ES9121000418450200051332 EUR", 24), ("BE68539007547034 EUR", 16),
+                        ("BE68539007547034 GB82 WEST 1234 5698 7654 32", 16)):
+        (out, n), = run(spark, [text_])
+        assert out[:size] != text_[:size] and iban_ok(out[:size]) and n == (2 if "GB" in text_ else 1)
+
+
 def test_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pseudonymise(df).collect() == []
