@@ -22,7 +22,7 @@ ROUNDS = 8
 # The shapes of personal data, tried in this order at each place.
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
 SECRET = (r"(?<=(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Ss]ecret|[Aa]pi[_-]?[Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?)"
-          r"(?=[^\s\"']{0,200}[0-9])[A-Za-z0-9_+/-]{8,200}+")
+          r"(?=[^\s\"']*[0-9])[A-Za-z0-9_+/.=-]{8,}(?<!\.)")
 KEY = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"
 #: Length of the account numbers of each country; others may have any length.
 IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK",
@@ -35,21 +35,29 @@ IBAN = (r"(?<![A-Za-z0-9])(?:"
         + rf"|(?!{'|'.join(IBAN_LENGTHS.values())})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)"
         + r"(?![A-Za-z0-9])")
 ADDRESS = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
+DATE = (r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}"
+        r"|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})"
         r"(?![0-9]|[./-][0-9])")
 SOCIAL = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 PHONE = r"(?<![0-9A-Za-z+])(?:\+?1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|-[0-9])"
 ABROAD = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}(?:[ .-]\(?[0-9]{1,8}\)?){1,5}(?![0-9])"
 # a run of groups of digits, which may hold cards beside other numbers
+COMPACT = r"(?<![0-9A-Za-z+])\+[1-9][0-9]{7,14}(?![0-9A-Za-z]|[.-][0-9])"
 CARD = (r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12}[0-9]*+"
         r"(?:(?: (?![0-9]{3}[ -][0-9]{3}[ -][0-9]{4}(?![0-9]))[0-9]++){0,63}|(?:-[0-9]++){1,63})(?![0-9A-Za-z]|[.-][0-9])")
 # the groups of one card: unbroken, of four, or 4-6-4 and 4-6-5
 GROUPED = (r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1(?:[0-9]{1,4}|[0-9]{4}\1[0-9]{1,3})"
            r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$")
-SHAPES = (EMAIL, SECRET, KEY, IBAN, ADDRESS, DATE, SOCIAL, PHONE, ABROAD, CARD)
+SHAPES = (EMAIL, SECRET, KEY, IBAN, ADDRESS, DATE, SOCIAL, PHONE, ABROAD, COMPACT, CARD)
 PATTERN = "|".join(SHAPES)
-#: Days that dates are permuted among: 184 * 397 days from 1900-01-01 on.
+#: Days that dates are permuted among: 184 * 397 days from 1900-01-01 on; those before (from
+#: year 1) and after (to year 9999) among themselves. Values: first day, and the two factors.
 FIRST_DAY, WEEKS_OF, DAYS_OF = "1900-01-01", 184, 397
+AGES = ((FIRST_DAY, WEEKS_OF, DAYS_OF, "date"), ("0001-01-01", 745, 931, "early"),
+        ("2099-12-31", 1558, 1852, "late"))
+#: Longest text permuted at once, and the pieces of longer ones.
+LONGEST, PIECE = 200, 64
+HEXADECIMAL = "^[0-9a-f]+$"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -57,9 +65,9 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _hash(key: str, *parts: Column) -> Column:
+def _hash(key: str | Column, *parts: Column) -> Column:
     """60 keyed bits of the parts."""
-    text = F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts])
+    text = F.concat_ws("|", key if isinstance(key, Column) else F.lit(key), *[p.cast("string") for p in parts])
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("long")
 
 
@@ -67,7 +75,7 @@ def _rounds() -> Column:
     return F.array(*[F.lit(i) for i in range(ROUNDS)])
 
 
-def permute_pair(key: str, left: Column, right: Column, lefts: Column, rights: Column) -> Column:
+def permute_pair(key: str | Column, left: Column, right: Column, lefts: Column, rights: Column) -> Column:
     """The image (l, r) of (left, right), 0 <= left < lefts and 0 <= right < rights, under
     a Feistel permutation of all such pairs: each round adds a keyed hash of one half
     to the other, modulo its size."""
@@ -102,12 +110,12 @@ def _shift(c: Column, by: Column, hexadecimal: Column) -> Column:
         .when((code >= 97) & (code <= 122), turned(97, 26)).otherwise(c))
 
 
-def permute_text(key: str, text: Column) -> Column:
+def permute_text(key: str | Column, text: Column, hexadecimal: Column | None = None) -> Column:
     """Another ASCII text with digits, capitals and small letters in the same places
     (of hexadecimal digits alone: hexadecimal digits); other characters stay."""
     n = F.length(text)
     half = F.floor(n / 2).cast("int")
-    hexadecimal = text.rlike("^[0-9a-f]+$")
+    hexadecimal = text.rlike(HEXADECIMAL) if hexadecimal is None else hexadecimal
 
     def turned(part: Column, other: Column, i: Column) -> Column:
         places = F.when(F.length(part) > 0, F.sequence(F.lit(1), F.length(part))).otherwise(F.array().cast("array<int>"))
@@ -121,6 +129,21 @@ def permute_text(key: str, text: Column) -> Column:
     return _let(image, lambda p: F.concat(p["l"], p["r"]))
 
 
+def permute_long(key: str, text: Column) -> Column:
+    """``permute_text``; of more than LONGEST characters in pieces, the key of each
+    linked to all characters before it."""
+    pair = lambda link, out: F.struct(link.alias("link"), out.alias("out"))
+
+    def step(x: Column, i: Column) -> Column:
+        return _let(F.substring(text, i * PIECE + 1, F.lit(PIECE)), lambda piece: pair(
+            F.sha2(F.concat(x["link"], piece), 256),
+            F.concat(x["out"], permute_text(F.concat(F.lit(key), x["link"]), piece, text.rlike(HEXADECIMAL)))))
+
+    pieces = F.sequence(F.lit(0), F.floor((F.length(text) - 1) / PIECE).cast("int"))
+    linked = F.aggregate(pieces, pair(F.lit(""), F.lit("")), step)["out"]
+    return F.when(F.length(text) <= LONGEST, permute_text(key, text)).otherwise(linked)
+
+
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
@@ -214,21 +237,31 @@ def _address(m: Column, key: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    def moved(day: Column, form: str) -> Column:
-        index = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-        image = permute_pair(key + "date", F.floor(index / DAYS_OF), index % DAYS_OF, F.lit(WEEKS_OF), F.lit(DAYS_OF))
-        spelled = _let(image, lambda p: F.date_format(
-            F.date_add(F.lit(FIRST_DAY).cast("date"), (p["l"] * DAYS_OF + p["r"]).cast("int")), form))
-        return F.when((index >= 0) & (index < WEEKS_OF * DAYS_OF), spelled)
-
-    def read(year: tuple, month: tuple, day: tuple) -> Column:
-        return F.concat_ws("-", *[F.substring(m, *x) for x in (year, month, day)]).try_cast("date")
-
-    return F.coalesce(
-        F.when(m.rlike("^[0-9]{4}-"), moved(read((1, 4), (6, 2), (9, 2)), "yyyy-MM-dd"))
-        .when(m.contains("."), moved(read((7, 4), (4, 2), (1, 2)), "dd.MM.yyyy"))
-        .otherwise(F.coalesce(moved(read((7, 4), (1, 2), (4, 2)), "MM/dd/yyyy"),
-                              moved(read((7, 4), (4, 2), (1, 2)), "dd/MM/yyyy"))), m)
+    def moved(day: Column, form: Column) -> Column:
+        ages = [F.struct(F.lit(first).cast("date").alias("first"), F.lit(lefts).alias("lefts"), F.lit(rights).alias("rights"),
+                         F.lit(key + name).alias("key")) for first, lefts, rights, name in AGES]
+        index = lambda age: F.datediff(day, age["first"])
+        held = F.try_element_at(F.filter(F.array(*ages), lambda age: (index(age) >= 0) & (
+            index(age) < age["lefts"] * age["rights"])), F.lit(1))
+        return _let(held, lambda age: _let(
+            permute_pair(age["key"], F.floor(index(age) / age["rights"]), index(age) % age["rights"], age["lefts"], age["rights"]),
+            lambda p: F.call_function("date_format", F.date_add(
+                age["first"], (p["l"] * age["rights"] + p["r"]).cast("int")), form)))
+
+    def read(year: int, month: int, day: int, form: str) -> Column:
+        parts = F.split(m, "[-/.]")
+        value = F.concat_ws("-", *[F.lpad(parts[at], n, "0") for at, n in ((year, 4), (month, 2), (day, 2))])
+        short = form.replace("MM", "M").replace("dd", "d")
+        return _let(value.try_cast("date"), lambda d: F.when(d.isNotNull(), F.struct(
+            d.alias("day"), F.when(one_digit, short).otherwise(form).alias("form"))))
+
+    # a day or month of one digit: none is filled up in the pseudonym
+    one_digit = m.rlike("(?<![0-9])[0-9](?![0-9])")
+    known = (F.when(m.rlike("^[0-9]{4}-"), read(0, 1, 2, "yyyy-MM-dd"))
+             .when(m.rlike("^[0-9]{4}/"), read(0, 1, 2, "yyyy/MM/dd"))
+             .when(m.contains("."), read(2, 1, 0, "dd.MM.yyyy"))
+             .otherwise(F.coalesce(read(2, 0, 1, "MM/dd/yyyy"), read(2, 1, 0, "dd/MM/yyyy"))))
+    return F.coalesce(_let(known, lambda k: moved(k["day"], k["form"])), m)
 
 
 def _social(m: Column, key: str) -> Column:
@@ -266,6 +299,13 @@ def _abroad(m: Column, key: str) -> Column:
                   F.concat(country, _filled(rest, permute_digits(key + "abroad", d)))).otherwise(m)
 
 
+def _compact(m: Column, key: str) -> Column:
+    country = F.regexp_extract(m, r"^\+(?:[17]|[0-9]{2})", 0)
+    rest = F.substring(m, F.length(country) + 1, F.length(m))
+    return F.when(m.rlike(r"^\+1[0-9]{10}$"), _phone(m, key)).otherwise(
+        F.concat(country, permute_digits(key + "abroad", rest)))
+
+
 def _email(m: Column, key: str) -> Column:
     return F.concat(permute_text(key + "email", F.substring_index(m, "@", 1)), F.lit("@"), F.substring_index(m, "@", -1))
 
@@ -287,8 +327,9 @@ def pseudonym(m: Column, key: str) -> Column:
             .when(no_context(SOCIAL), _social(m, key))
             .when(no_context(PHONE), _phone(m, key))
             .when(no_context(ABROAD), _abroad(m, key))
+            .when(no_context(COMPACT), _compact(m, key))
             .when(no_context(CARD), _card(m, key))
-            .otherwise(permute_text(key + "secret", m)))
+            .otherwise(permute_long(key + "secret", m)))
 
 
 def pseudonymise(docs: DataFrame, key: str = "starloom", text_col: str = "text",

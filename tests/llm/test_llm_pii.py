@@ -145,6 +145,20 @@ def test_cards_and_accounts_beside_other_numbers(spark):
         assert out[:size] != text_[:size] and iban_ok(out[:size]) and n == (2 if "GB" in text_ else 1)
 
 
+def test_long_secrets_and_common_shapes(spark):
+    long = "aB3x" * 75
+    jwt = "eyJhbGci1.eyJzdWIi2.c2lnbmF0dXJl3=="
+    (a, n), (b, _), (c, _) = run(spark, [f"token: {long} x", f"token: {jwt}. x", f"token: {long[:-4]}aB3y x"])
+    got = a[7:-2]
+    assert n == 1 and len(got) == 300 and all(got[i:i + 20] != long[i:i + 20] for i in range(0, 300, 20))
+    assert b[:7] == "token: " and b.endswith("==. x") and all(p not in b for p in jwt.rstrip("=").split(".")) and c != a
+    given = ["+14155552671", "+491701234567", "2024/03/05", "3/5/2024", "5.3.2024", "1875-02-03", "2150-02-03"]
+    made = run(spark, given)
+    assert all(n == 1 and t != g for (t, n), g in zip(made, given))
+    assert made[0][0][:2] == "+1" and made[1][0][:3] == "+49" and len(made[1][0]) == len(given[1])
+    assert "1900" > made[5][0][:4] and "2100" <= made[6][0][:4] or made[6][0][:4] == "2099"
+
+
 def test_empty_table_and_native_plan(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert pii.pseudonymise(df).collect() == []
