@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity
+from starloom.llm import bpe, laesa, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity
 from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
@@ -89,6 +89,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of all embeddings of 64 components after five rounds over 40 centroids."""
+    found = laesa.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE tokens AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
@@ -136,6 +143,33 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def _op13_sql(rounds: int = 5) -> str:
+    """Every round: assign (distance and number in one integer), then move the centroids."""
+    steps = []
+    for at in range(rounds + 1):
+        steps.append(f"""a{at} AS MATERIALIZED (
+  SELECT row, vec_id, v, min(64 * list_sum([(v[i] - c[i]) * (v[i] - c[i]) FOR i IN range(1, 65)])::HUGEINT + no) AS best
+  FROM kept, c{at} GROUP BY ALL)""")
+        steps.append(f"""s{at} AS MATERIALIZED (
+  SELECT no, list(((s - (s % n + n) % n) // n)::BIGINT ORDER BY i) AS c FROM (
+    SELECT best % 64 AS no, i, sum(x)::HUGEINT AS s, count(*) AS n
+    FROM (SELECT best, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{at}) GROUP BY ALL) GROUP BY no)""")
+        steps.append(f"""c{at + 1} AS MATERIALIZED (
+  SELECT o.no, coalesce(s.c, o.c) AS c FROM c{at} o LEFT JOIN s{at} s ON s.no = o.no)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS no, v AS c FROM kept
+  ORDER BY no LIMIT 40),
+{", ".join(steps[:-2])}
+SELECT vec_id, (best % 64)::INT AS cluster, (best // 64)::BIGINT AS distance,
+       (sum(best // 64) OVER (PARTITION BY best % 64))::BIGINT AS cluster_inertia, (sum(best // 64) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON no = best % 64
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The numbered operators by query name."""
     return {
@@ -149,6 +183,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
+        "op13_laesa_clusters": op13_laesa_clusters,
     }
 
 
@@ -158,4 +193,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_jaccard": OP1_SQL,
         "op3_nn_descent": OP3_SQL,
         "op6_maxscore": OP6_SQL,
+        "op13_laesa_clusters": _op13_sql(),
     }
