@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, laesa, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity
+from starloom.llm import bpe, divergence, laesa, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity
 from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
@@ -89,6 +89,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergences of all sources of each language, and the terms that set each apart."""
+    return divergence.divergences(table(spark, sf_dir, "documents", "text", "lang", "source"))
+
+
 def op13_laesa_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of all embeddings of 64 components after five rounds over 40 centroids."""
     found = laesa.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
@@ -142,6 +147,32 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source FROM documents),
+groups AS (SELECT DISTINCT lang, source FROM d),
+found AS (SELECT row, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM found GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n
+          FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+sums AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, count(*) OVER (PARTITION BY lang, source) AS v FROM cells),
+whole AS (SELECT lang, sum(n) AS total FROM kept GROUP BY lang),
+p AS (SELECT s.lang, source, term, n, (1 + 1000000000::HUGEINT * (n + 2) // (s.total + 2 * v)) AS p,
+             (1 + 1000000000::HUGEINT * (lang_n + 2) // (w.total + 2 * v)) AS q FROM sums s JOIN whole w USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
 
 def _op13_sql(rounds: int = 5) -> str:
     """Every round: assign (distance and number in one integer), then move the centroids."""
@@ -183,6 +214,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
+        "op12_source_divergence": op12_source_divergence,
         "op13_laesa_clusters": op13_laesa_clusters,
     }
 
@@ -193,5 +225,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_ngram_jaccard": OP1_SQL,
         "op3_nn_descent": OP3_SQL,
         "op6_maxscore": OP6_SQL,
+        "op12_source_divergence": OP12_SQL,
         "op13_laesa_clusters": _op13_sql(),
     }
