@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import bpe, divergence, laesa, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity
+from starloom.llm import bpe, divergence, laesa, langid, maxscore, mixing, ngram_join, nn_descent, pii, quality, shards, toxicity, weak_rules
 from starloom.llm.common import crc_fold, table
 from starloom.session import scratch_path
 
@@ -89,6 +89,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_weak_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the quality rules measure in every text, and the verdict of their weighted votes."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return weak_rules.judge(docs, ["doc_id"]).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                                     "n_repeat_words", "base_failed", "kept", "score")
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Divergences of all sources of each language, and the terms that set each apart."""
     return divergence.divergences(table(spark, sf_dir, "documents", "text", "lang", "source"))
@@ -214,6 +221,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_language": op10_language,
+        "op11_weak_rules": op11_weak_rules,
         "op12_source_divergence": op12_source_divergence,
         "op13_laesa_clusters": op13_laesa_clusters,
     }
