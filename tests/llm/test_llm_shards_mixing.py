@@ -124,9 +124,70 @@ def test_mix_edge_cases(spark):
     assert by_id == {k: v for k, v in want.items() if v}
 
 
-def test_shard_counts_are_multinomial_about_the_target():
-    import pandas as pd
-    p = np.array([5.0, 3.0, 1.5, 0.5])
-    rows = pd.concat(mixing._draw(p, 100_000, 1000, 3)(iter([pd.DataFrame({"id": range(100)})])))
-    assert rows["count"].sum() == 100_000 and (rows.groupby("shard")["count"].sum() == 1000).all()
-    assert np.allclose(rows.groupby("source_no")["count"].sum() / 100_000, p / 10, atol=0.002)
+def test_shard_counts_are_multinomial_and_totals_exact(spark):
+    slots = [50_000, 30_000, 15_000, 5_000, 3, 1, 0]
+    sources = spark.createDataFrame([(i, n, n) for i, n in enumerate(slots)], "source_no int, blocks long, slots long")
+    rows = mixing.dealt(sources, 1000, 3).toPandas()
+    assert rows.groupby("source_no").size().to_dict() == {i: n for i, n in enumerate(slots) if n}
+    assert not rows.duplicated(["source_no", "turn", "block"]).any()
+    counts = rows.groupby(["source_no", "shard"]).size().unstack(fill_value=0)
+    assert counts.shape[1] == 101 and rows["shard"].max() == 100
+    for i, n in enumerate(slots[:4]):  # mean and variance of a multinomial draw
+        mean = n / 101
+        assert abs(counts.loc[i].mean() - mean) < 1e-9 and 0.6 * mean < counts.loc[i].var() < 1.5 * mean
+
+
+SMALL = {"a": 3, "b": 10, "c": 65, "d": 100, "e": 1000, None: 100_000}
+
+
+def unequal(spark, seed=0):
+    rows, at = [], 0
+    for source, words in SMALL.items():
+        n = 400 if words > 1000 else 1
+        for k in range(n):
+            rows.append((at, " ".join(f"w{at}x{j}" for j in range(words // n)), source))
+            at += 1
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_small_sources_come_near_their_targets(spark):
+    rows = mixing.taken_words(unequal(spark)).collect()
+    taken = {}
+    for r in rows:
+        assert r.taken <= 3 * r["size"]
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    want = reference_targets(SMALL)
+    for source in SMALL:
+        assert abs(taken[source] - want[source]) <= max(64, 0.05 * want[source]), source
+    assert taken["a"] == 9 and taken["b"] == 30 and taken["c"] == 195  # capped sources are taken whole three times
+
+
+def test_split_size_does_not_change_the_mix(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    docs = unequal(spark)
+    docs.unionByName(docs.where("doc_id % 5 = 0")).repartition(7).write.parquet(path)  # with repeated rows
+    found = []
+    for split in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            df = spark.read.parquet(path)
+            found.append((sorted(map(tuple, mixing.taken_words(df).collect()), key=repr),
+                          sorted(map(tuple, mixing.mix(df, block_words=8).collect()), key=repr)))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found[0] == found[1]
+
+
+def test_mix_keeps_columns_of_any_name(spark):
+    names = ["doc_id", "text", "source", "_uid", "uid", "size", "taken", "runs", "pieces", "cut", "h1", "doc", "a.b", "blocks"]
+    df = spark.createDataFrame([(1, "a b c d", "s", *range(11)), (2, None, None, *range(11))], names)
+    mixed = mixing.mix(df, block_words=2)
+    assert mixed.columns == [*names, "turn"]
+    assert all(tuple(r)[3:14] == tuple(range(11)) for r in mixed.collect()) and mixed.count() >= 1
+    assert mixing.taken_words(df).count() == 2
+
+
+def test_mix_of_a_very_long_text(spark):
+    df = spark.createDataFrame([(1, "word " * 300_000, "s"), (2, "w", "t")], "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in mixing.taken_words(df).collect()}
+    assert got[1]["size"] == 300_000 and abs(got[1].taken - got[1].target) <= 64 and got[2].taken == 3
