@@ -192,6 +192,22 @@ def _cut(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
+def _distinct(data: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one span of each kind, the kind of each span): spans of one kind have the same
+    bytes. Spans are grouped by hash and then compared with the first of their group;
+    those that differ from it are kinds of their own."""
+    _, index, inverse = np.unique(h, return_index=True, return_inverse=True)
+    first, n = index[inverse], ends - starts
+    equal = n == n[first]
+    which = np.flatnonzero(equal & (first != np.arange(len(h))))
+    if len(which):
+        same = data[_spread(starts[which], n[which])] == data[_spread(starts[first[which]], n[which])]
+        equal[which] = np.logical_and.reduceat(same, np.cumsum(n[which]) - n[which])
+    odd = np.flatnonzero(~equal)
+    inverse[odd] = len(index) + np.arange(len(odd))
+    return np.concatenate((index, odd)), inverse
+
+
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
@@ -252,7 +268,7 @@ class Codec:
             bad = np.add.reduceat(~same, np.cumsum(n) - n) > 0
             hit[which[bad]] = False
         miss = np.flatnonzero(~hit)
-        _, index, inverse = np.unique(h[miss], return_index=True, return_inverse=True)
+        index, inverse = _distinct(data, h[miss], starts[miss], ends[miss])
         found = self._misses(data, starts[miss[index]], ends[miss[index]])
         counts = np.ones(len(h), np.int64)
         lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4

@@ -2,7 +2,9 @@
 
 A word is a maximal run of ASCII letters and digits and of bytes above 0x7F
 (so of any non-ASCII characters) in the lower-cased text. The 64-bit hash of
-a word is a polynomial over its bytes, taken from prefix sums, then mixed.
+a word is a polynomial over its bytes, taken from prefix sums, then mixed. Long words,
+among which a polynomial modulo 2^64 has pairs that collide for any base, are
+hashed one by one instead.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import xxhash
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -23,6 +26,8 @@ _inverse = np.ones(1, np.uint64)
 #: Bytes of text handled at once; with a separator a text they stay below 2^20 in most
 #: chunks, so that the tables of powers need no more entries.
 CHUNK = 1_000_000
+#: Bytes from which a span is hashed on its own.
+LONG = 129
 
 
 def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +56,10 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     powers, inverse = _grown(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    out = mix((sums[ends] - sums[starts]) * inverse[starts])
+    for i in np.flatnonzero(ends - starts >= LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]], seed=_BASE)
+    return out
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:

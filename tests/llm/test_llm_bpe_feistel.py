@@ -8,7 +8,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from starloom.llm import bpe, queries
+from starloom.llm import bpe, queries, wordhash
 from starloom.llm.feistel import permute
 
 TOKENS, IDS = bpe.read_vocabulary(queries.VOCABULARY)
@@ -32,6 +32,27 @@ def test_encode_matches_the_library(texts):
     assert encoded(texts) == [REFERENCE.encode_ordinary(t or "") for t in texts]
 
 
+def test_words_that_collide_in_any_polynomial():
+    word = "a"
+    for _ in range(12):  # Thue-Morse: equal polynomials modulo 2^64 for every odd base
+        word += word.translate({97: "b", 98: "a"})
+    other = word.translate({97: "b", 98: "a"})
+    texts = [word + " " + other, other, word]
+    assert encoded(texts) == [REFERENCE.encode_ordinary(t) for t in texts]
+    a, b = (wordhash.words([t.encode()])[0].tolist() for t in (word, other))
+    assert len(a) == len(b) == 1 and a != b
+
+
+def test_misses_are_told_apart_by_bytes():
+    data = np.frombuffer(b"abcabdabcxyab", np.uint8)
+    starts, ends = np.array([0, 3, 6, 9, 11]), np.array([3, 6, 9, 11, 13])
+    for h in (np.zeros(5, np.uint64), np.array([1, 1, 1, 2, 2], np.uint64), np.arange(5, dtype=np.uint64)):
+        index, kind = bpe._distinct(data, h, starts, ends)
+        for i, k in enumerate(kind):
+            at = index[k]
+            assert bytes(data[starts[i]:ends[i]]) == bytes(data[starts[at]:ends[at]])
+
+
 def test_long_texts_are_cut_at_borders():
     text = "It's  what we'll see, 12 times \n\n déjà vu! " * 60_000 + "x" * 3000
     assert len(text) > bpe.CHUNK
