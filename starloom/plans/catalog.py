@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -274,20 +275,35 @@ def s2_trimmed_csv(spark, base):
     return read_trimmed_csv(spark, path).drop("_row")
 
 
+@contextmanager
+def split_bytes(spark, size):
+    """File splits of this size while records are read."""
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def s1_sheet_header(spark, base):
     """An exported sheet with four banner lines, labels with a line break or differing in
-    case alone, and keys that are blank or no number, read back with every record kept."""
+    case alone, keys that are blank or no number, and cells with line breaks, commas and quotes
+    that split borders cut (the files are read in splits of 64 KB), read back with every record kept."""
     orders = spark.read.parquet(f"{base.rstrip('/')}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     key = F.when(F.col("o_orderkey") % 50 == 0, "").when(F.col("o_orderkey") % 51 == 0, "n/a").otherwise(
         F.col("o_orderkey").cast("string"))
+    more = F.when(F.col("o_orderkey") % 7 == 0, '\nsecond, ""quoted"" line\n').when(
+        F.col("o_orderkey") % 11 == 0, ',""\n\n,x,\n').otherwise("")
     lines = orders.select(F.lit(1).alias("part"), F.col("o_orderkey").alias("at"), F.concat(
-        key, F.lit(',"'), "o_orderpriority", F.lit('",'), "o_orderstatus", F.lit(","), F.lower("o_orderstatus")).alias("value"))
+        key, F.lit(',"'), "o_orderpriority", more, F.lit('",'), "o_orderstatus", F.lit(","), F.lower("o_orderstatus")).alias("value"))
     top = ("Orders, exported", "one line an order", "", "columns below", '"Crash ID","Priority \nclass",Status,STATUS')
     head = spark.createDataFrame([(0, i, t) for i, t in enumerate("\n".join(top).split("\n"))],
                                  "part int, at bigint, value string")
     path = scratch_path(spark, "sheet-text")
     (head.unionByName(lines).repartitionByRange(5, "part", "at").sortWithinPartitions("part", "at").select("value").write.text(path))
-    sheet = etl.read_exported_sheet(spark, path, {"Crash ID": "bigint"}, "Crash ID", dense_order=True)
+    with split_bytes(spark, 64 << 10):
+        sheet = etl.read_exported_sheet(spark, path, {"Crash ID": "bigint"}, "Crash ID", dense_order=True)
     return sheet.toDF("crash_id", "priority", "status", "status_again", "row_no")
 
 

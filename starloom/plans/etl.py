@@ -14,8 +14,6 @@ never an error, and never a lost row).
 from __future__ import annotations
 
 import argparse
-import csv
-import io
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -26,29 +24,26 @@ from starloom.operators.conform import SALT_BUCKETS
 from starloom.plans import warehouse as wh
 from starloom.session import scratch_scope
 from starloom.sinks.tables import BUCKETS_KEY, read_warehouse, write_csv, write_warehouse
-from starloom.sources.delimited import header_record, read_sheet_csv, read_trimmed_csv
+from starloom.sources.delimited import header_labels, header_record, read_sheet_csv, read_trimmed_csv
+from starloom.sources.records import quoted_records
 
 # The columns read with a type (everything else is text).
 RECORD_TYPES = {"Crash ID": "bigint", "Year": "int", "Month": "int", "Age": "int"}
 COUNT_TYPES = {"Date": "date", "Number Fatalities": "bigint", "Number of fatal crashes": "bigint"}
 
 
-def header_labels(record: str) -> list[str]:
-    """The labels of a raw header record."""
-    return next(csv.reader(io.StringIO(record)))
-
-
 def read_exported_sheet(spark: SparkSession, path: str, types: Mapping[str, str], key: str,
                         date_format: str = "yyyy-MM-dd", dense_order: bool = False) -> DataFrame:
     """One exported sheet; its labels come from its header record, the one with a
     cell ``key``, and every record below is kept. ``_row`` is the file position, or a dense ordinal
     (``dense_order``)."""
-    record = header_record(spark, path, key)
+    records = quoted_records(spark, path)
+    record = header_record(spark, path, key, records)
     labels = header_labels(record)
     ddl = ", ".join(f"`{lab.replace('`', '``')}` {types.get(lab, 'string')}" for lab in labels)
     integers = tuple(lab for lab in labels if types.get(lab) in ("int", "bigint"))
     return read_sheet_csv(spark, path, ddl, header=record, options={"dateFormat": date_format}, dense_order=dense_order,
-                          integers=integers)
+                          integers=integers, records=records)
 
 
 def key_is_unique(df: DataFrame, key: str) -> bool:

@@ -486,7 +486,9 @@ def oracle_sql() -> dict[str, str]:
         "s5_sql_q6": _Q6,
         "s5_sql_rank": _RANK_ALL, "s5_sql_cube": _CUBE, "s5_sql_union": _DETAILS, "s5_sql_numeric": _SHARES,
         "s1_sheet_header": """
-SELECT CASE WHEN o_orderkey % 50 <> 0 AND o_orderkey % 51 <> 0 THEN o_orderkey END AS crash_id, o_orderpriority AS priority,
+SELECT CASE WHEN o_orderkey % 50 <> 0 AND o_orderkey % 51 <> 0 THEN o_orderkey END AS crash_id, 
+       o_orderpriority || CASE WHEN o_orderkey % 7 = 0 THEN chr(10) || 'second, "quoted" line' || chr(10)
+         WHEN o_orderkey % 11 = 0 THEN ',"' || chr(10) || chr(10) || ',x,' || chr(10) ELSE '' END AS priority,
        o_orderstatus AS status, lower(o_orderstatus) AS status_again,
        CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS row_no FROM orders""",
         "s2_trimmed_csv": """

@@ -13,10 +13,13 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom.operators import rules
 from starloom.session import scratch_path
 from starloom.sinks.tables import write_rules
+from starloom.sources.delimited import ROW, header_labels, read_sheet_csv
+from starloom.sources.records import AT, quoted_records
 
 # The reference's mining parameters.
 MIN_SUPPORT = 0.05
@@ -56,9 +59,15 @@ def _stored(df: DataFrame, path: str) -> DataFrame:
 
 
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
-    """The processed export (CSV with a header); every cell is read as
-    text, as the reference's cleaning does."""
-    return spark.read.option("header", True).csv(path)
+    """The processed export (CSV with a header record); every cell is read as
+    text, as the reference's cleaning does, and may hold line breaks."""
+    records = quoted_records(spark, path)
+    first = records.orderBy(*AT).limit(1).select("record").collect()
+    if not first:
+        raise ValueError(f"{path}: no header record")
+    labels = header_labels(first[0][0])
+    schema = StructType([StructField(lab, StringType()) for lab in labels])
+    return read_sheet_csv(spark, path, schema, records=records).drop(ROW)
 
 
 def main(argv: list[str] | None = None) -> None:

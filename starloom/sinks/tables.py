@@ -119,8 +119,9 @@ def open_warehouse(spark: SparkSession, root: str, names=TABLE_NAMES) -> Warehou
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """K1: delimited export with a header, replacing what was there."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """K1: delimited export with a header, replacing what was there. Cells with a
+    separator, quote or line break are quoted, quotes inside doubled."""
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
 
 
 def write_rules(rules: DataFrame, path: str, fmt: str = "parquet") -> bool:
@@ -139,7 +140,7 @@ def write_rules(rules: DataFrame, path: str, fmt: str = "parquet") -> bool:
     if fmt == "csv":
         flat = rules.select(*[F.array_join(F.array_sort(c), ", ").alias(c) if c in ("antecedents", "consequents")
                               else F.col(c) for c in rules.columns])
-        flat.write.mode("overwrite").option("header", True).csv(path)
+        write_csv(flat, path)
     else:
         rules.write.mode("overwrite").format(fmt).save(path)
     return True

@@ -5,5 +5,5 @@ from starloom.sources.delimited import (  # noqa: F401
     header_record,
     read_sheet_csv,
     read_trimmed_csv,
-    with_file_order,
 )
+from starloom.sources.records import quoted_records  # noqa: F401

@@ -1,30 +1,24 @@
 """Delimited sources (inventory S1-S4) and source-order capture.
 
-pandas keeps rows in file order; Spark does not. :func:`with_file_order` adds
-an orderable ``_row`` column (file path, split start, position within the
-split) at ingest, before any shuffle, so first-row-wins and dense numbering
-stay defined after the data is spread over a cluster.
+pandas keeps rows in file order; Spark does not. Every reader here adds an
+orderable ``_row`` column (file path, split start, position within the
+split, or a dense ordinal) at ingest, before any shuffle, so first-row-wins and dense
+numbering stay defined after the data is spread over a cluster.
 """
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-ROW = "_row"
-
+from starloom.sources.records import AT, Dialect, first_records, quoted_records, record_ordinal
 
-def with_file_order(df: DataFrame) -> DataFrame:
-    """Add ``_row`` = (file path, split start, position). Within one split the
-    rows come in file order; splits of one file are ordered by their start."""
-    meta = F.col("_metadata")
-    return df.withColumn(ROW, F.struct(
-        meta.getField("file_path").alias("file"),
-        meta.getField("file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos")))
+ROW = "_row"
 
 
 def file_ordinal(df: DataFrame, col: str = ROW) -> DataFrame:
@@ -64,23 +58,22 @@ def _integer(col, dtype: str):
     return F.coalesce(col.try_cast(dtype), col.try_cast("double").try_cast(dtype))
 
 
-def header_record(spark: SparkSession, path: str, key: str) -> str:
-    """The raw text of the record that holds the labels, from the first file under
-    ``path``: the first record with a cell that is exactly ``key``, however many banner
-    lines stand above it and however many lines it spans. Executors look for it; this
-    one record comes to the driver."""
-    files = sorted(spark.read.text(path).inputFiles())
-    if not files:
-        raise FileNotFoundError(path)
-    # one declared column: the text of any record with more cells is kept as a whole
-    records = (spark.read.schema("first string, whole string").option("columnNameOfCorruptRecord", "whole")
-               .option("mode", "PERMISSIVE").option("multiLine", True).csv(files[0]))
-    text = F.coalesce("whole", "first")
-    cell = "(?s)(^|.*[,\\n])\"?" + _quoted(key) + "\"?([,\\r\\n].*|$)"
-    found = records.select(text.alias("record")).where(F.col("record").rlike("^" + cell)).limit(1).collect()
+def header_record(spark: SparkSession, path: str, key: str, records: DataFrame | None = None) -> str:
+    """The raw text of the record that holds the labels: the first record, in file order,
+    with a cell that is exactly ``key``, however many banner lines stand above it and
+    however many lines it spans. Executors look for it; this one record comes to the driver.
+    ``records`` are the records of ``path``, where they are at hand (:func:`quoted_records`)."""
+    records = quoted_records(spark, path) if records is None else records
+    cell = "(?s)^(.*[,\\n])?\"?" + _quoted(key) + "\"?([,\\r\\n].*)?$"
+    found = records.where(F.col("record").rlike(cell)).orderBy(*AT).limit(1).select("record").collect()
     if not found:
         raise ValueError(f"{path}: no record has a cell {key!r}")
-    return found[0][0].rstrip("\r\n")
+    return found[0][0]
+
+
+def header_labels(record: str) -> list[str]:
+    """The labels of a raw header record."""
+    return next(csv.reader(io.StringIO(record, newline="")))
 
 
 def _quoted(text: str) -> str:
@@ -90,45 +83,35 @@ def _quoted(text: str) -> str:
 
 def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, header: str | None = None,
                    options: dict[str, str] | None = None, dense_order: bool = False,
-                   integers: tuple[str, ...] = ()) -> DataFrame:
+                   integers: tuple[str, ...] = (), records: DataFrame | None = None) -> DataFrame:
     """One exported sheet with an explicit schema (no inference pass).
 
     Labels come from the schema *by position*, so headers that differ only in
-    case or hold newlines survive. Without ``header`` the first line of every file
-    is its header. With ``header``, the raw header record (:func:`header_record`), every
-    line of a file up to the header's last line is banner or header and goes by its
-    place; a file without a header keeps all its lines. Every other record is kept, also
+    case or hold newlines survive. A quoted cell may hold line breaks, commas and doubled
+    quotes, also where a split ends inside it (:func:`quoted_records`). Without ``header`` the first
+    record of every file is its header. With ``header``, the raw header record (:func:`header_record`),
+    everything in a file up to that record is banner or header and goes by its
+    place; a file without it keeps all its records. Every other record is kept, also
     one whose key is empty or cannot be parsed (that cell is null); only blank lines
     are no records. ``_row`` is the file position, or with ``dense_order`` a dense
-    0-based ordinal (:func:`file_ordinal`).
+    0-based ordinal. ``records`` are the records of ``path``, where they are at hand.
     """
     st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     labels = [f.name for f in st.fields]
     # ``integers``: labels read as text and converted by :func:`_integer`.
     internal = StructType([f.__class__(f"_c{i}", StringType() if f.name in integers else f.dataType, f.nullable)
                            for i, f in enumerate(st.fields)])
-    options = {"mode": "PERMISSIVE", **(options or {})}
-    meta = F.col("_metadata")
-    if header is None:
-        df = spark.read.options(header=True, **options).schema(internal).csv(path)
-        df = file_ordinal(df) if dense_order else with_file_order(df)
+    records = quoted_records(spark, path) if records is None else records
+    heads = first_records(records, None if header is None else F.rtrim("record") == header.rstrip())
+    if dense_order:
+        body = record_ordinal(records, heads, ROW)
     else:
-        last = header.split("\n")[-1].rstrip("\r")
-        lines = (spark.read.text(path).withColumn("__file", meta.getField("file_path"))
-                 .withColumn("__at", F.struct(meta.getField("file_block_start").alias("block"),
-                                              F.monotonically_increasing_id().alias("pos"))))
-        # the first line equal to the header's last one: one row per file
-        heads = (lines.where(F.rtrim("value") == last.rstrip()).groupBy("__file").agg(F.min("__at").alias("__head")))
-        body = lines.join(F.broadcast(heads), "__file", "left").where(
-            F.col("__head").isNull() | (F.col("__at") > F.col("__head"))).where(F.trim("value") != "")
-        cells = F.from_csv("value", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in internal.fields), options)
-        df = body.select(cells.alias("__r"), "__file", F.col("__at.block").alias("__split"),
-                         F.monotonically_increasing_id().alias("__mid")).select("__r.*", "__file", "__split", "__mid")
-        if dense_order:
-            df = _numbered(df, ROW)
-        else:
-            df = df.withColumn(ROW, F.struct(F.col("__file").alias("file"), F.col("__split").alias("block"),
-                                             F.col("__mid").alias("pos"))).drop("__file", "__split", "__mid")
+        body = (records.join(F.broadcast(heads), "file", "left")  # one row a file
+                .where(F.col("head").isNull() | (F.struct("block", "nth") > F.col("head")))
+                .withColumn(ROW, F.struct("file", "block", F.col("nth").alias("pos"))))
+    cells = F.from_csv("record", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in internal.fields),
+                       {"mode": "PERMISSIVE", **Dialect().options(), **(options or {})})
+    df = body.select(cells.alias("__r"), ROW).select("__r.*", ROW)
     for i, f in enumerate(st.fields):
         if f.name in integers:
             df = df.withColumn(f"_c{i}", _integer(F.col(f"_c{i}"), f.dataType.simpleString()))

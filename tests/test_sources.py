@@ -1,9 +1,16 @@
 """Sources on synthetic files: preamble/footer trim by content (S2/S3),
 sheet with banner lines, newline and case-colliding headers (S1), file order."""
 
+import csv
+import io
+import random
+
 import pytest
 
-from starloom.sources import header_record, read_sheet_csv, read_trimmed_csv
+from starloom.plans.rule_job import read_processed
+from starloom.sinks.tables import write_csv
+from starloom.sources import header_record, quoted_records, read_sheet_csv, read_trimmed_csv
+from starloom.sources.records import Dialect, ends_inside, split_starts
 
 
 def test_trimmed_csv(spark, tmp_path):
@@ -54,6 +61,96 @@ def test_header_far_below(spark, tmp_path):
         header_record(spark, str(p), "Other")
 
 
+def python_records(text):
+    """What Python's own reader of delimited text finds."""
+    return [r for r in csv.reader(io.StringIO(text.removeprefix("\ufeff"), newline="")) if r and "".join(r).strip()]
+
+
+@pytest.fixture
+def small_splits(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda size: [spark.conf.set(k, str(size)) for k in old]
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def test_records_over_split_borders(spark, tmp_path, small_splits):
+    rnd = random.Random(7)
+    cells = ["", "a", "b b", "12", 'in "quotes"', "two\nlines", "one,two", "\n\n", '"', '\n"\n', ",\n,", "\r\n", "é\n漢", "x" * 90, "\n" * 70]
+    wanted, folder = [], tmp_path / "many"
+    folder.mkdir()
+    for f in range(3):
+        out = io.StringIO(newline="")
+        writer = csv.writer(out, lineterminator="\r\n" if f == 1 else "\n")
+        rows = [[str(i), rnd.choice(cells), rnd.choice(cells)] for i in range(60)]
+        writer.writerows([["k", "first\nlabel", "second"], *rows])
+        text = ("\ufeff" if f == 2 else "") + out.getvalue().replace("50,", "\n  \n50,", 1) + "\n" * f
+        (folder / f"part-{f}.csv").write_bytes(text.encode())
+        assert python_records(text)[1:] == rows
+        wanted += rows
+    for size in (150, 1 << 20):
+        small_splits(size)
+        df = read_sheet_csv(spark, str(folder), "k string, a string, b string", dense_order=True)
+        got = df.collect()
+        assert sorted(r["_row"] for r in got) == list(range(len(wanted)))
+        assert [[c or "" for c in r[:3]] for r in sorted(got, key=lambda r: r["_row"])] == wanted, size
+        by_place = read_sheet_csv(spark, str(folder), "k string, a string, b string").orderBy("_row").collect()
+        assert [[c or "" for c in r[:3]] for r in by_place] == wanted
+
+
+def test_header_that_a_split_border_cuts(spark, tmp_path, small_splits):
+    p = tmp_path / "cut.csv"
+    p.write_text('Banner "one", \n\nabout Key\n"long\nlabel\nof\nmany\nlines",Key\n"1\n2",a\n3,b\n')
+    small_splits(9)
+    header = header_record(spark, str(p), "Key")
+    assert header == '"long\nlabel\nof\nmany\nlines",Key'
+    rows = read_sheet_csv(spark, str(p), "l string, k string", header=header, dense_order=True).orderBy("_row").collect()
+    assert [tuple(r) for r in rows] == [("1\n2", "a", 0), ("3", "b", 1)]
+
+
+def test_odd_quotes(spark, tmp_path, small_splits):
+    text = '1,5" pipe,x\n2,"a"b"c,y\n"3"\n4,"open\nto the end,z\n5'
+    p = tmp_path / "odd.csv"
+    p.write_text(text)
+    for size in (3, 1000):
+        small_splits(size)
+        got = [r.record for r in quoted_records(spark, str(p)).orderBy("file", "block", "nth").collect()]
+        assert got == ['1,5" pipe,x', '2,"a"b"c,y', '"3"', '4,"open\nto the end,z\n5']
+    (tmp_path / "empty.csv").write_text("")
+    assert quoted_records(spark, str(tmp_path / "empty.csv")).collect() == []
+
+
+def test_backslash_escapes():
+    own = Dialect(escape="\\")
+    assert not ends_inside(r'a,"b\" c",d', False, own) and ends_inside(r'a,"b\"', False, own)
+    assert not ends_inside(r'b\" c",d', True, own) and ends_inside('x;"y', False, Dialect(sep=";"))
+
+
+def test_split_starts_compose(spark):
+    rnd = random.Random(3)
+    kinds = [(False, True), (True, False), (False, False), (True, True)]  # outside, inside: how a split ends
+    rows, want = [], {}
+    for f in range(20):
+        state = False
+        for block in range(rnd.randrange(1, 12)):
+            kind = rnd.choice(kinds[:2] * 2 + kinds[2:])
+            rows.append((f"f{f}", block * 10, *kind))
+            want[f"f{f}", block * 10] = state
+            state = kind[state]
+    df = spark.createDataFrame(rows, "file string, block long, outside boolean, inside boolean").repartition(3)
+    assert {(r.file, r.block): r.begins for r in split_starts(df).collect()} == want
+
+
+def test_export_and_reload_keep_every_cell(spark, tmp_path):
+    rows = [(1, 'say "hi"'), (2, "two\nlines, one cell"), (3, None), (4, "back\\slash"), (5, '\\"'), (6, "")]
+    path = str(tmp_path / "out")
+    write_csv(spark.createDataFrame(rows, "id int, text string").repartition(2), path)
+    got = read_sheet_csv(spark, path, "id int, text string").orderBy("id").collect()
+    rows[5] = (6, None)  # an empty cell is a missing one, as in pandas
+    assert [tuple(r[:2]) for r in got] == rows
+    assert [(r.id, r.text) for r in read_processed(spark, path).orderBy("id").collect()] == [(str(i), t) for i, t in rows]
+
+
 def test_file_ordinal_dense_in_file_order(spark, tmp_path):
     from pyspark.sql import functions as F
 
