@@ -12,11 +12,12 @@ only); all data work stays in Spark.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 ROW = "_row"
 
@@ -74,49 +75,74 @@ class LabeledFrame:
         return self.df.select(*[F.col(p).alias(lab) for p, lab in zip(self.physical, self.labels)])
 
 
-#: Parts that a hot key's rows are dealt to.
-SALT_BUCKETS = 16
-
-
-def hot_keys(df: DataFrame, key: str, buckets: int) -> list:
-    """Keys (null included) that hold more than 1/``buckets`` of the rows, so fewer than
-    ``buckets`` of them: one aggregate over the key column alone. They come to the
-    driver as literals of the plan."""
-    counts = df.groupBy(F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return [r["k"] for r in counts.where(F.col("c") * buckets > total).select("k").collect()]
+#: ``salt_buckets`` for as many tasks as the session shuffles into.
+SALT_BUCKETS = 0
+#: A key is split from this part of a task's mean rows on, and into parts of that size.
+SPLIT_FROM, PART = 4, 8
+#: Sketches of the input are combined in two steps, the first in so many groups.
+SKETCH_GROUPS = 64
+#: Items that the sketch functions track at most.
+SKETCH_LIMIT = 1_000_000
+
+
+def session_tasks(df: DataFrame) -> int:
+    """The tasks that the session of ``df`` shuffles into."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def heavy_keys(df: DataFrame, key: str, tasks: int) -> dict:
+    """{key: parts} for every key (null included) that holds more than a quarter of the mean
+    rows of one of ``tasks`` tasks; parts of it are an eighth of that mean.
+
+    Heavy-hitter sketches find them: one sketch of bounded size for each input task,
+    combined in two steps, so no key column is shuffled. A sketch of 32 items a task
+    cannot miss a key of that share (beyond SKETCH_LIMIT items, of 8 / SKETCH_LIMIT of all rows).
+    There are less than 4 keys a task; they come to the driver as a small table of the plan."""
+    items = min(SKETCH_LIMIT, max(1024, 32 * tasks))
+    most = min(items, 4 * tasks)
+    sketch = F.expr(f"approx_top_k_accumulate(k, {items})")
+    grouped = (df.select(F.col(key).alias("k"), (F.spark_partition_id() % SKETCH_GROUPS).alias("g"))
+               .groupBy("g").agg(sketch.alias("s"), F.count(F.lit(1)).alias("n")))
+    # by a constant, since tasks without rows cannot begin an ungrouped combination
+    found = grouped.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {items}), {most})").alias("top"),
+                        F.sum("n").alias("n")).first()
+    if found is None:
+        return {}
+    total = found["n"]
+    return {r["item"]: -(-r["count"] * PART * tasks // total) for r in found["top"] if r["count"] * SPLIT_FROM * tasks > total}
 
 
-def salted_join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str, buckets: int,
-                spread: Column, hot: Sequence, null_safe: bool = False) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, lk: str, rk: str, how: str, spread: Column, hot: Mapping,
+                null_safe: bool = False) -> DataFrame:
     """Equi-join ``left.lk == right.rk`` (``<=>`` with ``null_safe``) that splits the
-    ``hot`` left keys (:func:`hot_keys`).
+    ``hot`` left keys, {key: parts} (:func:`heavy_keys`).
 
-    A hot left row gets salt ``pmod(hash(spread), buckets)`` - ``spread`` should be
+    A left row of a hot key gets salt ``pmod(hash(spread), parts)`` - ``spread`` should be
     deterministic per row (e.g. its source position), so a recomputed task
     salts identically - and every right row of a hot key is repeated once per
-    salt. Cold rows keep salt 0. Each left row meets each right row of its key
+    part. Cold rows keep salt 0. Each left row meets each right row of its key
     exactly once, so the result equals the plain join; only the work of a hot
-    key is spread over ``buckets`` tasks. Without hot keys it is the plain join.
+    key is spread over as many tasks as its rows fill. Without hot keys it is the plain join.
     """
     same = F.col(lk).eqNullSafe(F.col(rk)) if null_safe else F.col(lk) == F.col(rk)
     if not hot:
         return left.join(right, same, how)
-    values = [k for k in hot if k is not None]
+    spark, kind = left.sparkSession, left.schema[lk].dataType
+    parts = spark.createDataFrame(list(hot.items()), StructType([StructField("__hot", kind), StructField("__parts", IntegerType())]))
 
-    def is_hot(key: str) -> Column:
-        known = F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
-        return known | F.col(key).isNull() if None in hot else known
+    def parted(df: DataFrame, key: str) -> DataFrame:  # less than four rows a task
+        return df.join(F.broadcast(parts), F.col(key).eqNullSafe(F.col("__hot")), "left")
 
-    ls = left.withColumn("__lsalt", F.when(is_hot(lk), F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("int")).otherwise(0))
-    rs = right.withColumn("__rsalt", F.explode(F.when(is_hot(rk), F.sequence(F.lit(0), F.lit(buckets - 1)))
-                                               .otherwise(F.array(F.lit(0)))))
+    salt = F.when(F.col("__parts") > 1, F.pmod(F.xxhash64(spread), F.col("__parts")).cast("int")).otherwise(0)
+    ls = parted(left, lk).withColumn("__lsalt", salt).drop("__hot", "__parts")
+    copies = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+    rs = parted(right, rk).withColumn("__rsalt", F.explode(copies)).drop("__hot", "__parts")
     return ls.join(rs, same & (F.col("__lsalt") == F.col("__rsalt")), how).drop("__lsalt", "__rsalt")
 
 
 def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str = "left",
           suffixes: tuple[str, str] = ("_x", "_y"), null_safe: bool = True,
-          salt_buckets: int | None = None, hot: Sequence | None = None) -> LabeledFrame:
+          salt_buckets: int | None = None, hot: Mapping | None = None) -> LabeledFrame:
     """``left.merge(right, on=..., how=...)`` with pandas labelling.
 
     Output labels: all left labels, then the right labels except the key;
@@ -127,9 +153,10 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     inputs carry ``_row``, the result's ``_row`` orders by left then right,
     the order pandas produces; otherwise the left ``_row`` is kept.
 
-    ``salt_buckets`` deals the rows of left keys that hold more than one part in so many
-    out to that many tasks (:func:`salted_join`, for ``how='left'`` or ``'inner'``); ``hot``
-    names these keys where they are known, else one aggregate finds them.
+    ``salt_buckets`` is the number of tasks that the join's rows should fill evenly (SALT_BUCKETS:
+    as the session shuffles): left keys too large for that are split (:func:`salted_join`,
+    for ``how='left'`` or ``'inner'``). ``hot`` has these keys with their parts where they are
+    known, else sketches find them (:func:`heavy_keys`).
     """
     lkey, rkey = (on, on) if isinstance(on, str) else on
     lf, rf = LabeledFrame.of(left, "l"), LabeledFrame.of(right, "r")
@@ -137,12 +164,12 @@ def merge(left: DataFrame, right: DataFrame, on: str | tuple[str, str], how: str
     rlabs = [lab for lab in rf.labels if lab != ROW and not (lab == rkey and lkey == rkey)]
     overlap = set(llabs) & set(rlabs)
     lname, rname = lf.physical[lf.labels.index(lkey)], rf.physical[rf.labels.index(rkey)]
-    if salt_buckets and salt_buckets > 1:
+    if salt_buckets is not None:
         if how not in ("left", "inner"):
             raise ValueError("salted merge supports how='left' or 'inner'")
-        hot = hot_keys(lf.df, lname, salt_buckets) if hot is None else hot
+        hot = heavy_keys(lf.df, lname, salt_buckets or session_tasks(left)) if hot is None else hot
     spread = lf.col(ROW) if ROW in lf.labels else F.struct(*[F.col(c) for c in lf.physical])
-    joined = salted_join(lf.df, rf.df, lname, rname, how, salt_buckets or 1, spread, hot or [], null_safe)
+    joined = salted_join(lf.df, rf.df, lname, rname, how, spread, hot or {}, null_safe)
 
     cols: list[Column] = []
     labels: list[str] = []

@@ -87,10 +87,10 @@ class Sheets:
     fatality_counts: DataFrame
     crash_counts: DataFrame
     dwellings: DataFrame
-    hot: list  # crash keys that hold a large share of the fatalities
+    hot: dict  # crash keys too large for one task of a join, with their parts
 
 
-def fatality_sheet(t: Tables, hot: list) -> DataFrame:
+def fatality_sheet(t: Tables, hot: dict) -> DataFrame:
     # The source position (file, row index) ends the order key: it breaks
     # ties between identical lines deterministically, so ``_row`` is unique.
     li = t("lineitem").select(
@@ -100,7 +100,7 @@ def fatality_sheet(t: Tables, hot: list) -> DataFrame:
     # A hot order is split before the first join on its key (see conform.salted_join).
     spread = F.struct("__file", "__pos")
     j = cf.salted_join(li.join(part, li.l_partkey == part.p_partkey), orders, "l_orderkey", "o_orderkey", "inner",
-                       cf.SALT_BUCKETS, spread, hot)
+                       spread, hot)
     ship = F.col("l_shipdate")
     return j.select(
         F.col("l_orderkey").alias("Crash ID"),
@@ -191,6 +191,7 @@ def dwellings_sheet(t: Tables) -> DataFrame:
 def sheets(spark: SparkSession, base: str) -> Sheets:
     t = Tables(spark, base)
     # every line has its part and order, so the lines' keys are the fatality sheet's
-    hot = cf.hot_keys(t("lineitem", ("l_orderkey",)), "l_orderkey", cf.SALT_BUCKETS)
+    lines = t("lineitem", ("l_orderkey",))
+    hot = cf.heavy_keys(lines, "l_orderkey", cf.session_tasks(lines))
     return Sheets(fatality_sheet(t, hot), crash_sheet(t), fatality_count_sheet(t), crash_count_sheet(t),
                   dwellings_sheet(t), hot)

@@ -125,7 +125,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--dwellings")
     ap.add_argument("--out", required=True)
     ap.add_argument("--no-key-check", action="store_true")
-    ap.add_argument("--salt-buckets", type=int, default=SALT_BUCKETS, help="split crash keys holding over 1/N of the fatalities")
+    ap.add_argument("--salt-buckets", type=int, default=SALT_BUCKETS, help="tasks that the conform join fills evenly (0: as the session shuffles)")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     res = run(spark, SheetPaths(a.fatalities, a.crashes, a.fatality_counts, a.crash_counts, a.dwellings), a.out,

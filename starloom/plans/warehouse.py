@@ -56,7 +56,7 @@ class Conformed:
 def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
                     drop: tuple[str, ...] = (DROPPED_DUPLICATE,), upper: tuple[str, ...] = (STATE,),
                     null_safe: bool = True, materialize: bool = True,
-                    salt_buckets: int | None = cf.SALT_BUCKETS, hot: list | None = None) -> Conformed:
+                    salt_buckets: int | None = cf.SALT_BUCKETS, hot: dict | None = None) -> Conformed:
     """B1: fatality LEFT JOIN crash on the key (fatalities drive the join; a
     crash without a fatality is lost), clean header newlines, resolve labels
     that collide after cleaning, report and resolve ``_x``/``_y`` overlaps with

@@ -6,7 +6,9 @@ the joins must still equal the literal SQL over the same tables."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from starloom.operators import conform as cf
 from starloom.plans import reports, sql_text
 
 
@@ -65,3 +67,40 @@ def test_hot_crash_counted_whole(spark, tables):
     q4 = reports.q4_holiday_fatalities(tables).first()
     # crash 1 (150 fatalities) has two event rows, one flagged for both periods
     assert q4.christmas_fatalities >= 150 and q4.easter_fatalities >= 150
+
+
+@pytest.mark.parametrize("share", [3, 6, 30])
+def test_join_of_one_large_key_fills_tasks_evenly(spark, share):
+    """One key with so many percent of the rows, and a second, smaller one: no task has over
+    twice the mean."""
+    n, tasks = 200_000, 64
+    fat = spark.range(n).select(
+        F.when(F.col("id") % 100 < share, 7).when(F.col("id") % 100 == 99, None).otherwise(F.col("id") + 1000).alias("Crash ID"),
+        F.col("id").alias("_row"))
+    crash = spark.range(0, n + 1000, 2).select(F.col("id").alias("Crash ID"), (F.col("id") % 5).alias("State"))
+    crash = crash.unionByName(spark.createDataFrame([(7, 1), (None, 2)], "`Crash ID` bigint, State bigint"))
+    hot = cf.heavy_keys(fat, "Crash ID", tasks)
+    assert set(hot) == {7, None} and hot[7] >= share * tasks * 8 // 100
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+            "spark.sql.shuffle.partitions": str(tasks)}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        joined = cf.merge(fat, crash, "Crash ID", salt_buckets=cf.SALT_BUCKETS).to_df()
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == n and max(sizes) <= 2 * n / tasks
+    want = cf.merge(fat, crash, "Crash ID").to_df()
+    sums = [F.count(F.lit(1)), F.sum(F.xxhash64("Crash ID", "_row", "State").cast("decimal(20,0)"))]
+    assert joined.agg(*sums).first() == want.agg(*sums).first()
+
+
+def test_heavy_keys_of_many_kinds(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 4 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    assert cf.heavy_keys(df, "k", 16) == {"hot": 32}
+    assert cf.heavy_keys(df.limit(0), "k", 16) == {}
+    nine = df.select((F.xxhash64("k") % 9).alias("k"))
+    assert sum(cf.heavy_keys(nine, "k", 16).values()) >= 9 * 14  # each is larger than a task's mean
