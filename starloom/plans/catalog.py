@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import conform as cf
-from starloom.operators import keys, quality, rules
+from starloom.operators import keys, mining, quality, rules
 from starloom.plans import analog, etl, reports, rule_job, sql_text
 from starloom.plans import warehouse as wh
 from starloom.plans.oracle import ONE_HOT_ITEMS
@@ -338,6 +338,30 @@ def m3_border_support(spark, base):
     return found.select(_text("items"), "count", "support", "size")
 
 
+#: Least support of the customers' itemsets.
+CUSTOMER_SUPPORT = 0.5
+
+
+def customer_items(spark, base):
+    """One transaction a customer with an order: what its lines and orders have, some 50 items."""
+    at = base.rstrip("/")
+    lines = (spark.read.parquet(f"{at}/lineitem.parquet").select("l_orderkey", "l_partkey", "l_returnflag")
+             .join(spark.read.parquet(f"{at}/part.parquet").select("p_partkey", "p_size", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+             .join(spark.read.parquet(f"{at}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+                   F.col("l_orderkey") == F.col("o_orderkey")))
+    items = F.array(*[F.concat(F.lit(f"{name}="), c.cast("string")) for name, c in (
+        ("Flag", F.col("l_returnflag")), ("Month", F.month("o_orderdate")), ("Priority", F.col("o_orderpriority")),
+        ("Size", F.col("p_size")), ("Type", F.col("p_type")))])
+    single = lines.select("o_custkey", F.explode(items).alias("item")).where("item is not null").distinct()
+    return single.groupBy("o_custkey").agg(F.collect_list("item").alias("items"))  # the domain holds under 100 items
+
+
+def m3_level_wise(spark, base):
+    """M3 on transactions of some 50 items each, level by level over item bitmaps."""
+    found = mining.level_wise_itemsets(customer_items(spark, base), min_support=CUSTOMER_SUPPORT, max_len=MAX_LEN)
+    return found.select(_text("items"), "count", "total", "support", "size")
+
+
 def w1_rank_all(spark, base):
     """Every (year, LGA) with its rank in the year."""
     return reports.rank_lga_per_year(stored_warehouse(spark, base))
@@ -479,6 +503,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m2_one_hot": m2_one_hot,
         "m3_frequent_itemsets": m3_frequent_itemsets,
         "m3_border_support": m3_border_support,
+        "m3_level_wise": m3_level_wise,
         "m4_rules": m4_rules,
         "m5_road_user_rules": m5_road_user_rules,
         "m6_top_rules": m6_top_rules,

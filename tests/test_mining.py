@@ -1,0 +1,78 @@
+"""Level-wise mining against counts of every subset, and against the projections of rows
+with one item an attribute."""
+
+import itertools
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators import mining, rules
+
+
+def plain(tx, min_support, max_len):
+    counts = Counter()
+    for t in tx:
+        own = sorted({x for x in t or () if x is not None})
+        for k in range(1, max_len + 1):
+            counts.update(itertools.combinations(own, k))
+    return {s: c for s, c in counts.items() if c / len(tx) >= min_support}
+
+
+def mined(df, **kw):
+    rows = mining.level_wise_itemsets(df, **kw).collect()
+    assert all(r["size"] == len(r["items"]) and r["support"] == r["count"] / r["total"] for r in rows)
+    found = {tuple(r["items"]): r["count"] for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+@pytest.fixture(scope="module")
+def long_transactions():
+    rnd = random.Random(2)
+    tx = [[f"i{j:02d}" for j in range(40) if rnd.random() < (0.95 if j < 6 else 0.6)] for _ in range(150)]
+    return tx + [[], None, ["i00", "i00", None, "i01"], ["é", "hot", "I"]] + [["i00", "i01", "i02"]] * 60  # repeated rows
+
+
+def test_equals_plain_counts(spark, long_transactions, monkeypatch):
+    df = spark.createDataFrame([(t,) for t in long_transactions], "items array<string>").repartition(5)
+    want = plain(long_transactions, 0.4, 3)
+    assert {len(s) for s in want} == {1, 2, 3}
+    assert mined(df, min_support=0.4) == want
+    monkeypatch.setattr(mining, "CANDIDATES", 50)  # several passes, several blocks
+    monkeypatch.setattr(mining, "BLOCK", 7)
+    assert mined(df, min_support=0.4) == want
+
+
+def test_to_the_longest_set_and_empty_table(spark):
+    tx = [list("abcdef")] * 6 + [list("abc")] * 3 + [["x"]]
+    df = spark.createDataFrame([(t, 1) for t in tx], "items array<string>, block int")
+    assert mined(df, min_support=0.6, max_len=None) == plain(tx, 0.6, 6)
+    assert mined(df.limit(0)) == {}
+    assert mined(df, min_support=1.1) == {}
+
+
+def test_candidates_have_no_infrequent_subset(spark):
+    level = [[0, 1], [0, 2], [1, 2], [1, 3], [2, 3], [0, 4]]
+    df = spark.createDataFrame([(c,) for c in level], "codes array<int>")
+    assert sorted(r.codes for r in mining.candidates(df, 3).collect()) == [[0, 1, 2], [1, 2, 3]]
+
+
+def test_equals_projections_at_the_border(spark):
+    rnd = random.Random(5)
+    rows = [tuple(f"{a}={rnd.choice('xyz')}" for a in "ABCD") for _ in range(400)]
+    tx = spark.createDataFrame(rows, ["A", "B", "C", "D"]).withColumn("items", F.array_sort(F.array("A", "B", "C", "D")))
+    by_rows = rules.frequent_itemsets(tx, ["A", "B", "C", "D"], min_support=0.0).collect()
+    for support in sorted({r["support"] for r in by_rows if r["size"] > 1})[-3:]:  # supports that sets have exactly
+        want = {tuple(r["items"]): r["count"] for r in by_rows if r["support"] >= support}
+        assert mined(tx, min_support=support) == want
+
+
+def test_blocks_of_many_tasks(spark):
+    n = 200_000  # several blocks a task, and a hot item in all
+    df = spark.range(0, n, 1, 3).select(F.array(F.lit("all"), F.concat(F.lit("m"), (F.col("id") % 3).cast("string")),
+                                                F.concat(F.lit("s"), (F.col("id") % 2).cast("string"))).alias("items"))
+    found = mined(df, min_support=0.1)
+    assert found["all",] == n and found["all", "m0"] == n // 3 + 1 and found["all", "m1", "s1"] == sum(
+        1 for i in range(n) if i % 3 == 1 and i % 2)
