@@ -495,21 +495,21 @@ SELECT CASE WHEN o_orderkey % 50 <> 0 AND o_orderkey % 51 <> 0 THEN o_orderkey E
 SELECT CASE WHEN length(lga_name) % 4 = 2 THEN lga_name || ', "of" old' ELSE lga_name END AS lga_name,
        CASE WHEN length(lga_name) % 4 <> 3 THEN dwelling_count END AS dwelling_count FROM dw""",
         "m3_level_wise": f"""
-WITH lines AS (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
-item AS (
+WITH lw_lines AS (SELECT * FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
+lw_item AS (
   SELECT DISTINCT o_custkey AS c, unnest(['Flag=' || l_returnflag, 'Month=' || month(o_orderdate), 'Priority=' || o_orderpriority,
-    'Size=' || p_size, 'Type=' || p_type]) AS i FROM lines),
-own AS (SELECT c, i FROM item WHERE i IS NOT NULL),
-n AS (SELECT count(DISTINCT c) AS total FROM own),
-one AS (SELECT [i] AS items, count(*) AS cnt, i FROM own GROUP BY i HAVING count(*) / (SELECT total FROM n) >= 0.5),
-held AS (SELECT c, i FROM own WHERE i IN (SELECT i FROM one)),
-pair AS (SELECT x.i AS a, y.i AS b, count(*) AS cnt FROM held x JOIN held y ON x.c = y.c AND x.i < y.i
-         GROUP BY ALL HAVING count(*) / (SELECT total FROM n) >= 0.5),
-triple AS (SELECT a, b, z.i AS d, count(*) AS cnt FROM pair JOIN held x ON x.i = a JOIN held y ON y.i = b AND y.c = x.c
-           JOIN held z ON z.c = x.c AND z.i > b GROUP BY ALL HAVING count(*) / (SELECT total FROM n) >= 0.5),
-whole AS (SELECT items, cnt FROM one UNION ALL SELECT [a, b], cnt FROM pair UNION ALL SELECT [a, b, d], cnt FROM triple)
+    'Size=' || p_size, 'Type=' || p_type]) AS i FROM lw_lines),
+lw_own AS (SELECT c, i FROM lw_item WHERE i IS NOT NULL),
+lw_n AS (SELECT count(DISTINCT c) AS total FROM lw_own),
+lw_one AS (SELECT [i] AS items, count(*) AS cnt, i FROM lw_own GROUP BY i HAVING count(*) / (SELECT total FROM lw_n) >= 0.5),
+lw_held AS (SELECT c, i FROM lw_own WHERE i IN (SELECT i FROM lw_one)),
+lw_pair AS (SELECT x.i AS a, y.i AS b, count(*) AS cnt FROM lw_held x JOIN lw_held y ON x.c = y.c AND x.i < y.i
+         GROUP BY ALL HAVING count(*) / (SELECT total FROM lw_n) >= 0.5),
+lw_triple AS (SELECT a, b, z.i AS d, count(*) AS cnt FROM lw_pair JOIN lw_held x ON x.i = a JOIN lw_held y ON y.i = b AND y.c = x.c
+           JOIN lw_held z ON z.c = x.c AND z.i > b GROUP BY ALL HAVING count(*) / (SELECT total FROM lw_n) >= 0.5),
+lw_whole AS (SELECT items, cnt FROM lw_one UNION ALL SELECT [a, b], cnt FROM lw_pair UNION ALL SELECT [a, b, d], cnt FROM lw_triple)
 SELECT {_txt('items')}, CAST(cnt AS BIGINT) AS count, CAST(total AS BIGINT) AS total, cnt / total AS support,
-       CAST(len(items) AS INTEGER) AS size FROM whole, n""",
+       CAST(len(items) AS INTEGER) AS size FROM lw_whole, lw_n""",
         "m3_border_support": f"""
 SELECT {_txt('items')}, CAST(cnt AS BIGINT) AS count, cnt / (SELECT n FROM txn) AS support, CAST(len(items) AS INTEGER) AS size
 FROM cand WHERE cnt / (SELECT n FROM txn) >= (SELECT min(support) FROM (
