@@ -50,3 +50,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, id_col: str
     known = (labels.where(F.col(id_col).isNotNull() & F.col("label").isNotNull())
              .groupBy(id_col).agg(F.max("label").alias("label")))
     return docs.join(F.broadcast(bounded_sample(known, id_col, limit)), id_col)
+
+
+def free_names(docs: DataFrame, n: int) -> list[str]:
+    """``n`` column names that ``docs`` does not have, whatever their case."""
+    taken, out, at = {c.lower() for c in docs.columns}, [], 0
+    while len(out) < n:
+        name = f"_made{at}"
+        if name not in taken:
+            out.append(name)
+        at += 1
+    return out

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.llm.common import bounded_sample, written
+from starloom.llm.common import bounded_sample, free_names, written
 from starloom.llm.wordhash import chunks, mix
 
 _LETTER = np.full(256, 0x20, np.uint8)
@@ -152,7 +152,7 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", lang_col: st
             yield pd.DataFrame({"lang": names, "score": scores})
 
     letters = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
-    found = docs.withColumn("_language", language(F.col(text_col))).withColumn("_letters", letters)
-    return (found.withColumn(lang_col, F.when(F.col("_letters"), F.coalesce("_language.lang", F.lit("und"))).otherwise("und"))
-            .withColumn(score_col, F.when(F.col("_letters"), F.col("_language.score")).otherwise(F.lit(0.0)))
-            .drop("_language", "_letters"))
+    of, has = free_names(docs, 2)
+    found = docs.withColumn(of, language(F.col(text_col))).withColumn(has, letters)
+    return (found.withColumn(lang_col, F.when(F.col(has), F.coalesce(F.col(of)["lang"], F.lit("und"))).otherwise("und"))
+            .withColumn(score_col, F.when(F.col(has), F.col(of)["score"]).otherwise(F.lit(0.0))).drop(of, has))

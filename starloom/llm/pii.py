@@ -17,13 +17,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.common import free_names
+
 ROUNDS = 8
 
 # The shapes of personal data, tried in this order at each place.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
-SECRET = (r"(?<=(?:[Pp]assword|[Pp]asswd|[Tt]oken|[Ss]ecret|[Aa]pi[_-]?[Kk]ey)\s{0,3}[=:]\s{0,3}[\"']?)"
-          r"(?=[^\s\"']*[0-9])[A-Za-z0-9_+/.=-]{8,}(?<!\.)")
-KEY = r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])"
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"
+# the first test, of one character, spares most places the second
+SECRET = (r"(?<=[=:\s\"'])(?<=(?:(?i:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+          r"|(?i:bearer)\s{1,3}))(?=[^\s\"']*[0-9])[A-Za-z0-9_+/.=!@#$%^*?~-]{8,}(?<!\.)")
+KEY = (r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{20,255}"
+       r"|sk-[A-Za-z0-9]{20,64})(?![A-Za-z0-9])")
 #: Length of the account numbers of each country; others may have any length.
 IBAN_LENGTHS = {15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK",
                 21: "CH|HR|LI|LV", 22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL",
@@ -48,6 +52,8 @@ CARD = (r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12}[0-9]*+"
 # the groups of one card: unbroken, of four, or 4-6-4 and 4-6-5
 GROUPED = (r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1(?:[0-9]{1,4}|[0-9]{4}\1[0-9]{1,3})"
            r"|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$")
+#: The country code that a number's digits begin with: one digit, the assigned ones of two, else three.
+COUNTRY = "^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 SHAPES = (EMAIL, SECRET, KEY, IBAN, ADDRESS, DATE, SOCIAL, PHONE, ABROAD, COMPACT, CARD)
 PATTERN = "|".join(SHAPES)
 #: Days that dates are permuted among: 184 * 397 days from 1900-01-01 on; those before (from
@@ -292,18 +298,13 @@ def _phone(m: Column, key: str) -> Column:
 
 
 def _abroad(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^\+[0-9]+", 0)
-    rest = F.substring(m, F.length(country) + 1, F.length(m))
-    d = _digits(rest)
-    return F.when((F.length(d) >= 5) & (F.length(d) <= 14),
-                  F.concat(country, _filled(rest, permute_digits(key + "abroad", d)))).otherwise(m)
+    return _let(_digits(m), lambda d: _let(F.regexp_extract(d, COUNTRY, 0), lambda country: _let(
+        F.substring(d, F.length(country) + 1, F.length(d)), lambda rest: F.when(
+            F.length(rest).between(5, 14), _filled(m, F.concat(country, permute_digits(key + "abroad", rest)))).otherwise(m))))
 
 
 def _compact(m: Column, key: str) -> Column:
-    country = F.regexp_extract(m, r"^\+(?:[17]|[0-9]{2})", 0)
-    rest = F.substring(m, F.length(country) + 1, F.length(m))
-    return F.when(m.rlike(r"^\+1[0-9]{10}$"), _phone(m, key)).otherwise(
-        F.concat(country, permute_digits(key + "abroad", rest)))
+    return F.when(m.rlike(r"^\+1[0-9]{10}$"), _phone(m, key)).otherwise(_abroad(m, key))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -311,15 +312,15 @@ def _email(m: Column, key: str) -> Column:
 
 
 def _key(m: Column, key: str) -> Column:
-    mark = F.regexp_extract(m, r"^(AKIA|gh[pousr]_|sk-)", 0)
-    return F.concat(mark, permute_text(key + "key", F.substring(m, F.length(mark) + 1, F.length(m))))
+    mark = F.regexp_extract(m, r"^(AKIA|gh[pousr]_|github_pat_|sk-)", 0)
+    return F.concat(mark, permute_long(key + "key", F.substring(m, F.length(mark) + 1, F.length(m))))
 
 
 def pseudonym(m: Column, key: str) -> Column:
     """The pseudonym of one match of PATTERN; the match itself if its check fails."""
     is_ = lambda shape: m.rlike("^(?:" + shape + ")$")
     no_context = lambda shape: is_(shape.split(")", 1)[1] if shape.startswith("(?<!") else shape)
-    return (F.when(m.contains("@"), _email(m, key))
+    return (F.when(m.contains("@") & no_context(EMAIL), _email(m, key))
             .when(no_context(KEY), _key(m, key))
             .when(no_context(IBAN), _iban(m, key))
             .when(no_context(ADDRESS), _address(m, key))
@@ -336,15 +337,15 @@ def pseudonymise(docs: DataFrame, key: str = "starloom", text_col: str = "text",
                  count_col: str | None = None) -> DataFrame:
     """``docs`` with personal data in ``text_col`` replaced; with ``count_col`` also the
     number of replaced values. Null texts stay null (count 0) and texts without a
-    match, also empty ones, stay as they are. Rows, repeats and other columns are kept;
-    a column named ``count_col`` is replaced; an empty table stays empty."""
+    match, also empty ones, stay as they are. Rows, repeats and other columns of any name are
+    kept; a column named ``count_col`` is replaced; an empty table stays empty."""
+    found_, made_ = free_names(docs, 2)
     text = F.col(text_col)
     found = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
     gaps = F.split(text, PATTERN, -1)
-    held = docs.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
-    held = held.withColumn("_made", F.transform("_found", lambda m: pseudonym(m, key)))
-    joined = F.array_join(F.zip_with(gaps, F.concat("_made", F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
+    held = docs.withColumn(found_, F.coalesce(found, F.array().cast("array<string>")))
+    held = held.withColumn(made_, F.transform(found_, lambda m: pseudonym(m, key)))
+    joined = F.array_join(F.zip_with(gaps, F.concat(made_, F.array(F.lit(""))), lambda g, m: F.concat(g, m)), "")
     if count_col:
-        held = held.withColumn(count_col, F.size(F.filter(
-            F.arrays_zip("_found", "_made"), lambda x: x["_found"] != x["_made"])))
-    return held.withColumn(text_col, F.when(F.size("_found") > 0, joined).otherwise(text)).drop("_found", "_made")
+        held = held.withColumn(count_col, F.size(F.filter(F.arrays_zip(found_, made_), lambda x: x[found_] != x[made_])))
+    return held.withColumn(text_col, F.when(F.size(found_) > 0, joined).otherwise(text)).drop(found_, made_)

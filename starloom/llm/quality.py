@@ -15,20 +15,26 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.common import labelled_sample, written
 
 
+#: Pieces that a dictionary can be trained on, at least.
+LEAST = 7
+
+
 @dataclass(frozen=True)
 class Settings:
     """``sample``: labelled rows of either label used at most (in expectation);
-    ``excerpt``: characters of a labelled row that train; ``dictionary``: bytes of
-    each dictionary; ``piece``: bytes compressed at once."""
+    ``excerpts``: pieces of ``excerpt`` characters of a labelled row that train, chosen by a
+    hash over its whole text; ``dictionary``: bytes of each dictionary; ``piece``: bytes
+    compressed at once."""
 
     sample: int = 3_000
-    excerpt: int = 2_000
+    excerpts: int = 8
+    excerpt: int = 250
     dictionary: int = 1 << 17
     piece: int = 1_024
     level: int = 3
@@ -44,12 +50,13 @@ class Model:
     settings: Settings
 
 
-def _dictionary(samples: list[bytes], settings: Settings) -> bytes:
-    """A trained dictionary; of too few samples to train on, their bytes themselves."""
-    try:
-        return zstandard.train_dictionary(settings.dictionary, samples, level=settings.level).as_bytes()
-    except zstandard.ZstdError:
-        return b"".join(samples)[:settings.dictionary]
+def _excerpts(settings: Settings) -> Column:
+    """The chosen pieces of ``text``, in their order."""
+    last = F.floor((F.length("text") - 1) / settings.excerpt)
+    places = F.array_sort(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0)).cast("int")), lambda k: F.struct(
+        F.xxhash64(F.lit("piece"), "doc_id", k).alias("h"), k.alias("k"))))
+    kept = F.array_sort(F.transform(F.slice(places, 1, settings.excerpts), lambda x: x["k"]))
+    return F.transform(kept, lambda k: F.substring("text", k * settings.excerpt + 1, F.lit(settings.excerpt)))
 
 
 class Sizes:
@@ -62,8 +69,7 @@ class Sizes:
             options = {"level": settings.level, "write_content_size": False, "write_checksum": False,
                        "write_dict_id": False}
             if content:
-                kind = zstandard.DICT_TYPE_FULLDICT if content[:4] == b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_RAWCONTENT
-                options["dict_data"] = zstandard.ZstdCompressionDict(content, dict_type=kind)
+                options["dict_data"] = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_FULLDICT)
                 options["dict_data"].precompute_compress(level=settings.level)
             self.compress.append(zstandard.ZstdCompressor(**options).compress)
 
@@ -97,17 +103,22 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 1 good or 0
     bad; nulls are ignored). Half of the sample (by a hash of the id) builds the
     dictionaries, the other half fits the curve, each label weighted to its share of all
-    labels. Both are bounded by ``settings.sample`` whatever the input."""
+    labels. Both are bounded by ``settings.sample`` whatever the input. Of fewer than
+    LEAST pieces of either label nothing can be learned: every text then gets the share of good labels
+    (0.5 without labels) as its score."""
     counts = {int(r["label"]): r["count"] for r in labels.groupBy("label").count().where("label in (0, 1)").collect()}
     learn, curve = [], []
     half = F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))
     for label in (0, 1):
         rows = written(labelled_sample(docs.select("doc_id", "text"), labels.where(F.col("label") == label),
                                        2 * settings.sample).withColumn("half", half), "labelled")
-        learn.append([(r[0] or "").encode() for r in rows.where("half = 0").orderBy("doc_id", "text")
-                      .select(F.substring("text", 1, settings.excerpt)).collect()])
+        pieces = rows.where("half = 0 and text <> ''").orderBy("doc_id", "text").select(F.explode(_excerpts(settings)).alias("x"))
+        learn.append([r["x"].encode() for r in pieces.collect()])
         curve.append(rows.where("half = 1").select("label", "text"))
-    bad, good = (_dictionary(x, settings) if x else b"" for x in learn)
+    if min(map(len, learn)) < LEAST:
+        share = (counts.get(1, 0) + 1) / (sum(counts.values()) + 2)
+        return Model(b"", b"", (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0), settings)
+    bad, good = (zstandard.train_dictionary(settings.dictionary, x, level=settings.level).as_bytes() for x in learn)
     model = Model(good, bad, (), settings)
     rows = _sized(curve[0].unionByName(curve[1]), model, "text").select("label", "_sizes.*").toPandas()
     y = rows["label"].to_numpy(np.float64)

@@ -1,10 +1,13 @@
 """Held-out accuracy and edge cases of the classifiers, and the pipeline."""
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 
 import corpus_pipeline
 from starloom.llm import langid, mixing, quality, queries, toxicity
@@ -162,3 +165,76 @@ def test_mixing_stage_repeats_rows_by_the_targets(spark):
     assert out.columns == list(corpus_pipeline.COLUMNS)
     assert all(r.n_chars == len(r.text) for r in out.collect())
     assert mixing.PASSES == 3 and out.where("doc_id = 1").count() <= 3
+
+
+def test_quality_equals_a_plain_scorer(spark):
+    """Whole texts cut into pieces, each compressed by both dictionaries, one text at a time."""
+    docs = spark.read.parquet(f"{BASE}/documents.parquet").select("doc_id", "text")
+    model = quality.fit(docs, queries.training_labels(spark, BASE, "quality", 5, 0))
+    kinds = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False,
+                                      write_checksum=False, write_dict_id=False) for d in (model.good, model.bad)]
+    for r in quality.score(docs, model).collect():
+        data = (r.text or "").encode()
+        good, bad = (sum(len(c.compress(data[a:a + 1024])) for a in range(0, len(data), 1024)) for c in kinds)
+        x = [1, 20 * (bad - good) / max(bad + good, 1), min(good, bad) / max(len(data), 1), math.log1p(len(data)) / 10]
+        odds = sum(a * b for a, b in zip(x, model.weights))
+        assert r.score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, odds)))), abs=1e-9)
+
+
+def test_quality_learns_from_the_end_of_long_texts(spark):
+    rnd = random.Random(6)
+    words = ["".join(rnd.choices("abcdefghij", k=rnd.randrange(2, 8))) for _ in range(300)]
+    junk = ["".join(rnd.choices("qwxyz#", k=9)) for _ in range(300)]
+    rows = []
+    for i in range(120):
+        good = " ".join(rnd.choices(words, k=600))
+        rows.append((i, good + " " + " ".join(rnd.choices(words if i % 2 else junk, k=900)), i % 2))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    model = quality.fit(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    for word in junk[:20]:
+        assert word.encode() not in model.good
+    assert sum(word.encode() in model.bad for word in junk) > 250
+    scored = quality.score(df, model).collect()
+    assert all((r.score >= 0.5) == bool(r.label) for r in scored)
+
+
+def test_quality_of_too_few_labels_is_their_share(spark):
+    df = spark.createDataFrame([(i, f"text {i}", int(i > 0)) for i in range(4)], "doc_id long, text string, label int")
+    model = quality.fit(df.select("doc_id", "text"), df.select("doc_id", "label"))
+    assert {round(r.score, 9) for r in quality.score(df, model).collect()} == {round(4 / 6, 9)}
+    none = quality.fit(df.select("doc_id", "text"), df.select("doc_id", "label").limit(0))
+    assert {r.score for r in quality.score(df, none).collect()} == {0.5}
+
+
+def test_language_equals_sets_of_grams(spark):
+    """Every gram looked up in plain sets, one text at a time. Filters pass some grams that a set
+    lacks, so the corrected counts agree but for that share."""
+    docs = spark.read.parquet(f"{BASE}/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(docs)
+    table, names = model.table, model.names
+    for r in langid.identify(docs, model).orderBy("doc_id").limit(60).collect():
+        letters = re.sub(rb"[^a-z\x80-\xff]+", b" ", b" " + (r.text or "").lower().encode() + b" ")
+        grams = [int.from_bytes(letters[i:i + 4], "little") for i in range(len(letters) - 3)]
+        counts = []
+        for bit in range(len(names)):
+            hits = sum(all(int(table[p[0], bit // 64]) >> bit % 64 & 1 for p in langid.rows_of(np.array([g], np.uint32), model.settings))
+                       for g in grams)
+            fp = float(model.false_positives[bit])
+            counts.append(max((hits - len(grams) * fp) / (1 - min(fp, 0.99)), 0))
+        if any(counts):
+            assert r.lang_pred == names[counts.index(max(counts))]
+            assert r.score == pytest.approx(max(counts) / sum(counts), abs=1e-9)
+
+
+def test_language_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "der die das", 5, 6, 7)], ["doc_id", "text", "_language", "_letters", "_made0"])
+    model = langid.fit(spark.createDataFrame([(1, "der die das und", "de")], "doc_id long, text string, lang string"))
+    assert tuple(langid.identify(df, model).first())[:5] == (1, "der die das", 5, 6, 7)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels"):
+        rows = spark.read.parquet(f"{BASE}/{name}.parquet")
+        (rows.limit(0) if name == "documents" else rows).write.parquet(f"{tmp_path}/{name}.parquet")
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.columns == ["doc_id", "source", "n_tokens", "token_ids"] and out.collect() == []
