@@ -21,6 +21,7 @@ from heapq import heapify, heappop, heappush
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.wordhash import mix, span_hashes
@@ -373,6 +374,26 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "t
     return docs.mapInArrow(run, schema)
 
 
+def packed(docs: DataFrame, path: str, dtype: str = "uint16", id_col: str = "doc_id", text_col: str = "text",
+           tokens_col: str = "tokens") -> DataFrame:
+    """Rows (id, tokens): the ids of each whole text as the bytes of numbers of ``dtype``,
+    which must hold them. Cases as in ``encode``."""
+    vocabulary = broadcast_vocabulary(docs, path)
+    if max(vocabulary.value[1]) > np.iinfo(dtype).max:
+        raise ValueError(f"the vocabulary has ids beyond {dtype}")
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    schema = T.StructType([rows.schema.fields[0], T.StructField(tokens_col, T.BinaryType(), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of(vocabulary)
+        for part, ids, offsets in _encoded(codec, batches, "text"):
+            data, at = ids.astype(dtype).tobytes(), (offsets * np.dtype(dtype).itemsize).astype(np.int32)
+            tokens = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([part.column(0), tokens], schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def decode(docs: DataFrame, path: str, ids_col: str = "token_ids", decoded_col: str = "decoded") -> DataFrame:
     """``docs`` with the bytes that the ids in ``ids_col`` stand for; null ids give null."""
     vocabulary = broadcast_vocabulary(docs, path)

@@ -24,9 +24,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as byte tokens in fixed-stride shards; one row per sequence."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return shards.write_shards(docs, scratch_path(spark, "shards"), from_files=True)[1]
+    """The token ids of all documents in fixed-stride shards; one row per sequence."""
+    ids = bpe.packed(table(spark, sf_dir, "documents", "doc_id", "text"), VOCABULARY)
+    end = max(bpe.prepared(VOCABULARY)[1]) + 1  # after the vocabulary: the end of a document, and padding
+    return shards.write_shards(ids, scratch_path(spark, "shards"), "tokens", dtype="uint16", end=end, pad=end + 1)[1]
 
 
 def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ within its split. Only the finished sequences move, once, to their shards.
 from __future__ import annotations
 
 import uuid
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,6 +57,8 @@ def _flat(column: pa.Array, dtype: np.dtype, end: int) -> list[bytes]:
     last = np.array([end], dtype).tobytes()
     if pa.types.is_list(column.type):
         return [np.array(ids or [], dtype).tobytes() + last for ids in column.to_pylist()]
+    if pa.types.is_binary(column.type):
+        return [(ids or b"") + last for ids in column.to_pylist()]
     return [(text or "").encode() + last for text in column.to_pylist()]
 
 
@@ -100,7 +103,8 @@ def _sequences(layout: Layout, end: int, pad: int):
                     yield rows(pack, buffer[:whole], ids, ends, ordinal)
                     ordinal += whole // stride
                     held, size = [buffer[whole:]], size - whole
-                    ids, ends = ([doc], [size]) if size else ([], [])
+                    rest = bisect_right(ends, whole)  # the documents that reach beyond what is cut off
+                    ids, ends = ids[rest:], [x - whole for x in ends[rest:]]
         if held and size:
             yield rows(pack, b"".join(held), ids, ends, ordinal)
 
@@ -150,8 +154,8 @@ def write_shards(docs: DataFrame, path: str, tokens_col: str = "text", length: i
     layout and an index with one row per sequence: slot, shard, offset (bytes),
     n_tokens (without padding), doc_ids (documents with a token in it, in order).
 
-    ``tokens_col``: a string (its UTF-8 bytes are the ids, ``dtype`` uint8) or an
-    array of ids that ``dtype`` holds. Null and empty rows count as documents with
+    ``tokens_col``: a string (its UTF-8 bytes are the ids, ``dtype`` uint8), an
+    array of ids that ``dtype`` holds, or the bytes of numbers of ``dtype`` (bpe.packed). Null and empty rows count as documents with
     the end id alone; null ids stay null; repeated rows are packed as often as they
     come. The last sequence of each input split is padded with ``pad``. No rows:
     no shard, an empty index. ``from_files``: ``docs`` is a plain scan of files
@@ -162,8 +166,8 @@ def write_shards(docs: DataFrame, path: str, tokens_col: str = "text", length: i
     if not from_files:
         rows = written(rows, "tokens")
     rows = rows.select("*", F.input_file_name().alias("file"), F.input_file_block_start().alias("start"))
-    text = dict(rows.dtypes)["tokens"] == "string"
-    size = F.octet_length("tokens") if text else F.size("tokens")
+    kind = dict(rows.dtypes)["tokens"]
+    size = F.size("tokens") if kind.startswith("array") else F.floor(F.octet_length("tokens") / np.dtype(dtype).itemsize)
     counts = rows.groupBy("file", "start").agg(F.sum(F.greatest(F.coalesce(size, F.lit(0)), F.lit(0)) + 1).alias("n"))
     splits = written(counts.select("file", "start", F.ceil(F.col("n") / length).alias("sequences")), "splits")
     before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)

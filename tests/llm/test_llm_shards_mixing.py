@@ -5,7 +5,7 @@ import os
 import numpy as np
 import pytest
 
-from starloom.llm import mixing, queries, shards
+from starloom.llm import bpe, mixing, queries, shards
 from starloom.llm.feistel import permute
 
 BASE = "/root/testdata/sf0.001"
@@ -53,8 +53,34 @@ def test_shards_of_ids_nulls_and_repeats(spark, tmp_path):
 
 def test_shard_query(spark):
     df = queries.queries()["op2_training_order"](spark, BASE)
-    total = sum(len((r.text or "").encode()) + 1 for r in spark.read.parquet(f"{BASE}/documents.parquet").collect())
-    assert df.agg({"n_tokens": "sum"}).first()[0] == total
+    tokens = queries.queries()["op9_byte_bpe"](spark, BASE).selectExpr("sum(n_tokens + 1)").first()[0]
+    assert df.agg({"n_tokens": "sum"}).first()[0] == tokens
+    docs = {r.doc_id for r in spark.read.parquet(f"{BASE}/documents.parquet").select("doc_id").collect()}
+    assert {d for r in df.collect() for d in r.doc_ids} == docs
+
+
+def test_shards_hold_the_ids_of_the_vocabulary(spark, tmp_path):
+    docs = spark.read.parquet(f"{BASE}/documents.parquet").where("doc_id < 40").select("doc_id", "text")
+    ids = bpe.packed(docs, queries.VOCABULARY)
+    layout, _ = shards.write_shards(ids, f"file://{tmp_path}/v", "tokens", length=100, per_shard=7, dtype="uint16",
+                                    end=60000, pad=60001)
+    flat = in_order(layout).ravel()
+    whole = bpe.encode(docs, queries.VOCABULARY).collect()
+    parts = np.split(flat[flat != 60001], np.flatnonzero(flat[flat != 60001] == 60000) + 1)[:-1]
+    assert sorted(p[:-1].tolist() for p in parts) == sorted(r.token_ids for r in whole)
+
+
+def test_every_document_is_listed_where_its_tokens_lie(spark, tmp_path):
+    n = 320_000  # more than 2 MB a split, and a stride that does not divide it
+    docs = spark.range(0, n, 1, 1).selectExpr("id as doc_id", "substring('abcdefg', 1, 6 + int(id % 2)) as text")
+    _, index = shards.write_shards(docs, f"file://{tmp_path}/d", length=1000)
+    rows = sorted(index.collect(), key=lambda r: r.doc_ids[0])
+    ends, at = np.cumsum(7 + np.arange(n) % 2), 0
+    for r in rows:  # one split: its sequences in the order of their documents
+        first, last = np.searchsorted(ends, at, "right"), np.searchsorted(ends, at + r.n_tokens, "left")
+        assert r.doc_ids == list(range(first, last + 1))
+        at += r.n_tokens
+    assert at == ends[-1]
 
 
 def reference_targets(sizes):
