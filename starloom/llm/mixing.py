@@ -125,7 +125,8 @@ def _plan(rows: DataFrame, block_words: int, per_shard: int, weights: Sequence[f
         f"sequence(start div {block_words}, (start + size - 1) div {block_words})")))
         .select("uid", "source_no", "block", (begin - F.col("start")).alias("first"),
                 (F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - begin).alias("words")))
-    chosen = dealt(sources, per_shard, seed)
+    # far more rows than the sources that they are made from let the planner guess: never broadcast
+    chosen = dealt(sources, per_shard, seed).hint("merge")
     return sources, segments.join(chosen, ["source_no", "block"]).select("uid", "turn", "first", "words")
 
 
