@@ -164,7 +164,7 @@ def write_shards(docs: DataFrame, path: str, tokens_col: str = "text", length: i
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(tokens_col).alias("tokens"))
     if not from_files:
-        rows = written(rows, "tokens")
+        rows = written(rows, "tokens", "zstd")
     rows = rows.select("*", F.input_file_name().alias("file"), F.input_file_block_start().alias("start"))
     kind = dict(rows.dtypes)["tokens"]
     size = F.size("tokens") if kind.startswith("array") else F.floor(F.octet_length("tokens") / np.dtype(dtype).itemsize)
