@@ -86,9 +86,10 @@ def run_etl(spark: SparkSession, base: str) -> dict[str, str]:
     return write_warehouse(spark, Build(spark, base).builders)
 
 
-def build(spark: SparkSession, base: str) -> Build:
-    """A :class:`Build`, once per session and state of the data folder."""
-    k = _key(spark, base)
+def build(spark: SparkSession, base: str, key: tuple | None = None) -> Build:
+    """A :class:`Build`, once per session and state of the data folder (``key``, where it
+    is at hand: it takes a look at every file)."""
+    k = key or _key(spark, base)
     with _lock:
         if k not in _builds:
             _builds[k] = Build(spark, base)
@@ -98,7 +99,7 @@ def build(spark: SparkSession, base: str) -> Build:
 def stored_warehouse(spark: SparkSession, base: str) -> Warehouse:
     """The eleven tables written once to the shared checkpoint folder, read back."""
     k = _key(spark, base)
-    b = build(spark, base)
+    b = build(spark, base, k)
     with _lock:
         if k not in _stored:
             _stored[k] = read_warehouse(spark, write_warehouse(spark, b.builders))
@@ -123,7 +124,8 @@ def _itemsets(spark, base):
 
 
 def _rules(spark, base):
-    return rules.association_rules(_itemsets(spark, base))
+    # the itemsets are looked up three times: counted and written once, as the job does
+    return rules.association_rules(rule_job.stored(_itemsets(spark, base), scratch_path(spark, "itemsets")))
 
 
 def _no_row(df: DataFrame) -> DataFrame:

@@ -309,20 +309,20 @@ _FK = "\nUNION ALL\n".join(_fk(f"{c}.{ck}->{p}.{pk}", c, ck, p, pk) for c, ck, p
 # as "equals the yearly maximum", CUBE-with-HAVING as a plain grouping of
 # non-null keys, the three vehicle branches as one unnest, the rate as exact
 # integer half-up rounding.
-_Q1 = """
-SELECT year, lga_name, total_fatalities FROM (
-  SELECT year, lga_name, total_fatalities, max(total_fatalities) OVER (PARTITION BY year) AS best FROM (
-    SELECT CAST(dd.year AS INTEGER) AS year, lg.lga_name, CAST(count(ff.fatality_id) AS BIGINT) AS total_fatalities
-    FROM fact_fatalities ff, fact_crashes fc, dim_date dd, dim_lga lg
-    WHERE ff.crash_id = fc.crash_id AND fc.date_id = dd.date_id AND fc.lga_id = lg.lga_id
-      AND lg.lga_name <> 'Unknown'
-    GROUP BY 1, 2))
-WHERE total_fatalities = best
+# Fatalities by year and area straight from the source sheets: each counts where its crash has an
+# area and a day (the first of its month) among the days with counts.
+_MONTHS = "(SELECT DISTINCT make_date(year(d), month(d), 1) AS first_day FROM fcnt WHERE day(d) = 1)"
+_BY_AREA = f"""(
+  SELECT year, lga_name, CAST(sum(n) AS BIGINT) AS total_fatalities FROM (
+    SELECT c.year, c.lga_name, make_date(c.year, c.month, 1) AS first_day, n
+    FROM crash c JOIN (SELECT crash_id, count(*) AS n FROM fat GROUP BY crash_id) USING (crash_id))
+  JOIN {_MONTHS} USING (first_day) WHERE lga_name <> 'Unknown' GROUP BY year, lga_name)"""
+_Q1 = f"""
+SELECT year, lga_name, total_fatalities FROM {_BY_AREA}
+QUALIFY total_fatalities = max(total_fatalities) OVER (PARTITION BY year)
 """
 
-# Q2 to Q4 straight from the source sheets: a crash counts where a fatality names it, its
-# day is the first of its month, and that day must be among the days with counts.
-_MONTHS = "(SELECT DISTINCT make_date(year(d), month(d), 1) AS first_day FROM fcnt WHERE day(d) = 1)"
+# Q2 to Q4 in the same way: a crash counts where a fatality names it.
 _Q2 = f"""
 SELECT coalesce(s.state_name, c.state) AS state_name, CAST(count(*) AS BIGINT) AS total_crashes
 FROM crash c LEFT JOIN dim_state s ON s.state_id = c.state
@@ -362,11 +362,8 @@ _Q6 = """
 SELECT lga_name, dwelling_count, total_fatalities,
        CAST((total_fatalities * 200000 + dwelling_count) // (2 * dwelling_count) AS DOUBLE) / 100.0
          AS avg_fatalities_per_1000_dwellings
-FROM (
-  SELECT lg.lga_name, lg.dwelling_count, CAST(count(ff.fatality_id) AS BIGINT) AS total_fatalities
-  FROM fact_fatalities ff, fact_crashes fc, dim_lga lg
-  WHERE ff.crash_id = fc.crash_id AND fc.lga_id = lg.lga_id AND lg.dwelling_count IS NOT NULL
-  GROUP BY 1, 2)
+FROM (SELECT c.lga_name, CAST(count(*) AS BIGINT) AS total_fatalities FROM fat JOIN crash c USING (crash_id) GROUP BY c.lga_name)
+JOIN (SELECT lga_name, CAST(dwelling_count AS BIGINT) AS dwelling_count FROM dw WHERE dwelling_count IS NOT NULL) USING (lga_name)
 """
 
 _CUBE = """
@@ -392,15 +389,8 @@ FROM (SELECT coalesce(gender, 'unknown') AS gender, count(*) AS n, CAST(sum(coun
       FROM dim_person GROUP BY 1)
 """
 
-_RANK_ALL = """
-SELECT year, lga_name, total_fatalities,
-       CAST(rank() OVER (PARTITION BY year ORDER BY total_fatalities DESC) AS INTEGER) AS rank_num
-FROM (
-  SELECT CAST(dd.year AS INTEGER) AS year, lg.lga_name, CAST(count(ff.fatality_id) AS BIGINT) AS total_fatalities
-  FROM fact_fatalities ff, fact_crashes fc, dim_date dd, dim_lga lg
-  WHERE ff.crash_id = fc.crash_id AND fc.date_id = dd.date_id AND fc.lga_id = lg.lga_id
-    AND lg.lga_name <> 'Unknown'
-  GROUP BY 1, 2)
+_RANK_ALL = f"""
+SELECT *, CAST(rank() OVER (PARTITION BY year ORDER BY total_fatalities DESC) AS INTEGER) AS rank_num FROM {_BY_AREA}
 """
 
 # The two labels that repeat after header cleaning, and whether their copies

@@ -43,9 +43,9 @@ def run(records: DataFrame, out: str, fmt: str = "parquet", min_support: float =
     """The records are read once: itemsets and rules are written to the shared
     checkpoint folder and every further step reads these small tables."""
     spark = records.sparkSession
-    itemsets = _stored(rules.frequent_itemsets(rules.transactions(records), min_support=min_support, max_len=max_len),
+    itemsets = stored(rules.frequent_itemsets(rules.transactions(records), min_support=min_support, max_len=max_len),
                        scratch_path(spark, "itemsets"))
-    all_rules = _stored(rules.association_rules(itemsets, min_lift=min_lift), scratch_path(spark, "all-rules"))
+    all_rules = stored(rules.association_rules(itemsets, min_lift=min_lift), scratch_path(spark, "all-rules"))
     road = rules.road_user_rules(all_rules)
     if write_rules(road, out, fmt=fmt):
         return RuleJobResult(True, road, rules.top_rules(road, TOP), None, None)
@@ -53,7 +53,8 @@ def run(records: DataFrame, out: str, fmt: str = "parquet", min_support: float =
                          rules.sample_itemsets(itemsets, SAMPLE))
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written once and read back."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

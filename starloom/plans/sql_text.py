@@ -52,7 +52,7 @@ yearly AS (
   SELECT cal.year, area.lga_name, sum(n) AS total
   FROM deaths NATURAL JOIN fact_crashes
     INNER JOIN dim_lga AS area USING (lga_id) INNER JOIN dim_date AS cal USING (date_id)
-  WHERE NOT area.lga_name <=> 'Unknown' AND area.lga_name IS NOT NULL
+  WHERE area.lga_name <> 'Unknown'
   GROUP BY cal.year, area.lga_name),
 most AS (SELECT year, max(total) AS total FROM yearly GROUP BY year)
 SELECT int(year) AS year, lga_name, bigint(total) AS total_fatalities FROM yearly NATURAL JOIN most ORDER BY 1, 2
@@ -69,7 +69,7 @@ FROM per_state NATURAL JOIN dim_state GROUP BY state_name ORDER BY 2 DESC, 1
 # When in the week do people die?
 WEEK_PATTERN = f"""
 WITH {_DEATHS},
-slots AS (SELECT crash_id, time_of_day FROM dim_time WHERE NOT time_of_day <=> 'Unknown' AND time_of_day IS NOT NULL),
+slots AS (SELECT crash_id, time_of_day FROM dim_time WHERE time_of_day <> 'Unknown'),
 known AS (SELECT date_id, day_of_week FROM dim_date WHERE day_of_week IS NOT NULL)
 SELECT day_of_week, time_of_day, bigint(sum(n)) AS total_fatalities
 FROM deaths NATURAL JOIN slots NATURAL JOIN (SELECT crash_id, date_id FROM fact_crashes) NATURAL JOIN known
@@ -79,8 +79,8 @@ GROUP BY day_of_week, time_of_day ORDER BY 3 DESC, 1, 2
 # How many people die around holidays?
 HOLIDAYS = f"""
 WITH {_DEATHS}
-SELECT bigint(sum(n * int(`Christmas Period` <=> 'Yes'))) AS christmas_fatalities,
-       bigint(sum(n * int(`Easter Period` <=> 'Yes'))) AS easter_fatalities
+SELECT bigint(sum(CASE WHEN `Christmas Period` = 'Yes' THEN n ELSE 0 END)) AS christmas_fatalities,
+       bigint(sum(CASE WHEN `Easter Period` = 'Yes' THEN n ELSE 0 END)) AS easter_fatalities
 FROM deaths NATURAL JOIN dim_event
 """
 
