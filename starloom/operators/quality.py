@@ -129,3 +129,8 @@ def enforce(report: DataFrame) -> None:
     if sample:
         raise IntegrityError("key violations, e.g. " + "; ".join(f"{r['check']}={r['key']} x{r['n_rows']}"
                                                                  for r in sample))
+
+
+def check_warehouse(tables: Mapping[str, DataFrame]) -> None:
+    """Raise :class:`IntegrityError` if a primary or foreign key of the warehouse offends."""
+    enforce(check_primary_keys(tables).unionByName(check_foreign_keys(tables)))

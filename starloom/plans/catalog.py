@@ -23,7 +23,7 @@ from starloom.plans import analog, etl, reports, rule_job, sql_text
 from starloom.plans import warehouse as wh
 from starloom.plans.oracle import ONE_HOT_ITEMS
 from starloom.session import scratch_path
-from starloom.sinks.tables import (Warehouse, open_warehouse, read_warehouse, table_name, write_csv, write_rules,
+from starloom.sinks.tables import (Warehouse, open_warehouse, read_warehouse, table_prefix, write_csv, write_rules,
                                    write_warehouse)
 from starloom.sources.delimited import read_sheet_csv, read_trimmed_csv
 from starloom.sources.tables import table_path
@@ -400,16 +400,47 @@ def k2_loaded_counts(spark, base):
     return _counted(stored_warehouse(spark, base))
 
 
+def _loaded_in(spark, root: str) -> DataFrame:
+    """Rows of each table of a warehouse opened from its folder, and its tables in the catalog."""
+    loaded = open_warehouse(spark, root)
+    kept = sum(t.name.startswith(table_prefix(root)) for t in spark.catalog.listTables())
+    return _counted(loaded).withColumn("catalog_tables", F.lit(kept).cast("bigint"))
+
+
 def k3_reload(spark, base):
     """K3: the warehouse loaded twice into one folder and opened from there: rows of each
     table, and the tables that the loads left in the catalog."""
     root = scratch_path(spark, "reload")
     for _ in range(2):
         write_warehouse(spark, build(spark, base).builders, path=root)
-    loaded = open_warehouse(spark, root)
-    prefix = table_name(root, "")
-    kept = sum(t.name.startswith(prefix) for t in spark.catalog.listTables())
-    return _counted(loaded).withColumn("catalog_tables", F.lit(kept).cast("bigint"))
+    return _loaded_in(spark, root)
+
+
+def k3_failed_reload(spark, base):
+    """K3/K5: a load, then one whose crashes are listed twice, which the key check refuses: the
+    first still answers. With the offending keys that each check found."""
+    root = scratch_path(spark, "failed-reload")
+    builders = build(spark, base).builders
+    offences = []
+
+    def check(tables):
+        report = quality.check_primary_keys(tables)
+        offences.append(report.count())
+        quality.enforce(report)
+
+    write_warehouse(spark, builders, path=root, check=check)
+
+    def doubled():
+        crashes = builders["fact_crashes"]()
+        return crashes.unionByName(crashes)
+
+    try:
+        write_warehouse(spark, {**builders, "fact_crashes": doubled}, path=root, check=check)
+        refused = False
+    except quality.IntegrityError:
+        refused = True
+    first, second = (F.lit(n).cast("bigint") for n in offences)
+    return _loaded_in(spark, root).withColumns({"refused": F.lit(refused), "offences_first": first, "offences_second": second})
 
 
 def d2_mapped_states(spark, base):
@@ -479,6 +510,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "w3_dense_ids": w3_dense_ids,
         "k2_loaded_counts": k2_loaded_counts,
         "k3_reload": k3_reload,
+        "k3_failed_reload": k3_failed_reload,
         "k5_seeded_keys": k5_seeded_keys,
         "d2_mapped_states": d2_mapped_states,
         "etl_job": etl_job,

@@ -23,7 +23,7 @@ from starloom.operators import quality
 from starloom.operators.conform import SALT_BUCKETS
 from starloom.plans import warehouse as wh
 from starloom.session import scratch_scope
-from starloom.sinks.tables import BUCKETS_KEY, read_warehouse, write_csv, write_warehouse
+from starloom.sinks.tables import BUCKETS_KEY, write_csv, write_warehouse
 from starloom.sources.delimited import header_labels, header_record, read_sheet_csv, read_trimmed_csv
 from starloom.sources.records import quoted_records
 
@@ -81,7 +81,8 @@ class EtlResult:
 def run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None = None,
         enforce_keys: bool = True, salt_buckets: int | None = SALT_BUCKETS) -> EtlResult:
     """The whole job. Everything it returns lies under ``out``; its intermediate tables are
-    removed at the end."""
+    removed at the end. Tables whose keys offend are not loaded: the job raises and a warehouse loaded
+    earlier stays current."""
     with scratch_scope(spark):
         return _run(spark, paths, out.rstrip("/"), buckets, enforce_keys, salt_buckets)
 
@@ -108,10 +109,8 @@ def _run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None,
     write_csv(counts.drop(wh.ROW), processed["daily_counts"])
     conformed.conflicts.write.mode("overwrite").parquet(processed["conflicts"])
     tables = wh.build_warehouse(conformed.frame, counts, dwell, fatality_ids_from_row=one_to_one, deferred=True)
-    locations = write_warehouse(spark, tables, path=f"{out}/warehouse", buckets=buckets)
-    if enforce_keys:
-        loaded = read_warehouse(spark, locations)
-        quality.enforce(quality.check_primary_keys(loaded).unionByName(quality.check_foreign_keys(loaded)))
+    locations = write_warehouse(spark, tables, path=f"{out}/warehouse", buckets=buckets,
+                                check=quality.check_warehouse if enforce_keys else None)
     buckets = int(locations.pop(BUCKETS_KEY)) if BUCKETS_KEY in locations else None
     return EtlResult(locations, processed, spark.read.parquet(processed["conflicts"]), conformed.decisions, buckets)
 
@@ -130,8 +129,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.getOrCreate()
     res = run(spark, SheetPaths(a.fatalities, a.crashes, a.fatality_counts, a.crash_counts, a.dwellings), a.out,
               enforce_keys=not a.no_key_check, salt_buckets=a.salt_buckets)
-    for name in res.tables:
-        print(f"{name}: {a.out.rstrip('/')}/warehouse/{name}")
+    for name, location in res.tables.items():
+        print(f"{name}: {location}")
     for name, path in res.processed.items():
         print(f"processed {name}: {path}")
 

@@ -505,6 +505,10 @@ SELECT {_txt('items')}, CAST(cnt AS BIGINT) AS count, cnt / (SELECT n FROM txn)
 FROM cand WHERE cnt / (SELECT n FROM txn) >= (SELECT min(support) FROM (
   SELECT support FROM itemsets WHERE size = 2 ORDER BY support DESC, array_to_string(items, '{SEP}') LIMIT 5))""",
         "k3_reload": f"SELECT *, CAST(5 AS BIGINT) AS catalog_tables FROM ({_LOADED})",
+        "k3_failed_reload": f"""
+WITH loaded AS ({_LOADED})
+SELECT *, CAST(5 AS BIGINT) AS catalog_tables, true AS refused, CAST(0 AS BIGINT) AS offences_first,
+  (SELECT n_rows FROM loaded WHERE table_name = 'fact_crashes') AS offences_second FROM loaded""",
         "k5_seeded_keys": """
 SELECT 'lines.l_orderkey' AS "check", CAST(l_orderkey AS VARCHAR) AS key, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey HAVING count(*) > 1

@@ -99,5 +99,20 @@ def scratch_scope(spark: SparkSession):
             if not _scopes:
                 _made.clear()
         for path in done:
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            delete_path(spark, path)
+
+
+def _located(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _located(spark, path)
+    return files.exists(at)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder, if it is there."""
+    files, at = _located(spark, path)
+    files.delete(at, True)

@@ -1,8 +1,13 @@
 """Sinks (inventory K1-K4).
 
 ``write_warehouse`` replaces the reference's ``to_sql(if_exists='replace')``
-load: each table is written in overwrite mode under one folder in the shared
-checkpoint location. The crash-grain tables (one row per crash, so no key can
+load. A load is staged: its tables are written into a folder of their own under the
+warehouse's root, checked there, and only then made the current load by one row
+appended to the manifest (``_loads``), a single small file that Spark commits by a rename. Until
+that row is there, readers open the load before; a load that fails, in a
+write or in its check, takes its own tables away and leaves the old ones as they were.
+
+The crash-grain tables (one row per crash, so no key can
 be hot) are bucketed and sorted on ``crash_id`` with one bucket count, so the
 reports join them on ``crash_id`` without a shuffle. The fatality fact is not
 bucketed: one crash may hold a large share of all fatalities, and a bucketed
@@ -14,65 +19,115 @@ into the same partitioning.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_path
+from starloom.session import delete_path, path_exists, scratch_path
 
 # Tables keyed by crash that share one bucketing.
 CRASH_GRAIN = ("fact_crashes", "dim_time", "dim_vehicle", "dim_event", "dim_road")
 BUCKET_KEY = "crash_id"
 BUCKETS_KEY = "__buckets__"
-#: Folder beside the tables that holds the bucket count.
-LAYOUT = "_layout"
+#: Manifest of a warehouse: one row for each load that was made current.
+LOADS = "_loads"
+LOADS_SCHEMA = "version bigint, load string, buckets int, columns map<string, string>"
 
 
 def write_warehouse(spark: SparkSession, tables: Mapping[str, DataFrame], path: str | None = None,
-                    buckets: int | None = None, parallel: int = 8) -> dict[str, str]:
-    """K2/K3: write every table (overwrite); returns table name -> catalog
-    name (bucketed tables) or path (plain Parquet), plus the bucket count
-    under ``__buckets__``.
+                    buckets: int | None = None, parallel: int = 8,
+                    check: Callable[[Warehouse], None] | None = None) -> dict[str, str]:
+    """K2/K3: write every table as a new load of the warehouse in folder ``path``; returns
+    table name -> catalog name (bucketed tables) or path (plain Parquet), plus the
+    bucket count under ``__buckets__``.
+
+    ``check`` gets the written tables before anyone else can open them and raises if they must not be
+    loaded. If it raises, or a write does, the load's tables are removed, the error goes on, and
+    the warehouse still is the load before (or none). Otherwise the load becomes current; the
+    load it replaces keeps its files until the next one, for readers that opened it, and
+    loses its catalog names. Loads of one folder must not run at the same time.
 
     The bucket count defaults to the session's shuffle partition count; 0 writes
-    plain files. Bucketed tables have names that follow from the folder, and a
-    reload drops the tables of these names first, so loading a folder again
-    replaces what it registered. The writes are independent jobs; ``parallel``
+    plain files. The writes are independent jobs; ``parallel``
     of them are submitted at once from a thread pool so small tables do not
     leave the cluster idle. A table may be given as a no-argument builder; it
     is then built in its writer thread, so tables that are ready start
     writing while others are still being built."""
     root = (path or scratch_path(spark, "warehouse")).rstrip("/")
     n = int(spark.conf.get("spark.sql.shuffle.partitions")) if buckets is None else buckets
+    load = uuid.uuid4().hex[:12]
+    columns: dict[str, str] = {}  # table -> its columns with types: a table without rows may be without files
 
     def write_one(name: str) -> tuple[str, str]:
         df = tables[name]
         if callable(df):  # a deferred builder: build inside this writer thread
             df = df()
-        target = f"{root}/{name}"
+        columns[name] = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        target = f"{root}/{load}/{name}"
         if name in CRASH_GRAIN and n:
-            table = table_name(root, name)
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
+            table = table_name(root, name, load)
             # Same hash as bucketing, so task i holds exactly bucket i: one
             # file per bucket instead of one per (task, bucket).
-            (df.repartition(n, BUCKET_KEY).write.mode("overwrite").format("parquet").option("path", target)
+            (df.repartition(n, BUCKET_KEY).write.format("parquet").option("path", target)
              .bucketBy(n, BUCKET_KEY).sortBy(BUCKET_KEY).saveAsTable(table))
             return name, "table:" + table
-        df.write.mode("overwrite").parquet(target)
+        df.write.parquet(target)
         return name, "path:" + target
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        out = dict(pool.map(write_one, list(tables)))
-    spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").parquet(f"{root}/{LAYOUT}")
-    out[BUCKETS_KEY] = str(n)
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            out = dict(pool.map(write_one, list(tables)))
+        out[BUCKETS_KEY] = str(n)
+        if check:
+            check(read_warehouse(spark, out))
+    except BaseException:
+        _remove_load(spark, root, load)
+        raise
+    _make_current(spark, root, load, n, columns)
     return out
 
 
-def table_name(root: str, name: str) -> str:
-    """Catalog name of a bucketed table of the warehouse in folder ``root``."""
-    return f"starloom_{hashlib.sha256(root.rstrip('/').encode()).hexdigest()[:10]}_{name}"
+def loads(spark: SparkSession, root: str) -> list[Row]:
+    """The manifest's rows (version, load, buckets, columns of each table), the current load first: one row
+    for each load there was."""
+    at = f"{root.rstrip('/')}/{LOADS}"
+    if not path_exists(spark, at):
+        return []
+    return spark.read.schema(LOADS_SCHEMA).parquet(at).orderBy(F.desc("version"), "load").collect()
+
+
+def _make_current(spark: SparkSession, root: str, load: str, buckets: int, columns: dict[str, str]) -> None:
+    before = loads(spark, root)
+    version = before[0]["version"] + 1 if before else 0
+    row = spark.createDataFrame([(version, load, buckets, columns)], LOADS_SCHEMA)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/{LOADS}")  # from here on the load is current
+    for old in before[:1]:
+        _drop_names(spark, root, old["load"])
+    for old in before[1:2]:  # those before are gone already
+        _remove_load(spark, root, old["load"])
+
+
+def _drop_names(spark: SparkSession, root: str, load: str) -> None:
+    for name in CRASH_GRAIN:
+        spark.sql(f"DROP TABLE IF EXISTS {table_name(root, name, load)}")
+
+
+def _remove_load(spark: SparkSession, root: str, load: str) -> None:
+    _drop_names(spark, root, load)
+    delete_path(spark, f"{root}/{load}")
+
+
+def table_prefix(root: str) -> str:
+    """What the catalog names of the warehouse in folder ``root`` begin with."""
+    return f"starloom_{hashlib.sha256(root.rstrip('/').encode()).hexdigest()[:10]}_"
+
+
+def table_name(root: str, name: str, load: str) -> str:
+    """Catalog name of a load's bucketed table of the warehouse in folder ``root``."""
+    return f"{table_prefix(root)}{load}_{name}"
 
 
 class Warehouse(dict):
@@ -102,19 +157,24 @@ TABLE_NAMES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "d
 
 
 def open_warehouse(spark: SparkSession, root: str, names=TABLE_NAMES) -> Warehouse:
-    """Open a warehouse written earlier, from any session. The bucketed tables are
+    """Open the current load of a warehouse written earlier, from any session. The bucketed tables are
     registered again with their layout, so reports join them where they lie."""
     root = root.rstrip("/")
-    buckets = spark.read.parquet(f"{root}/{LAYOUT}").first()["buckets"]
+    done = loads(spark, root)
+    if not done:
+        raise FileNotFoundError(f"no warehouse was loaded into {root}")
+    load, buckets, columns = done[0]["load"], done[0]["buckets"], done[0]["columns"]
     out = Warehouse()
     for name in names:
-        out[name] = spark.read.parquet(f"{root}/{name}")
+        at = f"{root}/{load}/{name}"
         if buckets and name in CRASH_GRAIN:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out[name].schema.fields)
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {table_name(root, name)} ({columns}) USING parquet "
-                      f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{root}/{name}'")
-            out[name] = spark.table(table_name(root, name))
+            table = table_name(root, name, load)
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns[name]}) USING parquet "
+                      f"CLUSTERED BY ({BUCKET_KEY}) SORTED BY ({BUCKET_KEY}) INTO {buckets} BUCKETS LOCATION '{at}'")
+            out[name] = spark.table(table)
             out.buckets = buckets
+        else:
+            out[name] = spark.read.schema(columns[name]).parquet(at)
     return out
 
 
