@@ -26,17 +26,24 @@ from pyspark.sql import functions as F
 from starloom.llm.common import written
 
 
+#: Length times square of the largest weight stays below this in every vector, so all
+#: scores and their bounds fit 64 bits.
+LARGEST = 2.0 ** 61
+
+
 @dataclass(frozen=True)
 class Settings:
     """``shard``: vectors of a shard; ``batch``: queries that meet a shard together;
     ``share``: share of the distance to the known score that the terms left to
     probing may make up (1 is the bound itself; less traverses more postings); ``probe``:
-    terms probed between two looks at the bounds."""
+    terms probed between two looks at the bounds; ``blocks``: blocks of queries that share one reading of
+    a shard."""
 
     shard: int = 4_096
     batch: int = 256
     share: float = 0.1
     probe: int = 4
+    blocks: int = 16
 
 
 class Shard:
@@ -101,16 +108,16 @@ class Shard:
 
 def _search(k: int, settings: Settings):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, key = None, None
+        shard, held = None, None
         for batch in batches:
             for row in batch.itertuples(index=False):
-                if (row.dim, row.shard) != key:
-                    key = (row.dim, row.shard)
-                    shard = Shard(np.asarray(row.ids), np.frombuffer(row.weights, np.int64).reshape(-1, row.dim))
-                names = np.asarray(row.query_ids)
-                q, v, score = shard.top(names, np.frombuffer(row.query_weights, np.int64).reshape(-1, row.dim),
-                                        np.asarray(row.floors), k, settings)
-                yield pd.DataFrame({"query_id": names[q], "vec_id": shard.ids[v], "score": score})
+                key = (row.dim, row.shard, row.portion)
+                names, weights = np.asarray(row.ids), np.frombuffer(row.weights, np.int64).reshape(-1, row.dim)
+                if row.turn == 0:  # a shard, before the blocks of queries that meet it
+                    shard, held = Shard(names, weights), key
+                elif held == key:  # else the shard has no vectors
+                    q, v, score = shard.top(names, weights, np.asarray(row.floors), k, settings)
+                    yield pd.DataFrame({"query_id": names[q], "vec_id": shard.ids[v], "score": score})
 
     return run
 
@@ -121,8 +128,11 @@ def _integers(scale: float):
             rows = []
             for vec_id, values in zip(batch["vec_id"].tolist(), batch["embedding"]):
                 v = None if values is None else np.array([np.nan if x is None else x for x in values], np.float64)
-                if v is not None and np.isfinite(v).all():
-                    rows.append((vec_id, len(v), np.floor(scale * v).astype(np.int64).tobytes()))
+                if v is not None and len(v) and np.isfinite(v).all():
+                    weights = np.floor(scale * v)
+                    if not len(v) * np.abs(weights).max() ** 2 < LARGEST:
+                        raise OverflowError(f"scores of vector {vec_id} do not fit 64 bits")
+                    rows.append((vec_id, len(v), weights.astype(np.int64).tobytes()))
             yield pd.DataFrame(rows, columns=["vec_id", "dim", "weights"])
 
     return run
@@ -145,12 +155,24 @@ def _placed(rows: DataFrame, size: int) -> DataFrame:
         "place", F.pmod(F.xxhash64(F.lit("place"), "vec_id"), F.col("places")).cast("int"))
 
 
-def _pairs(queries: DataFrame, shards: DataFrame, k: int, settings: Settings) -> DataFrame:
-    """Results of every block of queries in every shard."""
-    asked = (queries.withColumn("shard", F.explode(F.expr("sequence(0, shards - 1)")))
-             .select("dim", "shard", F.col("ids").alias("query_ids"), F.col("weights").alias("query_weights"), "floors"))
-    held = shards.select("dim", F.col("place").alias("shard"), "ids", "weights")
-    return asked.join(held, ["dim", "shard"]).mapInPandas(_search(k, settings), "query_id long, vec_id long, score long")
+def _portion(settings: Settings):
+    return F.floor(F.col("place") / settings.blocks).cast("int")
+
+
+def _pairs(queries: DataFrame, shards: DataFrame, portions: DataFrame, k: int, settings: Settings) -> DataFrame:
+    """Results of every block of queries in the shards up to its ``shards``.
+
+    Blocks go to a shard in portions; within a task the shard's row comes before the blocks of its
+    portion, so its postings are read once a portion and the blocks stream past them. ``portions``:
+    the last portion of each length of a vector."""
+    asked = queries.select("dim", _portion(settings).alias("portion"), F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"),
+                           F.lit(1).alias("turn"), "ids", "weights", "floors")
+    held = (shards.join(F.broadcast(portions), "dim")  # one row per length of a vector
+            .select("dim", F.explode(F.expr("sequence(0, last)")).alias("portion"), F.col("place").alias("shard"),
+                    F.lit(0).alias("turn"), "ids", "weights", F.lit(None).cast("array<long>").alias("floors")))
+    met = asked.unionByName(held).repartition("dim", "shard", "portion")
+    return met.sortWithinPartitions("dim", "shard", "portion", "turn").mapInPandas(
+        _search(k, settings), "query_id long, vec_id long, score long")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -164,20 +186,21 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
     product of floor(``scale`` * component) for each vector whose id is divisible by
     ``every``, itself left out; ties to smaller ids.
 
-    Vectors that are null or hold null or non-finite components take no part, nor
+    Vectors that are null, empty or hold null or non-finite components take no part, nor
     do rows without an id; vectors meet those of their own length. Rows that repeat
-    an id are one vector (the smallest). Scores must fit 64 bits. Other columns are
-    ignored; an empty table gives no rows.
+    an id are one vector (the smallest). Components so large that a score need not fit
+    64 bits are an error. Other columns are ignored; an empty table gives no rows.
     """
     rows = vectors.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     if not rows.groupBy("vec_id").count().where("count > 1").isEmpty():
         rows = rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    whole = written(rows.mapInPandas(_integers(scale), "vec_id long, dim int, weights binary").where("dim > 0"), "weights")
+    whole = written(rows.mapInPandas(_integers(scale), "vec_id long, dim int, weights binary"), "weights")
     packed = "dim int, place int, ids array<long>, weights binary"
     shards = written(_placed(whole, settings.shard).groupBy("dim", "place").applyInPandas(_packed, packed), "shards")
-    count = shards.groupBy("dim").agg(F.count(F.lit(1)).cast("int").alias("shards"))
+    count = shards.groupBy("dim").agg((F.max("place") + 1).alias("shards"))
     asked = _placed(whole.where(F.col("vec_id") % every == 0), settings.batch)
+    portions = asked.groupBy("dim").agg(F.max(_portion(settings)).alias("last"))
     unknown = np.iinfo(np.int64).min
 
     def blocks(queries: DataFrame) -> DataFrame:
@@ -185,8 +208,9 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0,
                 .join(F.broadcast(count), "dim"))
 
     # a first shard gives each query a score that k vectors reach
-    first = _pairs(blocks(asked.withColumn("floor", F.lit(unknown))).withColumn("shards", F.lit(1)), shards, k, settings)
+    first = _pairs(blocks(asked.withColumn("floor", F.lit(unknown))).withColumn("shards", F.lit(1)),
+                   shards.where("place = 0"), portions, k, settings)
     reached = (first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
                .where(F.col("n") >= k).select(F.col("query_id").alias("vec_id"), "least"))
     floored = asked.join(reached, "vec_id", "left").withColumn("floor", F.coalesce("least", F.lit(unknown))).drop("least")
-    return _ranked(_pairs(written(blocks(floored), "queries"), shards, k, settings), k)
+    return _ranked(_pairs(written(blocks(floored), "queries"), shards, portions, k, settings), k)

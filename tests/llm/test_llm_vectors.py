@@ -94,7 +94,8 @@ def brute_top(vectors, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("settings", [maxscore.Settings(), maxscore.Settings(shard=16, batch=3, share=1.0, probe=1)])
+@pytest.mark.parametrize("settings", [maxscore.Settings(), maxscore.Settings(shard=16, batch=3, share=1.0, probe=1, blocks=2),
+                                      maxscore.Settings(shard=1, batch=1, blocks=1)])
 def test_top_k_edge_cases(spark, settings):
     rng = np.random.default_rng(5)
     vectors = {i: rng.standard_normal(6).round(1).tolist() for i in range(150)}
@@ -105,6 +106,16 @@ def test_top_k_edge_cases(spark, settings):
     assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == brute_top(vectors, 20)
 
 
+def test_top_k_refuses_scores_beyond_64_bits(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit 64 bits"):
+        maxscore.top_k(df).collect()
+    large = {i: [float((-1) ** i * 2 ** 22 + i), 3.0] for i in range(50)}  # scores about 2^56
+    df = spark.createDataFrame([(i, v, "x") for i, v in large.items()] + [(80, [], "y")],
+                               "vec_id long, embedding array<double>, shard string")
+    assert sorted(map(tuple, maxscore.top_k(df).collect())) == brute_top(large, 20)
+
+
 def test_top_k_empty_and_repeated(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert maxscore.top_k(empty).collect() == []
