@@ -2,8 +2,10 @@
 
 A Parquet table cannot carry enforced constraints, so each check returns the
 offending keys as a DataFrame (empty when the data is clean) and
-:func:`enforce` raises when any check finds offenders. Both checks aggregate
-keys first: partial aggregation collapses a hot key map-side, and the
+:func:`enforce` raises when any check finds offenders. Whole-number and date keys
+are checked as words of 64 bits (:mod:`starloom.operators.key_words`), so a clean table
+shuffles its words alone. Tables that lie bucketed on the key are checked where they lie, and other keys (texts,
+several columns) are grouped: partial aggregation collapses a hot key map-side, and the
 anti-join then runs over distinct keys only.
 """
 
@@ -15,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators import key_words
+
 REPORT_SCHEMA = "check string, key string, n_rows bigint"
 
 
@@ -23,9 +27,13 @@ def _key_text(cols: Sequence[str]):
     return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
 
 
-def primary_key_violations(df: DataFrame, key: str | Sequence[str], name: str = "") -> DataFrame:
-    """K5: keys that are null or occur more than once, with their row count."""
+def primary_key_violations(df: DataFrame, key: str | Sequence[str], name: str = "", in_place: bool = False) -> DataFrame:
+    """K5: keys that are null or occur more than once, with their row count. ``in_place`` says that the
+    table lies partitioned on the key, so grouping it moves nothing."""
     cols = [key] if isinstance(key, str) else list(key)
+    if len(cols) == 1 and not in_place and key_words.is_whole(df, cols[0]):
+        return key_words.repeated_or_null(df, cols[0]).select(
+            F.lit(name or f"pk({cols[0]})").alias("check"), _key_text(["key"]).alias("key"), F.col("n_rows").cast("bigint"))
     any_null = F.lit(False)
     for c in cols:
         any_null = any_null | F.col(c).isNull()
@@ -39,12 +47,7 @@ def foreign_key_violations(child: DataFrame, child_key: str, parent: DataFrame,
                            name: str = "") -> DataFrame:
     """K6: non-null child keys with no parent row (null child keys are
     allowed), with the number of child rows carrying each."""
-    keys = (child.where(F.col(child_key).isNotNull())
-            .groupBy(F.col(child_key).alias("__k")).agg(F.count(F.lit(1)).alias("n_rows")))
-    parents = parent.select(F.col(parent_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    orphans = keys.join(parents, "__k", "left_anti")
-    return orphans.select(F.lit(name or f"fk({child_key})").alias("check"), F.col("__k").cast("string").alias("key"),
-                          F.col("n_rows").cast("bigint"))
+    return _orphans([(name or f"fk({child_key})", child, child_key)], parent, parent_key, in_place=False)
 
 
 @dataclass(frozen=True)
@@ -91,31 +94,50 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _in_place(tables: Mapping[str, DataFrame], table: str, key: str) -> bool:
+    laid_out = getattr(tables, "laid_out", None)
+    return bool(laid_out and laid_out(table, key))
+
+
 def check_primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str] = PRIMARY_KEYS) -> DataFrame:
-    return _union([primary_key_violations(tables[t], k, f"{t}.{k}") for t, k in keys.items()])
+    return _union([primary_key_violations(tables[t], k, f"{t}.{k}", _in_place(tables, t, k)) for t, k in keys.items()])
+
+
+def _orphans(children: Sequence[tuple[str, DataFrame, str]], parent: DataFrame, parent_key: str,
+             in_place: bool) -> DataFrame:
+    """The report of the foreign keys ``children`` (check, table, column) on one parent key. The checks'
+    rows are united and counted together, with one count a check, and the counts are unpivoted.
+
+    A parent that lies partitioned on its key stays where it is: the children's keys, grouped first, are
+    shuffled to it once. Else whole numbers and dates are compared as words."""
+    names = [name for name, _, _ in children]
+    types = {df.schema[key].dataType for _, df, key in children} | {parent.schema[parent_key].dataType}
+    if not in_place and len(types) == 1 and key_words.is_whole(parent, parent_key):
+        orphans = key_words.orphans([(df, key) for _, df, key in children], parent, parent_key)
+        is_date = parent.schema[parent_key].dataType.typeName() == "date"
+        text = (F.date_from_unix_date(F.col("key").cast("int")) if is_date else F.col("key")).cast("string")
+    else:
+        united = _union([df.where(F.col(key).isNotNull()).select(F.lit(i).alias("__i"), F.col(key).alias("__k"))
+                         for i, (_, df, key) in enumerate(children)])
+        keys = united.groupBy("__k").agg(*[F.count_if(F.col("__i") == i).alias(f"n{i}") for i in range(len(children))])
+        known = parent.select(F.col(parent_key).alias("__k")).where(F.col("__k").isNotNull())
+        orphans = keys.join(known, "__k", "left_anti")
+        text = F.col("__k").cast("string")
+    counts = F.explode(F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"n{i}").alias("n"))
+                                 for i, name in enumerate(names)]))
+    return orphans.select(text.alias("key"), counts.alias("c")).where("c.n > 0").select(
+        "c.check", "key", F.col("c.n").cast("bigint").alias("n_rows"))
 
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey] = FOREIGN_KEYS) -> DataFrame:
-    """All foreign keys, one anti-join per distinct parent key: the child keys
-    of every check on that parent are united and grouped by the key alone, with one
-    conditional count for each check; the anti-join uses the same partitioning, so child
-    keys are shuffled once. The checks' counts are then unpivoted."""
+    """All foreign keys, one comparison for each parent key, whatever the number of its children."""
     by_parent: dict[tuple[str, str], list[ForeignKey]] = {}
     for f in fks:
         by_parent.setdefault((f.parent, f.parent_key), []).append(f)
-    parts = []
-    for (parent, pkey), group in by_parent.items():
-        children = _union([
-            tables[f.child].where(F.col(f.child_key).isNotNull()).select(F.lit(i).alias("__i"), F.col(f.child_key).alias("__k"))
-            for i, f in enumerate(group)])
-        keys = children.groupBy("__k").agg(*[F.count_if(F.col("__i") == i).alias(f"n{i}") for i in range(len(group))])
-        parents = tables[parent].select(F.col(pkey).alias("__k")).where(F.col("__k").isNotNull())
-        orphans = keys.join(parents, "__k", "left_anti")
-        counts = F.explode(F.array(*[F.struct(F.lit(f"{f.child}.{f.child_key}->{f.parent}.{f.parent_key}").alias("check"),
-                                              F.col(f"n{i}").alias("n")) for i, f in enumerate(group)]))
-        parts.append(orphans.select("__k", counts.alias("c")).where("c.n > 0").select(
-            "c.check", F.col("__k").cast("string").alias("key"), F.col("c.n").cast("bigint").alias("n_rows")))
-    return _union(parts)
+    return _union([
+        _orphans([(f"{f.child}.{f.child_key}->{f.parent}.{f.parent_key}", tables[f.child], f.child_key) for f in group],
+                 tables[parent], key, _in_place(tables, parent, key))
+        for (parent, key), group in by_parent.items()])
 
 
 class IntegrityError(Exception):

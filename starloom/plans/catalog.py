@@ -461,6 +461,18 @@ def k5_seeded_keys(spark, base):
     return quality.check_primary_keys({"lines": lines, "orders": orders}, {"lines": "l_orderkey", "orders": "o_orderkey"})
 
 
+def k6_seeded_keys(spark, base):
+    """K6/J10 with offenders: lines and, as a second child of the same parent, orders, checked
+    against orders without every ninety-seventh and without the null ones that every hundredth has."""
+    lines = spark.read.parquet(table_path(base, "lineitem")).select("l_orderkey")
+    orders = spark.read.parquet(table_path(base, "orders")).select("o_orderkey")
+    known = orders.select(F.when(F.col("o_orderkey") % 100 != 0, F.col("o_orderkey")).alias("o_orderkey")).where(
+        "o_orderkey IS NULL OR o_orderkey % 97 <> 0")
+    fks = [quality.ForeignKey("lines", "l_orderkey", "known", "o_orderkey"),
+           quality.ForeignKey("orders", "o_orderkey", "known", "o_orderkey")]
+    return quality.check_foreign_keys({"lines": lines, "orders": orders, "known": known}, fks)
+
+
 def _exported(spark, base) -> etl.SheetPaths:
     """The derived sheets as exported CSV folders."""
     sheets = build(spark, base).sheets
@@ -512,6 +524,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k3_reload": k3_reload,
         "k3_failed_reload": k3_failed_reload,
         "k5_seeded_keys": k5_seeded_keys,
+        "k6_seeded_keys": k6_seeded_keys,
         "d2_mapped_states": d2_mapped_states,
         "etl_job": etl_job,
         "r1_rule_job": r1_rule_job,

@@ -513,6 +513,11 @@ SELECT *, CAST(5 AS BIGINT) AS catalog_tables, true AS refused, CAST(0 AS BIGINT
 SELECT 'lines.l_orderkey' AS "check", CAST(l_orderkey AS VARCHAR) AS key, count(*) AS n_rows FROM lineitem
 GROUP BY l_orderkey HAVING count(*) > 1
 UNION ALL SELECT 'orders.o_orderkey', 'NULL', count(*) FROM orders WHERE o_orderkey % 100 = 0 HAVING count(*) > 0""",
+        "k6_seeded_keys": """
+SELECT 'lines.l_orderkey->known.o_orderkey' AS "check", CAST(l_orderkey AS VARCHAR) AS key, count(*) AS n_rows FROM lineitem
+WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 100 <> 0 AND o_orderkey % 97 <> 0) GROUP BY l_orderkey
+UNION ALL SELECT 'orders.o_orderkey->known.o_orderkey', CAST(o_orderkey AS VARCHAR), count(*) FROM orders
+WHERE o_orderkey % 100 = 0 OR o_orderkey % 97 = 0 GROUP BY o_orderkey""",
         "d2_mapped_states": """
 SELECT DISTINCT state_id, CASE state_id
     WHEN 'NSW' THEN 'New South Wales' WHEN 'VIC' THEN 'Victoria' WHEN 'QLD' THEN 'Queensland'

@@ -136,6 +136,10 @@ class Warehouse(dict):
 
     buckets: int | None = None
 
+    def laid_out(self, name: str, key: str) -> bool:
+        """Whether table ``name`` lies bucketed on column ``key``."""
+        return bool(self.buckets) and name in CRASH_GRAIN and key == BUCKET_KEY
+
 
 def read_warehouse(spark: SparkSession, locations: Mapping[str, str]) -> Warehouse:
     out = Warehouse()
