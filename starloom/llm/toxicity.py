@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,10 +95,19 @@ def distinct_features(texts: list[str | None], bits: int) -> Iterator[np.ndarray
             yield part & ((1 << bits) - 1)
 
 
+def packed(found: np.ndarray) -> bytes:
+    """Ascending features as compressed differences: the training rows are shuffled in every round."""
+    return zstandard.ZstdCompressor().compress(np.diff(found, prepend=0).astype("<u4").tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<u4").astype(np.int64))
+
+
 def _featured(bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [x.tolist() for x in distinct_features(batch["text"].tolist(), bits)]
+            found = [packed(x) for x in distinct_features(batch["text"].tolist(), bits)]
             yield batch.drop(columns="text").assign(features=found)
 
     return run
@@ -107,7 +117,7 @@ def _train(settings: Settings, z: np.ndarray, n: np.ndarray, turn: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         model = Ftrl(settings, z, n)
         rows = rows.sort_values(["order", "doc_id"])
-        texts = [np.array(x, np.int64) for x in rows["features"]]
+        texts = [unpacked(x) for x in rows["features"]]
         labels = rows["label"].to_numpy()
         for k in range(settings.passes):
             for i in np.random.default_rng([turn, k]).permutation(len(rows)):
@@ -125,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     order = F.xxhash64(F.lit("order"), "doc_id", "text")
     texts = (labelled_sample(docs.select("doc_id", "text"), labels, settings.sample)
              .select("doc_id", "text", F.col("label").cast("double").alias("label"), order.alias("order")))
-    rows = written(texts.mapInPandas(_featured(settings.bits), "doc_id long, label double, `order` long, features array<int>")
+    rows = written(texts.mapInPandas(_featured(settings.bits), "doc_id long, label double, `order` long, features binary")
                    .withColumn("shard", F.pmod("order", F.lit(settings.shards))), "labelled")
     model = Ftrl(settings)
     for turn in range(settings.rounds):

@@ -238,3 +238,13 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
         (rows.limit(0) if name == "documents" else rows).write.parquet(f"{tmp_path}/{name}.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "source", "n_tokens", "token_ids"] and out.collect() == []
+
+
+def test_toxicity_features_survive_packing():
+    import numpy as np
+
+    from starloom.llm.toxicity import distinct_features, packed, unpacked
+    for found in distinct_features([None, "", "one", "one two two one " * 3000, "漢 é " + "x" * 5000], 18):
+        assert np.array_equal(unpacked(packed(found)), found)
+    ends = np.array([0, (1 << 18) - 1])
+    assert np.array_equal(unpacked(packed(ends)), ends)
