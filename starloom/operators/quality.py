@@ -4,8 +4,8 @@ A Parquet table cannot carry enforced constraints, so each check returns the
 offending keys as a DataFrame (empty when the data is clean) and
 :func:`enforce` raises when any check finds offenders. Whole-number and date keys
 are checked as words of 64 bits (:mod:`starloom.operators.key_words`), so a clean table
-shuffles its words alone. Tables that lie bucketed on the key are checked where they lie, and other keys (texts,
-several columns) are grouped: partial aggregation collapses a hot key map-side, and the
+shuffles its words alone. Tables that lie bucketed on the key or have few keys (days, areas) are grouped, and so are other keys (texts,
+several columns): partial aggregation collapses a hot key map-side, and the
 anti-join then runs over distinct keys only.
 """
 
@@ -29,7 +29,7 @@ def _key_text(cols: Sequence[str]):
 
 def primary_key_violations(df: DataFrame, key: str | Sequence[str], name: str = "", in_place: bool = False) -> DataFrame:
     """K5: keys that are null or occur more than once, with their row count. ``in_place`` says that the
-    table lies partitioned on the key, so grouping it moves nothing."""
+    table lies partitioned on the key or has few keys, so grouping it moves next to nothing."""
     cols = [key] if isinstance(key, str) else list(key)
     if len(cols) == 1 and not in_place and key_words.is_whole(df, cols[0]):
         return key_words.repeated_or_null(df, cols[0]).select(
@@ -95,8 +95,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _in_place(tables: Mapping[str, DataFrame], table: str, key: str) -> bool:
-    laid_out = getattr(tables, "laid_out", None)
-    return bool(laid_out and laid_out(table, key))
+    in_place = getattr(tables, "groups_in_place", None)
+    return bool(in_place and in_place(table, key))
 
 
 def check_primary_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str] = PRIMARY_KEYS) -> DataFrame:
@@ -108,7 +108,7 @@ def _orphans(children: Sequence[tuple[str, DataFrame, str]], parent: DataFrame,
     """The report of the foreign keys ``children`` (check, table, column) on one parent key. The checks'
     rows are united and counted together, with one count a check, and the counts are unpivoted.
 
-    A parent that lies partitioned on its key stays where it is: the children's keys, grouped first, are
+    A parent that lies partitioned on its key (or has few keys) stays where it is: the children's keys, grouped first, are
     shuffled to it once. Else whole numbers and dates are compared as words."""
     names = [name for name, _, _ in children]
     types = {df.schema[key].dataType for _, df, key in children} | {parent.schema[parent_key].dataType}

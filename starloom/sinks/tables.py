@@ -31,6 +31,8 @@ from starloom.session import delete_path, path_exists, scratch_path
 # Tables keyed by crash that share one bucketing.
 CRASH_GRAIN = ("fact_crashes", "dim_time", "dim_vehicle", "dim_event", "dim_road")
 BUCKET_KEY = "crash_id"
+# Tables with a row a day, state or area, whatever the number of crashes.
+FEW_KEYS = ("dim_date", "dim_state", "dim_lga", "fact_number")
 BUCKETS_KEY = "__buckets__"
 #: Manifest of a warehouse: one row for each load that was made current.
 LOADS = "_loads"
@@ -136,9 +138,10 @@ class Warehouse(dict):
 
     buckets: int | None = None
 
-    def laid_out(self, name: str, key: str) -> bool:
-        """Whether table ``name`` lies bucketed on column ``key``."""
-        return bool(self.buckets) and name in CRASH_GRAIN and key == BUCKET_KEY
+    def groups_in_place(self, name: str, key: str) -> bool:
+        """Whether grouping ``key`` of table ``name`` moves next to nothing: the table lies bucketed on it,
+        or has a row a day, state or area, so each task is left with few keys."""
+        return name in FEW_KEYS or (bool(self.buckets) and name in CRASH_GRAIN and key == BUCKET_KEY)
 
 
 def read_warehouse(spark: SparkSession, locations: Mapping[str, str]) -> Warehouse:
