@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_path
+from starloom.session import SCRATCH_CODEC, scratch_path
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -25,8 +25,10 @@ def _cols(order: str | Column | Sequence[str | Column]) -> list[Column]:
 
 
 def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_col: str,
-              num_partitions: int | None = None, break_ties: bool = False) -> DataFrame:
-    """``range(0, len(df))`` in the order given by ``order``.
+              num_partitions: int | None = None, break_ties: bool = False,
+              columns: Sequence[str] | None = None) -> DataFrame:
+    """``range(0, len(df))`` in the order given by ``order``. The result has the ``columns`` of
+    ``df`` (by default all) and the id; the written copy holds no others.
 
     Distributed, with no single-task window:
 
@@ -66,10 +68,12 @@ def dense_ids(df: DataFrame, order: str | Column | Sequence[str | Column], id_co
               .withColumn("__pid", F.shiftright(F.col("__mid"), 33))
               .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit(_LOW_BITS)))
               .drop("__mid", "__tie"))
+    if columns is not None:
+        ranged = ranged.select(*columns, "__pid", "__pos")
     # One written copy (Parquet under spark.checkpoint.dir): counts and ids
     # both read it, the count pass only its partition-id column.
     path = scratch_path(spark, "dense-ids")
-    ranged.write.mode("overwrite").parquet(path)
+    ranged.write.mode("overwrite").parquet(path, compression=SCRATCH_CODEC)
     ranged = spark.read.parquet(path)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # The counts table has one row per range partition: bounded by n.

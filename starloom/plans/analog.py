@@ -21,12 +21,16 @@ collides after cleaning and is identical (dropped); ``Time of day`` differs from
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import conform as cf
+from starloom.operators import quality
+from starloom.operators.keys import dense_ids
+from starloom.session import once
 from starloom.sources.tables import table_path
 
 ROW = "_row"
@@ -80,26 +84,56 @@ class Tables:
         return df.select(*columns) if columns else df
 
 
+#: Tables that lines and orders are joined to, with the key.
+JOINED_KEYS = {"part": "p_partkey", "orders": "o_orderkey", "customer": "c_custkey", "nation": "n_nationkey",
+               "region": "r_regionkey"}
+
+
 @dataclass
 class Sheets:
-    fatality: DataFrame
+    numbered: Callable[[], DataFrame]  # the fatality sheet in its order; numbers the lines
+    unordered: DataFrame  # the fatality sheet without its order column
     crash: DataFrame
     fatality_counts: DataFrame
     crash_counts: DataFrame
     dwellings: DataFrame
     hot: dict  # crash keys too large for one task of a join, with their parts
+    tables: Tables
+
+    def row_for_row(self, conformed: DataFrame) -> bool:
+        """Whether the conformed frame has each line once, so that ``_row`` numbers its rows densely. No line
+        comes twice if no key that a sheet is joined on repeats, and then none is lost if there are as many rows."""
+        found = quality.check_primary_keys({name: self.tables(name, (key,)) for name, key in JOINED_KEYS.items()}, JOINED_KEYS)
+        return found.isEmpty() and conformed.count() == self.tables("lineitem").count()
+
+    @property
+    def fatality(self) -> DataFrame:
+        return self.numbered()
+
+
+#: The line columns that the fatality sheet is made of; the order takes all.
+LINE_COLUMNS = ("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def numbered_lines(t: Tables) -> DataFrame:
+    """The lines with ``_row``, their dense number in the order of all line columns. Joins, sorts and
+    aggregates downstream then carry one long instead of the eleven columns. Identical lines are
+    told apart by their place in the files."""
+    return dense_ids(t("lineitem", LINEITEM_ORDER), LINEITEM_ORDER, ROW, break_ties=True, columns=LINE_COLUMNS)
+
+
+def placed_lines(t: Tables) -> DataFrame:
+    """The lines with a hash of their place in the files, by which a hot order is split."""
+    return t("lineitem").select(*LINE_COLUMNS, F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place"))
 
 
-def fatality_sheet(t: Tables, hot: dict) -> DataFrame:
-    # The source position (file, row index) ends the order key: it breaks
-    # ties between identical lines deterministically, so ``_row`` is unique.
-    li = t("lineitem").select(
-        *LINEITEM_ORDER, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__pos"))
+def fatality_sheet(t: Tables, lines: DataFrame, hot: dict) -> DataFrame:
+    """The sheet over :func:`numbered_lines`, in their order, or over :func:`placed_lines`."""
     part = t("part", ("p_partkey", "p_type", "p_size"))
     orders = t("orders", ("o_orderkey", "o_orderdate"))
     # A hot order is split before the first join on its key (see conform.salted_join).
-    spread = F.struct("__file", "__pos")
-    j = cf.salted_join(li.join(part, li.l_partkey == part.p_partkey), orders, "l_orderkey", "o_orderkey", "inner",
+    spread = F.col(ROW if ROW in lines.columns else "__place")
+    j = cf.salted_join(lines.join(part, lines.l_partkey == part.p_partkey), orders, "l_orderkey", "o_orderkey", "inner",
                        spread, hot)
     ship = F.col("l_shipdate")
     return j.select(
@@ -114,7 +148,7 @@ def fatality_sheet(t: Tables, hot: dict) -> DataFrame:
         F.when(F.col("l_linenumber") % 2 == 1, "Day").otherwise("Night").alias("Time of day"),
         F.col("p_type").alias("National Road Type"),
         christmas(F.col("o_orderdate")).alias("Christmas \nPeriod"),
-        F.struct(*[F.col(c) for c in (*LINEITEM_ORDER, "__file", "__pos")]).alias(ROW),
+        *[F.col(c) for c in lines.columns if c == ROW],
     )
 
 
@@ -193,5 +227,6 @@ def sheets(spark: SparkSession, base: str) -> Sheets:
     # every line has its part and order, so the lines' keys are the fatality sheet's
     lines = t("lineitem", ("l_orderkey",))
     hot = cf.heavy_keys(lines, "l_orderkey", cf.session_tasks(lines))
-    return Sheets(fatality_sheet(t, hot), crash_sheet(t), fatality_count_sheet(t), crash_count_sheet(t),
-                  dwellings_sheet(t), hot)
+    return Sheets(once(lambda: fatality_sheet(t, numbered_lines(t), hot)),
+                  fatality_sheet(t, placed_lines(t), hot), crash_sheet(t), fatality_count_sheet(t), crash_count_sheet(t),
+                  dwellings_sheet(t), hot, t)

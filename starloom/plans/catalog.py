@@ -48,7 +48,7 @@ class Build:
                                                              hot=self.sheets.hot))
         self._counts = wh.once(lambda: wh.conform_counts(self.sheets.fatality_counts, self.sheets.crash_counts))
         self.builders = wh.build_warehouse(lambda: self.conformed.frame, lambda: self.counts, self.sheets.dwellings,
-                                           deferred=True)
+                                           fatality_ids_from_row=lambda: self.sheets.row_for_row(self.conformed.frame), deferred=True)
 
     @property
     def conformed(self) -> wh.Conformed:
@@ -374,7 +374,7 @@ def p3_duplicate_columns(spark, base):
     later copy was dropped (equal values) or renamed ``_dup`` - decided by
     the data in the conform step."""
     b = build(spark, base)
-    merged_labels = cf.clean_labels(cf.merge(b.sheets.fatality, b.sheets.crash, "Crash ID")).labels
+    merged_labels = cf.clean_labels(cf.merge(b.sheets.unordered, b.sheets.crash, "Crash ID")).labels
     rows = [(merged_labels[later], "renamed" if differs else "dropped")
             for (_, later), differs in sorted(b.conformed.decisions.items())]
     return spark.createDataFrame(rows, "label string, action string")
@@ -485,7 +485,7 @@ def _exported(spark, base) -> etl.SheetPaths:
         flat.write.option("header", True).csv(f"{out}/{name}")
         return f"{out}/{name}"
 
-    fatality = sheets.fatality.drop("Time of day")
+    fatality = sheets.unordered.drop("Time of day")
     return etl.SheetPaths(export(fatality, "fatalities", "Crash ID"), export(sheets.crash, "crashes", "Crash ID"),
                           export(sheets.fatality_counts, "fatality_counts", "Date"),
                           export(sheets.crash_counts, "crash_counts", "Date"))

@@ -11,11 +11,11 @@ per-column decision of the duplicate-label step (P3).
 
 from __future__ import annotations
 
-import threading
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.scalar import (
@@ -30,7 +30,7 @@ from starloom.functions.scalar import (
 )
 from starloom.operators import conform as cf
 from starloom.operators.keys import dense_ids, keep_first
-from starloom.session import scratch_path
+from starloom.session import SCRATCH_CODEC, once, scratch_path
 
 ROW = cf.ROW
 
@@ -44,6 +44,20 @@ EVENT_FLAGS = ("Christmas Period", "Easter Period")
 DROPPED_DUPLICATE = "Time of day"
 
 
+def bucketed_copy(spark: SparkSession, df: DataFrame, key: str, name: str) -> DataFrame:
+    """``df`` written once to the scratch folder, bucketed and sorted on ``key`` in as many buckets as the
+    session shuffles into; rows that lie partitioned so are not moved. The catalog name that a
+    bucketed table needs is dropped when the copy is opened."""
+    path = scratch_path(spark, name)
+    table = f"starloom_{path.rsplit('/', 1)[1].replace('-', '_')}"
+    buckets = cf.session_tasks(df)
+    (df.repartition(buckets, F.col(f"`{key}`")).write.format("parquet").options(path=path, compression=SCRATCH_CODEC)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    copy = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return copy
+
+
 @dataclass
 class Conformed:
     """Result of B1: the wide fatality x crash frame and its side outputs."""
@@ -67,24 +81,28 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
     ``spark.checkpoint.dir`` (the reference exports it too); the
     duplicate-label decision is computed during that write, and every table
     built downstream reads the copy, each scanning only its own columns,
-    instead of re-running the join.
+    instead of re-running the join. Without hot keys and null matching the joined rows lie
+    partitioned on the key, so the copy is bucketed on it as it is and grouping by the key moves no rows.
     Physical column names are positional, so labels with spaces, newlines or
     case collisions need no escaping."""
+    if salt_buckets is not None and hot is None:
+        hot = cf.heavy_keys(fatality, key, salt_buckets or cf.session_tasks(fatality))
     merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe, salt_buckets=salt_buckets, hot=hot)
     if materialize:
         # The duplicate-label checks ride along with the write as observed
         # metrics (DataFrame.observe): no separate pass over the data.
         spark = merged.df.sparkSession
-        path = scratch_path(spark, "conformed")
         pairs, checks = cf.duplicate_label_checks(cf.clean_labels(merged))
-        if pairs:
-            obs = Observation("duplicate_labels")
-            merged.df.observe(obs, *checks).write.mode("overwrite").parquet(path)
-            decisions = cf.decisions_from(pairs, obs.get)
+        obs = Observation("duplicate_labels")
+        checked = merged.df.observe(obs, *checks) if pairs else merged.df
+        if salt_buckets is not None and not hot and not null_safe:
+            copy = bucketed_copy(spark, checked, merged.physical[merged.labels.index(key)], "conformed")
         else:
-            merged.df.write.mode("overwrite").parquet(path)
-            decisions = {}
-        merged = cf.LabeledFrame(spark.read.parquet(path), merged.labels)
+            path = scratch_path(spark, "conformed")
+            checked.write.mode("overwrite").parquet(path, compression=SCRATCH_CODEC)
+            copy = spark.read.parquet(path)
+        decisions = cf.decisions_from(pairs, obs.get) if pairs else {}
+        merged = cf.LabeledFrame(copy, merged.labels)
         cleaned = cf.clean_labels(merged)
     else:
         cleaned = cf.clean_labels(merged)
@@ -261,19 +279,6 @@ TABLES = ("dim_date", "dim_state", "dim_lga", "dim_time", "dim_vehicle", "dim_pe
           "dim_event", "dim_road", "fact_fatalities", "fact_crashes", "fact_number")
 
 
-
-def once(fn):
-    """Call ``fn`` at most once (thread-safe); later calls return its result."""
-    lock, box = threading.Lock(), []
-
-    def get():
-        with lock:
-            if not box:
-                box.append(fn())
-            return box[0]
-    return get
-
-
 #: The columns that the crash-grain tables take from the conformed frame.
 CRASH_COLUMNS = (CRASH_ID, "Time", "Time of Day", *VEHICLE_FLAGS, *EVENT_FLAGS, "Speed Limit", "National Road Type",
                  "Year", "Month", LGA_NAME, STATE)
@@ -281,15 +286,16 @@ CRASH_COLUMNS = (CRASH_ID, "Time", "Time of Day", *VEHICLE_FLAGS, *EVENT_FLAGS,
 
 def crash_grain(conformed: DataFrame) -> DataFrame:
     """The distinct crash descriptions, written once: five tables are distinct
-    projections of them and need not read the fatality grain."""
-    spark = conformed.sparkSession
-    path = scratch_path(spark, "crash-grain")
-    conformed.select(*[F.col(c) for c in CRASH_COLUMNS]).distinct().write.parquet(path)
-    return spark.read.parquet(path)
+    projections of them and need not read the fatality grain.
+
+    The copy lies bucketed on the crash key, so these projections, and a load in as many buckets, move no
+    rows. It is reduced before it is dealt to the buckets: a hot crash's rows are few by then."""
+    distinct = conformed.select(*[F.col(c) for c in CRASH_COLUMNS]).distinct()
+    return bucketed_copy(conformed.sparkSession, distinct, CRASH_ID, "crash-grain")
 
 
 def build_warehouse(conformed, counts, dwellings: DataFrame | None, parallel: int = 3,
-                    fatality_ids_from_row: bool = False, deferred: bool = False) -> dict:
+                    fatality_ids_from_row: bool | Callable[[], bool] = False, deferred: bool = False) -> dict:
     """All eleven tables as plans over the conformed frames.
 
     ``conformed`` and ``counts`` are DataFrames, or functions that make them on first use.
@@ -299,10 +305,11 @@ def build_warehouse(conformed, counts, dwellings: DataFrame | None, parallel: in
     returned. With ``deferred`` each table is returned as a builder (a no-argument
     callable) instead: a table's inputs are made when it is built, and a loader can start
     writing the tables that need no numbering while the numbering jobs still run
-    (see ``sinks.write_warehouse``). ``fatality_ids_from_row``: see
-    :func:`fact_fatalities`."""
+    (see ``sinks.write_warehouse``). ``fatality_ids_from_row`` (or a function that finds it
+    out on first use): see :func:`fact_fatalities`."""
     frame = once(conformed) if callable(conformed) else lambda: conformed
     days = once(counts) if callable(counts) else lambda: counts
+    from_row = fatality_ids_from_row if callable(fatality_ids_from_row) else lambda: fatality_ids_from_row
     crashes_of = once(lambda: crash_grain(frame()))
     lga = once(lambda: dim_lga(frame(), dwellings))
     builders = {
@@ -314,7 +321,7 @@ def build_warehouse(conformed, counts, dwellings: DataFrame | None, parallel: in
         "dim_person": lambda: dim_person(frame()),
         "dim_event": lambda: dim_event(crashes_of()),
         "dim_road": lambda: dim_road(crashes_of()),
-        "fact_fatalities": once(lambda: fact_fatalities(frame(), fatality_ids_from_row)),
+        "fact_fatalities": once(lambda: fact_fatalities(frame(), from_row())),
         "fact_crashes": once(lambda: fact_crashes(crashes_of(), lga())),
         "fact_number": once(lambda: fact_number(days())),
     }

@@ -72,9 +72,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def once(fn):
+    """Call ``fn`` at most once (thread-safe); later calls return its result."""
+    lock, box = threading.Lock(), []
+
+    def get():
+        with lock:
+            if not box:
+                box.append(fn())
+            return box[0]
+    return get
+
+
 _scopes, _made, _lock = 0, [], threading.Lock()
 
 
+#: Codec of large intermediate tables: they are written once and read a few times.
+SCRATCH_CODEC = "zstd"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

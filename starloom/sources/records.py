@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.session import scratch_path
+from starloom.session import SCRATCH_CODEC, scratch_path
 
 #: Where a record lies: file, start of the split it begins in, and its number among the
 #: records that begin there (blank lines are no records).
@@ -185,7 +185,7 @@ def quoted_records(spark: SparkSession, path: str, dialect: Dialect = Dialect())
     # one row per input split: the input's size over the split size bounds them
     parts = lines.join(F.broadcast(split_starts(ends)), ["file", "block"]).mapInArrow(_joined(dialect), _PARTS)
     out = scratch_path(spark, "records")
-    parts.write.parquet(out)
+    parts.write.parquet(out, compression=SCRATCH_CODEC)
     parts = spark.read.schema(_PARTS).parquet(out)
     # two pieces a split at most: the last one's end, and the next one's beginning
     cut = parts.where("not (opened and closed)").withColumn("chain", F.sum(F.col("opened").cast("int")).over(
