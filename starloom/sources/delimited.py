@@ -65,7 +65,7 @@ def header_record(spark: SparkSession, path: str, key: str, records: DataFrame |
     ``records`` are the records of ``path``, where they are at hand (:func:`quoted_records`)."""
     records = quoted_records(spark, path) if records is None else records
     cell = "(?s)^(.*[,\\n])?\"?" + _quoted(key) + "\"?([,\\r\\n].*)?$"
-    found = records.where(F.col("record").rlike(cell)).orderBy(*AT).limit(1).select("record").collect()
+    found = records.where(F.col("record").contains(key) & F.col("record").rlike(cell)).orderBy(*AT).limit(1).select("record").collect()
     if not found:
         raise ValueError(f"{path}: no record has a cell {key!r}")
     return found[0][0]
@@ -111,11 +111,11 @@ def read_sheet_csv(spark: SparkSession, path: str, schema: StructType | str, hea
                 .withColumn(ROW, F.struct("file", "block", F.col("nth").alias("pos"))))
     cells = F.from_csv("record", ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in internal.fields),
                        {"mode": "PERMISSIVE", **Dialect().options(), **(options or {})})
-    df = body.select(cells.alias("__r"), ROW).select("__r.*", ROW)
-    for i, f in enumerate(st.fields):
-        if f.name in integers:
-            df = df.withColumn(f"_c{i}", _integer(F.col(f"_c{i}"), f.dataType.simpleString()))
-    return df.toDF(*labels, ROW)
+    # generated, so a record is parsed once: a filter on its cells would else be pushed below the
+    # projection, with a copy of the parser for each cell that it mentions
+    df = body.select(ROW, F.inline(F.array(cells)))
+    return df.select(*[(_integer(F.col(f"_c{i}"), f.dataType.simpleString()) if f.name in integers else F.col(f"_c{i}"))
+                       .alias(label) for i, (f, label) in enumerate(zip(st.fields, labels))], ROW)
 
 
 # Where the records of the dwellings file lie, and its columns.

@@ -13,7 +13,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -71,12 +73,13 @@ def ends_inside(line: str, inside: bool, dialect: Dialect = Dialect()) -> bool:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     """(file, block, rows of them) of consecutive lines of one split."""
     for batch in batches:
-        files, blocks = batch.column("file").to_pylist(), batch.column("block").to_pylist()
-        first = 0
-        for i in range(1, batch.num_rows + 1):
-            if i == batch.num_rows or blocks[i] != blocks[first] or files[i] != files[first]:
-                yield files[first], blocks[first], batch.slice(first, i - first)
-                first = i
+        if not batch.num_rows:
+            continue
+        files, blocks = batch.column("file"), batch.column("block")
+        other = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(blocks[1:], blocks[:-1]))
+        firsts = [0, *(np.flatnonzero(other.to_numpy(zero_copy_only=False)) + 1).tolist()]
+        for first, end in zip(firsts, [*firsts[1:], batch.num_rows]):
+            yield files[first].as_py(), blocks[first].as_py(), batch.slice(first, end - first)
 
 
 def _functions(dialect: Dialect):
@@ -90,9 +93,9 @@ def _functions(dialect: Dialect):
                 if key is not None:
                     out.append((*key, *ends))
                 key, ends = (file, block), [False, True]
-            for line in rows.column("value").to_pylist():
-                if dialect.quote in line:
-                    ends = [ends_inside(line, e, dialect) for e in ends]
+            values = rows.column("value")
+            for line in values.filter(pc.match_substring(values, dialect.quote)).to_pylist():
+                ends = [ends_inside(line, e, dialect) for e in ends]
         if key is not None:
             out.append((*key, *ends))
         columns = list(zip(*out)) or [()] * 4

@@ -90,3 +90,13 @@ def test_conformed_frame_without_null_matching_is_bucketed(spark):
     assert "Exchange" not in plan_text(lying.groupBy("Crash ID").count())
     assert sorted(map(str, plain.collect())) == sorted(map(str, lying.collect()))
     assert not [t.name for t in spark.catalog.listTables() if "conformed" in t.name]
+
+
+def test_each_record_is_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "sheet")
+    write_csv(spark.createDataFrame([("a", "1"), ("b", None), ("c, d", "x\ny")], "k string, v string"), path)
+    sheet = read_sheet_csv(spark, path, "k string, v string")
+    kept = sheet.where("v is not null and k <> 'b'").where(F.length("v") > 0)
+    text = plan_text(kept, "extended")
+    assert text[text.index("== Optimized"):text.index("== Physical")].count("from_csv") == 1
+    assert sorted((r.k, r.v) for r in kept.collect()) == [("a", "1"), ("c, d", "x\ny")]
