@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starloom.operators import quality
 from starloom.operators.conform import SALT_BUCKETS
@@ -47,9 +48,15 @@ def read_exported_sheet(spark: SparkSession, path: str, types: Mapping[str, str]
 
 
 def key_is_unique(df: DataFrame, key: str) -> bool:
-    """True if no key value (null included) occurs twice: one aggregate over
-    the keys, at most one row returned."""
-    return df.groupBy(key).count().where("count > 1").limit(1).count() == 0
+    """True if no key value (null included) occurs twice."""
+    return key_facts(df, key)[0]
+
+
+def key_facts(df: DataFrame, key: str) -> tuple[bool, bool]:
+    """Whether no key value (null included) occurs twice, and whether a key is null: one aggregate
+    over the keys, one row returned."""
+    most, null = df.groupBy(key).count().agg(F.max("count"), F.max(F.col(key).isNull())).first()
+    return (most or 0) < 2, bool(null)
 
 
 @dataclass
@@ -95,14 +102,15 @@ def _run(spark: SparkSession, paths: SheetPaths, out: str, buckets: int | None,
     # sorting the largest table; otherwise the general numbering runs.
     fat = read_exported_sheet(spark, paths.fatalities, RECORD_TYPES, "Crash ID", dense_order=True)
     crash = read_exported_sheet(spark, paths.crashes, RECORD_TYPES, "Crash ID")
-    one_to_one = key_is_unique(crash, "Crash ID")
+    one_to_one, null_keys = key_facts(crash, "Crash ID")
     if one_to_one:
         crash = crash.drop("_row")
     fcount = read_exported_sheet(spark, paths.fatality_counts, COUNT_TYPES, "Date")
     ccount = read_exported_sheet(spark, paths.crash_counts, COUNT_TYPES, "Date")
     dwell = read_trimmed_csv(spark, paths.dwellings) if paths.dwellings else None
 
-    conformed = wh.conform_records(fat, crash, salt_buckets=salt_buckets)
+    # without a null crash key there is nothing that a null fatality key could match
+    conformed = wh.conform_records(fat, crash, null_safe=null_keys, salt_buckets=salt_buckets)
     counts = wh.conform_counts(fcount, ccount)
     processed = {name: f"{out}/processed/{name}" for name in ("records", "daily_counts", "conflicts")}
     write_csv(conformed.frame.drop(wh.ROW), processed["records"])

@@ -100,3 +100,13 @@ def test_each_record_is_parsed_once(spark, tmp_path):
     text = plan_text(kept, "extended")
     assert text[text.index("== Optimized"):text.index("== Physical")].count("from_csv") == 1
     assert sorted((r.k, r.v) for r in kept.collect()) == [("a", "1"), ("c, d", "x\ny")]
+
+
+def test_etl_knows_whether_crash_keys_are_null(spark):
+    from starloom.plans import etl
+
+    def facts(*keys):
+        return etl.key_facts(spark.createDataFrame([(k,) for k in keys], "k bigint"), "k")
+
+    assert [facts(), facts(1, 2), facts(1, 1), facts(1, None), facts(None, None)] == [
+        (True, False), (True, False), (False, False), (True, True), (False, True)]
