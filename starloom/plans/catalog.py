@@ -291,7 +291,8 @@ def split_bytes(spark, size):
 def s1_sheet_header(spark, base):
     """An exported sheet with four banner lines, labels with a line break or differing in
     case alone, keys that are blank or no number, and cells with line breaks, commas and quotes
-    that split borders cut (the files are read in splits of 64 KB), read back with every record kept."""
+    that split borders cut (the files are read in splits of 64 KB, or up to 1 MB as the table grows), read back
+    with every record kept."""
     orders = spark.read.parquet(f"{base.rstrip('/')}/orders.parquet").select("o_orderkey", "o_orderpriority", "o_orderstatus")
     key = F.when(F.col("o_orderkey") % 50 == 0, "").when(F.col("o_orderkey") % 51 == 0, "n/a").otherwise(
         F.col("o_orderkey").cast("string"))
@@ -303,8 +304,10 @@ def s1_sheet_header(spark, base):
     head = spark.createDataFrame([(0, i, t) for i, t in enumerate("\n".join(top).split("\n"))],
                                  "part int, at bigint, value string")
     path = scratch_path(spark, "sheet-text")
-    (head.unionByName(lines).repartitionByRange(5, "part", "at").sortWithinPartitions("part", "at").select("value").write.text(path))
-    with split_bytes(spark, 64 << 10):
+    rows = orders.count()
+    files, split = max(5, -(-rows // 1_000_000)), (64 << 10) * min(16, max(1, rows // 200_000))
+    (head.unionByName(lines).repartitionByRange(files, "part", "at").sortWithinPartitions("part", "at").select("value").write.text(path))
+    with split_bytes(spark, split):
         sheet = etl.read_exported_sheet(spark, path, {"Crash ID": "bigint"}, "Crash ID", dense_order=True)
     return sheet.toDF("crash_id", "priority", "status", "status_again", "row_no")
 

@@ -110,3 +110,17 @@ def test_etl_knows_whether_crash_keys_are_null(spark):
 
     assert [facts(), facts(1, 2), facts(1, 1), facts(1, None), facts(None, None)] == [
         (True, False), (True, False), (False, False), (True, True), (False, True)]
+
+
+def test_sheet_splits_grow_with_the_table(spark, tmp_path, monkeypatch):
+    spark.range(450_000).select(F.col("id").alias("o_orderkey"), F.lit("1").alias("o_orderpriority"),
+                                F.lit("O").alias("o_orderstatus")).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = []
+
+    def reader(spark, path, *args, **kwargs):
+        seen.append(int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b")))
+        return spark.createDataFrame([(1, "", "", "", 0)], "a int, b string, c string, d string, e int")
+
+    monkeypatch.setattr(catalog.etl, "read_exported_sheet", reader)
+    catalog.s1_sheet_header(spark, str(tmp_path))
+    assert seen == [128 << 10]
