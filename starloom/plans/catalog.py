@@ -477,7 +477,8 @@ def k6_seeded_keys(spark, base):
 
 
 def _exported(spark, base) -> etl.SheetPaths:
-    """The derived sheets as exported CSV folders."""
+    """The derived sheets as exported CSV folders, compressed; each file is read by one task (the sheet of
+    :func:`s1_sheet_header` and the processed export are split)."""
     sheets = build(spark, base).sheets
     out = scratch_path(spark, "exported")
 
@@ -485,7 +486,7 @@ def _exported(spark, base) -> etl.SheetPaths:
         # The fatality sheet's place is its order; every file has its own header line.
         labels = [c for c in df.columns if c != cf.ROW]
         flat = df.select(*[F.col(f"`{c}`").alias(c.replace("\n", "")) for c in labels])
-        flat.write.option("header", True).csv(f"{out}/{name}")
+        flat.write.option("header", True).csv(f"{out}/{name}", compression="gzip")
         return f"{out}/{name}"
 
     fatality = sheets.unordered.drop("Time of day")

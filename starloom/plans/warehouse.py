@@ -87,6 +87,9 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
     case collisions need no escaping."""
     if salt_buckets is not None and hot is None:
         hot = cf.heavy_keys(fatality, key, salt_buckets or cf.session_tasks(fatality))
+    bucketed = materialize and salt_buckets is not None and not hot and not null_safe
+    if bucketed:  # a broadcast join would leave the rows where they are, and move them after it with all columns
+        crash = crash.hint("merge")
     merged = cf.merge(fatality, crash, key, how="left", null_safe=null_safe, salt_buckets=salt_buckets, hot=hot)
     if materialize:
         # The duplicate-label checks ride along with the write as observed
@@ -95,7 +98,7 @@ def conform_records(fatality: DataFrame, crash: DataFrame, key: str = CRASH_ID,
         pairs, checks = cf.duplicate_label_checks(cf.clean_labels(merged))
         obs = Observation("duplicate_labels")
         checked = merged.df.observe(obs, *checks) if pairs else merged.df
-        if salt_buckets is not None and not hot and not null_safe:
+        if bucketed:
             copy = bucketed_copy(spark, checked, merged.physical[merged.labels.index(key)], "conformed")
         else:
             path = scratch_path(spark, "conformed")
