@@ -3,8 +3,9 @@
 Text is cut into pre-tokens (letter runs, digit runs, other runs, white space,
 contractions) by array operations over the code points. A minimal perfect hash
 over the vocabulary resolves every pre-token that is itself a token. The others
-are merged once for each distinct pre-token of a chunk: a heap of adjacent
-pairs over a linked list of bytes, lowest rank first.
+are merged once for each distinct pre-token of a chunk, lowest rank first: those of
+like length together, one join of each a round, by array operations; long or
+single ones by a heap of adjacent pairs over a linked list of bytes.
 
 The vocabulary file has one "base64(token) rank" line a token; it is read on the
 driver and broadcast (its size is a property of the vocabulary, under 1 MB here).
@@ -13,7 +14,6 @@ driver and broadcast (its size is a property of the vocabulary, under 1 MB here)
 from __future__ import annotations
 
 import base64
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -28,8 +28,12 @@ from starloom.llm.wordhash import mix, span_hashes
 
 #: Characters handled at once.
 CHUNK = 800_000
-#: Merged pre-tokens that a Python worker keeps in each of two generations.
-CACHE = 1 << 17
+#: Pre-tokens of up to so many bytes are merged together, a table for each width.
+WIDTHS = (8, 12, 16, 24, 32, 48, 64, 96, 128)
+#: Pre-tokens of a width from which a table is worth its rounds.
+FEW = 32
+#: Places that a table has, about; this bounds the memory of a merge.
+PLACES = 1 << 18
 _SEED = np.uint64(0xA0761D6478BD642F)
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 
@@ -139,6 +143,59 @@ class PerfectHash:
         return self.index[np.where(shift < 0, -shift - 1, place)]
 
 
+class Pairs:
+    """The token that two adjacent parts make. Parts are token ids; larger numbers stand
+    for bytes that are no token, and ``nothing`` for the place before or after a pre-token."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.nothing = max(ranks.values()) + 1
+        part = {bytes([b]): self.nothing + 1 + b for b in range(256)} | ranks
+        self.bytes = np.array([part[bytes([b])] for b in range(256)], np.int64)
+        self.base = self.nothing + 257
+        pairs = [(part[t[:i]] * self.base + part[t[i:]], r) for t, r in ranks.items()
+                 for i in range(1, len(t)) if t[:i] in part and t[i:] in part]
+        self.keys, self.ids = np.array(pairs, np.int64).reshape(-1, 2).T.copy()
+
+
+class Joins:
+    """Looks pairs up in a table with open addressing, a quarter full at most."""
+
+    def __init__(self, pairs: Pairs):
+        bits = max(int(4 * len(pairs.keys)).bit_length(), 4)
+        self.base, self.nothing = pairs.base, pairs.nothing
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.ids = np.full(1 << bits, -1, np.int64), np.full(1 << bits, self.nothing, np.int64)
+        todo, at = np.arange(len(pairs.keys)), self._at(pairs.keys)
+        while len(todo):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = pairs.keys[todo[free]]  # of several, one stays
+            here = self.keys[at] == pairs.keys[todo]
+            self.ids[at[here]] = pairs.ids[todo[here]]
+            todo, at = todo[~here], at[~here] + 1 & self.mask
+
+    def _at(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).view(np.int64)
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id each pair joins to, ``nothing`` if it is no token."""
+        keys = left * self.base + right
+        at = self._at(keys)
+        there = self.keys[at]
+        out = self.ids[at]
+        odd = np.flatnonzero(there != keys)
+        out[odd] = self.nothing
+        odd = odd[there[odd] >= 0]  # another pair has the place
+        at = at[odd]
+        while len(odd):
+            at = at + 1 & self.mask
+            there = self.keys[at]
+            hit = there == keys[odd]
+            out[odd[hit]] = self.ids[at[hit]]
+            on = ~hit & (there >= 0)
+            odd, at = odd[on], at[on]
+        return out
+
+
 def merged(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     """Ids of one pre-token: the adjacent pair of lowest rank, leftmost first, is
     joined until no pair is a token."""
@@ -212,7 +269,7 @@ def _distinct(data: np.ndarray, h: np.ndarray, starts: np.ndarray, ends: np.ndar
 class Codec:
     """Encoder and decoder of one vocabulary."""
 
-    def __init__(self, tokens: list[bytes], ids: list[int], find: PerfectHash | None = None):
+    def __init__(self, tokens: list[bytes], ids: list[int], find: PerfectHash | None = None, pairs: Pairs | None = None):
         self.ranks = dict(zip(tokens, ids))
         self.longest = max(map(len, tokens))
         self.data = np.frombuffer(b"".join(tokens), np.uint8)
@@ -225,25 +282,82 @@ class Codec:
         self.ids = np.array(ids, np.int32)
         self.of_id = np.empty(max(ids) + 1, object)
         self.of_id[ids] = tokens
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _misses(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """The ids, as bytes of 32-bit numbers, of pre-tokens outside the vocabulary."""
-        out, raw = [], data.tobytes()
-        for s, e in zip(starts.tolist(), ends.tolist()):
-            piece = raw[s:e]
-            found = self.young.get(piece)
-            if found is None:
-                found = self.old.get(piece)
-                if found is None:
-                    found = array("i", merged(piece, self.ranks, self.longest)).tobytes()
-                if len(piece) <= 64:  # a bound on the memory kept
-                    self.young[piece] = found
-                    if len(self.young) >= CACHE:
-                        self.old, self.young = self.young, {}
-            out.append(found)
-        return out
+        self.pairs = pairs or Pairs(self.ranks)
+        self.joins = Joins(self.pairs)
+        every = self.pairs.bytes
+        self.byte_pairs = self.joins(np.repeat(every, 256), np.tile(every, 256))
+
+    def _together(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, counts) of pre-tokens as ``merged`` has them: in each round the
+        leftmost pair of lowest rank of every pre-token is joined."""
+        n, width, nothing = len(starts), int(sizes.max()), self.joins.nothing
+        shift = (width + 2).bit_length()
+        rows = np.arange(width)[:, None] < sizes
+        spelled = data[np.minimum(starts + np.arange(width)[:, None], len(data) - 1)].astype(np.int64)
+        # by place and pre-token; a part lies where it begins, place 0 and those behind the end hold nothing
+        part = np.full((width + 2, n), nothing, np.int64)
+        part[1:-1][rows] = self.pairs.bytes[spelled[rows]]
+        # the pair that begins here: its rank, then its place, so that the least is the next to be joined
+        none = nothing << shift
+        rank = np.full((width + 2, n), none, np.int32 if none < 1 << 31 else np.int64)
+        both = rows[1:]
+        joined = self.byte_pairs[(spelled[:-1] << 8) + spelled[1:]]
+        place = np.arange(1, width)[:, None]
+        rank[1:-2] = np.where(both & (joined < nothing), (joined << shift) + place, none)
+        after = np.repeat(np.arange(1, width + 3), n).astype(np.int16)
+        before = np.repeat(np.arange(-1, width + 1), n).astype(np.int16)
+        flat, ranks = part.ravel(), rank.ravel()
+        while True:
+            least = rank.min(0)
+            of = np.flatnonzero(least < none)
+            if not len(of):
+                break
+            least = least[of].astype(np.int64)
+            here = least & (1 << shift) - 1
+            token = least >> shift
+            at = here * n + of
+            middle = after[at].astype(np.int64) * n + of
+            end = after[middle]
+            right = end.astype(np.int64) * n + of
+            left = before[at]
+            to_left = left.astype(np.int64) * n + of
+            flat[at], flat[middle] = token, -1
+            ranks[middle] = none
+            after[at], before[right] = end, here
+            for to, first, a, b in ((at, here, token, flat[right]), (to_left, left, flat[to_left], token)):
+                joined = self.joins(a, b)
+                ranks[to] = np.where(joined < nothing, (joined << shift) + first, none)
+        kept = part[1:-1].T
+        live = (kept >= 0) & rows.T
+        out = kept[live]
+        if len(out) and out.max() > nothing:
+            raise KeyError("a byte is no token")
+        return out, live.sum(1)
+
+    def _misses(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, counts) of pre-tokens outside the vocabulary."""
+        sizes = ends - starts
+        counts, parts, low = np.zeros(len(sizes), np.int64), [], 0
+        alone = [np.flatnonzero(sizes > WIDTHS[-1])]
+        for high in WIDTHS:
+            rows = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            if len(rows) < FEW:
+                alone.append(rows)
+                continue
+            for some in np.array_split(rows, -(-len(rows) * high // PLACES)):
+                ids, counts[some] = self._together(data, starts[some], sizes[some])
+                parts.append((some, ids))
+        alone = np.concatenate(alone)
+        for i in alone.tolist():
+            ids = merged(data[starts[i]:ends[i]].tobytes(), self.ranks, self.longest)
+            counts[i] = len(ids)
+            parts.append((np.array([i]), ids))
+        first = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int32)
+        for rows, ids in parts:
+            out[_spread(first[rows], counts[rows])] = ids
+        return out, counts
 
     def _chunk(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = "".join(texts)
@@ -270,16 +384,15 @@ class Codec:
             hit[which[bad]] = False
         miss = np.flatnonzero(~hit)
         index, inverse = _distinct(data, h[miss], starts[miss], ends[miss])
-        found = self._misses(data, starts[miss[index]], ends[miss[index]])
+        found, lengths = self._misses(data, starts[miss[index]], ends[miss[index]])
         counts = np.ones(len(h), np.int64)
-        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
         counts[miss] = lengths[inverse]
         place = np.concatenate(([0], np.cumsum(counts)))
         out = np.empty(int(place[-1]), np.int32)
         out[place[:-1][hit]] = self.ids[key[hit]]
         if len(miss):
             from_ = (np.cumsum(lengths) - lengths)[inverse]
-            out[_spread(place[:-1][miss], counts[miss])] = np.frombuffer(b"".join(found), np.int32)[_spread(from_, counts[miss])]
+            out[_spread(place[:-1][miss], counts[miss])] = found[_spread(from_, counts[miss])]
         return out, place[np.searchsorted(at, begins)]
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -312,10 +425,10 @@ def read_vocabulary(path: str) -> tuple[list[bytes], list[int]]:
 
 
 @lru_cache(maxsize=4)
-def prepared(path: str) -> tuple[list[bytes], list[int], PerfectHash]:
+def prepared(path: str) -> tuple[list[bytes], list[int], PerfectHash, Pairs]:
     """What a codec is built from, made once on the driver."""
     codec = Codec(*read_vocabulary(path))
-    return list(codec.ranks), list(codec.ranks.values()), codec.find
+    return list(codec.ranks), list(codec.ranks.values()), codec.find, codec.pairs
 
 
 _codecs: dict[int, Codec] = {}
@@ -324,17 +437,17 @@ _codecs: dict[int, Codec] = {}
 def codec_of(vocabulary) -> Codec:
     """The codec of a broadcast vocabulary; a Python worker keeps the last one, told
     apart by its tokens and ids."""
-    tokens, ids, find = vocabulary.value
+    tokens, ids, find, pairs = vocabulary.value
     key = hash((b"\0".join(tokens), tuple(ids)))
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(tokens, ids, find)
+        _codecs[key] = Codec(tokens, ids, find, pairs)
     return _codecs[key]
 
 
 def broadcast_vocabulary(docs: DataFrame, path: str):
-    """The vocabulary file's tokens and ranks and their perfect hash, sent to the
-    executors once."""
+    """The vocabulary file's tokens and ranks, their perfect hash and their pairs, sent
+    to the executors once."""
     return docs.sparkSession.sparkContext.broadcast(prepared(path))
 
 

@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,6 +54,36 @@ def test_misses_are_told_apart_by_bytes():
             assert bytes(data[starts[i]:ends[i]]) == bytes(data[starts[at]:ends[at]])
 
 
+def test_misses_are_merged_together(monkeypatch):
+    alone, rng = [], np.random.default_rng(3)
+    monkeypatch.setattr(bpe, "merged", lambda piece, *rest, real=bpe.merged: alone.append(piece) or real(piece, *rest))
+    words = ["".join(rng.choice(list("etaoinshrdlué漢"), n)) for n in rng.integers(1, 30, 20_000)]
+    assert encoded([" ".join(words)]) == [REFERENCE.encode_ordinary(" ".join(words))]
+    assert len(alone) < 300  # before: each distinct word by itself, in Python
+
+
+def test_rounds_join_what_the_heap_joins():
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer("etaoin é漢\n'".encode(), np.uint8)
+    for tokens, ids in ((TOKENS, IDS), ([b"a", b"ba", b"ab", b"abab", b"b", b"bab", b"c"], [9, 4, 1 << 30, 3, 0, 7, 1 << 28])):
+        codec, used = bpe.Codec(tokens, ids), letters if tokens is TOKENS else np.frombuffer(b"abc", np.uint8)
+        n = rng.integers(1, bpe.WIDTHS[-1] + 40, 4000)
+        data, ends = rng.choice(used, n.sum()), np.cumsum(n)
+        got, counts = codec._misses(data, ends - n, ends)
+        want = [bpe.merged(data[e - k:e].tobytes(), codec.ranks, codec.longest) for k, e in zip(n.tolist(), ends.tolist())]
+        assert [x.tolist() for x in np.split(got, np.cumsum(counts)[:-1])] == want
+
+
+def test_bytes_that_are_no_token():
+    codec = bpe.Codec([b"ab", b"abab"], [0, 1])
+    data = np.frombuffer(b"ababab" * 40, np.uint8)
+    starts = np.arange(40) * 6
+    got, counts = codec._misses(data, starts, starts + 6)  # single bytes need no id where they are joined
+    assert counts.tolist() == [2] * 40 and got.tolist() == [1, 0] * 40
+    with pytest.raises(KeyError):
+        codec._misses(data, starts, starts + 5)
+
+
 def test_long_texts_are_cut_at_borders():
     text = "It's  what we'll see, 12 times \n\n déjà vu! " * 60_000 + "x" * 3000
     assert len(text) > bpe.CHUNK
