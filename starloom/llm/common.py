@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 from starloom.session import scratch_path
 
 
-def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write ``df`` under the shared checkpoint folder and read it back.
+def written(df: DataFrame, name: str, compression: str | None = None, **options) -> DataFrame:
+    """Write ``df`` under the shared checkpoint folder, with further ``options`` of the
+    writer, and read it back.
 
     This cuts the lineage and survives the loss of any executor, since the
     files lie in shared storage."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path, compression=compression)
+    df.write.options(**options).parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

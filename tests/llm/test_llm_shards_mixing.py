@@ -70,6 +70,22 @@ def test_shards_hold_the_ids_of_the_vocabulary(spark, tmp_path):
     assert sorted(p[:-1].tolist() for p in parts) == sorted(r.token_ids for r in whole)
 
 
+def test_the_copy_of_the_ids_is_dense(spark, tmp_path, monkeypatch):
+    made = {}
+    monkeypatch.setattr(shards, "written", lambda df, name, *a, real=shards.written, **k: made.setdefault(name, real(df, name, *a, **k)))
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 50_000, 2500).astype(np.uint16).tobytes() for _ in range(300)]
+    rows = list(enumerate(docs + docs))  # 3 MB, where a document comes again after 1.5 MB
+    df = spark.createDataFrame(rows, "doc_id long, tokens binary").coalesce(1)
+    layout, _ = shards.write_shards(df, f"file://{tmp_path}/c", "tokens", dtype="uint16", end=50_000, pad=50_001)
+    size = sum(os.path.getsize(f.removeprefix("file://")) for f in made["tokens"].inputFiles())
+    assert size < 0.7 * sum(len(d) for _, d in rows)  # the writer's default pages, of 1 MB, hold no repetition
+    flat = in_order(layout).ravel()
+    flat = flat[flat != 50_001]
+    parts = np.split(flat, np.flatnonzero(flat == 50_000) + 1)[:-1]
+    assert sorted(p[:-1].tobytes() for p in parts) == sorted(docs + docs)
+
+
 def test_every_document_is_listed_where_its_tokens_lie(spark, tmp_path):
     n = 320_000  # more than 2 MB a split, and a stride that does not divide it
     docs = spark.range(0, n, 1, 1).selectExpr("id as doc_id", "substring('abcdefg', 1, 6 + int(id % 2)) as text")
