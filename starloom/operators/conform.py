@@ -285,9 +285,9 @@ def conflict_report(frame: LabeledFrame, key: str, suffixes: tuple[str, str] = (
     if not copies:
         spark = frame.df.sparkSession
         return spark.createDataFrame([], "key string, column string, left_value string, right_value string")
-    # one scan: the differing copies of a row come out of one array
-    each = frame.df.select(frame.col(key).alias("key"), F.explode(F.filter(F.array(*copies), lambda c: c["differs"])).alias("c"))
-    return each.select("key", "c.column", "c.left_value", "c.right_value")
+    # one scan: the copies of a row come out of one array. The filter is behind it, as that of an array is not compiled
+    each = frame.df.select(frame.col(key).alias("key"), F.inline(F.array(*copies)))
+    return each.where("differs").drop("differs")
 
 
 def keep_right(frame: LabeledFrame, suffixes: tuple[str, str] = ("_x", "_y")) -> LabeledFrame:

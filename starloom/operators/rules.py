@@ -7,7 +7,7 @@ is therefore a grouping over every subset of the attribute columns:
 
 1. pre-aggregate: ``groupBy(all attributes).count()`` - partial aggregation
    collapses rows map-side, so even one combination holding a third of all
-   rows is a single row per task before the shuffle;
+   rows is a single row per task before the shuffle; these combinations are written once;
 2. one ``explode`` of the (few) subset projections of each combination row,
    then ``groupBy(items).sum``;
 3. keep itemsets with ``count / N >= min_support`` where N is a scalar
@@ -39,6 +39,7 @@ from starloom.functions.scalar import (
     null_if_in,
     safe_double,
 )
+from starloom.session import scratch_path, stored
 
 # The six attributes of a transaction, in the reference's order.
 ATTRIBUTES = ("Road User", "Age Group", "Gender", "Speed Category", "Time of Day", "National Road Type")
@@ -62,23 +63,31 @@ def transactions(records: DataFrame, attributes: Sequence[str] = ATTRIBUTES,
     cleaned = {}
     for a in attributes:
         if a == SPEED_FEATURE:
-            speed = null_if_in(F.col(SPEED_SOURCE).cast("string"), missing)
-            cleaned[a] = bin_right_closed(safe_double(speed), SPEED_EDGES, SPEED_LABELS)
+            cleaned[a] = safe_double(null_if_in(F.col(SPEED_SOURCE).cast("string"), missing))
         else:
             cleaned[a] = null_if_in(F.col(a).cast("string"), missing)
     base = records.where(cleaned[REQUIRED].isNotNull()) if REQUIRED in cleaned else records
-    projected = base.select(*[item_text(a, cleaned[a]).alias(a) for a in attributes])
-    complete = projected.dropna(how="any")
+    cells = _generated(base, cleaned)
+    binned = {a: bin_right_closed(F.col(a), SPEED_EDGES, SPEED_LABELS) if a == SPEED_FEATURE else F.col(a) for a in attributes}
+    complete = _generated(cells, {a: item_text(a, c) for a, c in binned.items()}).dropna(how="any")
     return complete.withColumn("items", F.array_sort(F.array(*[F.col(a) for a in attributes])))
 
 
+def _generated(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df.select`` of the named columns, each computed once a row: a generator's output is not put in
+    the place of its mentions in what follows, as a projection is. The speed would else be parsed for every
+    edge of its bins and for every filter, in one method too long to be compiled."""
+    return df.select(F.inline(F.array(F.struct(*[c.alias(a) for a, c in columns.items()]))))
+
+
 def frequent_itemsets(tx: DataFrame, attributes: Sequence[str] = ATTRIBUTES, min_support: float = 0.05,
                       max_len: int = 3) -> DataFrame:
     """M3: itemsets (sorted array ``items``) with ``count``, ``total`` (the number
     of transactions), ``support``, ``size``; support >= ``min_support`` (compared as
-    the double ``count / total``), size <= ``max_len``."""
+    the double ``count / total``), size <= ``max_len``. The transactions are read once: their distinct
+    combinations are written to the shared checkpoint folder, and total and itemsets are counted from these."""
     attrs = list(attributes)
-    combos = tx.groupBy(*attrs).agg(F.count(F.lit(1)).alias("__cnt"))
+    combos = stored(tx.groupBy(*attrs).agg(F.count(F.lit(1)).alias("__cnt")), scratch_path(tx.sparkSession, "combinations"))
     subsets = [s for k in range(1, max_len + 1) for s in combinations(attrs, k)]
     projections = F.array(*[F.array_sort(F.array(*[F.col(a) for a in s])) for s in subsets])
     counted = (combos.select(F.explode(projections).alias("items"), "__cnt")

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.functions.scalar import weekday_name
 from starloom.operators import conform as cf
 from starloom.operators import quality
 from starloom.operators.keys import dense_ids
@@ -140,7 +141,7 @@ def fatality_sheet(t: Tables, lines: DataFrame, hot: dict) -> DataFrame:
         F.col("l_orderkey").alias("Crash ID"),
         F.year(ship).alias("Year"),
         F.month(ship).alias("Month"),
-        F.date_format(ship, "EEEE").alias("Day\nweek"),
+        weekday_name(ship).alias("Day\nweek"),
         _lookup(F.col("l_linestatus"), GENDER_BY_LINESTATUS).alias("Gender"),
         F.col("p_size").alias("Age"),
         age_group(F.col("p_size")).alias("Age Group"),
@@ -180,7 +181,7 @@ def crash_sheet(t: Tables) -> DataFrame:
         F.lower(F.col("r_name")).alias("State"),
         F.year(od).alias("Year"),
         F.month(od).alias("Month"),
-        F.date_format(od, "EEEE").alias("Dayweek"),
+        weekday_name(od).alias("Dayweek"),
         F.concat_ws(":", F.lpad((F.col("o_orderkey") % 24).cast("string"), 2, "0"),
                     F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0")).alias("Time"),
         F.when(F.col("o_orderpriority") == UNKNOWN_PRIORITY, "Unknown")
@@ -202,7 +203,7 @@ def fatality_count_sheet(t: Tables) -> DataFrame:
     li = t("lineitem", ("l_shipdate",))
     d = F.to_date("l_shipdate")
     return (li.groupBy(d.alias("Date")).agg(F.count(F.lit(1)).alias("Number Fatalities"))
-            .select("Date", F.date_format("Date", "EEEE").alias("Dayweek"), "Number Fatalities",
+            .select("Date", weekday_name("Date").alias("Dayweek"), "Number Fatalities",
                     F.col("Date").alias(ROW)))
 
 
@@ -210,7 +211,7 @@ def crash_count_sheet(t: Tables) -> DataFrame:
     orders = t("orders", ("o_orderdate",))
     d = F.to_date("o_orderdate")
     return (orders.groupBy(d.alias("Date")).agg(F.count(F.lit(1)).alias("Number of fatal crashes"))
-            .select("Date", F.date_format("Date", "EEEE").alias("Dayweek"), "Number of fatal crashes"))
+            .select("Date", weekday_name("Date").alias("Dayweek"), "Number of fatal crashes"))
 
 
 def dwellings_sheet(t: Tables) -> DataFrame:

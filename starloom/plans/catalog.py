@@ -486,7 +486,7 @@ def _exported(spark, base) -> etl.SheetPaths:
         # The fatality sheet's place is its order; every file has its own header line.
         labels = [c for c in df.columns if c != cf.ROW]
         flat = df.select(*[F.col(f"`{c}`").alias(c.replace("\n", "")) for c in labels])
-        flat.write.option("header", True).csv(f"{out}/{name}", compression="gzip")
+        flat.write.options(header=True, **{"zlib.compress.level": "BEST_SPEED"}).csv(f"{out}/{name}", compression="gzip")
         return f"{out}/{name}"
 
     fatality = sheets.unordered.drop("Time of day")

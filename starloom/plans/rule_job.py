@@ -13,10 +13,11 @@ import argparse
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom.operators import rules
-from starloom.session import scratch_path
+from starloom.session import scratch_path, stored
 from starloom.sinks.tables import write_rules
 from starloom.sources.delimited import ROW, header_labels, read_sheet_csv
 from starloom.sources.records import AT, quoted_records
@@ -53,20 +54,14 @@ def run(records: DataFrame, out: str, fmt: str = "parquet", min_support: float =
                          rules.sample_itemsets(itemsets, SAMPLE))
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """``df`` written once and read back."""
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """The processed export (CSV with a header record); every cell is read as
     text, as the reference's cleaning does, and may hold line breaks."""
     records = quoted_records(spark, path)
-    first = records.orderBy(*AT).limit(1).select("record").collect()
-    if not first:
+    first = records.agg(F.min_by("record", F.struct(*AT))).first()[0]  # no record is sorted for it
+    if first is None:
         raise ValueError(f"{path}: no header record")
-    labels = header_labels(first[0][0])
+    labels = header_labels(first)
     schema = StructType([StructField(lab, StringType()) for lab in labels])
     return read_sheet_csv(spark, path, schema, records=records).drop(ROW)
 

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from starloom.session import SCRATCH_CODEC, scratch_path
+from starloom.session import SCRATCH_CODEC, scratch_path, stored
 
 #: Where a record lies: file, start of the split it begins in, and its number among the
 #: records that begin there (blank lines are no records).
@@ -130,16 +130,17 @@ _PARTS = "file string, block long, nth long, opened boolean, closed boolean, rec
 def _joined(dialect: Dialect):
     """The records of each split, and the pieces of records that its borders cut."""
 
+    kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
+    names = ["file", "block", "nth", "opened", "closed", "record"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, inside, held, opened, nth = None, False, [], True, 0
-        out: list[tuple] = []
+        out: list[tuple] = []  # records of several lines, and pieces
 
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out))
             out.clear()
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                              ["file", "block", "nth", "opened", "closed", "record"])
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         for file, block, rows in _runs(batches):
             if (file, block) != key:
@@ -148,19 +149,31 @@ def _joined(dialect: Dialect):
                 key, held, nth = (file, block), [], 0
                 inside = rows.column("begins")[0].as_py()
                 opened = not inside
-            for line in rows.column("value").to_pylist():
-                if dialect.quote in line:
-                    inside = ends_inside(line, inside, dialect)
-                if inside:
-                    held.append(line)
-                elif held or not opened:
-                    held.append(line)
-                    out.append((*key, nth, opened, True, "\n".join(held)))
-                    nth += opened
+            values = rows.column("value")
+            quoted = np.flatnonzero(pc.match_substring(values, dialect.quote).to_numpy(zero_copy_only=False))
+            # only a line with a quote can begin or end a cell of several lines; every other line outside is a record
+            single = ~pc.or_(pc.equal(values, ""), pc.utf8_is_space(values)).to_numpy(zero_copy_only=False)
+            ends, at = [], 0  # where records of several lines end; the first line of the one at hand
+            for i, line in zip(quoted.tolist(), values.take(pa.array(quoted)).to_pylist()):
+                was, inside = inside, ends_inside(line, inside, dialect)
+                if inside and not was:
+                    at = i
+                elif was and not inside:
+                    held += values.slice(at, i + 1 - at).to_pylist()
+                    single[at:i + 1] = False
+                    ends.append((i, opened, "\n".join(held)))
                     held, opened = [], True
-                elif line and not line.isspace():
-                    out.append((*key, nth, True, True, line))
-                    nth += 1
+            if inside:
+                held += values.slice(at).to_pylist()
+                single[at:] = False
+            begun = single.astype(np.int64)
+            begun[[i for i, whole, _ in ends if whole]] = 1
+            number = nth + np.cumsum(begun) - begun
+            out += [(*key, int(number[i]), whole, True, record) for i, whole, record in ends]
+            nth += int(begun.sum())
+            found = values.filter(pa.array(single))
+            same = [pa.repeat(pa.scalar(v, k), len(found)) for v, k in zip((file, block, True, True), (*kinds[:2], *kinds[3:5]))]
+            yield pa.RecordBatch.from_arrays([*same[:2], pa.array(number[single]), *same[2:], found.cast(pa.string())], names)
             if len(out) >= 10_000:
                 yield flush()
         if held:
@@ -171,6 +184,14 @@ def _joined(dialect: Dialect):
     return run
 
 
+def _cleaned() -> Column:
+    """A record without the carriage return at its end and the byte order mark at its file's start."""
+    record = F.col("record")
+    clean = F.when(record.contains("\r"), F.regexp_replace(record, "\\r$", "")).otherwise(record)
+    first = (F.col("block") == 0) & (F.col("nth") == 0)
+    return F.when(first, F.regexp_replace(clean, "^\\x{FEFF}", "")).otherwise(clean)
+
+
 def quoted_records(spark: SparkSession, path: str, dialect: Dialect = Dialect()) -> DataFrame:
     """(file, block, nth, record): every record of the UTF-8 files under ``path``.
 
@@ -188,26 +209,26 @@ def quoted_records(spark: SparkSession, path: str, dialect: Dialect = Dialect())
     # one row per input split: the input's size over the split size bounds them
     parts = lines.join(F.broadcast(split_starts(ends)), ["file", "block"]).mapInArrow(_joined(dialect), _PARTS)
     out = scratch_path(spark, "records")
-    parts.write.parquet(out, compression=SCRATCH_CODEC)
+    # a record is cleaned here, once; a piece when it is joined
+    written = F.when(F.col("opened") & F.col("closed"), _cleaned()).otherwise(F.col("record"))
+    parts.withColumn("record", written).write.parquet(out, compression=SCRATCH_CODEC)
     parts = spark.read.schema(_PARTS).parquet(out)
     # two pieces a split at most: the last one's end, and the next one's beginning
     cut = parts.where("not (opened and closed)").withColumn("chain", F.sum(F.col("opened").cast("int")).over(
         Window.partitionBy("file").orderBy("block", "opened")))
-    whole = cut.groupBy("file", "chain").agg(
+    joined = cut.groupBy("file", "chain").agg(
         F.min(F.when(F.col("opened"), F.struct("block", "nth"))).alias("at"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "opened", "record"))),
                                  lambda x: x["record"]), "\n").alias("record"))
-    records = parts.where("opened and closed").select(*AT, "record").unionByName(
-        whole.select("file", F.col("at.block").alias("block"), F.col("at.nth").alias("nth"), "record"))
-    clean = F.regexp_replace("record", "\\r$", "")
-    first = (F.col("block") == 0) & (F.col("nth") == 0)
-    return records.select(*AT, F.when(first, F.regexp_replace(clean, "^\\x{FEFF}", "")).otherwise(clean).alias("record"))
+    joined = joined.select("file", F.col("at.block").alias("block"), F.col("at.nth").alias("nth"), "record")
+    return parts.where("opened and closed").select(*AT, "record").unionByName(joined.withColumn("record", _cleaned()))
 
 
 def record_ordinal(records: DataFrame, heads: DataFrame | None, col: str) -> DataFrame:
     """The records below the header of their file (``heads``: file, head = struct(block, nth);
     a file without a row there keeps all) with ``col``, a dense 0-based number over all files in path order.
-    Counts of one row per split give each split's offset, so no record is sorted or moved."""
+    Counts of one row per split give each split's offset, so no record is sorted or moved. The offsets are
+    counted and written once, whatever number of plans reads the result."""
     place = F.struct("block", "nth")
     if heads is None:
         headed = records.withColumn("head", F.lit(None).cast("struct<block:bigint,nth:bigint>"))
@@ -217,13 +238,15 @@ def record_ordinal(records: DataFrame, heads: DataFrame | None, col: str) -> Dat
     skipped = F.when(F.col("head.block") == F.col("block"), F.col("head.nth") + 1).otherwise(0)
     splits = kept.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = stored(splits.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")),
+                     scratch_path(records.sparkSession, "offsets"))
     return (kept.withColumn("skipped", skipped).join(F.broadcast(offsets), ["file", "block"])  # one row per split
             .withColumn(col, F.col("offset") + F.col("nth") - F.col("skipped")).drop("head", "skipped", "offset"))
 
 
 def first_records(records: DataFrame, condition: Column | None = None) -> DataFrame:
     """(file, head): the place of each file's first record, or of its first one that meets
-    ``condition``."""
+    ``condition``; found and written once, a row a file."""
     rows = records if condition is None else records.where(condition)
-    return rows.groupBy("file").agg(F.min(F.struct("block", "nth")).alias("head"))
+    return stored(rows.groupBy("file").agg(F.min(F.struct("block", "nth")).alias("head")),
+                  scratch_path(records.sparkSession, "heads"))

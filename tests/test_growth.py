@@ -5,14 +5,18 @@ import contextlib
 import datetime as dt
 import io
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.operators import conform as cf
+from starloom.operators import rules
 from starloom.operators.keys import dense_ids
 from starloom.plans import analog, catalog
 from starloom.plans import warehouse as wh
 from starloom.sinks.tables import write_csv
 from starloom.sources.delimited import read_sheet_csv
+from starloom.sources.records import Dialect, _joined
 
 
 def plan_text(df, mode="simple") -> str:
@@ -102,6 +106,57 @@ def test_each_record_is_parsed_once(spark, tmp_path):
     assert sorted((r.k, r.v) for r in kept.collect()) == [("a", "1"), ("c, d", "x\ny")]
 
 
+def optimized(df) -> str:
+    text = plan_text(df, "extended")
+    return text[text.index("== Optimized"):text.index("== Physical")]
+
+
+def test_rule_job_parses_once_and_reads_transactions_once(spark):
+    """A speed is parsed once, not for each edge of its bins; itemsets and their total are counted from one copy."""
+    row = ("Driver", "17_to_25", "Male", "<40", "Day", "Local Road")
+    cells = ["Road User", "Age Group", "Gender", "Speed Limit", "Time of Day", "National Road Type"]
+    rows = [row, (*row[:3], "60", *row[4:]), (*row[:3], "100.5", *row[4:]), ("-9", *row[1:3], "60", *row[4:])]
+    # kept from being folded into a local table
+    records = spark.createDataFrame(rows, cells).repartition(2)
+    tx = rules.transactions(records)
+    assert optimized(tx).count("as double)") == 1
+    assert sorted(r["Speed Category"] for r in tx.collect()) == ["Speed Category=Low", "Speed Category=Very High"]
+    sets = rules.frequent_itemsets(tx, min_support=0.5, max_len=1)
+    assert "Speed Limit" not in optimized(sets)
+    assert {r["items"][0]: (r["count"], r["total"]) for r in sets.collect()}["Road User=Driver"] == (2, 2)
+
+
+def test_conflicts_are_filtered_behind_the_array(spark):
+    df = spark.createDataFrame([(1, "a", "b"), (2, "c", "c"), (3, None, None)], "k int, v_x string, v_y string")
+    found = cf.conflict_report(cf.LabeledFrame.of(df), "k")
+    assert "lambda" not in optimized(found)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "v", "a", "b"), (3, "v", None, None)]
+
+
+def test_headers_and_offsets_are_found_once(spark, tmp_path):
+    path = str(tmp_path / "sheet")
+    write_csv(spark.range(20).select("id", F.lit("x\ny").alias("t")).repartition(3, "id"), path)
+    sheet = read_sheet_csv(spark, path, "id bigint, t string", header="id,t", dense_order=True)
+    # a plan over the sheet neither looks for headers nor counts rows
+    assert "count(" not in optimized(sheet) and "rtrim" not in optimized(sheet)
+    assert sorted(r["_row"] for r in sheet.collect()) == list(range(20))
+
+
+def test_lines_are_joined_to_records_as_arrays(spark):
+    """Lines, a split at a time, in batches: whole records, records of several lines, and pieces at the borders."""
+    lines = ["b\"", "", " ", "c,d\r", "e,\"f", "", "g\",h", "\"i\",j", "k,\"l"]
+
+    def batches():
+        for first in (0, 3, 6):
+            part = lines[first:first + 3]
+            yield pa.RecordBatch.from_pydict({"file": ["f"] * 3, "block": [8] * 3, "value": part, "begins": [True] * 3})
+
+    out = [tuple(r.values()) for b in _joined(Dialect())(batches()) for r in b.to_pylist()]
+    assert sorted(out, key=str) == sorted([
+        ("f", 8, 0, False, True, "b\""), ("f", 8, 0, True, True, "c,d\r"), ("f", 8, 1, True, True, "e,\"f\n\ng\",h"),
+        ("f", 8, 2, True, True, "\"i\",j"), ("f", 8, 3, True, False, "k,\"l")], key=str)
+
+
 def test_etl_knows_whether_crash_keys_are_null(spark):
     from starloom.plans import etl
 
