@@ -58,7 +58,8 @@ def read_processed(spark: SparkSession, path: str) -> DataFrame:
     """The processed export (CSV with a header record); every cell is read as
     text, as the reference's cleaning does, and may hold line breaks."""
     records = quoted_records(spark, path)
-    first = records.agg(F.min_by("record", F.struct(*AT))).first()[0]  # no record is sorted for it
+    # the first record of a split; no record is sorted for it
+    first = records.where("nth = 0").agg(F.min_by("record", F.struct(*AT))).first()[0]
     if first is None:
         raise ValueError(f"{path}: no header record")
     labels = header_labels(first)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from starloom.session import SCRATCH_CODEC, scratch_path, stored
 
-#: Where a record lies: file, start of the split it begins in, and its number among the
+#: Where a record lies: number of its file in path order, start of the split it begins in, and its number among the
 #: records that begin there (blank lines are no records).
 AT = ("file", "block", "nth")
 
@@ -83,7 +83,7 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _functions(dialect: Dialect):
-    """How each split ends, for both ways to begin."""
+    """How each split ends, for both ways to begin. A line without a quote changes nothing and comes as null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ends = None, [False, True]
@@ -93,8 +93,7 @@ def _functions(dialect: Dialect):
                 if key is not None:
                     out.append((*key, *ends))
                 key, ends = (file, block), [False, True]
-            values = rows.column("value")
-            for line in values.filter(pc.match_substring(values, dialect.quote)).to_pylist():
+            for line in rows.column("value").drop_null().to_pylist():
                 ends = [ends_inside(line, e, dialect) for e in ends]
         if key is not None:
             out.append((*key, *ends))
@@ -124,13 +123,13 @@ def split_starts(ends: DataFrame) -> DataFrame:
     return counted.select("file", "block", (begins % 2 == 1).alias("begins"))
 
 
-_PARTS = "file string, block long, nth long, opened boolean, closed boolean, record string"
+_PARTS = "file long, block long, nth long, opened boolean, closed boolean, record string"
 
 
 def _joined(dialect: Dialect):
     """The records of each split, and the pieces of records that its borders cut."""
 
-    kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.string())
     names = ["file", "block", "nth", "opened", "closed", "record"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +192,7 @@ def _cleaned() -> Column:
 
 
 def quoted_records(spark: SparkSession, path: str, dialect: Dialect = Dialect()) -> DataFrame:
-    """(file, block, nth, record): every record of the UTF-8 files under ``path``.
+    """(file, block, nth, record): every record of the UTF-8 files under ``path``, which are numbered in path order.
 
     A record ends at a line feed outside of quoted cells; a carriage return before it and a byte
     order mark at the start of a file go, line breaks inside cells stay as they are. Blank lines
@@ -205,9 +204,13 @@ def quoted_records(spark: SparkSession, path: str, dialect: Dialect = Dialect())
     meta = F.col("_metadata")
     lines = spark.read.option("lineSep", "\n").text(path).select(
         meta.getField("file_path").alias("file"), meta.getField("file_block_start").alias("block"), "value")
-    ends = lines.mapInArrow(_functions(dialect), "file string, block long, outside boolean, inside boolean")
-    # one row per input split: the input's size over the split size bounds them
-    parts = lines.join(F.broadcast(split_starts(ends)), ["file", "block"]).mapInArrow(_joined(dialect), _PARTS)
+    quoted = F.when(F.col("value").contains(dialect.quote), F.col("value"))
+    ends = lines.withColumn("value", quoted).mapInArrow(_functions(dialect), "file string, block long, outside boolean, inside boolean")
+    # one row per input split: the input's size over the split size bounds them. From here on a file is a number,
+    # since its path is longer than most records
+    starts = split_starts(ends).withColumn("number", F.dense_rank().over(Window.orderBy("file")).cast("long"))
+    numbered = lines.join(F.broadcast(starts), ["file", "block"]).select(F.col("number").alias("file"), "block", "begins", "value")
+    parts = numbered.mapInArrow(_joined(dialect), _PARTS)
     out = scratch_path(spark, "records")
     # a record is cleaned here, once; a piece when it is joined
     written = F.when(F.col("opened") & F.col("closed"), _cleaned()).otherwise(F.col("record"))
@@ -247,6 +250,6 @@ def record_ordinal(records: DataFrame, heads: DataFrame | None, col: str) -> Dat
 def first_records(records: DataFrame, condition: Column | None = None) -> DataFrame:
     """(file, head): the place of each file's first record, or of its first one that meets
     ``condition``; found and written once, a row a file."""
-    rows = records if condition is None else records.where(condition)
+    rows = records.where("nth = 0" if condition is None else condition)  # a file begins with the first record of a split
     return stored(rows.groupBy("file").agg(F.min(F.struct("block", "nth")).alias("head")),
                   scratch_path(records.sparkSession, "heads"))

@@ -16,7 +16,7 @@ from starloom.plans import analog, catalog
 from starloom.plans import warehouse as wh
 from starloom.sinks.tables import write_csv
 from starloom.sources.delimited import read_sheet_csv
-from starloom.sources.records import Dialect, _joined
+from starloom.sources.records import AT, Dialect, _joined, quoted_records
 
 
 def plan_text(df, mode="simple") -> str:
@@ -149,12 +149,22 @@ def test_lines_are_joined_to_records_as_arrays(spark):
     def batches():
         for first in (0, 3, 6):
             part = lines[first:first + 3]
-            yield pa.RecordBatch.from_pydict({"file": ["f"] * 3, "block": [8] * 3, "value": part, "begins": [True] * 3})
+            yield pa.RecordBatch.from_pydict({"file": [1] * 3, "block": [8] * 3, "value": part, "begins": [True] * 3})
 
     out = [tuple(r.values()) for b in _joined(Dialect())(batches()) for r in b.to_pylist()]
     assert sorted(out, key=str) == sorted([
-        ("f", 8, 0, False, True, "b\""), ("f", 8, 0, True, True, "c,d\r"), ("f", 8, 1, True, True, "e,\"f\n\ng\",h"),
-        ("f", 8, 2, True, True, "\"i\",j"), ("f", 8, 3, True, False, "k,\"l")], key=str)
+        (1, 8, 0, False, True, "b\""), (1, 8, 0, True, True, "c,d\r"), (1, 8, 1, True, True, "e,\"f\n\ng\",h"),
+        (1, 8, 2, True, True, "\"i\",j"), (1, 8, 3, True, False, "k,\"l")], key=str)
+
+
+def test_files_are_numbered_in_path_order(spark, tmp_path):
+    """A record carries its file's number, not its path."""
+    for name in ("b", "a", "c"):
+        (tmp_path / name).write_text(f"id\n{name}1\n{name}2\n")
+    records = quoted_records(spark, str(tmp_path))
+    assert records.schema["file"].dataType.typeName() == "long"
+    found = [(r.file, r.nth, r.record) for r in records.orderBy(*AT).collect()]
+    assert found == [(n, i, r) for n, f in enumerate("abc", 1) for i, r in enumerate(["id", f + "1", f + "2"])]
 
 
 def test_etl_knows_whether_crash_keys_are_null(spark):
