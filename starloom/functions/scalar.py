@@ -100,8 +100,10 @@ def month_start(year: str | Column, month: str | Column) -> Column:
 
 
 def weekday_name(date: str | Column) -> Column:
-    """English weekday name (``Monday`` ... ``Sunday``), looked up: formatting a date takes longer."""
-    return F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(_c(date)))
+    """English weekday name (``Monday`` ... ``Sunday``), looked up: formatting a date takes longer. Only dates
+    are: under ANSI mode ``element_at`` of a null index is no null."""
+    name = F.element_at(F.array(*[F.lit(d) for d in WEEKDAYS]), F.dayofweek(_c(date)))
+    return F.when(_c(date).isNotNull(), name)
 
 
 def is_weekend(date: str | Column) -> Column:

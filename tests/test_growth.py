@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.functions.scalar import weekday_name
 from starloom.operators import conform as cf
 from starloom.operators import rules
 from starloom.operators.keys import dense_ids
@@ -167,6 +168,16 @@ def test_files_are_numbered_in_path_order(spark, tmp_path):
     assert found == [(n, i, r) for n, f in enumerate("abc", 1) for i, r in enumerate(["id", f + "1", f + "2"])]
 
 
+def test_weekday_of_no_date_is_null(spark):
+    """Looked up by number, as formatting takes longer; a null date has no weekday, null or not in the schema."""
+    days = spark.createDataFrame([(dt.date(1996, 1, 1) + dt.timedelta(days=k),) for k in range(7)] + [(None,)], "d date")
+    for df in (days, days.repartition(2)):
+        found = {r[0]: r[1] for r in df.select("d", weekday_name("d").alias("w")).collect()}
+        assert found.pop(None) is None and len(found) == 7
+        assert all(w == d.strftime("%A") for d, w in found.items())
+    assert "date_format" not in optimized(days.repartition(2).select(weekday_name("d")))
+
+
 def test_etl_knows_whether_crash_keys_are_null(spark):
     from starloom.plans import etl
 
